@@ -4,6 +4,7 @@ import sys
 
 from pyspark import cloudpickle
 
+from warcloom.functions.identity import doc_uuid, java_hash, partition_id
 from warcloom.operators.counters import (
     counters,
     merge_counters,

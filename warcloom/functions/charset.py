@@ -53,8 +53,8 @@ def java_charsets(spark: SparkSession) -> Iterator[None]:
 
 def declared_charset(content_type: Column) -> Column:
     """Charset named by the first ``charset=`` parameter of a content type, upper-cased."""
-    params = F.slice(F.split(content_type, ";"), 2, 2**31 - 1)
-    named = F.get(F.filter(params, lambda p: p.contains(CHARSET_PARAM)), F.lit(0))
+    is_charset = lambda param, at: (at > 0) & param.contains(CHARSET_PARAM)
+    named = F.get(F.filter(F.split(content_type, ";"), is_charset), F.lit(0))
     value = F.substring(named, F.instr(named, CHARSET_PARAM) + len(CHARSET_PARAM), F.length(named))
     return F.upper(trim_blanks(value))
 

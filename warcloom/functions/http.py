@@ -36,6 +36,6 @@ def lf_break_at(head: Column) -> Column:
 
     ``head`` ends at the CRLF break, so only the header is searched, not the body.
     """
-    seen = raw_text(F.substring(head.cast("binary"), LF_BREAK_FROM + 1, 2**31 - 1))
+    seen = raw_text(F.substring(head.cast("binary"), F.lit(LF_BREAK_FROM + 1), F.octet_length(head)))
     before = F.octet_length(F.substring_index(seen, LF_BREAK, 1))
     return F.when(before < F.octet_length(seen), before + LF_BREAK_FROM)

@@ -151,7 +151,8 @@ def list_segments(spark: SparkSession, root: str) -> DataFrame:
     """Directories directly under a corpus root, as (segment); files are not listed."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    names = [n for n in names if not n.startswith(("_", "."))]
     return spark.createDataFrame([(n,) for n in names], "segment string")
 
 

@@ -12,9 +12,7 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach; a temporary one only where none is set."""
-    root = spark.conf.get(CHECKPOINT_SETTING, None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="warcloom-")
         spark.sparkContext.setCheckpointDir(root)
@@ -27,8 +25,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write a DataFrame to the checkpoint folder and go on from there."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(scratch_root(spark))
-    return df.checkpoint(eager=True)
+    """Write a DataFrame to the scratch folder and go on from there.
+
+    Unlike ``checkpoint()``, this computes the rows once.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
