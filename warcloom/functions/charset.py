@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -76,28 +77,29 @@ def looks_binary(body: Column) -> Column:
     return F.regexp_count(head, F.lit(BINARY_BYTES)) > BINARY_LIMIT
 
 
-def is_known_charset(encoding: Column) -> Column:
-    """Whether the JVM can decode ``encoding``; malformed names are unknown."""
-    known = F.try_reflect(
-        F.lit("java.nio.charset.Charset"), F.lit("isSupported"), encoding
-    )
-    return F.coalesce(known == "true", F.lit(False))
-
-
-def base64_text(body: Column) -> Column:
-    """Base64 in one line; ``base64`` alone breaks it every 76 characters."""
-    return F.replace(F.base64(body), F.lit("\r\n"), F.lit(""))
+@cache
+def _jvm_charsets() -> tuple[str, ...]:
+    """Upper-cased names and aliases of every charset the JVM has."""
+    jvm = SparkSession.active()._jvm
+    charsets = jvm.java.nio.charset.Charset.availableCharsets()
+    names = set(charsets)
+    for charset in charsets.values():
+        names.update(charset.aliases().toString().strip("[]").split(", "))
+    return tuple(sorted({n.upper() for n in names if n}))
 
 
 def is_decodable(encoding: Column) -> Column:
-    """Whether a body of this encoding becomes text rather than base64.
+    """Whether the JVM knows an encoding, in any letter case; false for null.
 
-    The common encodings are settled before the JVM is asked.
+    The names are asked for once. Asking per row is slow for unknown names, as
+    the JVM then searches all its providers again.
     """
-    common = encoding.isin("UTF-8", DEFAULT_ENCODING, REQUEST_ENCODING, "WINDOWS-1252")
-    return F.when(encoding.isNull(), F.lit(False)).when(common, True).otherwise(
-        is_known_charset(encoding)
-    )
+    return F.coalesce(F.upper(encoding).isin(*_jvm_charsets()), F.lit(False))
+
+
+def base64_text(body: Column) -> Column:
+    """Base64 in one line; ``base64`` alone breaks it every 76 characters."""
+    return F.replace(F.base64(body), F.lit("\r\n"), F.lit(""))
 
 
 def decode_body(body: Column, encoding: Column) -> Column:

@@ -46,20 +46,19 @@ def ci_map(pairs: Column) -> Column:
     order, ignoring case.
     """
 
-    def build(p: Column) -> Column:
-        def with_names(names: Column) -> Column:
-            def with_sorted(keys: Column) -> Column:
-                first = lambda k: F.get(p, F.array_position(names, k).cast("int") - 1)["key"]
-                last = lambda k: F.get(
-                    p, F.size(names) - F.array_position(F.reverse(names), k).cast("int")
-                )["value"]
-                return F.map_from_arrays(F.transform(keys, first), F.transform(keys, last))
-
-            return let(F.array_sort(F.array_distinct(names)), with_sorted)
-
-        return let(F.transform(p, lambda x: F.lower(x["key"])), with_names)
-
-    return let(pairs, build)
+    def numbered(pair: Column, at: Column) -> Column:
+        return F.struct(
+            F.lower(pair["key"]).alias("name"), at.alias("at"), pair["key"].alias("key"), pair["value"].alias("value")
+        )
+
+    def build(lines: Column) -> Column:
+        # Lines of one name now stand together, in line order.
+        other = lambda line, at: F.coalesce(F.get(lines, at)["name"] != line["name"], F.lit(True))
+        first = F.filter(lines, lambda line, at: other(line, at - 1))
+        last = F.filter(lines, lambda line, at: other(line, at + 1))
+        return F.map_from_arrays(first["key"], last["value"])
+
+    return let(F.sort_array(F.transform(pairs, numbered)), build)
 
 
 def warc_headers(block: Column) -> Column:
