@@ -112,8 +112,13 @@ def partition_table(df: DataFrame, num_partitions: int) -> DataFrame:
 
 
 def key_sorted(df: DataFrame, *ties: str, scope: Sequence[str] = ()) -> DataFrame:
-    """Sort within partitions, ready for one key-ordered file per table and part."""
-    return df.sortWithinPartitions(*scope, "table", "part", "key", *ties)
+    """Sort within partitions, ready for one key-ordered file per table and part.
+
+    Folder names are made non-null first; for nullable ones the writer would
+    sort again, by folder alone, and lose the order of keys.
+    """
+    named = {c: F.coalesce(F.col(c), F.lit("")) for c in (*scope, "table")}
+    return df.withColumns(named).sortWithinPartitions(*scope, "table", "part", "key", *ties)
 
 
 def check_mergeable(dfs: Sequence[DataFrame], num_partitions: Sequence[int]) -> None:

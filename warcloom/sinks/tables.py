@@ -18,14 +18,10 @@ def _save(rows: DataFrame, output: str, *folders: str) -> None:
     rows.write.partitionBy(*folders).option("compression", CODEC).parquet(output)
 
 
-def write_rows(
-    rows: DataFrame,
-    profile: DataFrame,
-    output: str,
-    num_partitions: int,
-    segments: Sequence[str] = (),
-) -> None:
-    """Write (table, key, value) rows: placed, first per key, key-sorted.
+def arrange_rows(
+    rows: DataFrame, profile: DataFrame, num_partitions: int, segments: Sequence[str] = ()
+) -> DataFrame:
+    """(table, key, value) rows as they are written: placed, first per key, key-sorted.
 
     One shuffle moves each row to the task that writes its part; the same order
     serves to find first rows and to write. Repeats of hot keys are dropped
@@ -42,8 +38,19 @@ def write_rows(
         tasks *= len(segments)
     moved = placed.repartitionById(tasks, task)
     first = T.first_per_key(moved, by=(*scope, "table", "part", "key"))
-    ordered = T.key_sorted(first, scope=scope)
-    _save(ordered.select(*scope, "table", "part", "key", "value"), output, *scope, "table", "part")
+    return T.key_sorted(first, scope=scope).select(*scope, "table", "part", "key", "value")
+
+
+def write_rows(
+    rows: DataFrame,
+    profile: DataFrame,
+    output: str,
+    num_partitions: int,
+    segments: Sequence[str] = (),
+) -> None:
+    """Write rows as ``table=…/part=…/`` files, under ``segment=…/`` if there are any."""
+    ordered = arrange_rows(rows, profile, num_partitions, segments)
+    _save(ordered, output, *(("segment",) if segments else ()), "table", "part")
 
 
 def write_tables(docs: DataFrame, output: str, num_partitions: int) -> None:

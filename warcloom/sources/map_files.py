@@ -8,9 +8,11 @@ _TEXT = "org.apache.hadoop.io.Text"
 
 
 def read_map_files(spark: SparkSession, path: str) -> DataFrame:
-    """(key, value) rows of the map files under ``path``, read by Hadoop's own classes.
+    """(key, value) rows of map files, read by Hadoop's own classes.
 
-    ``path`` may be one table's directory or a glob of its splits.
+    ``path`` is a directory of splits, one split, or a glob of either. Only the
+    data files are read; the index beside each holds offsets.
     """
-    pairs = spark.sparkContext.sequenceFile(path, _TEXT, _TEXT)
+    data = f"{path.rstrip('/')}/{{data,*/data}}"
+    pairs = spark.sparkContext.sequenceFile(data, _TEXT, _TEXT)
     return spark.createDataFrame(pairs, "key string, value string")

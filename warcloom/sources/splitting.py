@@ -96,25 +96,29 @@ def _report(profile: Profile, width: int):
 
 
 def _line_up(reports: pd.DataFrame) -> pd.DataFrame:
-    """The ranges of one file in order, up to the first whose guess was wrong.
+    """The ranges of one file that hold record starts, in order.
 
-    Works on one short row per range, never on records.
+    A range whose guess was wrong is marked uncertain, with the place it should
+    have started from. What follows it is then provisional: going by the wrong
+    guess's end is mostly right, as guesses soon meet the true records, and lets
+    several wrong ranges be looked at in one go. Works on one short row per
+    range, never on records.
     """
     position, at_record, seq, rows = 0, False, 0, []
     for r in reports.sort_values("begin").itertuples():
         if position >= r.end:
             continue
         entry = None if pd.isna(r.entry) else int(r.entry)
-        if at_record and entry != position:
-            rows.append((r.path, r.length, r.begin, r.end, position, seq, False))
-            break
-        if entry is None:
-            continue
-        rows.append((r.path, r.length, r.begin, r.end, entry, seq, True))
-        seq += int(r.records)
-        position, at_record = int(r.follows), bool(r.at_record)
-    columns = ["path", "length", "begin", "end", "start", "first_seq", "certain"]
-    return pd.DataFrame(rows, columns=columns)
+        wrong = at_record and entry != position
+        if entry is not None or wrong:
+            start = position if wrong else entry
+            rows.append((r.path, r.length, r.begin, r.end, start, seq, not wrong))
+            seq += int(r.records)
+            if pd.isna(r.follows):
+                position, at_record = int(r.end), False
+            else:
+                position, at_record = int(r.follows), bool(r.at_record)
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in _PLAN_SCHEMA.split(", ")])
 
 
 def split_files(
