@@ -98,7 +98,7 @@ def _skewed(spark, rows=3000):
     """A third of all rows share one key, in no particular order."""
     i = F.col("id")
     return spark.range(rows).select(
-        F.lit("uri").alias("table"),
+        F.when(i >= 0, "uri").otherwise("data").alias("table"),
         F.when(i % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (i % 700).cast("string"))).alias("key"),
         F.concat(F.lit("v"), i.cast("string")).alias("value"),
         F.format_string("f%02d", i % 7).alias("source_file"),
