@@ -119,10 +119,10 @@ def test_hot_keys_give_the_same_table(spark, hot_rows):
 
 def test_hot_repeats_are_dropped_before_the_shuffle(spark):
     rows = _skewed(spark)
-    hot = T.hot_keys(T.key_profile(rows, hot_rows=100))
-    assert [r.rows for r in hot.collect()] == [1000]
-    assert T.drop_hot_repeats(rows, hot).filter("key = 'hot'").count() == 1
-    arranged = plan(arrange_rows(rows, T.key_profile(rows, hot_rows=100), 4))
+    profile = T.key_profile(rows, hot_rows=100)
+    assert [r.rows for r in T.hot_keys(profile).collect()] == [1000]
+    assert T.drop_hot_repeats(rows, profile).filter("key = 'hot'").count() == 1
+    arranged = plan(arrange_rows(rows, profile, 4))
     assert arranged.index("BroadcastHashJoin") > arranged.index("shufflepartitionidpassthrough")
 
 

@@ -29,27 +29,32 @@ BYTE_ORDER_MARKS = {
     "FFFE": "UTF-16LE",
 }
 
-_JAVA_CHARSET_FLAGS = ("spark.sql.legacy.javaCharsets", "spark.sql.legacy.codingErrorAction")
+# Decode with any charset, replace what is malformed, no line breaks in base64.
+_TEXT_SETTINGS = {
+    "spark.sql.legacy.javaCharsets": "true",
+    "spark.sql.legacy.codingErrorAction": "true",
+    "spark.sql.chunkBase64String.enabled": "false",
+}
 
 
 @contextmanager
-def java_charsets(spark: SparkSession) -> Iterator[None]:
-    """Build ``decode`` columns that take any JVM charset and replace malformed bytes.
+def body_text_settings(spark: SparkSession) -> Iterator[None]:
+    """Settings under which :func:`decode_body` and :func:`base64_text` are built.
 
-    The two settings are read when a DataFrame is built, not when it runs, so
-    the caller's values are put back right away.
+    They are read when a DataFrame is built, not when it runs, so the caller's
+    values are put back right away.
     """
-    before = {flag: spark.conf.get(flag, None) for flag in _JAVA_CHARSET_FLAGS}
+    before = {name: spark.conf.get(name, None) for name in _TEXT_SETTINGS}
     try:
-        for flag in _JAVA_CHARSET_FLAGS:
-            spark.conf.set(flag, "true")
+        for name, value in _TEXT_SETTINGS.items():
+            spark.conf.set(name, value)
         yield
     finally:
-        for flag, value in before.items():
+        for name, value in before.items():
             if value is None:
-                spark.conf.unset(flag)
+                spark.conf.unset(name)
             else:
-                spark.conf.set(flag, value)
+                spark.conf.set(name, value)
 
 
 def declared_charset(content_type: Column) -> Column:
@@ -98,14 +103,14 @@ def is_decodable(encoding: Column) -> Column:
 
 
 def base64_text(body: Column) -> Column:
-    """Base64 in one line; ``base64`` alone breaks it every 76 characters."""
-    return F.replace(F.base64(body), F.lit("\r\n"), F.lit(""))
+    """Base64 in one line. Use inside :func:`body_text_settings`."""
+    return F.base64(body)
 
 
 def decode_body(body: Column, encoding: Column) -> Column:
     """Body as text: decoded, or base64 when the encoding is unknown or null.
 
-    Use inside :func:`java_charsets`.
+    Use inside :func:`body_text_settings`.
     """
     text = raw_text(body)
     return (

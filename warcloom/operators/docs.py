@@ -50,7 +50,7 @@ def build_docs(
     """
     chosen = choose_encoding(df, detector)
     encoding, body = F.col("encoding"), F.col("body")
-    with C.java_charsets(df.sparkSession):
+    with C.body_text_settings(df.sparkSession):
         decoded = chosen.withColumns(
             {
                 "uuid": doc_uuid(prefix, F.col("record_id")),

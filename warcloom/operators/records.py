@@ -64,12 +64,10 @@ def split_http(df: DataFrame) -> DataFrame:
     """
     content = F.col("content")
     size = F.octet_length(content)
-    looked = df.withColumns(
-        {
-            "_http": is_http_response(H.header(F.col("warc_headers"), "Content-Type")),
-            "_head": text_before_break(content),
-        }
-    ).withColumns({"_lf": lf_break_at(F.col("_head")), "_crlf": F.octet_length(F.col("_head"))})
+    is_http = is_http_response(H.header(F.col("warc_headers"), "Content-Type"))
+    looked = df.withColumn("_http", is_http)
+    looked = looked.withColumn("_head", F.when(F.col("_http"), text_before_break(content)))
+    looked = looked.withColumns({"_lf": lf_break_at(F.col("_head")), "_crlf": F.octet_length(F.col("_head"))})
 
     short = size < SHORTEST_MESSAGE
     lf, crlf = F.col("_lf"), F.col("_crlf")

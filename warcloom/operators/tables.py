@@ -74,23 +74,23 @@ def key_profile(rows: DataFrame, scope: Sequence[str] = (), hot_rows: int = HOT_
 
 def hot_keys(profile: DataFrame) -> DataFrame:
     """The hottest keys of a profile, few enough to broadcast."""
-    return profile.filter(F.col("digest").isNotNull()).orderBy(F.desc("rows")).limit(HOT_KEYS)
+    return profile.filter("digest IS NOT NULL").orderBy(F.desc("rows")).limit(HOT_KEYS)
 
 
-def drop_hot_repeats(rows: DataFrame, hot: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Drop the repeats of hot keys before any row is moved.
+def drop_hot_repeats(rows: DataFrame, profile: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Drop the repeats of a profile's hot keys before any row is moved.
 
-    ``hot`` knows the place of each hot key's first row, so a repeat is told on
-    its own. Keys not in ``hot`` are left for :func:`first_per_key`.
+    The profile knows the place of each hot key's first row, so a repeat is told
+    on its own. All other keys are left for :func:`first_per_key`.
     """
-    if hot.isEmpty():
+    if profile.filter("digest IS NOT NULL").isEmpty():
         return rows
     on = [F.col(f"r.{c}") == F.col(f"h.{c}") for c in (*scope, "table")]
     on.append(F.unhex(F.md5(F.col("r.key"))) == F.col("h.digest"))
     place = F.struct(*(F.col(f"r.{c}").alias(c) for c in ORDER))
-    joined = rows.alias("r").join(F.broadcast(hot.alias("h")), on, "left")
+    hot = F.broadcast(hot_keys(profile).alias("h"))
     first = F.col("h.digest").isNull() | (place == F.col("h.first_at"))
-    return joined.filter(first).select("r.*")
+    return rows.alias("r").join(hot, on, "left").filter(first).select("r.*")
 
 
 def first_per_key(

@@ -20,7 +20,7 @@ from warcloom.operators.records import (
 from warcloom.operators.segments import segment_range
 from warcloom.profiles import get_profile
 from warcloom.sinks.tables import write_merged, write_rows
-from warcloom.sources.tables import check_parts, open_tables, write_manifest
+from warcloom.sources.tables import check_parts, open_tables
 from warcloom.sources.warc import read_warc
 
 Detector = Callable[[Column], Column]
@@ -102,8 +102,6 @@ def _build(
     parsed = parse_records(read(types=HTTP_TYPES), profile)
     docs = build_docs(keep_http_records(parsed), prefix, detector)
     write_rows(T.map_rows(docs, scope, binary=True), keys, output, num_partitions, segments)
-    facts = {"order": "segment"} if scope else {}
-    write_manifest(spark, output, num_partitions=num_partitions, **facts)
     return _generator_counters(keys, open_tables(spark, output).rows, segments)
 
 

@@ -29,7 +29,7 @@ def arrange_rows(
     tables, and tasks, of its own.
     """
     scope = ("segment",) if segments else ()
-    slim = T.drop_hot_repeats(rows, T.hot_keys(profile), scope)
+    slim = T.drop_hot_repeats(rows, profile, scope)
     placed = slim.withColumn("part", partition_id(F.col("key"), num_partitions))
     task, tasks = F.col("part"), num_partitions
     if segments:
@@ -41,6 +41,11 @@ def arrange_rows(
     return T.key_sorted(first, scope=scope).select(*scope, "table", "part", "key", "value")
 
 
+def segment_path(output: str, segment: str) -> str:
+    """Where a segment's own tables lie; they can be opened by themselves."""
+    return f"{output}/segment={segment}"
+
+
 def write_rows(
     rows: DataFrame,
     profile: DataFrame,
@@ -48,20 +53,30 @@ def write_rows(
     num_partitions: int,
     segments: Sequence[str] = (),
 ) -> None:
-    """Write rows as ``table=…/part=…/`` files, under ``segment=…/`` if there are any."""
-    ordered = arrange_rows(rows, profile, num_partitions, segments)
-    _save(ordered, output, *(("segment",) if segments else ()), "table", "part")
-
-
-def write_tables(docs: DataFrame, output: str, num_partitions: int) -> None:
-    """Write the data and URI tables of documents as ``table=…/part=…/`` Parquet files.
+    """Write rows as ``table=…/part=…/`` files, under ``segment=…/`` if there are any.
 
     Parts without rows are not written. The partition count goes into a manifest,
     as a key's part can only be told by it.
     """
-    rows = T.map_rows(docs)
-    write_rows(rows, T.key_profile(rows.drop("value")), output, num_partitions)
-    write_manifest(docs.sparkSession, output, num_partitions=num_partitions)
+    spark = rows.sparkSession
+    ordered = arrange_rows(rows, profile, num_partitions, segments)
+    if not segments:
+        _save(ordered, output, "table", "part")
+        write_manifest(spark, output, num_partitions=num_partitions)
+        return
+    _save(ordered, output, "segment", "table", "part")
+    write_manifest(spark, output, num_partitions=num_partitions, order="segment")
+    for segment in segments:
+        write_manifest(spark, segment_path(output, segment), num_partitions=num_partitions)
+
+
+def write_tables(
+    docs: DataFrame, output: str, num_partitions: int, segments: Sequence[str] = ()
+) -> None:
+    """Write the data and URI tables of documents, once or for each of their segments."""
+    rows = T.map_rows(docs, ("segment",) if segments else ())
+    profile = T.key_profile(rows.drop("value"), ("segment",) if segments else ())
+    write_rows(rows, profile, output, num_partitions, segments)
 
 
 def write_merged(

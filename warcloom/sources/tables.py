@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from warcloom.functions.identity import split_name, split_partition
 
 TABLE_SCHEMA = "key string, value string, table string, part int"
-SEGMENTED_SCHEMA = f"{TABLE_SCHEMA}, segment string"
-MANIFEST = "_manifest"
+MANIFEST = "_manifest.json"
 
 
 @dataclass(frozen=True)
@@ -28,20 +27,30 @@ class Tables:
     rows: DataFrame
 
 
+def _manifest(spark: SparkSession, path: str):
+    """A table's manifest file and its filesystem, through Hadoop."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MANIFEST}")
+    return file, file.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def write_manifest(spark: SparkSession, path: str, **facts) -> None:
     """Store a table's facts beside it."""
-    line = spark.createDataFrame([(json.dumps(facts, sort_keys=True),)], "value string")
-    line.coalesce(1).write.text(f"{path}/{MANIFEST}")
+    file, fs = _manifest(spark, path)
+    stream = fs.create(file, True)
+    stream.write(bytearray(json.dumps(facts, sort_keys=True).encode()))
+    stream.close()
 
 
 def open_tables(spark: SparkSession, path: str) -> Tables:
     """Open tables written by this package."""
-    facts = json.loads(spark.read.text(f"{path}/{MANIFEST}").first()["value"])
+    file, fs = _manifest(spark, path)
+    stream = fs.open(file)
+    facts = json.loads(bytes(stream.readAllBytes()))
+    stream.close()
     order = facts.get("order")
     extra = {"segment": ", segment string", "ordinal": ", ordinal int"}.get(order, "")
     rows = spark.read.schema(TABLE_SCHEMA + extra).parquet(path)
-    num_partitions = facts["num_partitions"]
-    return Tables(path, num_partitions, order, rows)
+    return Tables(path, facts["num_partitions"], order, rows)
 
 
 def check_parts(tables: Tables) -> None:

@@ -17,6 +17,7 @@ PARTS = 8
 SEGMENTS = 4
 DOCUMENT_BASE = 1_000_000_000
 HOT_URI = "http://hot.example.com/"
+SMALL_BYTES = 1 << 30
 
 
 def _case(value: Column, *branches: tuple[Column, str | None]) -> Column:
@@ -31,13 +32,26 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     address = F.concat_ws("/", F.lit("http:/"), F.concat("source", F.lit(".example.org")), "lang", "doc_id")
-    return pages.select(F.col("page_id").alias("cap"), "url", "html").unionByName(
+    texts = pages.select(F.col("page_id").alias("cap"), "url", "html").unionByName(
         documents.select(
             (F.col("doc_id") + DOCUMENT_BASE).alias("cap"),
             address.alias("url"),
             F.col("text").alias("html"),
         )
     )
+    return spread_small(texts)
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Deal out a small table to all cores.
+
+    A small file is a single row group, which one task would read and then do
+    all further work on. Large tables have row groups enough and stay put.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size > SMALL_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,13 +49,11 @@ def _tables(spark: SparkSession, sf_dir: str) -> w.Tables:
 
 
 def _segment_tables(spark: SparkSession, sf_dir: str) -> list[str]:
-    """The tables of each segment, built apart, in segment order."""
-    docs = _docs(spark, sf_dir)
-    paths = []
-    for n in range(SEGMENTS):
-        paths.append(scratch_path(spark, f"segment{n}"))
-        w.write_tables(docs.filter(F.col("segment") == f"segment-{n:05d}"), paths[-1], PARTS)
-    return paths
+    """The tables of each segment, in segment order."""
+    out = scratch_path(spark, "segments")
+    segments = [f"segment-{n:05d}" for n in range(SEGMENTS)]
+    w.write_tables(_docs(spark, sf_dir), out, PARTS, segments)
+    return [w.segment_path(out, s) for s in segments]
 
 
 # --- scans -----------------------------------------------------------------
@@ -245,7 +243,9 @@ def body_decode(spark, sf_dir):
 
 def body_base64(spark, sf_dir):
     """Every body as base64, in one line."""
-    text = _parsed(spark, sf_dir).select(*ID, C.base64_text(F.col("body")).alias("text"))
+    parsed = _parsed(spark, sf_dir)
+    with C.body_text_settings(spark):
+        text = parsed.select(*ID, C.base64_text(F.col("body")).alias("text"))
     return text.select(
         *ID, F.length("text").cast("bigint").alias("chars"), _digest("text").alias("text_md5")
     )
