@@ -149,7 +149,7 @@ def _mergeable(spark, *keys, parts=1):
 def test_merge_fixture(spark):
     dfs = [_mergeable(spark, *ks) for ks in ([("a", "1"), ("c", "2")], [("a", "3"), ("b", "4")], [])]
     merged = w.merge_tables(dfs)
-    order = [(r.key, r.value) for r in T.key_sorted(T.spread_parts(merged, 1), "ordinal").collect()]
+    order = [(r.key, r.value) for r in T.arrange_merged(merged, 1).collect()]
     assert order == [("a", "1"), ("a", "3"), ("b", "4"), ("c", "2")]
     splits = spark.createDataFrame([("data", 0, i) for i in range(3)], "table string, part int, ordinal int")
     counts = {r.counter: r.value for r in w.merge_counters(merged, splits).collect()}
@@ -160,8 +160,10 @@ def test_merge_fixture(spark):
         "MAPFILE_INPUTS_EXHAUSTED": 2,
         "MAPFILE_ENTRIES_WRITTEN": 4,
     }
-    first = {r.key: r.value for r in w.merge_tables(dfs, "first_wins").collect()}
-    assert first == {"a": "1", "b": "4", "c": "2"}
+    for hot_rows in (1, 100):
+        first = T.arrange_merged(merged, 1, "first_wins", hot_rows).collect()
+        assert [(r.key, r.value) for r in first] == [("a", "1"), ("b", "4"), ("c", "2")]
+    assert w.merge_tables(dfs, "first_wins").count() == 3
 
 
 def test_merge_mismatch(spark):
@@ -225,6 +227,21 @@ def test_batches_merge_and_look_up(spark, tmp_path):
     assert bodies == ["0", "2"]
     assert os.path.exists(f"{outs[0]}/table=data")
 
+    # Merged tables can be merged again; the order of the first merge stays.
+    last = str(tmp_path / "last")
+    counts = {r.counter: r.value for r in w.merge_batches(spark, [merged, outs[2]], last).collect()}
+    assert counts["MAPFILE_ENTRIES_WRITTEN"] == 9 + 3
+    again = w.lookup(spark, last, names.filter("name = '<same>'"), by="name", prefix="cc").first()
+    assert '"body":"0"' in again.value
+    ordinals = w.open_tables(spark, last).rows.select("ordinal").distinct().collect()
+    assert {r.ordinal for r in ordinals} == {0, 1, 2, 3}
+    first = str(tmp_path / "first")
+    counts = {
+        r.counter: r.value for r in w.merge_batches(spark, [merged, outs[2]], first, "first_wins").collect()
+    }
+    assert counts["MAPFILE_ENTRIES_WRITTEN"] == 4 + 1
+    assert counts["EMPTY_INPUT_MAPFILES"] == 0
+
 
 def test_observed_counters(spark, tmp_path):
     (tmp_path / "a.warc").write_bytes(response(b"x") + GAP + record(kind="warcinfo"))

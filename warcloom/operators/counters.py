@@ -88,10 +88,13 @@ def observe_counters(df: DataFrame, name: str = "records") -> tuple[DataFrame, O
     return df.observe(observation, *counts), observation
 
 
-def merge_counters(rows: DataFrame, splits: DataFrame) -> DataFrame:
-    """Merge counters from merged rows and the input splits (table, part, ordinal).
+def merge_counters(
+    rows: DataFrame, splits: DataFrame, written: DataFrame | None = None
+) -> DataFrame:
+    """Merge counters from input rows and input splits (table, part, ordinal).
 
     An input split without rows is an empty one; each (table, part) is one merge.
+    ``written`` are the rows of the result where these are not all input rows.
     """
     per_split = rows.groupBy("table", "part", "ordinal").agg(F.count(F.lit(1)).alias("rows"))
     counted = splits.select("table", "part", "ordinal").distinct().join(
@@ -101,17 +104,18 @@ def merge_counters(rows: DataFrame, splits: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("inputs"),
         F.count_if(F.col("rows").isNull()).alias("empty"),
         F.count("rows").alias("exhausted"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("written"),
     )
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    totals = per_merge.agg(
+    inputs = per_merge.agg(
         total("inputs").alias("MAPFILES_TO_BE_MERGED"),
         F.count(F.lit(1)).alias("MAPFILE_MERGES_FINISHED"),
         total("empty").alias("EMPTY_INPUT_MAPFILES"),
         total("exhausted").alias("MAPFILE_INPUTS_EXHAUSTED"),
-        total("written").alias("MAPFILE_ENTRIES_WRITTEN"),
     )
-    return _as_rows(totals, MERGE_COUNTERS)
+    output = (rows if written is None else written).agg(
+        F.count(F.lit(1)).alias("MAPFILE_ENTRIES_WRITTEN")
+    )
+    return _as_rows(inputs, MERGE_COUNTERS[:4]).unionByName(_as_rows(output, MERGE_COUNTERS[4:]))
 
 
 def split_counter(splits: DataFrame) -> DataFrame:

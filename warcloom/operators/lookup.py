@@ -59,7 +59,7 @@ def lookup(
         hits = rows.select("key", "part", "value")
     else:
         hits = rows.join(wanted, ["key", "part"], "left_semi").groupBy("key", "part").agg(
-            F.min_by("value", tables.order).alias("value")
+            F.min_by("value", tables.rank).alias("value")
         )
     hits = hits.withColumn("found", F.lit(True))
     return wanted.join(hits, ["key", "part"], "left").select(

@@ -137,12 +137,15 @@ def merge_tables(dfs: Sequence[DataFrame], mode: str = "keep_all") -> DataFrame:
     """Rows of several tables with ``ordinal``, the place of their input.
 
     ``keep_all`` keeps every row, ties in input order; ``first_wins`` keeps each
-    key's row of the first input that has it. Rows keep their ``part``.
+    key's row of the first input that has it. Rows keep their ``part``. Inputs
+    that have an ``ordinal`` already keep it.
     """
-    if mode not in ("keep_all", "first_wins"):
-        raise ValueError(f"unknown merge mode {mode!r}")
+    check_mode(mode)
     numbered = [
-        df.select("table", "part", "key", "value", F.lit(i).alias("ordinal"))
+        df.select(
+            "table", "part", "key", "value",
+            (F.col("ordinal") if "ordinal" in df.columns else F.lit(i)).alias("ordinal"),
+        )
         for i, df in enumerate(dfs)
     ]
     rows = reduce(DataFrame.unionByName, numbered)
@@ -151,31 +154,54 @@ def merge_tables(dfs: Sequence[DataFrame], mode: str = "keep_all") -> DataFrame:
     return rows
 
 
-def spread_parts(
-    rows: DataFrame, num_partitions: int, hot_rows: int = 100_000, spread: int = 64
-) -> DataFrame:
-    """Move each part to its own task, and the rows of hot keys to further ones.
+def check_mode(mode: str) -> None:
+    """Raise on an unknown way of merging."""
+    if mode not in ("keep_all", "first_wins"):
+        raise ValueError(f"unknown merge mode {mode!r}; use keep_all or first_wins")
 
-    Merging keeps repeats, so a part with a hot key cannot be made smaller; the
-    hot rows are dealt out by input and value instead and end up in files of
-    their own, each still in key order.
+
+def _merge_hot_keys(rows: DataFrame, hot_rows: int) -> DataFrame:
+    """The hottest keys of merged rows and the first input each is in.
+
+    Reads keys only; few enough rows come out to broadcast.
     """
     counts = rows.groupBy("table", F.unhex(F.md5(F.col("key"))).alias("digest")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    hot = checkpointed(
-        counts.filter(F.col("rows") >= hot_rows).orderBy(F.desc("rows")).limit(HOT_KEYS)
+        F.count(F.lit(1)).alias("rows"), F.min("ordinal").alias("first_ordinal")
     )
+    hot = counts.filter(F.col("rows") >= hot_rows).orderBy(F.desc("rows")).limit(HOT_KEYS)
+    return checkpointed(hot)
+
+
+def arrange_merged(
+    rows: DataFrame,
+    num_partitions: int,
+    mode: str = "keep_all",
+    hot_rows: int = 100_000,
+    spread: int = 64,
+) -> DataFrame:
+    """Merged rows as they are written: each part in one task, sorted by key and input.
+
+    Only the rows of hot keys are treated apart, before anything is moved. Where
+    the first input wins, those of later inputs are dropped at once. Where all
+    rows are kept, a part with a hot key cannot be made smaller; its hot rows are
+    dealt out to tasks, and so files, of their own, each still in key order.
+    """
+    check_mode(mode)
+    hot = _merge_hot_keys(rows, hot_rows)
     task, tasks = F.col("part"), num_partitions
     if not hot.isEmpty():
-        marked = hot.select("table", "digest", F.lit(True).alias("_hot"))
-        rows = (
-            rows.withColumn("digest", F.unhex(F.md5(F.col("key"))))
-            .join(F.broadcast(marked), ["table", "digest"], "left")
-            .drop("digest")
+        marked = hot.select("table", "digest", "first_ordinal")
+        rows = rows.withColumn("digest", F.unhex(F.md5(F.col("key")))).join(
+            F.broadcast(marked), ["table", "digest"], "left"
         )
-        dealt = F.pmod(F.xxhash64("key", "ordinal", "value"), F.lit(spread)).cast("int")
-        task = F.when(F.col("_hot"), dealt + num_partitions).otherwise(F.col("part"))
-        tasks += spread
-    moved = rows.repartitionById(tasks, task)
-    return moved.select("table", "part", "key", "value", "ordinal")
+        first = F.col("first_ordinal")
+        if mode == "first_wins":
+            rows = rows.filter(first.isNull() | (F.col("ordinal") == first))
+        else:
+            dealt = F.pmod(F.xxhash64("key", "ordinal", "value"), F.lit(spread)).cast("int")
+            task = F.when(first.isNull(), F.col("part")).otherwise(dealt + num_partitions)
+            tasks += spread
+    moved = rows.repartitionById(tasks, task).select("table", "part", "key", "value", "ordinal")
+    if mode == "first_wins":
+        moved = first_per_key(moved, by=("table", "part", "key"), order=("ordinal",))
+    return key_sorted(moved, "ordinal")

@@ -132,17 +132,22 @@ def merge_batches(
 
     Ties keep the order of ``inputs``.
     """
+    T.check_mode(mode)
     opened = [open_tables(spark, path) for path in inputs]
     T.check_mergeable([t.rows for t in opened], [t.num_partitions for t in opened])
-    for tables in opened:
+    ranked, by_input, ranks = [], [], 0
+    for at, tables in enumerate(opened):
         check_parts(tables)
-    in_tables = [t.rows.filter(F.col("table").isin(T.DATA, T.URI)) for t in opened]
-    rows = T.merge_tables(in_tables, mode)
-    write_merged(rows, output, opened[0].num_partitions)
-    merged = open_tables(spark, output).rows
+        rows = tables.rows.filter(F.col("table").isin(T.DATA, T.URI))
+        ranked.append(rows.withColumn("ordinal", tables.rank + ranks))
+        by_input.append(rows.withColumn("ordinal", F.lit(at)))
+        ranks += tables.inputs
+    write_merged(T.merge_tables(ranked), output, opened[0].num_partitions, mode, ranks)
+
     # In this layout a split without rows is never written.
-    splits = T.merge_tables(in_tables).select("table", "part", "ordinal").distinct()
-    return merge_counters(merged, splits)
+    read = T.merge_tables(by_input)
+    splits = read.select("table", "part", "ordinal").distinct()
+    return merge_counters(read, splits, open_tables(spark, output).rows)
 
 
 def list_segments(spark: SparkSession, root: str) -> DataFrame:

@@ -65,7 +65,9 @@ def write_rows(
         write_manifest(spark, output, num_partitions=num_partitions)
         return
     _save(ordered, output, "segment", "table", "part")
-    write_manifest(spark, output, num_partitions=num_partitions, order="segment")
+    last = max(int(s.rsplit("-", 1)[1]) for s in segments)
+    facts = {"num_partitions": num_partitions, "order": "segment", "inputs": last + 1}
+    write_manifest(spark, output, **facts)
     for segment in segments:
         write_manifest(spark, segment_path(output, segment), num_partitions=num_partitions)
 
@@ -80,13 +82,18 @@ def write_tables(
 
 
 def write_merged(
-    rows: DataFrame, output: str, num_partitions: int, hot_rows: int = 100_000
+    rows: DataFrame,
+    output: str,
+    num_partitions: int,
+    mode: str = "keep_all",
+    inputs: int = 1,
+    hot_rows: int = 100_000,
 ) -> None:
     """Write merged rows (with ``ordinal``) as new tables; inputs are left alone.
 
-    Rows keep their part, so keys are not hashed again.
+    Rows keep their part, so keys are not hashed again. ``inputs`` is how many
+    ordinals there can be.
     """
-    moved = T.spread_parts(rows, num_partitions, hot_rows)
-    ordered = T.key_sorted(moved, "ordinal")
-    _save(ordered, output, "table", "part")
-    write_manifest(rows.sparkSession, output, num_partitions=num_partitions, order="ordinal")
+    _save(T.arrange_merged(rows, num_partitions, mode, hot_rows), output, "table", "part")
+    facts = {"num_partitions": num_partitions, "order": "ordinal", "inputs": inputs}
+    write_manifest(rows.sparkSession, output, **facts)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from warcloom.functions.identity import split_name, split_partition
@@ -18,13 +18,22 @@ MANIFEST = "_manifest.json"
 class Tables:
     """A written set of tables and what a reader has to know about it.
 
-    ``order`` is the column that ranks repeats of a key, if there can be any.
+    ``order`` is the column that ranks repeats of a key, if there can be any, and
+    ``inputs`` how many ranks there are.
     """
 
     path: str
     num_partitions: int
     order: str | None
     rows: DataFrame
+    inputs: int = 1
+
+    @property
+    def rank(self) -> Column:
+        """The rank of a row among repeats of its key, from 0."""
+        if self.order == "segment":
+            return split_partition(F.col("segment"))
+        return F.col("ordinal") if self.order == "ordinal" else F.lit(0)
 
 
 def _manifest(spark: SparkSession, path: str):
@@ -50,7 +59,7 @@ def open_tables(spark: SparkSession, path: str) -> Tables:
     order = facts.get("order")
     extra = {"segment": ", segment string", "ordinal": ", ordinal int"}.get(order, "")
     rows = spark.read.schema(TABLE_SCHEMA + extra).parquet(path)
-    return Tables(path, facts["num_partitions"], order, rows)
+    return Tables(path, facts["num_partitions"], order, rows, facts.get("inputs", 1))
 
 
 def check_parts(tables: Tables) -> None:
