@@ -139,3 +139,14 @@ def test_record_text(spark):
     ).first()
     assert sorted(head.split("\r\n")) == ["", "B: 2", "WARC/1.0", "a: 1"]
     assert body == "H: 1\r\n\r\ntext"
+
+
+def test_filters_do_not_repeat_the_header_map(spark):
+    """A filter on the record type neither copies the map nor waits for the body."""
+    records = spark.createDataFrame(
+        [], "source_file string, record_seq bigint, warc_version string, header_block binary, content binary"
+    )
+    kept = w.keep_http_records(w.parse_records(records, "commoncrawl"))
+    plan = kept.select("record_id", "body")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sort_array") == 1
+    assert plan.index("Filter") > plan.index("substring_index")

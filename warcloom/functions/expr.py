@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Every character up to and including the space.
@@ -31,3 +31,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def raw_text(data: Column) -> Column:
     """View bytes as a string without decoding, so byte-wise string functions apply."""
     return data.cast("string")
+
+
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters use.
+
+    Filters are pushed below a plain column by copying its expression into them,
+    which would then run again for every mention. They are not pushed through
+    this one-row ``explode``.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))

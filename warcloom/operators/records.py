@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from warcloom.functions import headers as H
+from warcloom.functions.expr import computed_once
 from warcloom.functions.http import (
     CRLF_BREAK,
     LF_BREAK,
@@ -25,7 +26,7 @@ URI_TYPE = "response"
 
 def parse_headers(records: DataFrame, profile: str | Profile) -> DataFrame:
     """Add the header map and what is read from it; content is not touched."""
-    parsed = records.withColumn("warc_headers", H.warc_headers(F.col("header_block")))
+    parsed = computed_once(records, "warc_headers", H.warc_headers(F.col("header_block")))
     parsed = parsed.withColumns(
         {
             "record_type": H.record_type(F.col("warc_headers")),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from warcloom.functions.identity import partition_id
-from warcloom.operators.records import URI_TYPE
+from warcloom.operators.records import HTTP_TYPES, URI_TYPE
 from warcloom.scratch import checkpointed
 
 # The names of the two tables.
@@ -54,6 +54,22 @@ def map_rows(docs: DataFrame, scope: Sequence[str] = (), binary: bool = False) -
     )
 
 
+def key_rows(records: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Rows (table, key) of records that have a ``uuid``, and one for each skipped record."""
+    known = F.coalesce(F.col("record_type").isin(*HTTP_TYPES), F.lit(False))
+    has_uri = F.col("record_type") == URI_TYPE
+    row = lambda table, key: F.struct(F.lit(table).alias("table"), key.alias("key"))
+    rows = F.array(
+        row(DATA, F.when(known, F.col("uuid"))),
+        row(URI, F.when(has_uri, F.col("target_uri"))),
+        row(SKIPPED, F.when(~known, F.lit(""))),
+    )
+    kept = F.filter(rows, lambda r: r["key"].isNotNull())
+    return records.select(*scope, *ORDER, F.explode(kept).alias("row")).select(
+        *scope, "row.table", "row.key", *ORDER
+    )
+
+
 def key_profile(rows: DataFrame, scope: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
     """Row counts per table, with each hot key counted by itself.
 

@@ -26,19 +26,6 @@ from warcloom.sources.warc import read_warc
 Detector = Callable[[Column], Column]
 
 
-def _key_rows(headers: DataFrame, prefix: str, scope: Sequence[str]) -> DataFrame:
-    """The keys of every record, and a row for each record that has none."""
-    known = F.coalesce(F.col("record_type").isin(*HTTP_TYPES), F.lit(False))
-    kept = headers.withColumns(
-        {"uuid": doc_uuid(prefix, F.col("record_id")), "json": F.lit(None).cast("string")}
-    )
-    keyed = T.map_rows(kept.filter(known), scope).drop("value")
-    rest = kept.filter(~known).select(
-        *scope, F.lit(T.SKIPPED).alias("table"), F.lit("").alias("key"), *T.ORDER
-    )
-    return keyed.unionByName(rest)
-
-
 def _generator_counters(
     profile: DataFrame, written: DataFrame, segments: Sequence[str]
 ) -> DataFrame:
@@ -97,7 +84,8 @@ def _build(
 ) -> DataFrame:
     scope = ("segment",) if segments else ()
     headers = parse_headers(read(content=False), profile)
-    keys = T.key_profile(_key_rows(headers, prefix, scope), scope)
+    named = headers.withColumn("uuid", doc_uuid(prefix, F.col("record_id")))
+    keys = T.key_profile(T.key_rows(named, scope), scope)
 
     parsed = parse_records(read(types=HTTP_TYPES), profile)
     docs = build_docs(keep_http_records(parsed), prefix, detector)
