@@ -17,6 +17,14 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 CHUNK_BYTES = 8 << 20
 
 
+def row_type(**fields: str | T.DataType) -> T.StructType:
+    """A schema from names and types; simple types by their names."""
+    schema = T.StructType()
+    for name, kind in fields.items():
+        schema = schema.add(name, kind)
+    return schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warcloom.llm import bpe, token_files
+from warcloom.llm import bpe, token_files, topk, warc_files
+from warcloom.llm.oracle import ORACLE  # noqa: F401
 from warcloom.llm.common import stage_path, table
 
 
@@ -26,6 +27,14 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = stage_path(spark, "warc")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.col("html").alias("payload"))
+    warc_files.write_warc(pages, out)
+    read = warc_files.read_warc(spark, out, payloads=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = stage_path(spark, "tokens")
     docs = table(spark, sf_dir, "documents")
@@ -33,10 +42,16 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_crc32(token_files.read_token_files(spark, out))
 
 
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").filter(topk.usable("embedding"))
+    rows = rows.select("vec_id", topk.scaled("embedding", 64).alias("ints"))
+    return topk.top_k(rows, rows.filter("vec_id % 20 = 0"), 20)
+
+
 QUERIES = {
     "op4_bpe_round_trip": op4_bpe_round_trip,
+    "op5_warc_round_trip": op5_warc_round_trip,
     "op7_token_files": op7_token_files,
+    "op10_exact_top_k": op10_exact_top_k,
 }
 
-#: Queries that SQL can express.
-ORACLE: dict[str, str] = {}

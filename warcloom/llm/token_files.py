@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from warcloom.llm.common import chunks, texts_of
+from warcloom.llm.common import chunks, row_type, texts_of
 
-SCHEMA = T.StructType.fromDDL("doc_id long, at long, n_tokens long, tokens array<int>")
+SCHEMA = row_type(doc_id="long", at="long", n_tokens="long", tokens=T.ArrayType(T.IntegerType()))
 #: Bounds of the table of recent pieces, in entries and characters.
 CACHED_PIECES = 600_000
 CACHED_LENGTH = 48
