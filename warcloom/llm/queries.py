@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warcloom.llm import bpe, token_files, topk, warc_files
+from warcloom.llm import bpe, licenses, token_files, topk, warc_files
 from warcloom.llm.oracle import ORACLE  # noqa: F401
 from warcloom.llm.common import stage_path, table
 
@@ -16,6 +16,26 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base, all_found = F.col("base"), F.col("detections")
+    labels = lambda column: F.transform(column, lambda d: d["label"])
+    names = lambda array: F.array_join(F.array_sort(F.array_distinct(array)), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(F.transform(base, lambda d: d["start"])).alias("first_word"),
+        F.array_max(F.transform(base, lambda d: d["start"])).alias("last_word"),
+        names(labels(base)).alias("base_labels"),
+        names(F.concat(labels(base), labels(all_found))).alias("labels"),
+        F.greatest(
+            F.coalesce(F.array_max(F.transform(all_found, lambda d: d["weight"])), F.lit(0.0)),
+            F.when(F.size(base) > 0, F.lit(0.9)).otherwise(F.lit(0.0)),
+        ).alias("score"),
+    )
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, tokenizer_file("byte_bpe_50k.json"), drop_text=True, decoded=True)
@@ -49,6 +69,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_license_scan": op2_license_scan,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_warc_round_trip": op5_warc_round_trip,
     "op7_token_files": op7_token_files,
