@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warcloom.llm import bpe, licenses, token_files, topk, warc_files
+from warcloom.llm import bpe, licenses, secret_scan, token_files, topk, warc_files
 from warcloom.llm.oracle import ORACLE  # noqa: F401
 from warcloom.llm.common import stage_path, table
 
@@ -55,6 +55,20 @@ def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = [r.kind for r in secret_scan.BASE]
+    of_kind = lambda kind: F.filter("secrets", lambda s: s["kind"] == kind)
+    line = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    joined = lambda spans: F.array_join(F.transform(spans, line), ",")
+    return found.select(
+        "doc_id",
+        *[F.size(of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in base],
+        F.sha2(joined(F.filter("secrets", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        joined(F.col("secrets")).alias("spans"),
+    )
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = stage_path(spark, "tokens")
     docs = table(spark, sf_dir, "documents")
@@ -72,6 +86,7 @@ QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_warc_round_trip": op5_warc_round_trip,
+    "op6_secret_scan": op6_secret_scan,
     "op7_token_files": op7_token_files,
     "op10_exact_top_k": op10_exact_top_k,
 }
