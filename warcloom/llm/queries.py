@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warcloom.llm import bpe, licenses, secret_scan, token_files, topk, warc_files
+from warcloom.llm import bpe, licenses, secret_scan, token_files, topk, toxicity, warc_files
 from warcloom.llm.oracle import ORACLE  # noqa: F401
 from warcloom.llm.common import stage_path, table
 
@@ -76,6 +76,14 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_crc32(token_files.read_token_files(spark, out))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, drop_text=True)
+    predicted = F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0)
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").filter(topk.usable("embedding"))
     rows = rows.select("vec_id", topk.scaled("embedding", 64).alias("ints"))
@@ -88,6 +96,7 @@ QUERIES = {
     "op5_warc_round_trip": op5_warc_round_trip,
     "op6_secret_scan": op6_secret_scan,
     "op7_token_files": op7_token_files,
+    "op8_toxicity": op8_toxicity,
     "op10_exact_top_k": op10_exact_top_k,
 }
 
