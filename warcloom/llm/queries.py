@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warcloom.llm import bpe, licenses, secret_scan, token_files, topk, toxicity, warc_files
+from warcloom.llm import bpe, licenses, near_dups, secret_scan, token_files, topk, toxicity, warc_files
 from warcloom.llm.oracle import ORACLE  # noqa: F401
 from warcloom.llm.common import stage_path, table
 
@@ -36,6 +36,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, tokenizer_file("byte_bpe_50k.json"), drop_text=True, decoded=True)
@@ -73,7 +77,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = stage_path(spark, "tokens")
     docs = table(spark, sf_dir, "documents")
     token_files.write_token_files(docs, tokenizer_file("word_bpe_49k.json"), 2, out)
-    return token_files.with_crc32(token_files.read_token_files(spark, out))
+    return token_files.read_token_files(spark, out, crc32=True)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +96,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_license_scan": op2_license_scan,
+    "op3_near_duplicates": op3_near_duplicates,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_warc_round_trip": op5_warc_round_trip,
     "op6_secret_scan": op6_secret_scan,
