@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warcloom.llm import bpe, decontaminate, licenses, near_dups, secret_scan, token_files, topk, toxicity, warc_files
+from warcloom.llm import bpe, decontaminate, licenses, near_dups, secret_scan, surrogates, token_files, topk, toxicity, warc_files
 from warcloom.llm.oracle import ORACLE  # noqa: F401
 from warcloom.llm.common import stage_path, table
 
@@ -92,6 +92,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.pseudonymized(docs, key="production")
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").filter(topk.usable("embedding"))
     rows = rows.select("vec_id", topk.scaled("embedding", 64).alias("ints"))
@@ -107,6 +112,7 @@ QUERIES = {
     "op6_secret_scan": op6_secret_scan,
     "op7_token_files": op7_token_files,
     "op8_toxicity": op8_toxicity,
+    "op9_surrogates": op9_surrogates,
     "op10_exact_top_k": op10_exact_top_k,
 }
 
