@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Rows that leave Python at a time, and bytes of text that enter a chunk of work.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def row_type(**fields: str | T.DataType) -> T.StructType:
@@ -43,8 +44,27 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="llm-")
 
 
+_WITHIN: list[str] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Stage tables made inside lie in a folder of their own, deleted at the end.
+
+    What reads them must have been written elsewhere by then.
+    """
+    folder = stage_path(spark, "scratch")
+    _WITHIN.append(folder)
+    try:
+        yield folder
+    finally:
+        _WITHIN.remove(folder)
+        drop_stage(spark, folder)
+
+
 def stage_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/llm-{label}-{uuid.uuid4().hex}"
+    root = _WITHIN[-1] if _WITHIN else shared_folder(spark)
+    return f"{root}/llm-{label}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, label: str, **options: str) -> DataFrame:

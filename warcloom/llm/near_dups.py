@@ -43,7 +43,7 @@ LONGS = T.ArrayType(T.LongType())
 
 
 def _per_text(docs: DataFrame, schema: T.StructType, make: Callable) -> DataFrame:
-    """One row per row of (``doc_id``, ``text``): the id, then what ``make()`` gives."""
+    """One row per row of (``doc_id``, ``text_hash``, ``text``): both, then what ``make()`` gives."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -52,15 +52,15 @@ def _per_text(docs: DataFrame, schema: T.StructType, make: Callable) -> DataFram
         with np.errstate(over="ignore"):
             for batch in chunks(batches, "text"):
                 rows = [work(w) for w in words.hashes(texts_of(batch, "text"))]
-                columns = [pa.array(v, f.type) for v, f in zip(zip(*rows), list(arrow)[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema=arrow)
+                columns = [pa.array(v, f.type) for v, f in zip(zip(*rows), list(arrow)[2:])]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], schema=arrow)
 
     return docs.mapInArrow(run, schema)
 
 
 def signatures(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``node`` (the class) and ``keys`` (one per band)."""
-    schema = row_type(doc_id="long", n_shingles="long", node="binary", keys=LONGS)
+    schema = row_type(doc_id="long", text_hash="long", n_shingles="long", node="binary", keys=LONGS)
 
     def make() -> Callable:
         banded = Bands(bands, rows)
@@ -78,7 +78,7 @@ def signatures(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
 
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
     """``doc_id``, ``node`` and ``shingles``: the sorted hashes as bytes."""
-    schema = row_type(doc_id="long", node="binary", shingles="binary")
+    schema = row_type(doc_id="long", text_hash="long", node="binary", shingles="binary")
 
     def make() -> Callable:
         def work(words: np.ndarray) -> tuple:
@@ -227,11 +227,12 @@ def near_duplicates(
     docs: DataFrame, size: int = 5, percent: int = 80, bands: int = 40, rows: int = 5,
     doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every row.
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``text_hash`` for every row.
 
     Documents are linked if 100 * intersection >= ``percent`` * union of their sets.
     """
-    source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    body = F.col(f"`{text}`").cast("string")
+    source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
     signed = staged(signatures(source, size, bands, rows), "signatures")
     some = signed.filter(F.col("node").isNotNull())
     classes = staged(some.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("keys").alias("keys")), "classes")
@@ -266,14 +267,31 @@ def near_duplicates(
     placed = staged(placed.select("node", "least_id", F.coalesce("label", "node").alias("label")), "placed")
     least = staged(placed.groupBy("label").agg(F.min("least_id").alias("component_id")), "least")
     of_class = staged(placed.select("node", "label").join(least, "label").select("node", "component_id"), "of_class")
-    every = signed.select("doc_id", "n_shingles", "node").join(of_class, "node", "left")
+    every = signed.select("doc_id", "text_hash", "n_shingles", "node").join(of_class, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return every.select(
         "doc_id", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
+        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"), "text_hash",
     )
 
 
+def one_of_each(
+    docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The documents less all but one of each component: that with the smallest id.
+
+    Rows equal in id and text count once. Of documents without an id, which rank behind
+    all others, one stays where the component has no id.
+    """
+    stand_in = F.lit(1 << 62) + F.xxhash64(F.col(f"`{text}`")).bitwiseAND(F.lit((1 << 61) - 1))
+    known = docs.withColumn("__id", F.coalesce(F.col(f"`{doc_id}`").cast("long"), stand_in))
+    known = known.withColumn("__hash", F.xxhash64(F.col(f"`{text}`").cast("string")))
+    decided = near_duplicates(known, size, percent, doc_id="__id", text=text)
+    kept = staged(decided.filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "kept")
+    left = known.join(kept, ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"])
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def chance_to_meet(similarity: float, bands: int = 40, rows: int = 5) -> float:
     """The probability that two sets share a bucket."""
     return 1 - math.pow(1 - similarity**rows, bands)

@@ -260,3 +260,22 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, doc_id: str = "doc_id
     )
     columns = [F.col(f"`{c}`") for c in carried]
     return with_id.select(*columns, "__spans").unionByName(no_id.select(*columns, "__spans")).select(*columns, shown.alias("secrets"))
+
+
+def redacted(scanned: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
+    """Put a mark in place of the spans that ``scan`` found; overlapping ones get one mark.
+
+    Null texts stay null. ``secrets`` is carried on.
+    """
+    body = F.col(f"`{text}`")
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+
+    def step(state: Column, s: Column) -> Column:
+        before = F.substring(body, (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
+        longer = F.greatest(state["at"], s["end"])
+        apart = F.struct(longer.alias("at"), F.concat(state["out"], before, F.lit(mark)).alias("out"))
+        return F.when(s["start"] >= state["at"], apart).otherwise(F.struct(longer.alias("at"), state["out"].alias("out")))
+
+    rest = lambda s: F.concat(s["out"], F.substring(body, (s["at"] + 1).cast("int"), F.length(body)))
+    changed = F.aggregate("secrets", start, step, rest)
+    return scanned.withColumn(text, F.when(F.size("secrets") > 0, changed).otherwise(body))

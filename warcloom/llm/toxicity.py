@@ -189,8 +189,8 @@ def fit(
     return train(*vectors(rows, terms), terms)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", drop_text: bool = False) -> DataFrame:
-    """Add ``score`` (double, 0 to 1: higher is more toxic)."""
+def score(docs: DataFrame, model: Model, text: str = "text", drop_text: bool = False, result: str = "score") -> DataFrame:
+    """Add ``result`` (double, 0 to 1: higher is more toxic)."""
 
     def make() -> Callable:
         place = {int(t): i for i, t in enumerate(model.terms)}
@@ -212,4 +212,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", drop_text: bool = F
 
         return lambda texts: [[one(t) for t in texts]]
 
-    return add_columns(docs, text, row_type(score="double"), make, drop=[text] if drop_text else ())
+    return add_columns(docs, text, row_type(**{result: "double"}), make, drop=[text] if drop_text else ())
