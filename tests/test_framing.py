@@ -135,6 +135,19 @@ def test_short_gzip_keeps_partial_body(scan):
     assert 0 < len(got) < 5000 and body.startswith(got)
 
 
+def test_short_zstd_keeps_partial_body(scan):
+    """A cut archive gives what it holds, whatever the codec."""
+    zstandard = pytest.importorskip("zstandard")
+    body = random.Random(1).randbytes(400_000)
+    packed = zstandard.compress(record(content=body), level=1)
+    (whole,) = scan({"a.warc.zst": packed})
+    assert whole.content == body
+    (row,) = scan({"a.warc.zst": packed[:-150_000]})
+    assert 100_000 < len(row.content) < len(body) and body.startswith(row.content)
+    two = zstandard.compress(record()) + zstandard.compress(record(content=body))
+    assert len(scan({"a.warc.zst": two})) == 2
+
+
 def test_gzip_ending_cleanly_inside_body(scan):
     assert scan({"a.warc.gz": gzip.compress(record(content=b"x" * 10)[:-1])}) == []
 

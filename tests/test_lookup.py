@@ -1,5 +1,6 @@
 """Look-ups, rendering, splits, interchange formats and corpora."""
 
+import gzip
 import json
 import os
 
@@ -51,12 +52,85 @@ def test_uri_to_document_and_by_name(spark, built):
 
 def test_few_keys_reach_the_scan(spark, built):
     plan = w.lookup(spark, built, uris(spark, 3), by="uri")._jdf.queryExecution().executedPlan().toString()
-    scan = next(line for line in plan.split("\n") if "FileScan parquet" in line)
+    scan = next(line for line in plan.split("\n") if "FileScan parquet" in line and "table#" in line)
     assert "part#" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0]
     assert "table#" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0]
     assert "EqualTo(key,http://x/3)" in scan or "In(key, [http://x/3])" in scan
 
 
+@pytest.fixture(scope="module")
+def many_groups(spark, tmp_path_factory):
+    """One part of many row groups, sorted by key."""
+    out = str(tmp_path_factory.mktemp("groups") / "t")
+    rows = spark.range(40_000).select(
+        F.lit("data").alias("table"), F.lit(0).alias("part"), F.format_string("k%06d", "id").alias("key"),
+        F.repeat(F.md5(F.col("id").cast("string")), 4).alias("value"), F.lit(0).alias("ordinal"),
+    )
+    w.write_merged(rows, out, 1)
+    kept = pq.read_table(f"{out}/table=data/part=0", partitioning=None).sort_by("key")
+    (file,) = (f for f in os.listdir(f"{out}/table=data/part=0") if f.endswith(".parquet"))
+    os.remove(f"{out}/table=data/part=0/.{file}.crc")
+    pq.write_table(kept, f"{out}/table=data/part=0/{file}", row_group_size=900)
+    return out
+
+
+def _scanned_rows(df):
+    """Rows that the scans of tables with values have put out."""
+    df.collect()
+    nodes, total = [df._jdf.queryExecution().executedPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            nodes.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            nodes.append(node.plan())
+        elif name == "FileSourceScanExec" and "value" in node.schema().simpleString():
+            total += node.metrics().get("numOutputRows").get().value()
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+@pytest.mark.parametrize("n", [1, 10, 11, 44])
+def test_only_matching_row_groups_are_read(spark, many_groups, n):
+    keys = spark.createDataFrame([(f"k{i * 900:06d}",) for i in range(n)], "key string")
+    found = w.lookup(spark, many_groups, keys)
+    assert _scanned_rows(found) <= n * 900
+    near = spark.createDataFrame([(f"k{i:06d}",) for i in range(200)], "key string")
+    assert _scanned_rows(w.lookup(spark, many_groups, near)) <= 900
+
+
+def test_many_keys_do_not_move_the_table(spark, many_groups):
+    """Above the limit of literal keys, and with the table too large to broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 200_000)
+    try:
+        keys = spark.createDataFrame([(f"k{i * 7:06d}",) for i in range(300)] + [("none",)], "key string")
+        found = w.lookup(spark, many_groups, keys)
+        plan = found._jdf.queryExecution().executedPlan().toString().split("\n")
+        scan = next(k for k, line in enumerate(plan) if "FileScan" in line and "value" in line)
+        depth = lambda line: len(line) - len(line.lstrip(" :+-*("))
+        above, level = [], depth(plan[scan])
+        for line in plan[scan - 1 :: -1]:
+            if depth(line) < level:
+                above.append(line)
+                level = depth(line)
+        joined = next(k for k, line in enumerate(above) if "BroadcastHashJoin" in line)
+        assert not any("Exchange" in line for line in above[:joined])
+        rows = found.collect()
+        assert len(rows) == 301 and sum(r.found for r in rows) == 300
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_documents_by_uri_scans_each_table_once(spark, built):
+    found = w.documents_by_uri(spark, built, uris(spark, *range(60)).withColumnRenamed("key", "uri"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    tables = [line for line in plan.split("\n") if "FileScan" in line and "table#" in line]
+    assert len(tables) == 1 and sum(r.found for r in found.collect()) == 50 and found.count() == 60
+
+
 def test_no_keys(spark, built):
     assert w.lookup(spark, built, uris(spark)).collect() == []
 
@@ -144,10 +218,36 @@ def test_corpus_by_segments(spark, tmp_path):
     same = spark.createDataFrame([("<same>",)], "name string")
     (found,) = w.lookup(spark, out, same, by="name", prefix="cc").collect()
     assert json.loads(found.value)["payload"]["body"] == "1 0"
+    # Top-level tables are numbered over all segments; each can be opened by itself too.
+    own = w.open_tables(spark, f"{out}/segment=segment-00002").rows
+    assert own.filter("table = 'data'").count() == 2
     with pytest.raises(ValueError, match="no segment"):
         w.build_corpus(spark, str(tmp_path / "segments"), "commoncrawl", "cc", out, 4, lo="x")
 
 
+def test_corpus_in_several_runs(spark, tmp_path):
+    """A broken archive costs its own segment; a second run builds that one alone."""
+    for s in range(3):
+        folder = tmp_path / "segments" / f"s{s}"
+        folder.mkdir(parents=True)
+        data = response(b"body %d" % s, rid=f"<{s}>", uri=f"http://{s}/") + GAP
+        (folder / "a.warc.gz").write_bytes(gzip.compress(data) + (b"\0" * 16 if s == 1 else b""))
+    root, out = str(tmp_path / "segments"), str(tmp_path / "out")
+    build = lambda **kw: w.build_corpus(spark, root, "commoncrawl", "cc", out, 4, files="*", **kw)
+    data_of = lambda: sorted(json.loads(r.value)["payload"]["body"] for r in w.open_tables(spark, out).rows.filter("table = 'data'").collect())
+    with pytest.raises(w.SegmentError) as error:
+        build()
+    assert set(error.value.failed) == {"s1"} and data_of() == ["body 0", "body 2"]
+    files = lambda s: {f: os.stat(f).st_mtime_ns for d, _, names in os.walk(f"{out}/segment=segment-0000{s}") for f in (f"{d}/{n}" for n in names)}
+    before = files(0), files(2)
+    repaired = response(b"body 1", rid="<1>", uri="http://1/") + GAP
+    (tmp_path / "segments" / "s1" / "a.warc.gz").write_bytes(gzip.compress(repaired))
+    counts = {(r.segment, r.counter): r.value for r in build(lo="s1", hi="s1").collect()}
+    assert counts["segment-00001", "MAPFILE_DATA_ENTRIES"] == 1 and {s for s, _ in counts} == {"segment-00001"}
+    assert data_of() == ["body 0", "body 1", "body 2"] and (files(0), files(2)) == before
+    assert not os.path.exists(f"{out}/_building")
+
+
 def test_segment_range_counts_all(spark):
     segments = spark.createDataFrame([(f"s{i}",) for i in range(5)], "segment string")
     rows = w.segment_range(segments, "s1", "s3").collect()

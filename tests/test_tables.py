@@ -168,15 +168,40 @@ def test_merge_fixture(spark):
 
 def test_merge_mismatch(spark):
     df = _mergeable(spark, ("a", "1"))
-    other = df.withColumn("value", F.lit(1))
+    shape, other = [("key", "string"), ("value", "string")], [("key", "string"), ("value", "int")]
     with pytest.raises(ValueError, match="types differ"):
-        w.check_mergeable([df, other], [1, 1])
+        w.check_mergeable([shape, other], [1, 1])
     with pytest.raises(ValueError, match="partition counts differ"):
-        w.check_mergeable([df, df], [1, 2])
+        w.check_mergeable([shape, shape[::-1]], [1, 2])
     with pytest.raises(ValueError, match="unknown merge mode"):
         w.merge_tables([df], "last_wins")
 
 
+@pytest.mark.parametrize("change, message", [
+    (lambda df: df.drop("value"), "lacks"),
+    (lambda df: df.withColumn("value", F.lit(1)), "types differ"),
+])
+def test_merge_job_checks_the_files_own_types(spark, tmp_path, change, message):
+    rows = _mergeable(spark, ("a", "1"), ("b", "2")).withColumn("ordinal", F.lit(0))
+    w.write_merged(rows, str(tmp_path / "good"), 8)
+    w.write_merged(rows, str(tmp_path / "odd"), 8)
+    change(rows).write.mode("overwrite").partitionBy("table", "part").parquet(str(tmp_path / "other"))
+    os.replace(tmp_path / "odd" / "_manifest.json", tmp_path / "other" / "_manifest.json")
+    with pytest.raises(ValueError, match=message):
+        w.merge_batches(spark, [str(tmp_path / "good"), str(tmp_path / "other")], str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()
+
+
+def test_a_usual_merge_has_one_exchange(spark):
+    merged = w.merge_tables([_mergeable(spark, ("a", "1")), _mergeable(spark, ("a", "2"))])
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("merge", "merge")
+    plan = T.arrange_merged(merged, 4, inputs=2)._jdf.queryExecution().executedPlan().toString()
+    assert list(jobs.getJobIdsForGroup("merge")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert plan.count("Exchange ") == 1
+
+
 def test_part_beyond_the_partition_count(spark, tmp_path):
     rows = _mergeable(spark, ("a", "1")).withColumn("part", F.lit(7)).withColumn("ordinal", F.lit(0))
     w.write_merged(rows, str(tmp_path / "t"), 8)
@@ -192,12 +217,12 @@ def test_merged_hot_key_is_spread_and_whole(spark, tmp_path):
         (F.col("record_seq") % 5).cast("int").alias("ordinal"),
     )
     out = str(tmp_path / "merged")
-    w.write_merged(rows, out, 4, hot_rows=500)
+    w.write_merged(rows, out, 4, inputs=3000, hot_rows=200)
     merged = w.open_tables(spark, out)
     assert merged.rows.count() == 3000
     assert merged.rows.select("key", "value").exceptAll(rows.select("key", "value")).isEmpty()
     hot = merged.rows.filter("key = 'hot'")
-    assert hot.select(F.input_file_name()).distinct().count() > 10
+    assert hot.select(F.input_file_name()).distinct().count() >= hot.count() // 200 > 4
     for folder, _, files in os.walk(out):
         for name in files:
             if name.endswith(".parquet"):
@@ -253,8 +278,22 @@ def test_observed_counters(spark, tmp_path):
 
 
 def test_scratch_is_the_folder_the_session_names(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    if before:
-        assert scratch_root(spark) == before
-    else:
-        assert scratch_root(spark) == spark.sparkContext.getCheckpointDir()
+    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+class _Cluster:
+    """A session on a cluster, as far as the scratch folder asks."""
+
+    class conf:
+        get = staticmethod(lambda *_: None)
+
+    class sparkContext:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+
+def test_a_cluster_must_name_its_scratch_folder(monkeypatch):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir is not set"):
+        scratch_root(_Cluster())
+    monkeypatch.setattr(_Cluster.sparkContext, "master", "local[4]")
+    assert os.path.isdir(scratch_root(_Cluster()))

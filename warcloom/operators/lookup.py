@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from warcloom.functions.identity import SPLIT_NAME_FORMAT, doc_uuid, partition_id
 from warcloom.operators.tables import DATA, URI
+from warcloom.scratch import checkpointed
 from warcloom.sources.tables import Tables, open_tables
 
-# Up to this many keys are put into the query itself, so that only their parts
-# and row groups are read; more keys are joined.
+# Up to this many keys are put into the query itself, so that only their row groups
+# are read. More keys are joined; only their parts are read then as well.
 LITERAL_KEYS = 256
+# Parquet gets longer lists than this as one range, from the smallest key to the largest.
+PUSHED_KEYS = 10
 
 
 def _opened(spark: SparkSession, tables: Tables | str) -> Tables:
@@ -28,6 +33,13 @@ def _wanted(keys: DataFrame, by: str, prefix: str | None) -> DataFrame:
     raise ValueError(f"unknown lookup {by!r}; use uuid, name or uri")
 
 
+def _any_of(keys: list[str]) -> Column:
+    """A filter on keys in groups of neighbours, each of which is pushed down as a list."""
+    keys = sorted(keys)
+    groups = [keys[i : i + PUSHED_KEYS] for i in range(0, len(keys), PUSHED_KEYS)]
+    return reduce(Column.__or__, [F.col("key").isin(g) for g in groups], F.lit(False))
+
+
 def lookup(
     spark: SparkSession,
     tables: Tables | str,
@@ -40,27 +52,31 @@ def lookup(
     ``keys`` has a column ``key``, or ``name`` when looking up by name. A key's
     part is computed, not searched. Of repeated keys in a merged table the first
     counts. Missing keys stay, with ``found`` false.
+
+    The keys are computed once, to the scratch folder, so that Spark knows how many
+    there are: rows meet them in an inner join, of which the keys are the side to
+    broadcast, and only the few hits go further.
     """
     tables = _opened(spark, tables)
     table = URI if by == "uri" else DATA
     wanted = _wanted(keys, by, prefix).filter(F.col("key").isNotNull()).distinct()
-    wanted = wanted.withColumn("part", partition_id(F.col("key"), tables.num_partitions))
+    wanted = checkpointed(wanted.withColumn("part", partition_id(F.col("key"), tables.num_partitions)))
 
     rows = tables.rows.filter(F.col("table") == table)
     few = wanted.take(LITERAL_KEYS + 1)
     if len(few) <= LITERAL_KEYS:
-        rows = rows.filter(
-            F.col("part").isin(sorted({r["part"] for r in few}))
-            & F.col("key").isin([r["key"] for r in few])
-        )
-        if few:
-            wanted = spark.createDataFrame(few, wanted.schema)
+        parts = sorted({r["part"] for r in few})
+        rows = rows.filter(_any_of([r["key"] for r in few]))
+    else:
+        # As many numbers as the table has parts, at most.
+        parts = [r["part"] for r in wanted.select("part").distinct().collect()]
+    if len(parts) < tables.num_partitions:
+        rows = rows.filter(F.col("part").isin(parts))
+    hits = rows.join(wanted, ["key", "part"])
     if tables.order is None:
-        hits = rows.select("key", "part", "value")
+        hits = hits.select("key", "part", "value")
     else:
-        hits = rows.join(wanted, ["key", "part"], "left_semi").groupBy("key", "part").agg(
-            F.min_by("value", tables.rank).alias("value")
-        )
+        hits = hits.groupBy("key", "part").agg(F.min_by("value", tables.rank).alias("value"))
     hits = hits.withColumn("found", F.lit(True))
     return wanted.join(hits, ["key", "part"], "left").select(
         "key", "part", "value", F.coalesce("found", F.lit(False)).alias("found")
@@ -77,15 +93,22 @@ def missing_keys(
 
 
 def documents_by_uri(spark: SparkSession, tables: Tables | str, uris: DataFrame) -> DataFrame:
-    """URI to document in two steps: (uri, uuid, value, found)."""
+    """URI to document in two steps: (uri, uuid, value, found).
+
+    The first step is computed once. URIs that are not found take no part in the second.
+    """
     tables = _opened(spark, tables)
-    named = lookup(spark, tables, uris.select(F.col("uri").alias("key")), by="uri").select(
-        F.col("key").alias("uri"), F.col("value").alias("uuid")
+    named = checkpointed(
+        lookup(spark, tables, uris.select(F.col("uri").alias("key")), by="uri").select(
+            F.col("key").alias("uri"), F.col("value").alias("uuid")
+        )
     )
-    docs = lookup(spark, tables, named.select(F.col("uuid").alias("key")))
-    return named.join(
-        docs.select(F.col("key").alias("uuid"), "value", "found"), "uuid", "left"
-    ).select("uri", "uuid", "value", F.coalesce("found", F.lit(False)).alias("found"))
+    known = named.filter(F.col("uuid").isNotNull())
+    docs = lookup(spark, tables, known.select(F.col("uuid").alias("key")))
+    found = known.join(docs.select(F.col("key").alias("uuid"), "value", "found"), "uuid")
+    nothing = [F.lit(None).cast("string").alias("value"), F.lit(False).alias("found")]
+    unknown = named.filter(F.col("uuid").isNull()).select("uri", "uuid", *nothing)
+    return found.select("uri", "uuid", "value", "found").unionByName(unknown)
 
 
 def render(df: DataFrame, mode: str = "keyed", table: str = DATA, root: str = "") -> DataFrame:

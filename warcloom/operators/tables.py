@@ -137,12 +137,12 @@ def key_sorted(df: DataFrame, *ties: str, scope: Sequence[str] = ()) -> DataFram
     return df.withColumns(named).sortWithinPartitions(*scope, "table", "part", "key", *ties)
 
 
-def check_mergeable(dfs: Sequence[DataFrame], num_partitions: Sequence[int]) -> None:
-    """Raise unless all inputs have the same columns and partition count."""
-    shapes = {
-        tuple((f.name, f.dataType.simpleString()) for f in df.schema if f.name in ("key", "value"))
-        for df in dfs
-    }
+def check_mergeable(types: Sequence[Sequence[tuple[str, str]]], num_partitions: Sequence[int]) -> None:
+    """Raise unless all inputs have key and value, of the same types, and as many partitions."""
+    for shape in types:
+        if missing := {"key", "value"} - {name for name, _ in shape}:
+            raise ValueError(f"tables cannot be merged: an input lacks {sorted(missing)}")
+    shapes = {tuple(sorted(shape)) for shape in types}
     if len(shapes) > 1:
         raise ValueError(f"tables cannot be merged: key or value types differ: {sorted(shapes)}")
     if len(set(num_partitions)) > 1:
@@ -193,19 +193,23 @@ def arrange_merged(
     num_partitions: int,
     mode: str = "keep_all",
     hot_rows: int = 100_000,
-    spread: int = 64,
+    inputs: int | None = None,
 ) -> DataFrame:
     """Merged rows as they are written: each part in one task, sorted by key and input.
 
-    Only the rows of hot keys are treated apart, before anything is moved. Where
-    the first input wins, those of later inputs are dropped at once. Where all
-    rows are kept, a part with a hot key cannot be made smaller; its hot rows are
-    dealt out to tasks, and so files, of their own, each still in key order.
+    A key has a row per original input at most, so fewer ``inputs`` than ``hot_rows``
+    rule hot keys out, and keys are not counted. Else only the rows of hot keys are
+    treated apart, before anything is moved. Where the first input wins, those of
+    later inputs are dropped at once. Where all rows are kept, a part with a hot key
+    cannot be made smaller; its hot rows are dealt out to tasks, and so files, of their
+    own, of some ``hot_rows`` rows each: every file is in key order, but the rows of a
+    hot key then lie in several files.
     """
     check_mode(mode)
-    hot = _merge_hot_keys(rows, hot_rows)
+    hot = None if inputs is not None and inputs < hot_rows else _merge_hot_keys(rows, hot_rows)
     task, tasks = F.col("part"), num_partitions
-    if not hot.isEmpty():
+    if hot is not None and not hot.isEmpty():
+        spread = max(2, -(-hot.agg(F.sum("rows")).first()[0] // hot_rows))
         marked = hot.select("table", "digest", "first_ordinal")
         rows = rows.withColumn("digest", F.unhex(F.md5(F.col("key")))).join(
             F.broadcast(marked), ["table", "digest"], "left"

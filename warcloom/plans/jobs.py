@@ -1,7 +1,8 @@
-"""Whole jobs: building tables, merging them, building a corpus by segments."""
+"""Whole jobs: building tables, merging them, building a corpus segment by segment."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,8 @@ from warcloom.operators.records import (
 )
 from warcloom.operators.segments import segment_range
 from warcloom.profiles import get_profile
-from warcloom.sinks.tables import write_merged, write_rows
+from warcloom.scratch import drop_scratch
+from warcloom.sinks.tables import put_in_place, segment_path, write_corpus_manifest, write_merged, write_rows
 from warcloom.sources.tables import check_parts, open_tables
 from warcloom.sources.warc import read_warc
 
@@ -122,10 +124,10 @@ def merge_batches(
     """
     T.check_mode(mode)
     opened = [open_tables(spark, path) for path in inputs]
-    T.check_mergeable([t.rows for t in opened], [t.num_partitions for t in opened])
+    T.check_mergeable([t.types for t in opened], [t.num_partitions for t in opened])
+    check_parts(*opened)
     ranked, by_input, ranks = [], [], 0
     for at, tables in enumerate(opened):
-        check_parts(tables)
         rows = tables.rows.filter(F.col("table").isin(T.DATA, T.URI))
         ranked.append(rows.withColumn("ordinal", tables.rank + ranks))
         by_input.append(rows.withColumn("ordinal", F.lit(at)))
@@ -147,6 +149,15 @@ def list_segments(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame([(n,) for n in names], "segment string")
 
 
+class SegmentError(RuntimeError):
+    """Some segments of a corpus could not be built; ``failed`` has the error of each."""
+
+    def __init__(self, failed: dict[str, Exception]) -> None:
+        self.failed = failed
+        said = "; ".join(f"{name}: {str(error).splitlines()[0][:200]}" for name, error in failed.items())
+        super().__init__(f"segments not built: {said}")
+
+
 def build_corpus(
     spark: SparkSession,
     root: str,
@@ -161,9 +172,13 @@ def build_corpus(
 ) -> DataFrame:
     """Build the tables of each segment under ``root``; returns (segment, counter, value).
 
-    All chosen segments make one job. Output goes to
-    ``segment=segment-…/table=…/part=…``, numbered over all segments, chosen or
-    not. ``files`` is the glob of archives inside a segment.
+    Each chosen segment is a job of its own and takes ``num_partitions`` tasks. Its
+    tables go to ``segment=segment-…/table=…/part=…``, numbered over all segments,
+    chosen or not. They are written aside and put in place when they are complete, in
+    the place of those of an earlier run; segments that aren't chosen are left alone.
+    One that fails leaves what was there before and doesn't keep the others from being
+    built; :class:`SegmentError` then tells which failed. ``files`` is the glob of
+    archives inside a segment.
     """
     get_profile(profile)
     chosen = [
@@ -174,14 +189,22 @@ def build_corpus(
     ]
     if not chosen:
         raise ValueError(f"no segment of {root} lies between {lo!r} and {hi!r}")
-    globs = [f"{root.rstrip('/')}/{segment}/{files}" for segment, _ in chosen]
-    depth = files.count("/") + 2
-    folder = F.element_at(F.split(F.col("source_file"), "/"), -depth)
-    named = F.create_map(*(F.lit(x) for pair in chosen for x in pair))
-
-    def read(**kw) -> DataFrame:
-        records = read_warc(spark, globs, profile, **kw)
-        return records.withColumn("segment", F.element_at(named, folder))
-
-    names = [name for _, name in chosen]
-    return _build(spark, read, profile, prefix, output, num_partitions, detector, names)
+    counted, failed = [], {}
+    for segment, name in chosen:
+        aside = f"{output}/_building/{name}-{uuid.uuid4().hex}"
+        try:
+            glob = f"{root.rstrip('/')}/{segment}/{files}"
+            counters = build_tables(spark, glob, profile, prefix, aside, num_partitions, detector)
+            rows = [(name, r["counter"], r["value"]) for r in counters.collect()]
+            put_in_place(spark, aside, segment_path(output, name))
+            counted += rows
+        except Exception as error:
+            failed[segment] = error
+            drop_scratch(spark, aside)
+        else:
+            write_corpus_manifest(spark, output, num_partitions)
+    drop_scratch(spark, f"{output}/_building")
+    if failed:
+        raise SegmentError(failed)
+    # A few counters per segment.
+    return spark.createDataFrame(counted, "segment string, counter string, value bigint")

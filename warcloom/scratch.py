@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -11,12 +12,24 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder every executor can reach; a temporary one only where none is set."""
+    """The folder every executor can reach, as ``spark.checkpoint.dir`` names it.
+
+    Only a local master, a single machine, may do without: a temporary folder serves.
+    """
     root = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="warcloom-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    if root:
+        return root
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(
+            f"{CHECKPOINT_SETTING} is not set: intermediate tables need a folder that all executors reach"
+        )
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="warcloom-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -32,3 +45,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "stage")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

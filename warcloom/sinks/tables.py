@@ -46,6 +46,26 @@ def segment_path(output: str, segment: str) -> str:
     return f"{output}/segment={segment}"
 
 
+def put_in_place(spark: SparkSession, made: str, place: str) -> None:
+    """Move finished tables to their place; those that were there are replaced."""
+    new_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = new_path(place).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(new_path(place), True)
+    fs.mkdirs(new_path(place).getParent())
+    if not fs.rename(new_path(made), new_path(place)):
+        raise OSError(f"could not move {made} to {place}")
+
+
+def write_corpus_manifest(spark: SparkSession, output: str, num_partitions: int) -> None:
+    """The manifest over the segments that are in place; all need one partition count."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(output)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    numbers = [int(n.rsplit("-", 1)[1]) for n in names if n.startswith("segment=")]
+    facts = {"num_partitions": num_partitions, "order": "segment", "inputs": max(numbers) + 1}
+    write_manifest(spark, output, **facts)
+
+
 def write_rows(
     rows: DataFrame,
     profile: DataFrame,
@@ -94,6 +114,6 @@ def write_merged(
     Rows keep their part, so keys are not hashed again. ``inputs`` is how many
     ordinals there can be.
     """
-    _save(T.arrange_merged(rows, num_partitions, mode, hot_rows), output, "table", "part")
+    _save(T.arrange_merged(rows, num_partitions, mode, hot_rows, inputs), output, "table", "part")
     facts = {"num_partitions": num_partitions, "order": "ordinal", "inputs": inputs}
     write_manifest(rows.sparkSession, output, **facts)

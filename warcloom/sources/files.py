@@ -65,10 +65,12 @@ def _inflater(new_stream: Callable[[], object]):
     return reader
 
 
-def _zstd(file: BinaryIO) -> Callable[[int], bytes]:
-    import zstandard
-
-    return zstandard.ZstdDecompressor().stream_reader(file, read_across_frames=True).read
+def _zstd_stream():
+    try:
+        import zstandard
+    except ImportError as error:
+        raise ImportError("reading .zst archives needs the package zstandard") from error
+    return zstandard.ZstdDecompressor().decompressobj()
 
 
 # Codec by file extension; anything else is read as it is.
@@ -76,7 +78,7 @@ _CODECS = {
     ".gz": _inflater(lambda: zlib.decompressobj(31)),
     ".bz2": _inflater(bz2.BZ2Decompressor),
     ".deflate": _inflater(zlib.decompressobj),
-    ".zst": _zstd,
+    ".zst": _inflater(_zstd_stream),
 }
 _UNREADABLE = (".lz4", ".snappy")
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ class Tables:
     order: str | None
     rows: DataFrame
     inputs: int = 1
+    types: tuple[tuple[str, str], ...] = ()
 
     @property
     def rank(self) -> Column:
@@ -44,6 +47,7 @@ def _manifest(spark: SparkSession, path: str):
 
 def write_manifest(spark: SparkSession, path: str, **facts) -> None:
     """Store a table's facts beside it."""
+    facts.setdefault("types", {"key": "string", "value": "string"})
     file, fs = _manifest(spark, path)
     stream = fs.create(file, True)
     stream.write(bytearray(json.dumps(facts, sort_keys=True).encode()))
@@ -59,16 +63,30 @@ def open_tables(spark: SparkSession, path: str) -> Tables:
     order = facts.get("order")
     extra = {"segment": ", segment string", "ordinal": ", ordinal int"}.get(order, "")
     rows = spark.read.schema(TABLE_SCHEMA + extra).parquet(path)
-    return Tables(path, facts["num_partitions"], order, rows, facts.get("inputs", 1))
-
-
-def check_parts(tables: Tables) -> None:
-    """Raise if a part number does not fit the table's partition count."""
-    highest = tables.rows.agg(F.max("part")).first()[0]
-    if highest is not None and highest >= tables.num_partitions:
-        raise ValueError(
-            f"part {highest} does not fit {tables.num_partitions} partitions: {tables.path}"
-        )
+    types = _written_types(spark, path, facts.get("types", {"key": "string", "value": "string"}))
+    return Tables(path, facts["num_partitions"], order, rows, facts.get("inputs", 1), types)
+
+
+def _written_types(spark: SparkSession, path: str, stated: dict[str, str]) -> tuple[tuple[str, str], ...]:
+    """Types of key and value as the files have them; as stated, if there are no files."""
+    try:
+        found = spark.read.parquet(path).schema
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return tuple(sorted(stated.items()))
+    return tuple((f.name, f.dataType.simpleString()) for f in found if f.name in stated)
+
+
+def check_parts(*every: Tables) -> None:
+    """Raise if a part number does not fit its table's partition count; one job for all."""
+    each = [t.rows.agg(F.max("part").alias("part")).withColumn("at", F.lit(k)) for k, t in enumerate(every)]
+    for highest, at in reduce(DataFrame.union, each).collect():
+        tables = every[at]
+        if highest is not None and highest >= tables.num_partitions:
+            raise ValueError(
+                f"part {highest} does not fit {tables.num_partitions} partitions: {tables.path}"
+            )
 
 
 def keep_table_splits(splits: DataFrame) -> DataFrame:
