@@ -1,5 +1,7 @@
 """Keyed tables: building, skew, merging and counters."""
 
+import gzip
+import json
 import os
 
 import pyarrow.parquet as pq
@@ -71,7 +73,7 @@ def test_repeats_and_missing_uris(spark, tmp_path):
 def test_no_records_at_all(spark, tmp_path):
     out, counts = build(spark, tmp_path, {"a.warc": [b"nothing here"]})
     assert set(counts.values()) == {0}
-    assert w.open_tables(spark, out).rows.count() == 0
+    assert w.open_tables(spark, out).rows.filter("table <> 'counts'").count() == 0
 
 
 def test_layout(spark, tmp_path):
@@ -297,3 +299,50 @@ def test_a_cluster_must_name_its_scratch_folder(monkeypatch):
         scratch_root(_Cluster())
     monkeypatch.setattr(_Cluster.sparkContext, "master", "local[4]")
     assert os.path.isdir(scratch_root(_Cluster()))
+
+
+def test_a_build_opens_each_archive_once(spark, tmp_path, monkeypatch):
+    """Compressed archives; ranges of plain ones are looked at for where they start."""
+    from warcloom.sources import files, warc
+
+    log = tmp_path / "opened"
+
+    def logged(path):
+        with open(log, "a") as out:
+            out.write(path.rsplit("/", 1)[1] + "\n")
+        return files.open_file(path)
+
+    monkeypatch.setattr(warc, "open_file", logged)
+    (tmp_path / "in").mkdir()
+    for k in range(3):
+        (tmp_path / "in" / f"{k}.warc.gz").write_bytes(gzip.compress(response(b"x", rid=f"<{k}>") + GAP))
+    w.build_tables(spark, str(tmp_path / "in"), "commoncrawl", "cc", str(tmp_path / "out"), 4).collect()
+    assert sorted(log.read_text().split()) == ["0.warc.gz", "1.warc.gz", "2.warc.gz"]
+
+
+@pytest.mark.parametrize("remembered", [1, 2, 500_000])
+def test_repeats_are_told_while_reading(spark, tmp_path, monkeypatch, remembered):
+    """Forgetting repeats doesn't change the tables; doubtful headers are left alone."""
+    from warcloom.sources import warc
+
+    monkeypatch.setattr(warc, "SEEN_KEYS", remembered)
+    (tmp_path / "in").mkdir()
+    records = [
+        response(b"1", rid="<a>", uri="http://x/"), response(b"2", rid="<b>", uri="http://y/"),
+        response(b"3", rid="<a>", uri="http://z/"), response(b"4", rid="<c>", uri="http://x/"),
+        record(kind="request", content=b"5", rid="<d>", uri="http://q/"), response(b"6", rid="<d>", uri="http://q/"),
+        response(b"7", rid="<\u00e9>", uri="http://\u00e9/"), response(b"8", rid="<\u00e9>", uri="http://\u00e9/"),
+        record(kind="warcinfo"),
+    ]
+    (tmp_path / "in" / "a.warc").write_bytes(GAP.join(records))
+    marked = warc.read_to_build(spark, str(tmp_path / "in"), "commoncrawl").filter("counts IS NULL").orderBy("record_seq").collect()
+    assert len(marked) == 9 and not any(r.id_repeat or r.uri_repeat for r in marked[6:])
+    if remembered > 2:
+        assert [r.record_seq for r in marked if r.id_repeat] == [2, 5]
+        assert [r.record_seq for r in marked if r.uri_repeat] == [3]
+    out = str(tmp_path / "out")
+    counts = {r.counter: r.value for r in w.build_tables(spark, str(tmp_path / "in"), "commoncrawl", "cc", out, 4).collect()}
+    assert (counts["RECORDS"], counts["SKIPPED_RECORDS"], counts["GENERATED_DOCS"]) == (9, 1, 8)
+    assert (counts["MAPFILE_DATA_ENTRIES"], counts["MAPFILE_URI_ENTRIES"]) == (5, 5)
+    bodies = [json.loads(r.value)["payload"]["body"] for r in w.open_tables(spark, out).rows.filter("table = 'data'").collect()]
+    assert sorted(bodies) == ["1", "2", "4", "5", "7"]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from warcloom.functions.identity import partition_id
-from warcloom.operators.records import HTTP_TYPES, URI_TYPE
+from warcloom.operators.records import URI_TYPE
 from warcloom.scratch import checkpointed
 
 # The names of the two tables.
@@ -18,8 +18,8 @@ URI = "uri"
 # A side table of the records whose body had no text encoding. Its row count is
 # exact even when tasks are run again, which a job counter is not.
 BINARY = "binary"
-# Not written: stands for the records that become no document.
-SKIPPED = "skipped"
+# A side table of how many records and documents each piece of the input had.
+COUNTS = "counts"
 
 ORDER = ("source_file", "record_seq")
 
@@ -38,38 +38,30 @@ def map_rows(docs: DataFrame, scope: Sequence[str] = (), binary: bool = False) -
 
     Both come out of one pass over the documents. The URI row of a document is
     made before repeats are dropped, so no URI is lost with a repeated uuid.
-    With ``binary``, documents without a text encoding are listed as well.
+    With ``binary``, documents without a text encoding are listed as well. Documents
+    that were read to build tables leave out rows marked as repeats, and their counts
+    are rows too.
     """
     has_uri = F.col("record_type") == URI_TYPE
+    is_document, new_id = F.lit(True), F.lit(True)
+    if marked := "counts" in docs.columns:
+        is_document, new_id = F.col("counts").isNull(), F.col("counts").isNull() & ~F.col("id_repeat")
+        has_uri = has_uri & ~F.col("uri_repeat")
     rows = [
-        _row(DATA, F.col("uuid"), F.col("json")),
+        _row(DATA, F.when(new_id, F.col("uuid")), F.col("json")),
         _row(URI, F.when(has_uri, F.col("target_uri")), F.col("uuid")),
     ]
+    place = F.concat_ws("#", F.col("source_file"), F.col("record_seq"))
     if binary:
-        place = F.concat_ws("#", F.col("source_file"), F.col("record_seq"))
-        rows.append(_row(BINARY, F.when(F.col("encoding").isNull(), place), F.col("uuid")))
+        rows.append(_row(BINARY, F.when(is_document & F.col("encoding").isNull(), place), F.col("uuid")))
+    if marked:
+        rows.append(_row(COUNTS, F.when(~is_document, place), F.col("counts")))
     kept = F.filter(F.array(*rows), lambda r: r["key"].isNotNull())
     return docs.select(*scope, *ORDER, F.explode(kept).alias("row")).select(
         *scope, "row.table", "row.key", "row.value", *ORDER
     )
 
 
-def key_rows(records: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Rows (table, key) of records that have a ``uuid``, and one for each skipped record."""
-    known = F.coalesce(F.col("record_type").isin(*HTTP_TYPES), F.lit(False))
-    has_uri = F.col("record_type") == URI_TYPE
-    row = lambda table, key: F.struct(F.lit(table).alias("table"), key.alias("key"))
-    rows = F.array(
-        row(DATA, F.when(known, F.col("uuid"))),
-        row(URI, F.when(has_uri, F.col("target_uri"))),
-        row(SKIPPED, F.when(~known, F.lit(""))),
-    )
-    kept = F.filter(rows, lambda r: r["key"].isNotNull())
-    return records.select(*scope, *ORDER, F.explode(kept).alias("row")).select(
-        *scope, "row.table", "row.key", *ORDER
-    )
-
-
 def key_profile(rows: DataFrame, scope: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
     """Row counts per table, with each hot key counted by itself.
 
@@ -81,7 +73,7 @@ def key_profile(rows: DataFrame, scope: Sequence[str] = (), hot_rows: int = HOT_
     by_key = rows.groupBy(*scope, "table", F.unhex(F.md5(F.col("key"))).alias("digest")).agg(
         F.count(F.lit(1)).alias("rows"), F.min(places).alias("first_at")
     )
-    hot = F.when((F.col("rows") >= hot_rows) & (F.col("table") != SKIPPED), F.col("digest"))
+    hot = F.when(F.col("rows") >= hot_rows, F.col("digest"))
     profile = by_key.groupBy(*scope, "table", hot.alias("digest")).agg(
         F.sum("rows").alias("rows"), F.min("first_at").alias("first_at")
     )

@@ -8,91 +8,36 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warcloom.functions.identity import doc_uuid, segment_name
+from warcloom.functions.identity import segment_name
 from warcloom.operators import tables as T
 from warcloom.operators.counters import RECORD_COUNTERS, merge_counters
 from warcloom.operators.docs import build_docs
-from warcloom.operators.records import (
-    HTTP_TYPES,
-    keep_http_records,
-    parse_headers,
-    parse_records,
-)
+from warcloom.operators.records import HTTP_TYPES, parse_records
 from warcloom.operators.segments import segment_range
 from warcloom.profiles import get_profile
 from warcloom.scratch import drop_scratch
 from warcloom.sinks.tables import put_in_place, segment_path, write_corpus_manifest, write_merged, write_rows
 from warcloom.sources.tables import check_parts, open_tables
-from warcloom.sources.warc import read_warc
+from warcloom.sources.warc import read_to_build
 
 Detector = Callable[[Column], Column]
 
 
-def _generator_counters(
-    profile: DataFrame, written: DataFrame, segments: Sequence[str]
-) -> DataFrame:
-    """Counters from the key profile and the rows written: (segment?, counter, value)."""
-    scope = ("segment",) if segments else ()
-    spark = profile.sparkSession
-    counted = lambda df, counts: df.select(
-        *scope,
-        F.explode(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(name).alias("counter"),
-                        F.when(F.col("table").isin(*tables), F.col("rows")).otherwise(0).alias("value"),
-                    )
-                    for name, tables in counts.items()
-                )
-            )
-        ).alias("c"),
-    ).select(*scope, "c.counter", "c.value")
-    read = counted(
-        profile,
-        {
-            "RECORDS": (T.DATA, T.SKIPPED),
-            "SKIPPED_RECORDS": (T.SKIPPED,),
-            "GENERATED_DOCS": (T.DATA,),
-        },
-    )
-    stored = counted(
-        written.groupBy(*scope, "table").agg(F.count(F.lit(1)).alias("rows")),
-        {
-            "BINARY_RECORDS": (T.BINARY,),
-            "MAPFILE_DATA_ENTRIES": (T.DATA,),
-            "MAPFILE_URI_ENTRIES": (T.URI,),
-        },
-    )
-    blank = [(*place, c, 0) for place in ([(s,) for s in segments] or [()]) for c in RECORD_COUNTERS]
-    zeros = spark.createDataFrame(blank, ", ".join([*(f"{c} string" for c in scope), "counter string, value bigint"]))
-    return (
-        zeros.unionByName(read)
-        .unionByName(stored)
-        .groupBy(*scope, "counter")
-        .agg(F.sum("value").alias("value"))
+def _generator_counters(written: DataFrame) -> DataFrame:
+    """Counters from the rows written: (counter, value)."""
+    number = lambda name: F.sum(F.when(F.col("table") == T.COUNTS, F.get_json_object("value", f"$.{name}").cast("bigint")))
+    entries = lambda table: F.count_if(F.col("table") == table)
+    found = written.agg(
+        number("records").alias("RECORDS"),
+        (number("records") - number("documents")).alias("SKIPPED_RECORDS"),
+        number("documents").alias("GENERATED_DOCS"),
+        entries(T.BINARY).alias("BINARY_RECORDS"),
+        entries(T.DATA).alias("MAPFILE_DATA_ENTRIES"),
+        entries(T.URI).alias("MAPFILE_URI_ENTRIES"),
     )
-
-
-def _build(
-    spark: SparkSession,
-    read: Callable[..., DataFrame],
-    profile: str,
-    prefix: str,
-    output: str,
-    num_partitions: int,
-    detector: Detector | None,
-    segments: Sequence[str] = (),
-) -> DataFrame:
-    scope = ("segment",) if segments else ()
-    headers = parse_headers(read(content=False), profile)
-    named = headers.withColumn("uuid", doc_uuid(prefix, F.col("record_id")))
-    keys = T.key_profile(T.key_rows(named, scope), scope)
-
-    parsed = parse_records(read(types=HTTP_TYPES), profile)
-    docs = build_docs(keep_http_records(parsed), prefix, detector)
-    write_rows(T.map_rows(docs, scope, binary=True), keys, output, num_partitions, segments)
-    return _generator_counters(keys, open_tables(spark, output).rows, segments)
+    value = lambda name: F.coalesce(F.col(name), F.lit(0)) if name in found.columns else F.lit(0).cast("bigint")
+    pairs = F.array(*(F.struct(F.lit(n).alias("counter"), value(n).alias("value")) for n in RECORD_COUNTERS))
+    return found.select(F.explode(pairs).alias("c")).select("c.counter", "c.value")
 
 
 def build_tables(
@@ -106,13 +51,16 @@ def build_tables(
 ) -> DataFrame:
     """Build the data and URI tables of an archive path; returns (counter, value).
 
-    Archives are passed over twice. The first pass reads headers only: it counts
-    records and finds keys that so many records share that their repeats should
-    not be moved. The second pass does the work with one shuffle.
+    Archives are read once, with one shuffle behind. Repeats of a key within a file are
+    told while it is read and never moved, so a key that many records share is moved
+    about once per file.
     """
     get_profile(profile)
-    read = lambda **kw: read_warc(spark, input, profile, **kw)
-    return _build(spark, read, profile, prefix, output, num_partitions, detector)
+    parsed = parse_records(read_to_build(spark, input, profile), profile)
+    kept = parsed.filter(F.col("record_type").isin(*HTTP_TYPES) | F.col("counts").isNotNull())
+    rows = T.map_rows(build_docs(kept, prefix, detector), binary=True)
+    write_rows(rows, None, output, num_partitions)
+    return _generator_counters(open_tables(spark, output).rows)
 
 
 def merge_batches(

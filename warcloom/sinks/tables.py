@@ -19,17 +19,17 @@ def _save(rows: DataFrame, output: str, *folders: str) -> None:
 
 
 def arrange_rows(
-    rows: DataFrame, profile: DataFrame, num_partitions: int, segments: Sequence[str] = ()
+    rows: DataFrame, profile: DataFrame | None, num_partitions: int, segments: Sequence[str] = ()
 ) -> DataFrame:
     """(table, key, value) rows as they are written: placed, first per key, key-sorted.
 
     One shuffle moves each row to the task that writes its part; the same order
-    serves to find first rows and to write. Repeats of hot keys are dropped
-    before it. With ``segments``, rows carry a ``segment`` and each segment gets
+    serves to find first rows and to write. Repeats of a profile's hot keys are
+    dropped before it; rows read to build tables come without most repeats. With ``segments``, rows carry a ``segment`` and each segment gets
     tables, and tasks, of its own.
     """
     scope = ("segment",) if segments else ()
-    slim = T.drop_hot_repeats(rows, profile, scope)
+    slim = rows if profile is None else T.drop_hot_repeats(rows, profile, scope)
     placed = slim.withColumn("part", partition_id(F.col("key"), num_partitions))
     task, tasks = F.col("part"), num_partitions
     if segments:
@@ -68,7 +68,7 @@ def write_corpus_manifest(spark: SparkSession, output: str, num_partitions: int)
 
 def write_rows(
     rows: DataFrame,
-    profile: DataFrame,
+    profile: DataFrame | None,
     output: str,
     num_partitions: int,
     segments: Sequence[str] = (),

@@ -24,11 +24,17 @@ _INTEGER = re.compile(r"[+-]?\d+")
 
 
 class Frame(NamedTuple):
-    """One record: where its version line starts, its header lines and content."""
+    """One record: where its version line starts, its header lines and content.
+
+    ``kind`` is its type; ``marks`` has the raw values of the fields that were asked
+    for, None where a field isn't there exactly once.
+    """
 
     start: int
     header_block: bytes
     content: bytes | None
+    kind: str | None = None
+    marks: tuple[bytes | None, ...] = ()
 
 
 class ByteReader:
@@ -133,9 +139,12 @@ def frames(
     version: bytes,
     keeps: Callable[[str | None], bool],
     stop: int | None = None,
+    fields: tuple[bytes, ...] = (),
 ) -> Iterator[Frame]:
     """Records of a stream whose version line starts before ``stop``.
 
+    ``fields`` are names, in lower case, of header fields whose values are wanted.
+
     A record starts at a line beginning with ``version``. Its header ends at the
     first blank line after a valid content length; without one, lines go on
     being read as header, into the next record if need be. ``keeps`` tells by
@@ -154,6 +163,7 @@ def frames(
             reader.first_start = start
 
         lines, length, kind = [], -1, None
+        values: dict[bytes, bytes | None] = {}
         while (line := reader.line()) is not None:
             if not line.strip(_BLANKS):
                 if length >= 0:
@@ -166,6 +176,8 @@ def frames(
                 length = _length(value) if colon else -1
             elif name == TYPE_FIELD:
                 kind = value.strip(_BLANKS).decode("utf-8", "replace")
+            if name in fields:
+                values[name] = None if name in values else value.strip(_BLANKS)
         if length < 0:
             break
 
@@ -173,5 +185,6 @@ def frames(
         taken = reader.take(length, keep)
         if taken is None:
             break
-        yield Frame(start, b"\n".join(lines), taken if keep else None)
+        block = b"\n".join(lines)
+        yield Frame(start, block, taken if keep else None, kind, tuple(values.get(f) for f in fields))
     reader.ended = True
