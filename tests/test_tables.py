@@ -346,3 +346,11 @@ def test_repeats_are_told_while_reading(spark, tmp_path, monkeypatch, remembered
     assert (counts["MAPFILE_DATA_ENTRIES"], counts["MAPFILE_URI_ENTRIES"]) == (5, 5)
     bodies = [json.loads(r.value)["payload"]["body"] for r in w.open_tables(spark, out).rows.filter("table = 'data'").collect()]
     assert sorted(bodies) == ["1", "2", "4", "5", "7"]
+
+
+def test_codec_of_the_files(spark, tmp_path):
+    out, _ = build(spark, tmp_path, {"a.warc": [response(b"x" * 100)]})
+    files = [f"{d}/{n}" for d, _, names in os.walk(out) for n in names if n.endswith(".parquet")]
+    for file in files:
+        assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
+    assert files

@@ -154,7 +154,8 @@ def split_files(
         if wrong.isEmpty():
             break
         again = wrong.select("path", "length", "begin", "end", F.col("start").alias("entry"))
-        renewed = again.mapInArrow(look, _REPORT_SCHEMA)
+        # Few short rows, but each stands for a range to be read.
+        renewed = again.repartition(tasks, "path", "begin").mapInArrow(look, _REPORT_SCHEMA)
         reports = checkpointed(
             reports.join(wrong, ["path", "begin"], "left_anti")
             .select(*reports.columns)

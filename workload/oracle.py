@@ -159,6 +159,7 @@ ORACLE: dict[str, str] = {
         _WRITTEN,
     ),
     "mapfile_roundtrip": _docs("SELECT key, value FROM uri_rows"),
+    "mapfile_data_roundtrip": _docs("SELECT key, md5(body_text) AS body_md5 FROM data_rows"),
     "warc_header_map": _captures("SELECT 1").replace(
         "\nSELECT 1", f",\n{_WARC_ENTRIES}\nSELECT {ID}, e.name AS name, e.content AS content FROM entries WHERE e.content IS NOT NULL"
     ),
@@ -305,3 +306,5 @@ ORACLE: dict[str, str] = {
         )
     ),
 }
+
+ORACLE["corpus_in_two_runs"] = ORACLE["build_corpus"]

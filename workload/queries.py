@@ -130,6 +130,15 @@ def mapfile_roundtrip(spark, sf_dir):
     return w.read_map_files(spark, path)
 
 
+def mapfile_data_roundtrip(spark, sf_dir):
+    """The data table out as map files and back, documents and all."""
+    rows = _tables(spark, sf_dir).rows.filter(F.col("table") == DATA)
+    path = scratch_path(spark, "mapfiles")
+    w.write_map_files(rows, path, PARTS, name=DATA)
+    body = F.get_json_object("value", "$.payload.body").cast("binary")
+    return w.read_map_files(spark, path).select("key", F.md5(body).alias("body_md5"))
+
+
 # --- projections -----------------------------------------------------------
 
 
@@ -458,7 +467,7 @@ def build_tables(spark, sf_dir):
 
 
 def build_corpus(spark, sf_dir):
-    """K9: tables of every segment in one job; rows of each part."""
+    """K9: tables of every segment; rows of each part."""
     root = _archives(spark, sf_dir, "segment")
     out = scratch_path(spark, "corpus")
     w.build_corpus(spark, root, PROFILE, PREFIX, out, PARTS, files="*")
@@ -466,6 +475,16 @@ def build_corpus(spark, sf_dir):
     return rows.select("segment", F.col("part").cast("bigint").alias("part"), "key")
 
 
+def corpus_in_two_runs(spark, sf_dir):
+    """K9: the segments of a corpus built in two calls, one segment twice."""
+    root = _archives(spark, sf_dir, "segment")
+    out = scratch_path(spark, "corpus")
+    w.build_corpus(spark, root, PROFILE, PREFIX, out, PARTS, hi="segment=segment-00001", files="*")
+    w.build_corpus(spark, root, PROFILE, PREFIX, out, PARTS, lo="segment=segment-00001", files="*")
+    rows = w.open_tables(spark, out).rows.filter(F.col("table") == URI)
+    return rows.select("segment", F.col("part").cast("bigint").alias("part"), "key")
+
+
 def corpus_counters(spark, sf_dir):
     """K9, A4: counters of a range of segments."""
     root = _archives(spark, sf_dir, "segment")
@@ -480,7 +499,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         archive_listing, warc_scan, warc_scan_bzip2, warc_scan_split, warc_scan_types,
-        corpus_profiles, split_listing, mapfile_roundtrip, warc_header_map, header_lookup,
+        corpus_profiles, split_listing, mapfile_roundtrip, mapfile_data_roundtrip, warc_header_map, header_lookup,
         http_split, http_header_map, record_identity, stored_length, record_text,
         http_records, uri_records, segment_range, encoding_choice, binary_detect,
         body_decode, body_base64, payload_flags, json_document, doc_uuid,
@@ -488,6 +507,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         partition_sizes, table_rows, merge_segments, merge_first_wins, merge_counters,
         lookup_uuid, lookup_name, lookup_uri, uri_to_document, lookup_missing,
         lookup_render, archive_roundtrip, archive_file_counts, build_tables,
-        build_corpus, corpus_counters,
+        build_corpus, corpus_in_two_runs, corpus_counters,
     )
 }
