@@ -106,16 +106,17 @@ def test_prefixes_lose_no_pair():
         if not len(u) or not len(w):
             continue
         common = shingles.held(u, w).sum()
-        a, b = near_dups.prefix(center, u, 80), near_dups.prefix(center, w, 80)
-        for x, (more, lacks, linked, _) in ((u, a), (w, b)):
+        a, b = near_dups.difference(center, u, 80), near_dups.difference(center, w, 80)
+        for x, (more, lacks, linked, features) in ((u, a), (w, b)):
             same = shingles.held(x, center).sum()
-            assert linked == (100 * same >= 80 * (len(x) + len(center) - same))
+            assert linked == (100 * same >= 80 * (len(x) + len(center) - same)) and len(features) == more + lacks
         if 100 * common >= 80 * (len(u) + len(w) - common) and not (a[2] and b[2]):
             checked += 1
             left, right = (a, b) if not a[2] else (b, a)
-            need = (100 * right[1] + 80 * right[0]) // 180
-            short = right[3][: max(0, right[0] + right[1] - need)]
-            assert set(left[3].tolist()) & set(short.tolist())
+            for salt in rng.integers(0, 2**60, 3):
+                order = lambda row: sorted(row[3].tolist(), key=lambda f: f ^ int(salt))
+                cut = lambda row: near_dups.prefixes(100 * row[1] + 80 * row[0], len(center), len(row[3]), 80)
+                assert set(order(left)[: max(0, cut(left)[1])]) & set(order(right)[: max(0, cut(right)[0])])
     assert checked > 200
 
 

@@ -10,9 +10,10 @@
 4. Star pairs are compared on their full sets. Members above the threshold are linked.
 5. Two members of a star may be similar though one of them isn't similar to the centre c.
    Write a member as its difference from c: what it has more, and what it lacks. For such
-   a pair u, w the common part of the two differences must be large (see ``prefix``), so
+   a pair u, w the common part of the two differences must be large (see ``prefixes``), so
    only pairs that share a feature in the first part of both differences, as set joins
-   with prefix and positional filters do, are compared. Nothing is lost by that.
+   with prefix and positional filters do, are compared. Nothing is lost by that. Pairs
+   that the star links have put in one component already are left out.
 6. Links are contracted to components by spreading the smallest label, with shortcuts.
 
 So every pair that meets in any bucket is decided exactly. No bucket is capped: a large
@@ -32,9 +33,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from warcloom.llm.common import chunks, row_type, staged, texts_of
 from warcloom.llm.shingles import Bands, Words, held, node_of, shingle_set
@@ -107,27 +109,38 @@ def star_pairs(classes: DataFrame) -> DataFrame:
     return pairs.select("center", F.col("node").alias("member")).distinct()
 
 
-def prefix(center: np.ndarray, member: np.ndarray, percent: int) -> tuple[int, int, bool, np.ndarray]:
+def difference(center: np.ndarray, member: np.ndarray, percent: int) -> tuple[int, int, bool, np.ndarray]:
     """How a member differs from its centre: (more, lacks, linked, features).
 
+    ``more`` and ``lacks`` are how many shingles it has more and lacks, ``features`` are
+    all of those. See ``prefixes`` for what follows from them.
+    """
+    more, lacks = member[~held(member, center)], center[~held(center, member)]
+    m, d, c = len(lacks), len(more), len(center)
+    linked = 100 * m + percent * d <= (100 - percent) * c
+    return d, m, linked, np.concatenate([more, lacks]).view(np.int64)
+
+
+def prefixes(need: int | Column, size: int | Column, f: int | Column, percent: int) -> tuple:
+    """(short, long): of how many first features two similar members have one in common.
+
     With m, d the numbers of shingles that x lacks and has more, and s the features that
     two differences share, the similarity of two members u, w is
     (|c| - mu - mw + s) / (|c| + du + dw - s). With t the threshold, similarity asks for
     (1 + t) s >= mu + mw + t (du + dw) - (1 - t) |c|, and x is linked to c if and only if
-    m + t d <= (1 - t) |c|. So if u isn't linked: (1 + t) s > mw + t dw; and if w is linked,
-    with s <= mw + dw: s >= mu + t du - (1 - t) |c|. Features are those shingles that the
-    first of the prefixes for that many common ones hold, in an order that is the same
-    for all members: those it has more by their hashes, then those it lacks.
+    m + t d <= (1 - t) |c|. So if u isn't linked: (1 + t) s > mw + t dw, for any w; and
+    with s <= mw + dw: s >= mu + t du - (1 - t) |c|. A member of which s features must be
+    common has one of them among its first f - s + 1, in any order that all members of a
+    star share: ``short`` for w, ``long`` for u, which w may be linked or not. ``need`` is
+    100 m + percent d, ``size`` is |c|, ``f`` is m + d.
     """
-    more, lacks = member[~held(member, center)], center[~held(center, member)]
-    m, d, c = len(lacks), len(more), len(center)
-    linked = 100 * m + percent * d <= (100 - percent) * c
-    # The least s, in whole numbers: above (100 m + percent d) / (100 + percent) for w.
-    least = (100 * m + percent * d) // (100 + percent) + 1
-    if not linked:
-        least = min(least, max(1, -((-(100 * m + percent * d - (100 - percent) * c)) // 100)))
-    features = np.concatenate([more, lacks])[: max(0, m + d - least + 1)]
-    return d, m, linked, features.view(np.int64)
+    if isinstance(need, int):
+        low = need // (100 + percent) + 1
+        other = max(1, -((-(need - (100 - percent) * size)) // 100))
+        return f - low + 1, f - min(low, other) + 1
+    low = F.floor(need / (100 + percent)) + 1
+    other = F.greatest(F.lit(1), F.ceil((need - (100 - percent) * size) / 100))
+    return f - low + 1, f - F.least(low, other) + 1
 
 
 def compare(pairs: DataFrame, sets: DataFrame, left: str, right: str, work: Callable, schema: T.StructType) -> DataFrame:
@@ -156,36 +169,47 @@ def compare(pairs: DataFrame, sets: DataFrame, left: str, right: str, work: Call
     return both.mapInArrow(run, result)
 
 
-def unlinked_pairs(stars: DataFrame, percent: int) -> DataFrame:
-    """``u``, ``w``: pairs of members of a star, one unlinked, that may be similar."""
+def unlinked_pairs(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """``u``, ``w``: pairs of members of a star, one unlinked, that may be similar.
+
+    Only members that the star links leave in different components (``labels``) are paired.
+    """
     total = F.col("more") + F.col("lacks")
-    measured = stars.withColumn("f", total)
+    of_member = labels.select(F.col("node").alias("member"), "label")
+    measured = staged(
+        stars.withColumn("f", total).join(of_member, "member", "left").withColumn("label", F.coalesce("label", "member")),
+        "measured",
+    )
     of_star = staged(
-        stars.groupBy("center").agg(F.count("*").alias("n"), F.sum(F.col("linked").cast("int")).alias("linked_n"), F.max(total).alias("most"))
-        .filter("n > 1 AND linked_n < n").select("center", "most"),
+        measured.groupBy("center").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.max("f").alias("most"))
+        .filter("a <> b").select("center", "most"),
         "stars",
     )
     need = F.lit(100) * F.col("lacks") + F.lit(percent) * F.col("more")
-    open_stars = measured.join(of_star, "center").withColumn("need", need)
-    rows = open_stars.filter(
-        F.col("linked") | (F.col("need") - F.lit(100 - percent) * F.col("size") <= F.lit(100) * F.col("most"))
+    short, long = prefixes(need, F.col("size"), F.col("f"), percent)
+    open_stars = measured.join(of_star, "center").filter(
+        F.col("linked") | (need - F.lit(100 - percent) * F.col("size") <= F.lit(100) * F.col("most"))
     )
-    # Of an unlinked member, the features for linked partners; the shorter list for all.
-    short = F.col("f") - F.floor(F.col("need") / (100 + percent))
     each = staged(
-        rows.select(
-            "center", "member", "size", "linked", "f", "need", F.greatest(short, F.lit(0)).alias("short"),
-            F.posexplode("features").alias("at", "feature"),
+        open_stars.select(
+            "center", "member", "label", "size", "linked", "f", need.alias("need"), short.alias("short"), long.alias("long"),
+            F.explode("features").alias("feature"),
         ),
         "features",
     )
-    left = each.filter(~F.col("linked")).select(
+    # Rare features first. Those of one member alone, which come before all others, meet nothing.
+    common = staged(each.groupBy("center", "feature").agg(F.count("*").alias("n")).filter("n > 1"), "common")
+    of_row = Window.partitionBy("center", "member")
+    place = F.col("f") - F.count("*").over(of_row) + F.row_number().over(of_row.orderBy("n", "feature")) - 1
+    ranked = each.join(common, ["center", "feature"]).withColumn("at", place)
+    ranked = staged(ranked.filter(F.col("at") < F.greatest("short", F.when(~F.col("linked"), F.col("long")).otherwise(0))), "ranked")
+    left = ranked.filter(~F.col("linked") & (F.col("at") < F.col("long"))).select(
         "center", "feature", F.col("member").alias("u"), F.col("f").alias("uf"), F.col("at").alias("u_at"),
-        F.col("need").alias("u_need"), "size",
+        F.col("need").alias("u_need"), "size", F.col("label").alias("u_label"),
     )
-    right = each.filter(F.col("at") < F.col("short")).select(
+    right = ranked.filter(F.col("at") < F.col("short")).select(
         "center", "feature", F.col("member").alias("w"), F.col("f").alias("wf"), F.col("at").alias("w_at"),
-        F.col("need").alias("w_need"), F.col("linked").alias("w_linked"),
+        F.col("need").alias("w_need"), F.col("linked").alias("w_linked"), F.col("label").alias("w_label"),
     )
     # No more features can be common than are left behind the first common one.
     left_over = F.least(F.col("uf") - F.col("u_at"), F.col("wf") - F.col("w_at"))
@@ -193,7 +217,7 @@ def unlinked_pairs(stars: DataFrame, percent: int) -> DataFrame:
     met = left.alias("l").join(
         right.alias("r"),
         (F.col("l.center") == F.col("r.center")) & (F.col("l.feature") == F.col("r.feature"))
-        & (F.col("r.w_linked") | (F.col("l.u") < F.col("r.w"))) & enough,
+        & (F.col("l.u_label") != F.col("r.w_label")) & (F.col("r.w_linked") | (F.col("l.u") < F.col("r.w"))) & enough,
     )
     return met.select("u", "w").distinct()
 
@@ -249,7 +273,7 @@ def near_duplicates(
     star_row = row_type(size="long", more="long", lacks="long", linked="boolean", features=LONGS)
 
     def star_work(center: np.ndarray, member: np.ndarray) -> tuple:
-        more, lacks, linked, features = prefix(center, member, percent)
+        more, lacks, linked, features = difference(center, member, percent)
         return len(center), more, lacks, linked, features
 
     def pair_work(a: np.ndarray, b: np.ndarray) -> tuple:
@@ -257,10 +281,12 @@ def near_duplicates(
         return (100 * common >= percent * (len(a) + len(b) - common),)
 
     stars = staged(compare(pairs, sets, "center", "member", star_work, star_row), "stars")
-    further = staged(unlinked_pairs(stars, percent), "further")
-    decided = staged(compare(further, sets, "u", "w", pair_work, row_type(linked="boolean")), "decided")
-    links = stars.filter("linked").select("center", "member").union(decided.filter("linked").select("u", "w"))
+    links = stars.filter("linked").select("center", "member")
     labels = components(links)
+    further = staged(unlinked_pairs(stars, labels, percent), "further")
+    decided = staged(compare(further, sets, "u", "w", pair_work, row_type(linked="boolean")).filter("linked"), "decided")
+    if not decided.isEmpty():
+        labels = components(links.union(decided.select("u", "w")))
 
     # From classes to documents: the smallest id of each component.
     placed = classes.select("node", "least_id").join(labels, "node", "left")
