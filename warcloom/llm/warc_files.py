@@ -63,29 +63,23 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*groups), HEX_DIGITS, BASE32)
 
 
-def with_originals(pages: DataFrame, least_bytes: int) -> DataFrame:
-    """Add ``digest``, ``size`` and ``original``: the smallest id with an equal payload.
+def with_digests(pages: DataFrame) -> DataFrame:
+    """Pages with their payload as bytes, its ``digest`` and its ``size``."""
+    made = pages.select("page_id", "url", F.coalesce("payload", F.lit("")).cast("binary").alias("payload"))
+    size = F.octet_length("payload").cast("long")
+    return made.select("*", base32_sha1(F.col("payload")).alias("digest"), size.alias("size"))
 
-    ``original`` is null where the payload is the only one of its kind or is shorter than
-    ``least_bytes``. Payloads of repeats are emptied here, before they are sorted.
+
+def originals(digested: DataFrame, least_bytes: int) -> DataFrame:
+    """``page_id``, ``digest``, ``original``: the smallest id with an equal payload.
+
+    Only for payloads that several rows have, of at least ``least_bytes``. Payloads
+    themselves aren't moved for this.
     """
-    payload = F.coalesce("payload", F.lit("")).cast("binary")
-    made = pages.select("page_id", "url", payload.alias("payload"))
-    made = made.select("*", base32_sha1(F.col("payload")).alias("digest"), F.octet_length("payload").cast("long").alias("size"))
-    several = (
-        made.filter(F.col("page_id").isNotNull() & (F.col("size") >= least_bytes))
-        .groupBy("digest")
-        .agg(F.min("page_id").alias("original"), F.count("*").alias("n"))
-        .filter("n > 1")
-        .drop("n")
-    )
-    found = made.join(several, "digest", "left")
-    original = F.when(F.col("page_id").isNotNull(), F.col("original"))
-    repeat = F.col("page_id") > F.col("original")
-    return found.select(
-        "page_id", "url", "digest", "size", original.alias("original"),
-        F.when(F.coalesce(repeat, F.lit(False)), F.lit(b"")).otherwise(F.col("payload")).alias("payload"),
-    )
+    keys = digested.filter(F.col("page_id").isNotNull() & (F.col("size") >= least_bytes)).select("page_id", "digest")
+    counted = keys.groupBy("digest").agg(F.min("page_id").alias("original"), F.count("*").alias("n"))
+    several = counted.filter("n > 1").drop("n")
+    return keys.join(several, "digest").distinct().select("page_id", "digest", "original")
 
 
 def shard_column(pages: DataFrame, shard_bytes: int) -> Column:
@@ -216,17 +210,25 @@ def write_warc(
     ``out`` must be new and reachable from all executors.
     """
     spark = pages.sparkSession
-    sharded = with_originals(pages, least_bytes).withColumn("shard", shard_column(pages, shard_bytes))
-    ordered = sharded.repartition("shard").sortWithinPartitions("shard", "page_id", "digest")
+    shard, digested = shard_column(pages, shard_bytes), with_digests(pages)
+    notes = originals(digested, least_bytes)
+    # A page and the note on its original meet in the shard, the note first: payloads are
+    # shuffled once.
+    both = digested.withColumn("note", F.lit(1)).unionByName(notes.withColumn("note", F.lit(0)), allowMissingColumns=True)
+    order = ["shard", "page_id", "digest", "note"]
+    ordered = both.withColumn("shard", shard).repartition("shard").sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, before, copy = ShardFiles(out, roll_bytes, date, opener), None, 0
+        files, before, copy, noted = ShardFiles(out, roll_bytes, date, opener), None, 0, (None, None)
         for batch in chunks(batches, "payload"):
             for page in batch.to_pylist():
                 key = (page["page_id"], page["digest"])
+                if not page["note"]:
+                    noted = (key, page["original"])
+                    continue
                 copy = copy + 1 if key == before else 0
                 before = key
-                original = page["original"]
+                original = page["original"] = noted[1] if noted[0] == key else None
                 revisit = original is not None and (page["page_id"] != original or copy > 0)
                 files.add(page["shard"], page_record(page, revisit, copy, date))
         files.close()
