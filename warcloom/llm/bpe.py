@@ -25,7 +25,7 @@ from heapq import heapify, heappop, heappush
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from warcloom.llm.common import add_columns
+from warcloom.llm.common import add_columns, once_per_worker
 
 #: Unicode's white space, as the tokenizer's pattern has it. Fixed values.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -183,14 +183,9 @@ def unpacked(ids: bytes) -> array:
     return out
 
 
-_LOADED: dict[str, Bpe] = {}
-
-
 def tokenizer(path: str) -> Bpe:
     """The tokenizer of a file, once per Python worker."""
-    if path not in _LOADED:
-        _LOADED[path] = Bpe(path)
-    return _LOADED[path]
+    return once_per_worker(("bpe", path), lambda: Bpe(path))
 
 
 def encode(

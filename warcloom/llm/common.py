@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -85,6 +86,17 @@ def drop_stage(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def once_per_worker(key: object, make: Callable[[], object]) -> object:
+    """An object that the tasks of a Python worker share.
+
+    Tasks carry this package's code by value, so what a module holds is new in each.
+    """
+    held = sys.__dict__.setdefault("_warcloom_once", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def ascii_lower(text: str | Column) -> Column:
     """A to Z in lower case, all other characters as they are."""
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())

@@ -13,6 +13,10 @@ texts have the end id alone.
 
 from __future__ import annotations
 
+import itertools
+import os
+import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,12 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from warcloom.llm.common import chunks, row_type, texts_of
+from warcloom.llm.bpe import packed
+from warcloom.llm.common import chunks, once_per_worker, row_type, texts_of
 
 SCHEMA = row_type(doc_id="long", at="long", n_tokens="long", tokens=T.ArrayType(T.IntegerType()))
 #: Bounds of the table of recent pieces, in entries and characters.
 CACHED_PIECES = 600_000
 CACHED_LENGTH = 48
+MARKS = ".,;:!?"
 
 
 class PieceEncoder:
@@ -51,6 +57,8 @@ class PieceEncoder:
         self.by_piece = self.drops_white_space(settings)
         self.recent: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
 
     @staticmethod
     def drops_white_space(settings: dict) -> bool:
@@ -68,7 +76,32 @@ class PieceEncoder:
 
     def library_ids(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<i4").tobytes() for e in found]
+        return [packed(array("I", e.ids)) for e in found]
+
+    def core_of(self, piece: str) -> tuple[str, str]:
+        """A piece as a word and the mark behind it, if it is that simple.
+
+        Letters and marks never share a token, and ASCII letters count in lower case.
+        """
+        if not piece:
+            return "", ""
+        word, mark = (piece[:-1], piece[-1]) if piece[-1] in MARKS else (piece, "")
+        if not word.isalpha():
+            return piece, ""
+        if word.isascii():
+            return word.lower(), mark
+        # A letter may become a letter and a combining mark.
+        return (word, mark) if unicodedata.normalize("NFC", word).lower().isalpha() else (piece, "")
+
+    def learn(self, pieces: list[str]) -> None:
+        """Put the ids of new pieces into the tables."""
+        cores = [self.core_of(p) for p in pieces]
+        words = {w for core in cores for w in core if w and w not in self.words}
+        missing = [w for w in words if w not in self.older_words]
+        self.words.update((w, self.older_words[w]) for w in words if w in self.older_words)
+        self.words.update(zip(missing, self.library_ids(missing)))
+        known = self.words
+        self.recent.update((p, known[w] + known[m] if m else known[w]) for p, (w, m) in zip(pieces, cores))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
@@ -76,44 +109,24 @@ class PieceEncoder:
             return self.library_ids(texts)
         cut = [t.replace("\n", " ").split(" ") for t in texts]
         recent, older = self.recent, self.older
-        fresh: dict[str, None] = {}
-        for pieces in cut:
-            for piece in pieces:
-                if piece not in recent:
-                    fresh[piece] = None
-        here: dict[str, bytes] = {}
-        missing = []
-        for piece in fresh:
-            ids = older.get(piece)
-            if ids is None:
-                missing.append(piece)
-            else:
-                here[piece] = ids
-        here.update(zip(missing, self.library_ids(missing)))
-        # Long pieces are kept for this call only.
-        keep = {p: i for p, i in here.items() if len(p) <= CACHED_LENGTH}
-        rare = {p: i for p, i in here.items() if len(p) > CACHED_LENGTH}
-        recent.update(keep)
-        if rare:
-            out = [b"".join([rare[p] if p in rare else recent[p] for p in pieces]) for pieces in cut]
-        else:
-            out = [b"".join(map(recent.__getitem__, pieces)) for pieces in cut]
+        fresh = [p for p in set(itertools.chain.from_iterable(cut)) if p not in recent]
+        self.recent.update((p, older[p]) for p in fresh if p in older)
+        self.learn([p for p in fresh if p not in older])
+        out = [b"".join(map(recent.__getitem__, pieces)) for pieces in cut]
         if len(recent) >= CACHED_PIECES // 2:
-            self.older, self.recent = recent, {"": b""}
+            # Long pieces, and those not seen since the last turn, are forgotten.
+            self.older = {p: i for p, i in recent.items() if len(p) <= CACHED_LENGTH}
+            self.recent = {"": b""}
+        if len(self.words) >= CACHED_PIECES // 2:
+            self.older_words = {p: i for p, i in self.words.items() if len(p) <= CACHED_LENGTH}
+            self.words = {}
         return out
 
 
-_LOADED: dict[str, PieceEncoder] = {}
-
-
 def encoder(path: str) -> PieceEncoder:
     """The encoder of a file, once per Python worker."""
-    if path not in _LOADED:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _LOADED[path] = PieceEncoder(path)
-    return _LOADED[path]
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return once_per_worker(("pieces", path), lambda: PieceEncoder(path))
 
 
 def token_rows(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -183,13 +196,17 @@ def file_starts(spark: SparkSession, path: str) -> DataFrame:
     return ends.select("file_no", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("file_start"))
 
 
-def read_token_files(spark: SparkSession, path: str, columns: tuple[str, ...] = ("tokens",)) -> DataFrame:
+def read_token_files(spark: SparkSession, path: str, tokens: bool = True, crc32: bool = False) -> DataFrame:
     """``doc_id``, ``start`` (ids of all documents before), ``n_tokens`` and more columns.
 
-    Without ``tokens`` among the columns, ids are not read. Filters on ``doc_id`` reach
-    the files, whose statistics and page indexes skip what lies outside.
+    With ``crc32``, ``ids_crc32`` stands in place of the ids, which then go no further
+    than the task that reads them. Without ``tokens``, ids are not read at all. Filters on
+    ``doc_id`` reach the files, whose statistics and page indexes skip what lies outside.
     """
+    columns = ["tokens"] if tokens or crc32 else []
     rows = _files(spark, path).select("file_no", "doc_id", "at", "n_tokens", *columns)
+    if crc32:
+        rows, columns = with_crc32(rows), ["ids_crc32"]
     joined = rows.join(file_starts(spark, path), "file_no")
     return joined.select("doc_id", (F.col("file_start") + F.col("at")).alias("start"), "n_tokens", *columns)
 
