@@ -1,6 +1,9 @@
 """Surrogates: what is found, formats, coreference and distinctness."""
 
 import re
+from string import ascii_lowercase as LETTERS
+
+from pyspark.sql import functions as F
 
 from warcloom.llm import surrogates
 from warcloom.llm.common import table
@@ -67,6 +70,42 @@ def test_distinct_entities_stay_distinct(spark):
     assert not set(made) & set(names)
 
 
+def test_exhausted_forms_get_wider(spark):
+    """Kinds of which every form, or almost every one, is a real entity."""
+    entities = [("phone", f"+25{k}") for k in range(10)] + [("email", f"{a}@{b}.de") for a in LETTERS for b in LETTERS]
+    entities += [("email", "_@-.de"), ("email", "%@-.de"), ("ssn", "123456789"), ("card", "4242424242424242"), ("ip", "25.86.162.211")]
+    rows = surrogates.assign(spark.createDataFrame(entities, "kind string, entity string"), "k").collect()
+    assert sorted((r.kind, r.entity) for r in rows) == sorted(entities)
+    made = {(r.kind, r.surrogate) for r in rows}
+    assert len(made) == len(entities) and not made & set(entities)
+
+
+def test_wider_forms(spark):
+    """What the draws beyond the usual ones give, and how it is written into a mention."""
+    mentions = [("ip", "25.86.162.211"), ("phone", "+250 (12) 34-567"), ("phone", "(386) 555-3733"), ("ssn", "123-45-6789"), ("card", "4242 4242 4242 4242"), ("email", "A@B.DE")]
+    frame = spark.createDataFrame(mentions, "kind string, value string")
+    kind, entity = F.col("kind"), surrogates.canonical(F.col("kind"), F.col("value"))
+    candidate = surrogates.surrogate(kind, entity, F.sha2(F.col("value"), 256), F.lit(surrogates.OWN_FORMS + 1))
+    rows = frame.select("kind", "value", surrogates.rendered(kind, F.col("value"), candidate).alias("new")).collect()
+    wanted = {
+        "25.86.162.211": r"2001:db8(:[0-9a-f]{4}){6}", "+250 (12) 34-567": r"\+\d{3} \(\d\d\) \d\d-\d{5}",
+        "(386) 555-3733": r"\(\d{3}\) \d{3}-\d{6}", "123-45-6789": r"\d{3}-\d\d-\d{6}",
+        "4242 4242 4242 4242": r"4\d{3} \d{4} \d{4} \d{6}", "A@B.DE": r"[A-Z]{3}@[A-Z]\.DE",
+    }
+    assert len(rows) == len(wanted) and all(re.fullmatch(wanted[r.value], r.new) for r in rows), rows
+    assert all(luhn(r.new) for r in rows if r.kind == "card")
+
+
+def test_short_numbers_are_no_phones(text_rows):
+    texts = [f"+25{k} points, a{k}@mail.example.com or +25{k} 12-34" for k in range(10)] + ["+1500 a@b.de, +683 4002, +6834002 and +250  1234567"]
+    rows = surrogates.pseudonymized(text_rows(list(enumerate(texts))), "k").orderBy("doc_id").collect()
+    for k, r in enumerate(rows[:10]):
+        m = re.fullmatch(rf"\+25{k} points, [a-z]\d@[a-z]{{4}}\.[a-z]{{7}}\.com or \+25(\d) (\d\d)-(\d\d)", r.text)
+        assert m and "".join(m.groups()) != f"{k}1234" and r.kinds == "email,phone"
+    last = re.fullmatch(r"\+1500 [a-z]@[a-z]\.de, \+68(\d \d{4}), \+68(\d{5}) and \+250  1234567", rows[10].text)
+    assert last and last[1].replace(" ", "") == last[2] != "34002"
+
+
 def test_documents_table(spark):
     docs = table(spark, SF_DIR, "documents")
     simple = re.compile(r"[\w.%+-]+@[\w.-]+\.[a-z]{2,}|\+1 \(\d{3}\) \d{3}-\d{4}|(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.])")

@@ -8,15 +8,21 @@ keep their case and script, a woman's name stays a woman's, a card stays a valid
 
 A surrogate follows from a secret key, the kind and the canonical form. Candidates are
 checked against one another and against all real entities of the table; an entity whose
-candidate is taken draws again. So distinct entities stay distinct, and no surrogate is
+candidate is taken draws again, and after some draws gets longer or wider forms, of which
+there are always enough. So distinct entities stay distinct, and no surrogate is
 somebody else's data. With one key, a table always gets the same surrogates.
 
+A number behind a plus sign is a phone number from 7 digits on, the length of the
+shortest international ones.
+
 Null texts stay null. Rows equal in id and text get the same result, and rows without an
 id are treated like others. All of it is DataFrame functions.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,20 +55,23 @@ CARD = (
     r"[3-6][0-9]{3}(?:\x20[0-9]{4}){3}|[3-6][0-9]{3}(?:-[0-9]{4}){3}|"
     r"3[47][0-9]{2}[\x20-][0-9]{6}[\x20-][0-9]{5}|[3-6][0-9]{12,18}"
 )
+#: Seven digits, written as those of phone numbers are.
+PLAUSIBLE = r"[(]?[0-9](?:[)]?[\x20.-]?[(]?[0-9]){6}"
 #: In this order; a place belongs to the first that matches there.
 PATTERNS = (
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)*[.][A-Za-z]{2,}"),
     ("ip", r"(?<![0-9.])(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:[.](?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}(?![0-9]|[.][0-9])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     ("card", rf"(?<![0-9])(?:{CARD})(?![0-9])"),
-    ("phone", r"(?<![0-9+])[+][0-9]{1,3}(?:[\x20.-]?[(]?[0-9]{1,4}[)]?){2,5}(?![0-9])"),
+    ("phone", rf"(?<![0-9+])[+](?={PLAUSIBLE})[0-9]{{1,3}}(?:[\x20.-]?[(]?[0-9]{{1,4}}[)]?){{2,5}}(?![0-9])"),
     ("phone", r"(?<![0-9(])[(]?[2-9][0-9]{2}[)]?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])"),
     ("person", PERSON),
 )
 ANY = "|".join(f"(?:{p})" for _, p in PATTERNS)
 #: What a text must have for any pattern to match: cheap to look for.
 DIGITS = r"[0-9][0-9().\x20-]{5,}[0-9]"
-ROUNDS = 64
+#: Draws in the format of the entity itself; each further one adds to the forms.
+OWN_FORMS = 8
 
 
 def may_hold(text: Column) -> Column:
@@ -142,27 +151,44 @@ def luhn_rest(number: Column) -> Column:
 
 
 def surrogate(kind: Column, entity: Column, seed: Column, attempt: Column) -> Column:
-    """A candidate for the canonical form of an entity's surrogate."""
+    """A candidate for the canonical form of an entity's surrogate.
+
+    From the attempt ``OWN_FORMS`` on, forms get wider: phone numbers get another country
+    code, and with each attempt one more digit, as cards and social security numbers do;
+    e-mails get one more letter, and IP addresses are of the IPv6 range for documentation.
+    Persons get more syllables anyway.
+    """
+    further = attempt - F.lit(OWN_FORMS) + 1
+    wide = further > 0
+
+    def more(char: Callable[[Column], Column]) -> Column:
+        return F.when(wide, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), further)), char), "")).otherwise(F.lit(""))
+
+    more_digits = more(lambda i: draw(seed, F.lit(1000) + i, 10).cast("string"))
+    more_letters = more(lambda i: F.chr(F.lit(97) + draw(seed, F.lit(1000) + i, 26)))
     host = F.regexp_extract(entity, "@(.*)[.][a-z]+$", 1)
     email = F.concat(
-        shaped(F.substring_index(entity, "@", 1), F.concat(seed, F.lit("l"))), F.lit("@"),
+        shaped(F.substring_index(entity, "@", 1), F.concat(seed, F.lit("l"))), more_letters, F.lit("@"),
         shaped(host, F.sha2(F.concat(seed, F.lit("h")), 256)), F.lit("."), F.substring_index(entity, ".", -1),
     )
     ip = F.concat_ws(".", (F.lit(11) + draw(seed, 1, 89)).cast("string"), *[draw(seed, k, 256).cast("string") for k in (2, 3, 4)])
+    groups = F.regexp_extract_all(F.substring(F.sha2(seed, 256), 1, 24), F.lit("[0-9a-f]{4}"), F.lit(0))
+    ip = F.when(wide, F.concat(F.lit("2001:db8:"), F.array_join(groups, ":"))).otherwise(ip)
     # Phone numbers keep their country code; area and exchange don't begin with 0 or 1.
     code = F.regexp_extract(entity, "^([+](?:1|7|[2-689][0-9]))", 1)
+    code = F.when(wide, F.regexp_extract(entity, "^([+]?)", 1)).otherwise(code)
     rest = F.substring(entity, F.length(code) + 1, F.lit(40))
     drawn = shaped(rest, seed)
     first = lambda c: F.translate(c, "01", "23")
     phone = F.concat(
         code, first(F.substring(drawn, 1, 1)), F.substring(drawn, 2, 2), first(F.substring(drawn, 4, 1)),
-        F.substring(drawn, F.lit(5), F.lit(40)),
+        F.substring(drawn, F.lit(5), F.lit(40)), more_digits,
     )
-    body = F.concat(F.substring(entity, 1, 1), shaped(F.substring(entity, F.lit(2), F.length(entity) - 2), seed))
+    body = F.concat(F.substring(entity, 1, 1), shaped(F.substring(entity, F.lit(2), F.length(entity) - 2), seed), more_digits)
     # The last digit makes the number valid if the real one is.
     check = F.pmod(F.lit(10) - luhn_rest(F.concat(body, F.lit("0"))), F.lit(10))
     card = F.concat(body, F.when(luhn_rest(entity) == 0, check).otherwise(draw(seed, 99, 10)).cast("string"))
-    ssn = shaped(entity, seed)
+    ssn = F.concat(shaped(entity, seed), more_digits)
     parts = F.split(entity, "[|]")
     person = F.when(F.lit(False), F.lit(""))
     for (sex, writing), ending in ENDINGS.items():
@@ -178,12 +204,13 @@ def surrogate(kind: Column, entity: Column, seed: Column, attempt: Column) -> Co
 
 
 def in_place(value: Column, number: Column) -> Column:
-    """The digits of a mention replaced one by one, its signs as they are."""
+    """The digits of a mention replaced one by one, its signs as they are; the last by all that are left."""
+    last = F.length(digits(value))
 
     def char(i: Column) -> Column:
         c = F.substring(value, i, F.lit(1))
         at = F.length(digits(F.substring(value, F.lit(1), i)))
-        return F.when(F.regexp(c, F.lit("[0-9]")), F.substring(number, at, F.lit(1))).otherwise(c)
+        return F.when(F.regexp(c, F.lit("[0-9]")), F.substring(number, at, F.when(at == last, F.length(number)).otherwise(F.lit(1)))).otherwise(c)
 
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(value)), char), "")
 
@@ -202,11 +229,12 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
 
     Round by round: what collides with an earlier surrogate, with a real entity, or with
     a smaller entity's candidate draws again. More than a few rounds are only needed
-    where a kind has almost as many entities as there are forms.
+    where a kind has almost as many entities as there are forms; from ``OWN_FORMS`` on,
+    the forms multiply with each round, so all entities are settled soon.
     """
     entities = staged(entities, "entities")
     pending, done = entities.withColumn("attempt", F.lit(0)), None
-    for _ in range(ROUNDS):
+    while True:
         seed = F.sha2(F.concat_ws("\x00", F.lit(key), "kind", "entity", F.col("attempt").cast("string")), 256)
         made = staged(
             pending.select("kind", "entity", "attempt", surrogate(F.col("kind"), F.col("entity"), seed, F.col("attempt")).alias("surrogate")),
@@ -223,7 +251,6 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         pending = judged.filter("NOT free").select("kind", "entity", (F.col("attempt") + 1).alias("attempt"))
         if pending.isEmpty():
             return done
-    raise ValueError("a kind of entity has no free surrogates left")
 
 
 def pseudonymized(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
