@@ -28,8 +28,8 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap no item of ``benchmark``."""
-    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+    """Documents whose own text overlaps no item of ``benchmark``, whatever other rows have their id."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"), together=False)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

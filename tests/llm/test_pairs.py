@@ -180,6 +180,20 @@ def test_overlaps(spark, text_rows):
     assert sorted(map(str, (r.doc_id for r in left))) == sorted(str(d) for d, _ in docs if d not in bad)
 
 
+def test_clean_decides_by_text(spark, text_rows):
+    """One contaminated row takes no clean row of its id, or without an id, with it."""
+    item = " ".join(f"v{k}" for k in range(20))
+    rows = [(None, "before " + item), (None, "a clean text"), (None, None), (5, item + " after"), (5, "another clean one"), (5, ""), (6, item)]
+    docs, bench = text_rows(rows), spark.createDataFrame([(1, item)], "item_id long, text string")
+    left = decontaminate.clean(docs, bench, together=False)
+    assert left.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in left.collect()), key=str)
+    assert got == sorted([(None, "a clean text"), (None, None), (5, "another clean one"), (5, "")], key=str)
+    # Where rows of an id are asked to go together, those without an id still don't.
+    got = sorted(((r.doc_id, r.text) for r in decontaminate.clean(docs, bench).collect()), key=str)
+    assert got == sorted([(None, "a clean text"), (None, None)], key=str)
+
+
 def test_overlaps_of_nothing(spark, text_rows):
     bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")

@@ -239,10 +239,20 @@ def overlaps(
     )
 
 
-def clean(docs: DataFrame, items: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without any overlap. Rows that share an id go or stay together.
+def clean(
+    docs: DataFrame, items: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text", together: bool = True
+) -> DataFrame:
+    """The documents whose own text overlaps no item.
 
-    Rows without an id stay only if no row without an id overlaps.
+    Rows that share an id go or stay together, unless ``together`` is false. Rows without
+    an id are decided one by one either way. A text is known by its hash.
     """
-    bad = staged(overlaps(docs, items, percent, doc_id=doc_id, text=text).select(F.col("doc_id").alias("__bad")).distinct(), "bad")
-    return docs.join(bad, F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col("__bad")), "left_anti")
+    known = docs.withColumn("__hash", F.xxhash64(F.col(f"`{text}`").cast("string")))
+    found = overlaps(known, items, percent, doc_id="__hash", text=text)
+    bad = staged(found.select(F.col("doc_id").alias("__bad")).distinct(), "bad")
+    left = known.join(bad, F.col("__hash") == F.col("__bad"), "left_anti")
+    if together:
+        own = F.col(f"`{doc_id}`").cast("long")
+        ids = known.join(bad, F.col("__hash") == F.col("__bad"), "left_semi").select(own.alias("__id")).distinct()
+        left = left.join(staged(ids, "bad_ids"), own == F.col("__id"), "left_anti")
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
