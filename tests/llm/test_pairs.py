@@ -140,6 +140,20 @@ def test_one_of_each(text_rows):
     assert got == sorted([(5, long), (None, "no id at all"), (1, None), (2, ""), (5, "other text")], key=str)
 
 
+def test_one_of_each_of_a_repeated_id(text_rows):
+    """Similar texts of one id are one component, of which one row stays; others of the id stay too."""
+    long = " ".join(f"w{k}" for k in range(200))
+    copies = [(5, long), (5, long + " more"), (5, "first " + long), (None, long + " end"), (8, long)]
+    other = " ".join(f"o{k}" for k in range(50))
+    rows = [*copies, (5, other), (5, other + " more"), (5, "a third text of the id"), (5, ""), (5, None)]
+    got = [(r.doc_id, r.text) for r in near_dups.one_of_each(text_rows(rows)).collect()]
+    of_long = [r for r in got if r in copies]
+    of_other = [r for r in got if (r[1] or "").startswith(other)]
+    assert len(of_long) == len(of_other) == 1 and of_long[0][0] == of_other[0][0] == 5
+    rest = [r for r in got if r not in of_long + of_other]
+    assert sorted(rest, key=str) == sorted([(5, "a third text of the id"), (5, ""), (5, None)], key=str)
+
+
 def test_near_duplicates_of_nothing(text_rows):
     assert near_dups.near_duplicates(text_rows([])).count() == 0
     assert near_dups.one_of_each(text_rows([])).count() == 0

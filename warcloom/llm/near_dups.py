@@ -249,10 +249,12 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(
     docs: DataFrame, size: int = 5, percent: int = 80, bands: int = 40, rows: int = 5,
-    doc_id: str = "doc_id", text: str = "text",
+    doc_id: str = "doc_id", text: str = "text", labelled: bool = False,
 ) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``text_hash`` for every row.
 
+    With ``labelled`` also ``label``, which tells apart components of the same id; it
+    is null for texts without shingles.
     Documents are linked if 100 * intersection >= ``percent`` * union of their sets.
     """
     body = F.col(f"`{text}`").cast("string")
@@ -292,29 +294,36 @@ def near_duplicates(
     placed = classes.select("node", "least_id").join(labels, "node", "left")
     placed = staged(placed.select("node", "least_id", F.coalesce("label", "node").alias("label")), "placed")
     least = staged(placed.groupBy("label").agg(F.min("least_id").alias("component_id")), "least")
-    of_class = staged(placed.select("node", "label").join(least, "label").select("node", "component_id"), "of_class")
-    every = signed.select("doc_id", "text_hash", "n_shingles", "node").join(of_class, "node", "left")
+    of_class = staged(placed.select("node", "label").join(least, "label").select("node", "component_id", "label"), "of_class")
+    every = signed.select("doc_id", "text_hash", "n_shingles", "node").join(of_class if labelled else of_class.drop("label"), "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return every.select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"), "text_hash",
+        *(["label"] if labelled else []),
     )
 
 
 def one_of_each(
     docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The documents less all but one of each component: that with the smallest id.
+    """The documents less all but one row of each component.
 
-    Rows equal in id and text count once. Of documents without an id, which rank behind
-    all others, one stays where the component has no id.
+    That is the row with the smallest id, and of rows that share this id, the one with the
+    smallest hash of the text. Of documents without an id, which rank behind all others,
+    one stays where the component has no id. Texts without shingles are in no component:
+    of them, rows equal in id and text count once.
     """
     stand_in = F.lit(1 << 62) + F.xxhash64(F.col(f"`{text}`")).bitwiseAND(F.lit((1 << 61) - 1))
     known = docs.withColumn("__id", F.coalesce(F.col(f"`{doc_id}`").cast("long"), stand_in))
     known = known.withColumn("__hash", F.xxhash64(F.col(f"`{text}`").cast("string")))
-    decided = near_duplicates(known, size, percent, doc_id="__id", text=text)
-    kept = staged(decided.filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "kept")
-    left = known.join(kept, ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"])
+    decided = near_duplicates(known, size, percent, doc_id="__id", text=text, labelled=True)
+    rows = decided.filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "n_shingles", "label")
+    rows = staged(rows.distinct(), "kept")
+    # A component without links has a label of its own, so two of the same id aren't mixed up.
+    first = rows.filter("n_shingles > 0").groupBy("label").agg(F.min(F.struct("__id", "__hash")).alias("first"))
+    kept = first.select("first.__id", "first.__hash").union(rows.filter("n_shingles = 0").select("__id", "__hash"))
+    left = known.join(staged(kept, "first"), ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"])
     return left.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
