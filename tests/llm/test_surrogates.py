@@ -106,6 +106,35 @@ def test_short_numbers_are_no_phones(text_rows):
     assert last and last[1].replace(" ", "") == last[2] != "34002"
 
 
+def test_whole_names(text_rows):
+    """All names behind a title, and those of the same text without one."""
+    rows = [
+        (1, "Mr. John Smith called. Mr Smith and John Smith's friend SMITH; a smith, Smithson, Mrs Smith."),
+        (2, "Prof. Dr. Anna-Lena O'Neill met Dr Jane R. Doe and Frau Doe. Later Doe, O'Neill and A. left. Herr Dr. J. S. Bach"),
+        (3, "Smith and John are not named here, x@y.de; Dr. no, Dear Sir I am, Mr"),
+        (4, "Herr Ludwig van Beethoven, Mr John Smith Mrs Doe; van Beethoven; Dr Иванов"),
+        (None, "Dr. Smith, dr. Smith. Smith-Jones"),
+    ]
+    texts = {r.doc_id: r for r in surrogates.pseudonymized(text_rows(rows), "k").collect()}
+    word = r"([A-Z][a-z]+)"
+    first = re.fullmatch(rf"Mr\. {word} {word} called\. Mr {word} and {word} {word}'s friend ([A-Z]+); a smith, Smithson, Mrs {word}\.", texts[1].text)
+    john, smith, *others, woman = first.groups()
+    assert others == [smith, john, smith, smith.upper()] and john != smith and john.endswith("o") and woman.endswith("ina")
+    # Mentions: three with a title, and John, Smith and SMITH.
+    assert not {john, smith} & {"John", "Smith"} and (texts[1].n_entities, texts[1].kinds) == (6, "person")
+    two = re.fullmatch(
+        rf"Prof\. Dr\. {word}-{word} O'{word} met Dr {word} ([A-Z])\. {word} and Frau {word}\. Later {word}, O'{word} and A\. left\. Herr Dr\. ([A-Z])\. ([A-Z])\. {word}",
+        texts[2].text,
+    )
+    assert two[6] == two[7] == two[8] and two[6].endswith("ina") and two[3] == two[9] and two[1].endswith("en") and two[12].endswith("o")
+    assert not set(two.groups()) & {"Anna", "Lena", "Neill", "Jane", "Doe", "Bach"}
+    assert re.fullmatch(r"Smith and John are not named here, [a-z]@[a-z]\.de; Dr\. no, Dear Sir I am, Mr", texts[3].text)
+    four = re.fullmatch(rf"Herr {word} van {word}, Mr {word} {word} Mrs {word}; van {word}; Dr (\w+)", texts[4].text)
+    assert four[3] == john and four[4] == smith and four[5] == two[6] and four[2] == four[6] and four[7].endswith("ин")
+    last = re.fullmatch(rf"Dr\. {word}, dr\. {word}\. {word}-Jones", texts[None].text)
+    assert last[1] == last[2] == last[3] != "Smith"
+
+
 def test_documents_table(spark):
     docs = table(spark, SF_DIR, "documents")
     simple = re.compile(r"[\w.%+-]+@[\w.-]+\.[a-z]{2,}|\+1 \(\d{3}\) \d{3}-\d{4}|(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.])")

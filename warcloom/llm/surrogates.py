@@ -1,7 +1,10 @@
 """Personal data replaced by surrogates: keyed, of the same kind and format, and distinct.
 
 Detected are e-mail addresses, IP addresses, phone numbers, payment cards, social
-security numbers and persons named with a title. A mention's canonical form (digits
+security numbers and persons named with a title, by all names that follow it. Each name is
+an entity of its own, and further mentions of it in the same text are replaced too. With a
+title of no gender, or none, a name is that of a person of the text with a gender, where
+there is one. Of other kinds, a mention's canonical form (digits
 alone, lowered letters) is the entity, so differently written mentions of one entity
 get the same surrogate, each in its own format: digits replace digits in place, letters
 keep their case and script, a woman's name stays a woman's, a card stays a valid card.
@@ -36,6 +39,9 @@ TITLES = {
     ("m", "cyrillic"): ("господин", "Господин"),
     ("f", "greek"): ("κυρία", "Κυρία"),
     ("m", "greek"): ("κύριος", "Κύριος"),
+    ("n", "latin"): ("Dr", "Prof", "Doctor", "Professor", "Mx"),
+    ("n", "cyrillic"): ("доктор", "Доктор", "профессор", "Профессор"),
+    ("n", "greek"): ("δρ", "Δρ"),
 }
 #: Syllables of invented names, and their endings by gender.
 SYLLABLES = {
@@ -45,11 +51,19 @@ SYLLABLES = {
 }
 ENDINGS = {
     ("f", "latin"): "ina", ("m", "latin"): "o", ("f", "cyrillic"): "ова", ("m", "cyrillic"): "ов",
-    ("f", "greek"): "ου", ("m", "greek"): "ος",
+    ("f", "greek"): "ου", ("m", "greek"): "ος", ("n", "latin"): "en", ("n", "cyrillic"): "ин", ("n", "greek"): "ης",
 }
 
 _TITLE = "|".join(t for titles in TITLES.values() for t in titles)
-PERSON = rf"(?<![\p{{L}}])(?:{_TITLE})[.]?\x20\p{{Lu}}[\p{{L}}'-]+"
+_TITLES = rf"(?:(?:{_TITLE})[.]?\x20)+"
+_LETTER = r"[\p{L}\p{M}]"
+#: A name: no title, of two letters or more, and without the 's behind it.
+_NAME = rf"(?!(?:{_TITLE})(?!{_LETTER}))(?:[dlDLO]['’])?\p{{Lu}}{_LETTER}++(?:['’-](?!s(?!{_LETTER})){_LETTER}++)*+"
+#: What may stand before a name: initials and particles.
+_BEFORE = r"(?:\p{Lu}(?:[.]-?\x20?|\x20)|(?:von|van|der|den|de|del|della|di|da|dos|du|zu|bin|ibn|al|el)\x20)*"
+PERSON = rf"(?<![\p{{L}}]){_TITLES}{_BEFORE}{_NAME}(?:\x20{_BEFORE}{_NAME})*+(?:\x20\p{{Lu}}(?=[.]))?"
+#: The names and initials in what follows the titles; also the words that may be names.
+PART = rf"(?<!{_LETTER})(?!{_LETTER}['’]{_LETTER})(?:\p{{Lu}}|(?<=['’-])\p{{L}}){_LETTER}*+"
 #: Card numbers in groups of four, in the groups of 15 digits, or written together.
 CARD = (
     r"[3-6][0-9]{3}(?:\x20[0-9]{4}){3}|[3-6][0-9]{3}(?:-[0-9]{4}){3}|"
@@ -95,30 +109,57 @@ def digits(value: Column) -> Column:
 
 
 def canonical(kind: Column, value: Column) -> Column:
-    """What identifies the entity of a mention."""
-    name = F.regexp_extract(value, r"(\p{Lu}[\p{L}'-]+)$", 1)
-    person = F.concat_ws("|", gender(value), script(value), F.lower(name))
+    """What identifies the entity of a mention; for persons see ``name_entities``."""
     plus = F.when(F.startswith(value, F.lit("+")), F.lit("+")).otherwise(F.lit(""))
     number = F.concat(plus, digits(value))
     return (
         F.when(kind == "email", F.lower(value)).when(kind == "ip", value)
-        .when(kind == "person", person).when(kind == "phone", number).otherwise(digits(value))
+        .when(kind == "phone", number).otherwise(digits(value))
     )
 
 
-def _title_group(value: Column, part: int) -> Column:
+def gender(value: Column) -> Column:
+    """That of the first title that has one: f, m, or n."""
+    neutral = "|".join(t for (sex, _), titles in TITLES.items() if sex == "n" for t in titles)
     choice = F.when(F.lit(False), F.lit(""))
-    for group, titles in TITLES.items():
-        choice = choice.when(F.regexp(value, F.lit(rf"^(?:{'|'.join(titles)})[.]?\x20")), F.lit(group[part]))
-    return choice.otherwise(F.lit(("m", "latin")[part]))
+    for (sex, _), titles in TITLES.items():
+        if sex != "n":
+            choice = choice.when(F.regexp(value, F.lit(rf"^(?:(?:{neutral})[.]?\x20)*(?:{'|'.join(titles)})[.]?\x20")), F.lit(sex))
+    return choice.otherwise(F.lit("n"))
 
 
-def gender(value: Column) -> Column:
-    return _title_group(value, 0)
+def script(name: Column) -> Column:
+    choice = F.when(F.regexp(name, F.lit(r"^\p{IsCyrillic}")), F.lit("cyrillic"))
+    return choice.when(F.regexp(name, F.lit(r"^\p{IsGreek}")), F.lit("greek")).otherwise(F.lit("latin"))
+
+
+def titles_of(value: Column) -> Column:
+    return F.regexp_extract(value, rf"^({_TITLES})", 1)
+
 
+def names_of(value: Column) -> Column:
+    """What follows the titles of a person."""
+    return F.substring(value, F.length(titles_of(value)) + 1, F.length(value))
 
-def script(value: Column) -> Column:
-    return _title_group(value, 1)
+
+def name_entities(mention: DataFrame) -> DataFrame:
+    """``__id``, ``__hash``, ``value``, ``entity``: the names in the persons of each text.
+
+    ``value`` is what a name is looked up by, gender and lowered name, or the name alone
+    for mentions without a title. Initials aren't looked up without one.
+    """
+    part = F.explode(F.array_distinct(F.transform(F.regexp_extract_all(names_of(F.col("value")), F.lit(PART), F.lit(0)), lambda w: F.lower(w))))
+    each = mention.select("__id", "__hash", "at", gender(F.col("value")).alias("sex"), part.alias("name"))
+    # The first mention with a gender decides for those without one.
+    best = F.min(F.struct((F.col("sex") == "n").alias("neutral"), "at", "sex")).alias("best")
+    of_name = each.groupBy("__id", "__hash", "name").agg(F.collect_set("sex").alias("sexes"), best)
+    first = F.col("best.sex")
+    asked = F.when(F.length("name") > 1, F.concat("sexes", F.array(F.lit("")))).otherwise(F.col("sexes"))
+    looked_up = of_name.select("__id", "__hash", "name", first.alias("first"), F.explode(asked).alias("sex"))
+    used = F.when(F.col("sex").isin("f", "m"), F.col("sex")).otherwise(F.col("first"))
+    return looked_up.select(
+        "__id", "__hash", F.concat_ws("|", "sex", "name").alias("value"), F.concat_ws("|", used, script(F.col("name")), "name").alias("entity")
+    )
 
 
 def draw(seed: Column, place: Column | int, n: int) -> Column:
@@ -216,14 +257,33 @@ def in_place(value: Column, number: Column) -> Column:
 
 
 def rendered(kind: Column, value: Column, replacement: Column) -> Column:
-    """A surrogate in the format of a mention."""
+    """A surrogate in the format of a mention; for persons, the name as it is looked up."""
     local = F.when(F.upper(value) == value, F.upper(replacement)).otherwise(replacement)
-    name = F.initcap(F.get(F.split(replacement, "[|]"), F.lit(2)))
-    person = F.concat(F.regexp_extract(value, r"^(.*\x20)", 1), name)
+    person = F.get(F.split(replacement, "[|]"), F.lit(2))
     numbers = in_place(value, digits(replacement))
     return F.when(kind == "email", local).when(kind == "ip", replacement).when(kind == "person", person).otherwise(numbers)
 
 
+def renamed(text: Column, sex: Column, lookup: Column) -> Column:
+    """Names of a text replaced as far as they are known, in the case in which they stand there."""
+
+    def name(word: Column) -> Column:
+        new = F.element_at(lookup, F.concat_ws("|", sex, F.lower(word)))
+        short = F.length(word) == 1
+        new = F.when(short, F.substring(new, 1, 1)).otherwise(new)
+        cased = F.when(F.lower(word) == word, new).when((F.upper(word) == word) & ~short, F.upper(new)).otherwise(F.initcap(new))
+        return F.coalesce(cased, word)
+
+    words = F.transform(F.regexp_extract_all(text, F.lit(PART), F.lit(0)), name)
+    return F.array_join(F.zip_with(F.split(text, F.lit(PART), -1), words, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+
+
+def n_renamed(text: Column, lookup: Column) -> Column:
+    """How many names without a title a text holds."""
+    words = F.regexp_extract_all(text, F.lit(PART), F.lit(0))
+    return F.size(F.filter(words, lambda w: F.element_at(lookup, F.concat(F.lit("|"), F.lower(w))).isNotNull()))
+
+
 def assign(entities: DataFrame, key: str) -> DataFrame:
     """``kind``, ``entity``, ``surrogate`` for distinct entities; surrogates are distinct.
 
@@ -256,7 +316,7 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
 def pseudonymized(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with surrogates in ``text``; adds ``n_entities`` and ``kinds``.
 
-    ``n_entities`` (long) counts mentions, ``kinds`` (string) lists their kinds, sorted.
+    ``n_entities`` (long) counts mentions, those of persons without a title too, ``kinds`` (string) lists their kinds, sorted.
     """
     kept = without(docs, ["n_entities", "kinds"])
     body = F.col(f"`{text}`")
@@ -265,9 +325,12 @@ def pseudonymized(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str =
     marked = kept.withColumn("__values", F.coalesce(values, F.array().cast("array<string>")))
     some = marked.filter(F.size("__values") > 0).withColumn("__hash", F.xxhash64(body))
 
-    mention = some.select(F.col(f"`{doc_id}`").alias("__id"), "__hash", F.explode(F.array_distinct("__values")).alias("value"))
+    mention = some.select(F.col(f"`{doc_id}`").alias("__id"), "__hash", F.posexplode(F.array_distinct("__values")).alias("at", "value"))
     mention = mention.withColumn("kind", kind_of(F.col("value")))
-    mention = staged(mention.withColumn("entity", canonical(F.col("kind"), F.col("value"))).distinct(), "mentions")
+    mention = staged(mention, "found")
+    plain = mention.filter("kind <> 'person'").drop("at").withColumn("entity", canonical(F.col("kind"), F.col("value")))
+    people = name_entities(mention.filter("kind = 'person'")).withColumn("kind", F.lit("person"))
+    mention = staged(plain.unionByName(people).distinct(), "mentions")
     chosen = staged(assign(mention.select("kind", "entity").distinct(), key), "surrogates")
     shown = mention.join(chosen, ["kind", "entity"]).select(
         "__id", "__hash", "kind", "value", rendered(F.col("kind"), F.col("value"), F.col("surrogate")).alias("new")
@@ -279,10 +342,18 @@ def pseudonymized(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str =
     met = some.join(of_text, (F.col(f"`{doc_id}`").eqNullSafe(F.col("__id"))) & (F.col("__hash") == F.col("__own")))
     between = F.split(body, F.lit(ANY), -1)
     lookup = F.map_from_entries("__new")
-    pieces = F.zip_with(between, F.transform("__values", lambda v: F.element_at(lookup, v)), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+
+    def replaced(value: Column) -> Column:
+        person = F.concat(titles_of(value), renamed(names_of(value), gender(value), lookup))
+        return F.when(kind_of(value) == "person", person).otherwise(F.element_at(lookup, value))
+
+    named = F.array_contains("__kinds", "person")
+    rest = F.when(named, F.transform(between, lambda b: renamed(b, F.lit(""), lookup))).otherwise(between)
+    further = F.when(named, F.aggregate(between, F.lit(0), lambda n, b: n + n_renamed(b, lookup))).otherwise(F.lit(0))
+    pieces = F.zip_with(rest, F.transform("__values", replaced), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
     columns = [F.col(f"`{c}`") for c in kept.columns if c.lower() != text.lower()]
     changed = met.select(
-        *columns, F.array_join(pieces, "").alias(text), F.size("__values").cast("long").alias("n_entities"),
+        *columns, F.array_join(pieces, "").alias(text), (F.size("__values") + further).cast("long").alias("n_entities"),
         F.array_join(F.array_sort("__kinds"), ",").alias("kinds"),
     )
     same = marked.filter(F.size("__values") == 0).select(
