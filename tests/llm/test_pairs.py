@@ -131,6 +131,17 @@ def test_signatures_meet_as_often_as_sets_agree():
     assert met == 300 and near_dups.chance_to_meet(0.8) > 1 - 1e-6
 
 
+@pytest.mark.parametrize("n", [5, 6, 10])
+def test_small_sets_meet(n):
+    """Sets of a few shingles, where nearly all bins are empty, that differ in one of them."""
+    rng = np.random.default_rng(n)
+    bands = shingles.Bands(40, 5)
+    with np.errstate(over="ignore"):
+        for _ in range(4_000):
+            a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+            assert (bands.keys(a) == bands.keys(np.delete(a, rng.integers(n)))).any()
+
+
 def test_one_of_each(text_rows):
     long = " ".join(f"w{k}" for k in range(200))
     rows = [(5, long), (5, long), (9, long + " more"), (None, long), (None, "no id at all"), (None, "no id at all"), (1, None), (2, ""), (5, "other text")]

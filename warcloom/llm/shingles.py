@@ -73,6 +73,8 @@ class Bands:
         rng = np.random.default_rng(seed)
         self.edges = np.array([-(-(i << 64) // bins) for i in range(bins)], dtype=np.uint64)
         self.probes = rng.integers(0, bins, (bins, PROBES))
+        # Where the probes meet no full bin, all bins follow in an order of each bin's own.
+        self.ranks = np.argsort(np.random.default_rng(seed + 1).random((bins, bins)), axis=1).argsort(axis=1)
         self.scale = rng.integers(1, 1 << 63, rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.salt = mixed(np.arange(1, bands + 1, dtype=np.uint64) * ODD)
 
@@ -92,9 +94,8 @@ class Bands:
                 if not len(left):
                     break
             if len(left):
-                # Very few full bins: the sequence ends with them in a fixed order.
                 donors = np.nonzero(full)[0]
-                value[left] = value[donors[mixed(left.astype(np.uint64)) % np.uint64(len(donors))]]
+                value[left] = value[donors[self.ranks[np.ix_(left, donors)].argmin(axis=1)]]
         return value
 
     def keys(self, shingles: np.ndarray) -> np.ndarray:
