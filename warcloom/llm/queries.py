@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warcloom.llm import bpe, decontaminate, licenses, near_dups, secret_scan, surrogates, token_files, topk, toxicity, warc_files
+from warcloom.llm import (
+    bpe,
+    decontaminate,
+    divergence,
+    filter_audit,
+    licenses,
+    near_dups,
+    secret_scan,
+    stream_dedup,
+    surrogates,
+    token_files,
+    topk,
+    toxicity,
+    warc_files,
+)
 from warcloom.llm.oracle import ORACLE  # noqa: F401
 from warcloom.llm.common import stage_path, table
 
@@ -103,6 +117,18 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows, rows.filter("vec_id % 20 = 0"), 20)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"), min_docs=30, smooth=5, scale=1_000_000_000, top=50)
+
+
+def op12_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream_dedup.deduplicated(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_license_scan": op2_license_scan,
@@ -114,5 +140,8 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_surrogates": op9_surrogates,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_stream_dedup": op12_stream_dedup,
+    "op13_filter_audit": op13_filter_audit,
 }
 
