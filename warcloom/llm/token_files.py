@@ -13,14 +13,13 @@ texts have the end id alone.
 
 from __future__ import annotations
 
-import itertools
 import os
-import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,18 +29,43 @@ from warcloom.llm.bpe import packed
 from warcloom.llm.common import chunks, once_per_worker, row_type, texts_of
 
 SCHEMA = row_type(doc_id="long", at="long", n_tokens="long", tokens=T.ArrayType(T.IntegerType()))
-#: Bounds of the table of recent pieces, in entries and characters.
-CACHED_PIECES = 600_000
+#: Bounds of the tables of recent words and pieces, in entries and characters.
+CACHED_WORDS = 400_000
+CACHED_PIECES = 50_000
 CACHED_LENGTH = 48
 MARKS = ".,;:!?"
+#: Letters whose composed and lowered form is one letter of the same kind.
+LETTERS = "A-Za-zªµºÀ-ÖØ-öø-\u012f\u0131-ſ"
+SIMPLE = f"^[{LETTERS}]+[{MARKS}]?$"
+
+
+class Recent(dict):
+    """A table that forgets what wasn't asked for since it last was half full, and long keys."""
+
+    def __init__(self, entries: int) -> None:
+        self.entries, self.older = entries, {}
+
+    def learn(self, keys: list[str], make: Callable[[list[str]], list[bytes]]) -> None:
+        """Have the values of all ``keys``, which are distinct, in the table."""
+        if len(self) >= self.entries // 2:
+            self.older = {k: v for k, v in self.items() if len(k) <= CACHED_LENGTH}
+            self.clear()
+        older, fresh = self.older, [k for k in keys if k not in self]
+        self.update((k, older[k]) for k in fresh if k in older)
+        missing = [k for k in fresh if k not in older]
+        self.update(zip(missing, make(missing)))
 
 
 class PieceEncoder:
-    """Ids of a text from the ids of its pieces, by the ``tokenizers`` library.
+    """Ids of texts from the ids of their distinct words, by the ``tokenizers`` library.
 
-    A text is cut at spaces and line feeds. That is only right where the tokenizer drops
+    Texts are cut at spaces and line feeds. That is only right where the tokenizer drops
     white space and no token or normalisation reaches across it, which
     ``drops_white_space`` checks; otherwise texts are encoded whole.
+
+    Most pieces are a word and at most one mark, which never share a token. A word of
+    ``LETTERS``, lowered, goes to the library's model as it is, since none of the steps
+    before it would change or cut it; any other piece goes through the whole library.
     """
 
     def __init__(self, path: str) -> None:
@@ -55,10 +79,15 @@ class PieceEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.by_piece = self.drops_white_space(settings)
-        self.recent: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.older_words: dict[str, bytes] = {}
+        self.model = self.library.model
+        self.words, self.pieces = Recent(CACHED_WORDS), Recent(CACHED_PIECES)
+        if self.by_piece:
+            self.marks = [b"", *self.library_ids(list(MARKS))]
+            # The model gets bytes beyond ASCII as the letters that the library has for them.
+            from tokenizers.pre_tokenizers import ByteLevel
+
+            shown = ByteLevel(add_prefix_space=False, use_regex=False)
+            self.as_letters = {c: shown.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x180)}
 
     @staticmethod
     def drops_white_space(settings: dict) -> bool:
@@ -71,56 +100,59 @@ class PieceEncoder:
             and (steps[0]["behavior"], steps[0]["invert"]) == ("Removed", True)
             and not steps[1]["use_regex"]
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in settings["added_tokens"])
-            and not any(c.isspace() for t in settings["added_tokens"] for c in t["content"])
+            and not any(t["content"].isalpha() or any(map(str.isspace, t["content"])) for t in settings["added_tokens"])
         )
 
     def library_ids(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [packed(array("I", e.ids)) for e in found]
 
-    def core_of(self, piece: str) -> tuple[str, str]:
-        """A piece as a word and the mark behind it, if it is that simple.
-
-        Letters and marks never share a token, and ASCII letters count in lower case.
-        """
-        if not piece:
-            return "", ""
-        word, mark = (piece[:-1], piece[-1]) if piece[-1] in MARKS else (piece, "")
-        if not word.isalpha():
-            return piece, ""
-        if word.isascii():
-            return word.lower(), mark
-        # A letter may become a letter and a combining mark.
-        return (word, mark) if unicodedata.normalize("NFC", word).lower().isalpha() else (piece, "")
-
-    def learn(self, pieces: list[str]) -> None:
-        """Put the ids of new pieces into the tables."""
-        cores = [self.core_of(p) for p in pieces]
-        words = {w for core in cores for w in core if w and w not in self.words}
-        missing = [w for w in words if w not in self.older_words]
-        self.words.update((w, self.older_words[w]) for w in words if w in self.older_words)
-        self.words.update(zip(missing, self.library_ids(missing)))
-        known = self.words
-        self.recent.update((p, known[w] + known[m] if m else known[w]) for p, (w, m) in zip(pieces, cores))
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        cut, letters = self.model.tokenize, self.as_letters
+        return [packed(array("I", [t.id for t in cut(w if w.isascii() else w.translate(letters))])) for w in words]
+
+    def parts(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """For each of distinct pieces the places of its word and mark in a list of ids."""
+        simple = pc.match_substring_regex(pieces, SIMPLE)
+        plain = pieces.filter(simple)
+        last = pc.utf8_slice_codeunits(plain, -1)
+        mark = pc.index_in(last, pa.array(list(MARKS)))
+        words = pc.if_else(mark.is_valid(), pc.utf8_slice_codeunits(plain, 0, -1), plain)
+        words = pc.utf8_lower(words).dictionary_encode()
+        named, others = words.dictionary.to_pylist(), pieces.filter(pc.invert(simple)).to_pylist()
+        self.words.learn(named, self.word_ids)
+        self.pieces.learn(others, self.library_ids)
+        ids = [*self.marks, *map(self.words.__getitem__, named), *map(self.pieces.__getitem__, others)]
+        is_simple = np.asarray(simple)
+        word, behind = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        word[is_simple] = words.indices.to_numpy() + len(self.marks)
+        word[~is_simple] = np.arange(len(others)) + len(self.marks) + len(named)
+        # The first of the list is no mark.
+        behind[is_simple] = mark.fill_null(-1).to_numpy() + 1
+        return word, behind, ids
+
+    def flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts behind one another, and how many each has."""
+        if not self.by_piece:
+            ids = self.library_ids(texts)
+            return np.frombuffer(b"".join(ids), dtype="<i4"), np.asarray([len(i) // 4 for i in ids], dtype=np.int64)
+        cut = pc.split_pattern(pa.array([t.replace("\n", " ") for t in texts], pa.string()), " ")
+        pieces = cut.flatten().dictionary_encode()
+        word, mark, ids = self.parts(pieces.dictionary)
+        # Where the ids of each part lie, and from there those of all pieces.
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        starts, order = np.cumsum(sizes) - sizes, pieces.indices.to_numpy()
+        place = np.stack([word[order], mark[order]], axis=1).ravel()
+        lengths = sizes[place]
+        ends = np.cumsum(lengths)
+        at = np.repeat(starts[place] - (ends - lengths), lengths) + np.arange(lengths.sum())
+        before = np.concatenate([[0], ends[1::2]])[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+        return np.frombuffer(b"".join(ids), dtype="<i4")[at], np.diff(before)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        if not self.by_piece:
-            return self.library_ids(texts)
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        recent, older = self.recent, self.older
-        fresh = [p for p in set(itertools.chain.from_iterable(cut)) if p not in recent]
-        self.recent.update((p, older[p]) for p in fresh if p in older)
-        self.learn([p for p in fresh if p not in older])
-        out = [b"".join(map(recent.__getitem__, pieces)) for pieces in cut]
-        if len(recent) >= CACHED_PIECES // 2:
-            # Long pieces, and those not seen since the last turn, are forgotten.
-            self.older = {p: i for p, i in recent.items() if len(p) <= CACHED_LENGTH}
-            self.recent = {"": b""}
-        if len(self.words) >= CACHED_PIECES // 2:
-            self.older_words = {p: i for p, i in self.words.items() if len(p) <= CACHED_LENGTH}
-            self.words = {}
-        return out
+        ids, lengths = self.flat(texts)
+        return [ids[end - n : end].tobytes() for n, end in zip(lengths, np.cumsum(lengths))]
 
 
 def encoder(path: str) -> PieceEncoder:
@@ -132,19 +164,17 @@ def encoder(path: str) -> PieceEncoder:
 def token_rows(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents as rows of ``SCHEMA``, sorted by id; a partition is to become a file."""
     source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    order = [F.col("doc_id"), F.xxhash64("text"), F.length("text")]
+    # Rows equal in id and text may be very many: those of different input partitions can be parted.
+    order = [F.col("doc_id"), F.xxhash64("text"), F.length("text"), F.spark_partition_id()]
     ordered = source.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work, at, end = encoder(path), 0, np.asarray([end_id], dtype="<i4").tobytes()
+        work, at = encoder(path), 0
         for batch in chunks(batches, "text"):
-            ids = [i + end for i in work.encode(texts_of(batch, "text"))]
-            lengths = np.asarray([len(i) // 4 for i in ids], dtype=np.int64)
+            ids, lengths = work.flat(texts_of(batch, "text"))
+            ids, lengths = np.insert(ids, np.cumsum(lengths), end_id), lengths + 1
             ends = np.cumsum(lengths)
-            tokens = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], ends]).astype(np.int32)),
-                pa.array(np.frombuffer(b"".join(ids), dtype="<i4").astype(np.int32)),
-            )
+            tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids.astype(np.int32)))
             columns = [batch.column(0), pa.array(at + ends - lengths), pa.array(lengths), tokens]
             yield pa.RecordBatch.from_arrays(columns, names=SCHEMA.names)
             at += int(ends[-1])
