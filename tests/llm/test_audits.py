@@ -70,26 +70,23 @@ def test_divergence_equals_plain_counts(spark, monkeypatch, block):
 
 
 def test_terms_in_doubt_are_counted_by_document(spark):
-    # 20 documents have the term in two chunks each: 40 at most, 20 in truth.
+    # 20 documents have one term in two chunks each: 40 at most, 20 in truth.
     both = [(i, "word word, other", "en", "a") for i in range(20)]
     apart = [(100 + i, "term" if i % 2 else "term,", "en", "b") for i in range(40)]
-    docs = frame(spark, both + apart)
-    counts = divergence.chunk_counts(docs)
-    joined = counts.join(divergence.chunk_terms(counts), "chunk")
-    kept = divergence.kept_terms(docs, joined, 30)
+    groups, kept, used = divergence.kept_counts(frame(spark, both + apart + [(1, "", "en", "c")]), 30)
     assert [tuple(r) for r in kept.collect()] == [("en", "term")]
-    exact = divergence.terms_in_doubt(docs, joined.filter("term = 'word'").select("lang", "chunk", "term"))
-    assert [tuple(r) for r in exact.collect()] == [("en", "word", 20)]
+    assert [tuple(r) for r in used.collect()] == [("en", "term", "b", 40)]
+    assert sorted(r.source for r in groups.collect()) == ["a", "b", "c"]
 
 
 def test_chunks_are_cut_once_and_whole(spark):
-    docs = frame(spark, [(1, "a,b a,b A.a.ä " + "q,r" * 100, "en", "s"), (2, "a,b\x1fc", "en", "s"), (3, None, None, None)])
-    counts = divergence.chunk_counts(docs)
-    got = {(r.lang, bytes(r.chunk).decode()): (r.docs, r.n) for r in counts.collect()}
-    assert got["en", "a,b"] == (1, 2) and got["en", ""] == (2, 2) and got["", ""] == (1, 1)
-    terms = {(bytes(r.chunk).decode(), r.term): r.times for r in divergence.chunk_terms(counts).collect()}
-    assert terms["A.a.ä", "a"] == 2 and terms["A.a.ä", "ä"] == 1 and terms["a,b\x1fc", "c"] == 1
-    assert terms["q,r" * 100, "rq"] == 99
+    docs = frame(spark, [(1, "a,b a,b A.a.ä " + "q,r" * 100, "en", "s"), (2, "a,b\x1fc", "en", "s"), (3, None, None, None), (4, "a,b", None, "s")])
+    counts = divergence.chunk_documents(docs)
+    got = {(r.lang, bytes(r.chunk).decode()): r.docs for r in counts.collect()}
+    assert got["en", "a,b"] == 1 and got["", "a,b"] == 1 and ("", "") not in got
+    terms = [(bytes(r.chunk).decode(), r.term, r.times) for r in divergence.chunk_terms(counts).collect()]
+    assert terms.count(("a,b", "a", 1)) == 1
+    assert {("A.a.ä", "a", 2), ("A.a.ä", "ä", 1), ("a,b\x1fc", "c", 1), ("q,r" * 100, "rq", 99)} <= set(terms)
 
 
 def test_divergence_of_little(spark):

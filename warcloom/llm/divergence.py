@@ -3,15 +3,17 @@
 Terms are runs of ASCII letters and of characters beyond ASCII, A to Z lowered. None
 crosses ASCII white space, so texts are factored into *chunks* between white space:
 
-1. Chunks are counted per document, and the counts summed by language, source and chunk:
-   in how many documents a chunk is, and how often. Sums are formed before anything moves.
+1. The distinct chunks of each document are counted: in how many documents of a language a
+   chunk is. Sums are formed before anything moves.
 2. Each distinct chunk is cut into terms once, however often and wherever it occurs, and
    its terms are joined back to the counts.
 3. A language keeps the terms that stand in ``min_docs`` of its documents. A term's
    documents are at least those of its commonest chunk, and at most the sum over its
-   chunks. Only where the bound lies in between (chunks such as ``word`` and ``word,`` may
-   share documents), documents are read again, for the chunks in doubt alone, and the
-   distinct documents of a term are counted. A bit table of fixed size holds back other chunks.
+   chunks: most terms are decided by that. Chunks of terms below it are of no more use.
+   Documents are read again for the other chunks, told by a bit table of fixed size.
+   Occurrences are counted by language, source and chunk, and joined with the chunk's
+   terms. Where the bound lies in between (chunks such as ``word`` and ``word,`` may share
+   documents), the distinct documents of a term are counted as well.
 4. A source's share of a term is p = 1 + floor(scale * (count + smooth) / (N + smooth * V)),
    in whole numbers throughout, N being the sum of counts over the V kept terms.
 5. ``pair`` rows sum abs(p - q) over the kept terms for two sources. Shares are laid out by
@@ -44,10 +46,14 @@ from warcloom.llm.decontaminate import bit_table, bits_of
 #: Fixed value: what a term is.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: Distinct chunks that a task holds before it passes their counts on.
-HELD_CHUNKS = 300_000
+HELD_CHUNKS = 500_000
+#: Chunks with more terms than these are counted by grouping.
+FEW_TERMS = 64
+#: That of Spark's function of the same name.
+SEED = 42
 #: Sources and shares that meet in one task.
 BLOCK = 256
-SLICE = 50_000
+SLICE = 5_000
 SLICES = 16
 #: Terms that a task lays out at a time.
 STRIP = 2_048
@@ -58,105 +64,139 @@ def _source(docs: DataFrame) -> DataFrame:
     return docs.select(text("lang").alias("lang"), text("source").alias("source"), text("text").cast("binary").alias("text"))
 
 
-def chunk_counts(docs: DataFrame) -> DataFrame:
-    """``lang``, ``source``, ``chunk``, ``docs``, ``n``: documents with a chunk, and its occurrences.
-
-    Every language and source also has a row for the empty chunk, with all its documents.
-    """
-    schema = row_type(lang="string", source="string", chunk="binary", docs="long", n="long")
+def chunk_documents(docs: DataFrame) -> DataFrame:
+    """``lang``, ``chunk``, ``docs``: how many documents of a language have a chunk; placed by chunk."""
+    schema = row_type(lang="string", chunk="binary", docs="long")
 
     def rows(held: dict) -> Iterator[pa.RecordBatch]:
-        for (lang, source), (docs, n) in held.items():
-            if len(docs):
-                columns = [pa.array([lang] * len(docs)), pa.array([source] * len(docs)), pa.array(docs.keys(), pa.binary())]
-                counts = [pa.array(docs.values(), pa.int64()), pa.array(map(n.__getitem__, docs), pa.int64())]
-                yield pa.RecordBatch.from_arrays([*columns, *counts], names=schema.names)
+        for lang, counts in held.items():
+            columns = [pa.array([lang] * len(counts)), pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict = defaultdict(lambda: (Counter(), Counter()))
+        held: dict[str, Counter] = defaultdict(Counter)
         for batch in chunks(batches, "text"):
-            groups = defaultdict(list)
-            for lang, source, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                groups[lang, source].append([b"", *text.split()])
-            for group, cut in groups.items():
-                docs, n = held[group]
-                docs.update(itertools.chain.from_iterable(map(set, cut)))
-                n.update(itertools.chain.from_iterable(cut))
-            if sum(len(docs) for docs, _ in held.values()) > HELD_CHUNKS:
+            texts = defaultdict(list)
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                texts[lang].append(set(text.split()))
+            for lang, sets in texts.items():
+                held[lang].update(itertools.chain.from_iterable(sets))
+            if sum(map(len, held.values())) > HELD_CHUNKS:
                 yield from rows(held)
                 held.clear()
         yield from rows(held)
 
-    partial = _source(docs).mapInArrow(run, schema)
-    return partial.groupBy("lang", "source", "chunk").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    # By chunk alone: all that is known of a chunk is in one place from here on.
+    partial = _source(docs).mapInArrow(run, schema).repartition("chunk")
+    return partial.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs"))
 
 
 def chunk_terms(counts: DataFrame) -> DataFrame:
     """``chunk``, ``term``, ``times``: the terms of each distinct chunk and how often it has them."""
     terms = F.regexp_extract_all(F.col("chunk").cast("string"), F.lit(TERM), F.lit(0))
     cut = counts.select("chunk").distinct().withColumn("terms", F.transform(terms, ascii_lower))
-    times = lambda t: F.size(F.filter("terms", lambda u: u == t))
-    # Nearly all chunks have one term; others are counted within their own few terms.
-    one = F.array(F.struct(F.element_at("terms", 1).alias("term"), F.lit(1).alias("times")))
-    few = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), times(t).alias("times")))
-    many = F.size("terms") > 64
-    each = staged(cut.filter(F.size("terms") > 0), "cut")
-    short = each.filter(~many).select("chunk", F.explode(F.when(F.size("terms") == 1, one).otherwise(few)).alias("t"))
-    long = each.filter(many).select("chunk", F.explode("terms").alias("term")).groupBy("chunk", "term").agg(F.count("*").cast("int").alias("times"))
-    return short.select("chunk", "t.term", "t.times").union(long)
-
-
-def terms_in_doubt(docs: DataFrame, doubt: DataFrame) -> DataFrame:
-    """``lang``, ``term``, ``docs``: the distinct documents with a term, for ``lang``, ``chunk``, ``term`` in doubt."""
-    hashes = doubt.select(_seed(F.col("chunk")).alias("seed"))
-    shared = docs.sparkSession.sparkContext.broadcast(bit_table(hashes).tobytes())
-    schema = row_type(doc="long", lang="string", chunk="binary")
+    # Nearly all chunks have one term; some others are counted among their own few.
+    one = F.struct(F.element_at("terms", 1).alias("term"), F.lit(1).cast("long").alias("times"))
+    few = F.transform(
+        F.array_distinct("terms"),
+        lambda t: F.struct(t.alias("term"), F.size(F.filter("terms", lambda u: u == t)).cast("long").alias("times")),
+    )
+    short = cut.filter((F.size("terms") > 0) & (F.size("terms") <= FEW_TERMS))
+    short = short.select("chunk", F.explode(F.when(F.size("terms") == 1, F.array(one)).otherwise(few)).alias("t"))
+    long = cut.filter(F.size("terms") > FEW_TERMS).select("chunk", F.explode("terms").alias("term"))
+    return short.select("chunk", "t.term", "t.times").union(long.groupBy("chunk", "term").agg(F.count("*").alias("times")))
+
+
+def occurrences(docs: DataFrame, wanted: np.ndarray, doubtful: np.ndarray) -> DataFrame:
+    """``lang``, ``source``, ``chunk``, ``n``, ``doc``: what documents have of chosen chunks.
+
+    Bit tables choose them, so there are some others among them. Rows without ``doc`` count
+    occurrences; each language and source has one without ``chunk``. Rows with ``doc``, a
+    number that the documents get here, are of doubtful chunks, once a document.
+    """
+    schema = row_type(lang="string", source="string", chunk="binary", n="long", doc="long")
+    shared = docs.sparkSession.sparkContext.broadcast((wanted.tobytes(), doubtful.tobytes()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        bits = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
+        tables = [np.unpackbits(np.frombuffer(t, np.uint8)).astype(bool) for t in shared.value]
         number = TaskContext.get().partitionId() << 36
-        passing: dict[bytes, bool] = {}
-        for batch in chunks(batches, "text"):
-            cut = [list(set(t.split())) for t in batch.column(2).to_pylist()]
-            fresh = [c for c in set(itertools.chain.from_iterable(cut)) if c not in passing]
-            if fresh:
-                first, second = bits_of(np.array([xxhash.xxh64_intdigest(c, 42) for c in fresh], dtype=np.uint64))
-                passing.update(zip(fresh, (bits[first] & bits[second]).tolist()))
-            found = [(number + i, lang, c) for i, (lang, own) in enumerate(zip(batch.column(0).to_pylist(), cut)) for c in own if passing[c]]
-            number += batch.num_rows
-            if len(passing) > HELD_CHUNKS:
-                passing.clear()
-            if found:
-                columns = [pa.array(v, t) for v, t in zip(zip(*found), (pa.int64(), pa.string(), pa.binary()))]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        held: dict = defaultdict(Counter)
 
-    # Written at once: the numbers of documents hold from here on.
-    found = staged(_source(docs).mapInArrow(run, schema), "in-doubt")
-    both = found.join(doubt, ["lang", "chunk"]).select("lang", "term", "doc").distinct()
-    return both.groupBy("lang", "term").agg(F.count("*").alias("docs"))
+        def batch_of(lang: list, source: list, chunk: list, n: list, doc: list) -> pa.RecordBatch:
+            kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
+            columns = [pa.array(v, t) for v, t in zip((lang, source, chunk, n, doc), kinds)]
+            return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
+        def counted() -> Iterator[pa.RecordBatch]:
+            for (lang, source), counts in held.items():
+                chunk, n = [None, *counts], [0, *counts.values()]
+                yield batch_of([lang] * len(n), [source] * len(n), chunk, n, [None] * len(n))
 
-def _seed(chunk: Column) -> Column:
-    return F.xxhash64(chunk)
+        for batch in chunks(batches, "text"):
+            groups = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            places = {g: i for i, g in enumerate(dict.fromkeys(groups))}
+            cut = [t.split() for t in batch.column(2).to_pylist()]
+            every = pa.array(itertools.chain.from_iterable(cut), pa.binary()).dictionary_encode()
+            distinct, index = every.dictionary.to_pylist(), every.indices.to_numpy()
+            first, second = bits_of(np.fromiter((xxhash.xxh64_intdigest(c, SEED) for c in distinct), np.uint64, len(distinct)))
+            chosen, doubted = (t[first] & t[second] for t in tables)
+            row = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
+            group = np.array([places[g] for g in groups], dtype=np.int64)
+            # Of all words those of chosen chunks, then counted by group and chunk.
+            inside = chosen[index]
+            keys, n = np.unique(group[row[inside]] * len(distinct) + index[inside], return_counts=True)
+            for g in places:
+                held[g].update({})
+            names = list(places)
+            for key, count in zip(keys.tolist(), n.tolist()):
+                held[names[key // len(distinct)]][distinct[key % len(distinct)]] += count
+            inside = doubted[index]
+            keys = np.unique(row[inside] * len(distinct) + index[inside]).tolist()
+            if keys:
+                rows, found = zip(*(divmod(k, len(distinct)) for k in keys))
+                yield batch_of(
+                    [groups[r][0] for r in rows], [groups[r][1] for r in rows], [distinct[f] for f in found],
+                    [None] * len(rows), [number + r for r in rows],
+                )
+            number += batch.num_rows
+            if sum(map(len, held.values())) > HELD_CHUNKS:
+                yield from counted()
+                held.clear()
+        yield from counted()
 
+    return _source(docs).mapInArrow(run, schema)
 
-def kept_terms(docs: DataFrame, joined: DataFrame, min_docs: int) -> DataFrame:
-    """``lang``, ``term``: the terms that stand in ``min_docs`` documents of the language.
 
-    ``joined`` has ``lang``, ``source``, ``chunk``, ``term``, ``docs``.
+def kept_counts(docs: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(groups, kept, used): all ``lang``, ``source``; the ``lang``, ``term`` that stand in
+    ``min_docs`` documents of the language; and ``lang``, ``source``, ``term``, ``n``, their
+    occurrences.
     """
-    by_chunk = joined.groupBy("lang", "chunk", "term").agg(F.sum("docs").alias("docs"))
-    by_chunk = staged(by_chunk, "by-chunk")
-    bounds = by_chunk.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high"))
+    counts = chunk_documents(docs)
+    terms = chunk_terms(counts)
+    joined = staged(counts.join(terms, "chunk"), "chunks")
+    bounds = joined.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high"))
     bounds = staged(bounds.filter(F.col("high") >= min_docs), "bounds")
-    sure = bounds.filter(F.col("low") >= min_docs).select("lang", "term")
-    open_terms = bounds.filter(F.col("low") < min_docs).select("lang", "term")
-    doubt = staged(by_chunk.join(open_terms, ["lang", "term"], "left_semi").select("lang", "chunk", "term"), "doubt")
-    if doubt.isEmpty():
-        return sure
-    return sure.union(terms_in_doubt(docs, doubt).filter(F.col("docs") >= min_docs).select("lang", "term"))
+    sure = F.col("low") >= min_docs
+    likely = staged(joined.join(bounds.select("lang", "term", sure.alias("sure")), ["lang", "term"]).drop("docs"), "likely")
+
+    chosen = likely.select(F.xxhash64("chunk").alias("seed"))
+    doubtful = likely.filter("NOT sure").select(F.xxhash64("chunk").alias("seed"))
+    # Written at once: the numbers of documents hold from here on.
+    found = staged(occurrences(docs, bit_table(chosen), bit_table(doubtful)), "occurrences")
+    of_doc = found.filter("doc IS NOT NULL").select("lang", "chunk", "doc")
+    exact = of_doc.join(likely.filter("NOT sure"), ["lang", "chunk"]).select("lang", "term", "doc").distinct()
+    exact = exact.groupBy("lang", "term").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs)
+    kept = staged(bounds.filter(sure).select("lang", "term").union(exact.select("lang", "term")), "kept")
+
+    by_chunk = found.filter("doc IS NULL").groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"))
+    by_chunk = staged(by_chunk, "by-chunk")
+    groups = by_chunk.filter("chunk IS NULL").select("lang", "source")
+    used = by_chunk.join(likely, ["lang", "chunk"]).select("lang", "source", "term", (F.col("n") * F.col("times")).alias("n"))
+    used = used.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+    return groups, kept, staged(used.join(kept, ["lang", "term"], "left_semi"), "used")
 
 
 def share(count: Column, total: Column, terms: Column, scale: int, smooth: int) -> Column:
@@ -231,15 +271,7 @@ def divergence(docs: DataFrame, min_docs: int = 30, smooth: int = 5, scale: int
 
     ``pair`` rows rank all other sources, ``term`` rows the ``top`` first terms; ties by item.
     """
-    counts = staged(chunk_counts(docs), "chunks")
-    groups = staged(counts.select("lang", "source").distinct(), "groups")
-    terms = staged(chunk_terms(counts), "terms")
-    joined = counts.join(terms, "chunk").select(
-        "lang", "source", "chunk", "term", "docs", (F.col("n") * F.col("times")).alias("n")
-    )
-    joined = staged(joined, "joined")
-    kept = staged(kept_terms(docs, joined, min_docs), "kept")
-    used = staged(joined.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).join(kept, ["lang", "term"], "left_semi"), "used")
+    groups, kept, used = kept_counts(docs, min_docs)
 
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     size = kept.groupBy("lang").agg(F.count("*").alias("terms"))
