@@ -45,6 +45,8 @@ HELD_BYTES = 16 << 20
 SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Each store would reserve some MB of disk for its log.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     # All stores of an executor share this much memory; the rest is on disk.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
