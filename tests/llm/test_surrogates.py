@@ -147,3 +147,15 @@ def test_documents_table(spark):
 def test_nothing(text_rows):
     made = surrogates.pseudonymized(text_rows([]), "k")
     assert made.count() == 0 and {"n_entities", "kinds"} <= set(made.columns)
+
+
+def test_long_loops_end(spark, text_rows):
+    turns = 100_000
+    texts = ["x@" + "a." * turns + "com", "Mr " + "A. " * turns + "Smith", "Mr " * turns + "Smith", "Dr " * turns + "Mrs Jones", "x@" + "a." * 120 + "com"]
+    found = {r.doc_id: r for r in surrogates.pseudonymized(text_rows(list(enumerate(texts))), key="k").collect()}
+    # A host of that many parts is none.
+    assert found[0].text == texts[0] and found[0].n_entities == 0
+    for i in (1, 2, 3, 4):
+        assert found[i].n_entities >= 1 and found[i].text != texts[i]
+    assert "Smith" not in found[1].text and "Smith" not in found[2].text and "Jones" not in found[3].text
+    assert found[2].text.startswith("Mr " * turns)

@@ -55,12 +55,13 @@ ENDINGS = {
 }
 
 _TITLE = "|".join(t for titles in TITLES.values() for t in titles)
-_TITLES = rf"(?:(?:{_TITLE})[.]?\x20)+"
+#: Loops over groups are possessive or bounded: others call themselves once a turn.
+_TITLES = rf"(?:(?:{_TITLE})[.]?\x20)++"
 _LETTER = r"[\p{L}\p{M}]"
 #: A name: no title, of two letters or more, and without the 's behind it.
 _NAME = rf"(?!(?:{_TITLE})(?!{_LETTER}))(?:[dlDLO]['’])?\p{{Lu}}{_LETTER}++(?:['’-](?!s(?!{_LETTER})){_LETTER}++)*+"
 #: What may stand before a name: initials and particles.
-_BEFORE = r"(?:\p{Lu}(?:[.]-?\x20?|\x20)|(?:von|van|der|den|de|del|della|di|da|dos|du|zu|bin|ibn|al|el)\x20)*"
+_BEFORE = r"(?:\p{Lu}(?:[.]-?\x20?|\x20)|(?:von|van|der|den|de|del|della|di|da|dos|du|zu|bin|ibn|al|el)\x20)*+"
 PERSON = rf"(?<![\p{{L}}]){_TITLES}{_BEFORE}{_NAME}(?:\x20{_BEFORE}{_NAME})*+(?:\x20\p{{Lu}}(?=[.]))?"
 #: The names and initials in what follows the titles; also the words that may be names.
 PART = rf"(?<!{_LETTER})(?!{_LETTER}['’]{_LETTER})(?:\p{{Lu}}|(?<=['’-])\p{{L}}){_LETTER}*+"
@@ -71,9 +72,10 @@ CARD = (
 )
 #: Seven digits, written as those of phone numbers are.
 PLAUSIBLE = r"[(]?[0-9](?:[)]?[\x20.-]?[(]?[0-9]){6}"
-#: In this order; a place belongs to the first that matches there.
+#: In this order; a place belongs to the first that matches there. A host name has at most
+#: 127 parts.
 PATTERNS = (
-    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)*[.][A-Za-z]{2,}"),
+    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+){0,125}[.][A-Za-z]{2,}"),
     ("ip", r"(?<![0-9.])(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:[.](?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}(?![0-9]|[.][0-9])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     ("card", rf"(?<![0-9])(?:{CARD})(?![0-9])"),
@@ -124,7 +126,7 @@ def gender(value: Column) -> Column:
     choice = F.when(F.lit(False), F.lit(""))
     for (sex, _), titles in TITLES.items():
         if sex != "n":
-            choice = choice.when(F.regexp(value, F.lit(rf"^(?:(?:{neutral})[.]?\x20)*(?:{'|'.join(titles)})[.]?\x20")), F.lit(sex))
+            choice = choice.when(F.regexp(value, F.lit(rf"^(?:(?:{neutral})[.]?\x20)*+(?:{'|'.join(titles)})[.]?\x20")), F.lit(sex))
     return choice.otherwise(F.lit("n"))
 
 
@@ -292,7 +294,9 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     where a kind has almost as many entities as there are forms; from ``OWN_FORMS`` on,
     the forms multiply with each round, so all entities are settled soon.
     """
-    entities = staged(entities, "entities")
+    # Some hundred draws a row: a small table is spread over the cluster as well.
+    tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entities = staged(entities.repartition(tasks, "kind", "entity"), "entities")
     pending, done = entities.withColumn("attempt", F.lit(0)), None
     while True:
         seed = F.sha2(F.concat_ws("\x00", F.lit(key), "kind", "entity", F.col("attempt").cast("string")), 256)
