@@ -228,12 +228,11 @@ def test_overlaps_of_nothing(spark, text_rows):
 
 
 def brute_top_k(rows, k):
-    out = set()
-    for q, a in rows:
-        if q % 20 == 0:
-            scores = sorted((-int(np.dot(a, b)), v) for v, b in rows if v != q and len(a) == len(b))
-            out |= {(q, n + 1, v, -s) for n, (s, v) in enumerate(scores[:k])}
-    return out
+    out = []
+    for q, a in {(q, tuple(a)) for q, a in rows if q % 20 == 0}:
+        scores = sorted((-int(np.dot(a, b)), v) for v, b in rows if v != q and len(a) == len(b))
+        out += [(q, n + 1, v, -s) for n, (s, v) in enumerate(scores[:k])]
+    return sorted(out)
 
 
 @pytest.mark.parametrize("n, d, block", [(300, 64, 64), (90, 3, 16), (10, 1, 4)])
@@ -243,7 +242,14 @@ def test_top_k(spark, n, d, block):
     rows += [(n + 20 + k, list(rows[k % 5][1])) for k in range(40)]
     frame = spark.createDataFrame(rows + rows[:7], "vec_id long, ints array<long>")
     got = topk.top_k(frame, frame.filter("vec_id % 20 = 0"), 20, queries_per_block=4, rows_per_block=block)
-    assert sorted(tuple(r) for r in got.collect()) == sorted(brute_top_k(rows, 20))
+    assert sorted(tuple(r) for r in got.collect()) == brute_top_k(rows + rows[:7], 20)
+
+
+def test_repeated_rows_are_candidates_each(spark):
+    frame = spark.createDataFrame([(20, [1, 1])] * 2 + [(1, [2, 2])] * 3 + [(2, [1, 0])], "vec_id long, ints array<long>")
+    got = topk.top_k(frame, frame.filter("vec_id = 20"), 3).collect()
+    assert sorted(tuple(r) for r in got) == [(20, 1, 1, 4), (20, 2, 1, 4), (20, 3, 1, 4)]
+    assert topk.top_k(frame, frame.filter("vec_id = 20"), 20).count() == 4
 
 
 def test_top_k_of_odd_vectors(spark):

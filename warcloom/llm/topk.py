@@ -12,8 +12,9 @@ queries once, and each such pair of blocks gives at most k rows a query. Memory
 task is bounded by the two block sizes.
 
 Vectors that are null or hold null or non-finite components take no part, nor do rows
-without an id. Rows that repeat both id and vector count once; rows that share an id
-with different vectors are searched one by one, and never find rows of their own id.
+without an id. Rows that repeat both id and vector are candidates each, though compared once;
+as a query they are answered once. Rows that share an id with different vectors are
+searched one by one, and never find rows of their own id.
 Only vectors of the same length are compared. Equal scores go to the smaller id.
 """
 
@@ -32,7 +33,7 @@ from warcloom.llm.common import row_type
 RESOLUTIONS = (1, 4, 16)
 CHUNK = 2_048
 FIRST_CHUNK = 128
-RESULT = row_type(query_id="long", query_key="long", vec_id="long", score="long")
+RESULT = row_type(query_id="long", query_key="long", vec_id="long", copies="long", score="long")
 
 
 def usable(vector: str | Column) -> Column:
@@ -63,7 +64,7 @@ def statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
 def block_top_k(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query's place, candidate's id, score) of each query's k best in a block."""
+    """(query's place, candidate's place, score) of each query's k best in a block."""
     n, d = queries.shape
     largest = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * max(1, d)
     exact = np.float64 if largest < 2**53 else np.int64
@@ -88,10 +89,10 @@ def block_top_k(
         place, column = np.nonzero(alive)
         merged = (
             np.concatenate([best[0], place]),
-            np.concatenate([best[1], ids[here[column]]]),
+            np.concatenate([best[1], here[column]]),
             np.concatenate([best[2], scores[place, column].astype(np.int64)]),
         )
-        order = np.lexsort((merged[1], -merged[2], merged[0]))
+        order = np.lexsort((ids[merged[1]], -merged[2], merged[0]))
         places = merged[0][order]
         first = np.searchsorted(places, np.arange(n))
         rank = np.arange(len(order)) - first[places]
@@ -118,7 +119,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, queries_per_block: int
 
     def prepared(df: DataFrame) -> DataFrame:
         rows = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("ints"))
-        return rows.filter("vec_id IS NOT NULL AND ints IS NOT NULL").dropDuplicates()
+        rows = rows.filter("vec_id IS NOT NULL AND ints IS NOT NULL")
+        return rows.groupBy("vec_id", "ints").agg(F.count("*").alias("copies"))
 
     queries, vectors = prepared(queries), prepared(vectors)
     key = F.xxhash64("vec_id", "ints")
@@ -150,9 +152,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, queries_per_block: int
         else:
             place = found = score = np.zeros(0, np.int64)
         keys = some_queries["query_key"].to_numpy().astype(np.int64)
-        return pa.table({"query_id": query_ids[place], "query_key": keys[place], "vec_id": found, "score": score})
+        copies = some_rows["copies"].to_numpy().astype(np.int64)
+        columns = (query_ids[place], keys[place], ids[found], copies[found], score)
+        return pa.table(dict(zip(RESULT.names, columns)))
 
     met = left.groupBy(*blocks).cogroup(right.groupBy(*blocks)).applyInArrow(meet, RESULT)
+    # Of a row that is repeated, as many as can have a rank.
+    met = met.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least(F.col("copies"), F.lit(k)).cast("int"))))
     ranking = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
     ranked = met.withColumn("rank", F.row_number().over(ranking)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
