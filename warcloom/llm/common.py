@@ -108,12 +108,32 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that one holds some MB of text, or a single longer row."""
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """The same work, with the memory of a task given back when it ends.
+
+    Python workers are kept for later tasks and stages, of other operators too. What a
+    task's tables of words and its batches took would stay with them.
+    """
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ctypes
+        import gc
+
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return tidy
+
+
+def chunks(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that one holds some MB in some columns, or a single longer row."""
     for batch in batches:
-        place = batch.schema.get_field_index(column)
+        places = [batch.schema.get_field_index(c) for c in columns]
         start, n = 0, batch.num_rows
-        size = max(1, batch.column(place).nbytes // max(1, n))
+        size = max(1, sum(batch.column(p).nbytes for p in places) // max(1, n))
         step = max(1, CHUNK_BYTES // size)
         while start < n:
             yield batch.slice(start, min(step, n - start))
@@ -157,4 +177,4 @@ def add_columns(
             fields = [*[batch.schema.field(i) for i in range(len(names))], *arrow]
             yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema(fields))
 
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(tidied(run), schema)

@@ -2,16 +2,19 @@
 
 A document overlaps a benchmark item if somewhere, word by word and without gaps, some
 ``w`` consecutive words of the item agree with it in at least ``percent`` of the places;
-``w`` is 13, or the length of a shorter item. Items under 5 words are not searched.
+``w`` is 13, or the length of a shorter item. An item of 1 to 4 words, which clean texts
+hold as well, overlaps the documents that consist of these words and no others.
 
 A seed is a mask over consecutive words; the masked-out positions don't enter its hash,
 so a seed still matches when a word there was replaced. The masks are chosen so that
 each such overlap of 13 words with up to two replaced words, and each of the shorter
 ones, holds at least one seed: the result doesn't depend on luck.
 
-1. The seeds of all items are hashed; a bit table of fixed size remembers them.
+1. The seeds of all items are hashed; a bit table of fixed size remembers them, and one
+   for each class of item lengths.
 2. Documents are read once. Seeds that pass the bit table are written with the words
-   around them, joined into segments where they lie close.
+   around them, as many as items of the seed's class may need, joined into segments
+   where they touch.
 3. Seeds and item seeds are joined by hash, which gives (segment, item, offset).
 4. Each such alignment is verified on the words.
 
@@ -33,17 +36,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from warcloom.llm.common import chunks, row_type, staged, texts_of
+from warcloom.llm.common import chunks, row_type, staged, texts_of, tidied
 from warcloom.llm.shingles import ODD, mixed
 
 WORDS = re.compile(r"[^\W_]+")
 WINDOW, SHORTEST = 13, 5
+#: Items up to so many words are one class, those up to four times as many the next one.
+FIRST_CLASS = 64
 #: Between them, these find any 13 words of which two were replaced.
 MASKS = ("111111", "101100111", "11010111")
 #: And these any 5 to 12 words of which one (up to 9) or two were replaced.
 SHORT_MASKS = ("111", "1101", "1011")
 BIT_TABLE = 24
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000
 
 
 class Hashes(dict):
@@ -72,6 +77,14 @@ def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     return total
 
 
+def whole_seed(words: np.ndarray) -> np.ndarray:
+    """The hash of a whole sequence, for those too short for a mask."""
+    total = np.full(1, xxhash.xxh3_64_intdigest("whole"), dtype=np.uint64)
+    for k in range(len(words)):
+        total = mixed(total * ODD + words[k])
+    return total
+
+
 def bits_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The two places of each hash in the bit table."""
     cut = np.uint64((1 << BIT_TABLE) - 1)
@@ -91,22 +104,23 @@ def item_words(items: DataFrame, item_id: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=schema.names)
 
     made = source.filter(F.col("item_id").isNotNull()).mapInArrow(run, schema)
-    return made.filter(F.col("n") >= SHORTEST).dropDuplicates(["item_id", "words"])
+    return made.filter(F.col("n") > 0).dropDuplicates(["item_id", "words"])
 
 
 def item_seeds(words: DataFrame) -> DataFrame:
-    """``seed``, ``item_id``, ``item_at`` of all seeds of the items."""
-    schema = row_type(seed="long", item_id="long", item_at="long")
+    """``seed``, ``item_id``, ``item_at``, ``n`` of all seeds of the items; ``n`` is the item's length."""
+    schema = row_type(seed="long", item_id="long", item_at="long", n="long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
-            for batch in batches:
-                found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            for batch in chunks(batches, "words"):
+                found: list[tuple[np.ndarray, ...]] = []
                 for item, data in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
                     own = np.frombuffer(data, np.uint64)
-                    for mask in MASKS if len(own) >= WINDOW else SHORT_MASKS:
-                        hashes = seeds(own, mask)
-                        found.append((hashes.view(np.int64), np.full(len(hashes), item), np.arange(len(hashes))))
+                    masks = MASKS if len(own) >= WINDOW else SHORT_MASKS
+                    for hashes in [whole_seed(own)] if len(own) < SHORTEST else [seeds(own, mask) for mask in masks]:
+                        n = len(hashes)
+                        found.append((hashes.view(np.int64), np.full(n, item), np.arange(n), np.full(n, len(own))))
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names=schema.names)
 
@@ -127,15 +141,17 @@ def bit_table(seed_rows: DataFrame) -> np.ndarray:
     return np.packbits(table)
 
 
-def segments(docs: DataFrame, table: np.ndarray, masks: tuple[str, ...], reach: int) -> DataFrame:
-    """Places of documents that seeds may match, with ``reach`` words on both sides.
+def segments(docs: DataFrame, tables: list[tuple[int, np.ndarray]], masks: tuple[str, ...]) -> DataFrame:
+    """Places of documents that seeds may match, with words on both sides.
 
-    ``segment`` (a number), ``doc_id``, ``from_word``, ``words`` and ``hits``: the seeds
-    and where they stand in the segment.
+    ``tables`` has bit tables: first that of all seeds, then one for each class of items,
+    each with the longest length in it, longer classes later. ``segment`` (a number),
+    ``doc_id``, ``from_word``, ``words`` and ``hits``: the seeds and where they stand in
+    the segment.
     """
     hit = T.StructType().add("seed", "long").add("at", "long")
     schema = row_type(segment="long", doc_id="long", from_word="long", words="binary", hits=T.ArrayType(hit))
-    shared = docs.sparkSession.sparkContext.broadcast(table.tobytes())
+    shared = docs.sparkSession.sparkContext.broadcast([(reach, table.tobytes()) for reach, table in tables])
 
     def passing(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
         first, second = bits_of(hashes)
@@ -149,32 +165,45 @@ def segments(docs: DataFrame, table: np.ndarray, masks: tuple[str, ...], reach:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
-        bits, hashes = np.frombuffer(shared.value, np.uint8), Hashes()
+        (_, every), *classes = [(reach, np.frombuffer(table, np.uint8)) for reach, table in shared.value]
+        hashes = Hashes()
         number = TaskContext.get().partitionId() << 36
+
+        def hits_of(words: np.ndarray) -> list[tuple[int, int, int]]:
+            """(place, seed, reach) of the seeds that pass, by place."""
+            found = []
+            for own in [*(seeds(words, mask) for mask in masks), *([whole_seed(words)] if 0 < len(words) < SHORTEST else [])]:
+                places = passing(own, every)
+                if len(places):
+                    some, reach = own[places], np.zeros(len(places), np.int64)
+                    for longest, bits in classes:
+                        reach[passing(some, bits)] = longest
+                    found += zip(places.tolist(), some.view(np.int64).tolist(), reach.tolist())
+            return sorted(f for f in found if f[2])
+
         with np.errstate(over="ignore"):
             for batch in chunks(batches, "text"):
                 rows = []
                 for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch, "text")):
                     words = hashes.of(text)
-                    found = []
-                    for mask in masks:
-                        own = seeds(words, mask)
-                        places = passing(own, bits)
-                        found += zip(places.tolist(), own[places].view(np.int64).tolist())
-                    found.sort()
-                    start = 0
-                    for k in range(1, len(found) + 1):
-                        if k == len(found) or found[k][0] - found[k - 1][0] > reach:
-                            first, last = found[start][0], found[k - 1][0]
-                            low, high = max(0, first - reach), last + reach
-                            hits = [{"seed": s, "at": p - low} for p, s in found[start:k]]
+                    group: list[tuple[int, int, int]] = []
+                    low = high = 0
+                    # The last one closes the last group.
+                    for place, seed, reach in [*hits_of(words), (len(words), 0, -1)]:
+                        if group and (reach < 0 or place - reach > high):
+                            hits = [{"seed": s, "at": p - low} for p, s, _ in group]
                             rows.append((number, doc, low, words[low:high].tobytes(), hits))
                             number += 1
-                            start = k
+                            group = []
+                        if reach > 0:
+                            # A longer reach may lead behind the start of the group.
+                            low = max(0, min(low, place - reach) if group else place - reach)
+                            high = max(high, place + reach) if group else place + reach
+                            group.append((place, seed, reach))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)
 
 
 def overlap(item: np.ndarray, doc: np.ndarray, offset: int, percent: int) -> tuple[int, int, int] | None:
@@ -206,10 +235,15 @@ def overlaps(
     """
     own = staged(item_words(items, item_id, text), "items")
     seed_rows = staged(item_seeds(own), "seeds")
-    longest, shortest = own.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.min("n"), F.lit(0))).first()
-    masks = (MASKS if longest >= WINDOW else ()) + (SHORT_MASKS if shortest < WINDOW else ())
+    # Classes by length, of a number that grows with the logarithm of the longest length.
+    grade = F.when(F.col("n") <= FIRST_CLASS, 0).otherwise(F.ceil(F.log(F.col("n") / FIRST_CLASS) / F.log(F.lit(4.0)))).cast("int")
+    grades = own.groupBy(grade.alias("grade")).agg(F.max("n"), F.min(F.when(F.col("n") >= SHORTEST, F.col("n")))).orderBy("grade").collect()
+    of_class = [(int(n), bit_table(seed_rows.filter(grade == g))) for g, n, _ in grades]
+    least = [n for *_, n in grades if n is not None]
+    masks = (MASKS if of_class and of_class[-1][0] >= WINDOW else ()) + (SHORT_MASKS if least and min(least) < WINDOW else ())
     source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    found = staged(segments(source, bit_table(seed_rows), masks, int(longest)), "segments")
+    every = np.bitwise_or.reduce([bits for _, bits in of_class] or [np.zeros(1 << (BIT_TABLE - 3), np.uint8)])
+    found = staged(segments(source, [(0, every), *of_class], masks), "segments")
     hits = staged(found.select("segment", F.explode("hits").alias("hit")).select("segment", "hit.seed", "hit.at"), "hits")
     aligned = hits.join(seed_rows, "seed").select("segment", "item_id", (F.col("at") - F.col("item_at")).alias("offset")).distinct()
     with_item = staged(aligned.join(own.select("item_id", F.col("words").alias("item")), "item_id"), "aligned")
@@ -221,7 +255,7 @@ def overlaps(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
-        for batch in batches:
+        for batch in chunks(batches, "item", "words"):
             rows = []
             for segment, doc, item, low, offset, a, b in zip(*(c.to_pylist() for c in batch.columns)):
                 place = overlap(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), offset, percent)
@@ -230,7 +264,7 @@ def overlaps(
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
-    verified = both.mapInArrow(run, schema)
+    verified = both.mapInArrow(tidied(run), schema)
     best = F.min(F.struct((-F.col("n_agree")).alias("less"), "first_word", "n_words")).alias("best")
     one = verified.groupBy("doc_id", "item_id").agg(best)
     return one.select(

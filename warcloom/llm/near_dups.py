@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from warcloom.llm.common import chunks, row_type, staged, texts_of
+from warcloom.llm.common import chunks, row_type, staged, texts_of, tidied
 from warcloom.llm.shingles import Bands, Words, held, node_of, shingle_set
 
 LONGS = T.ArrayType(T.LongType())
@@ -57,7 +57,7 @@ def _per_text(docs: DataFrame, schema: T.StructType, make: Callable) -> DataFram
                 columns = [pa.array(v, f.type) for v, f in zip(zip(*rows), list(arrow)[2:])]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], schema=arrow)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)
 
 
 def signatures(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
@@ -158,15 +158,13 @@ def compare(pairs: DataFrame, sets: DataFrame, left: str, right: str, work: Call
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(result)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in chunks(batches, "__a", "__b"):
             some, other = (batch.column(i).to_pylist() for i in (2, 3))
             made = [work(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in zip(some, other)]
             columns = [pa.array(v, f.type) for v, f in zip(zip(*made), list(arrow)[2:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], schema=arrow)
 
-    return both.mapInArrow(run, result)
+    return both.mapInArrow(tidied(run), result)
 
 
 def unlinked_pairs(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:

@@ -17,7 +17,7 @@ import xxhash
 #: Bytes A to Z in lower case.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 ODD = np.uint64(0x9E3779B97F4A7C15)
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000
 PROBES = 64
 
 

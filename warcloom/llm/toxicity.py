@@ -11,7 +11,7 @@ is row by row over whole texts, with a model of bounded size.
 
 Null and empty texts get the score of no terms. Rows with a null label or id aren't
 learned from; of ids with several labels, the highest counts. Without labels of both
-kinds, the share of toxic labels is every text's score (0 without any label).
+kinds, the share of toxic labels is every text's score (sigmoid(-30) without any label).
 """
 
 from __future__ import annotations
@@ -27,13 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from warcloom.llm.common import add_columns, chunks, row_type, staged, texts_of
+from warcloom.llm.common import add_columns, chunks, row_type, staged, texts_of, tidied
 
 WORDS = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (4, 5, 6)
 THRESHOLD = 0.3
 #: Bound of the table of recent words.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000
 
 
 def hashed_terms(word: str) -> list[int]:
@@ -87,7 +87,7 @@ def term_rows(docs: DataFrame) -> DataFrame:
             label = batch.column(batch.schema.get_field_index("label"))
             yield pa.RecordBatch.from_arrays([label, pa.array(terms, pa.list_(pa.int64()))], names=schema.names)
 
-    return docs.select("label", "text").mapInArrow(run, schema)
+    return docs.select("label", "text").mapInArrow(tidied(run), schema)
 
 
 def choose_terms(rows: DataFrame, telling: int, frequent: int, least: int = 3) -> tuple[np.ndarray, int, int]:
@@ -115,7 +115,7 @@ def vectors(rows: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, list[np.nda
     schema = row_type(label="integer", places=T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chunks(batches, "terms"):
             lists = batch.column(batch.schema.get_field_index("terms")).to_numpy(zero_copy_only=False)
             places = []
             for own in lists:
@@ -125,7 +125,7 @@ def vectors(rows: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, list[np.nda
             label = batch.column(batch.schema.get_field_index("label"))
             yield pa.RecordBatch.from_arrays([label, pa.array(places, pa.list_(pa.int32()))], names=schema.names)
 
-    table = rows.mapInArrow(run, schema).toArrow().combine_chunks()
+    table = rows.mapInArrow(tidied(run), schema).toArrow().combine_chunks()
     labels = table["label"].to_numpy().astype(np.float64)
     lists = table["places"].to_numpy(zero_copy_only=False) if len(labels) else []
     # The order in which rows arrive varies; that of the fit must not.
@@ -179,7 +179,9 @@ def fit(
     chosen = sample(labels, sample_rows, label).withColumnRenamed("doc_id", "__id")
     source = docs.select(F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("text"))
     # The sample's ids have a size bound: sample_rows times a few bytes.
-    joined = source.join(F.broadcast(chosen), "__id").dropDuplicates(["__id"])
+    # Of several texts of an id, always the same one.
+    one = F.min_by("text", F.xxhash64("text")).alias("text")
+    joined = source.join(F.broadcast(chosen), "__id").groupBy("__id").agg(F.first("label").alias("label"), one)
     rows = staged(term_rows(joined), "terms")
     terms, total, toxic = choose_terms(rows, telling, frequent)
     if not 0 < toxic < total:
