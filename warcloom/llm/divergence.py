@@ -65,7 +65,10 @@ def _source(docs: DataFrame) -> DataFrame:
 
 
 def chunk_documents(docs: DataFrame) -> DataFrame:
-    """``lang``, ``chunk``, ``docs``: how many documents of a language have a chunk; placed by chunk."""
+    """``chunk``, ``langs`` (``lang``, ``docs``): in how many documents of each language a chunk is.
+
+    A row a chunk; it lists languages, not documents.
+    """
     schema = row_type(lang="string", chunk="binary", docs="long")
 
     def rows(held: dict) -> Iterator[pa.RecordBatch]:
@@ -88,23 +91,33 @@ def chunk_documents(docs: DataFrame) -> DataFrame:
 
     # By chunk alone: all that is known of a chunk is in one place from here on.
     partial = _source(docs).mapInArrow(run, schema).repartition("chunk")
-    return partial.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs"))
+    by_lang = partial.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"))
+    return by_lang.groupBy("chunk").agg(F.collect_list(F.struct("lang", "docs")).alias("langs"))
 
 
 def chunk_terms(counts: DataFrame) -> DataFrame:
-    """``chunk``, ``term``, ``times``: the terms of each distinct chunk and how often it has them."""
+    """``chunk``, ``lang``, ``docs``, ``term``, ``times``: each chunk cut once, joined with its counts."""
     terms = F.regexp_extract_all(F.col("chunk").cast("string"), F.lit(TERM), F.lit(0))
-    cut = counts.select("chunk").distinct().withColumn("terms", F.transform(terms, ascii_lower))
+    cut = counts.withColumn("terms", F.transform(terms, ascii_lower)).filter(F.size("terms") > 0)
     # Nearly all chunks have one term; some others are counted among their own few.
-    one = F.struct(F.element_at("terms", 1).alias("term"), F.lit(1).cast("long").alias("times"))
+    one = F.array(F.struct(F.element_at("terms", 1).alias("term"), F.lit(1).cast("long").alias("times")))
     few = F.transform(
         F.array_distinct("terms"),
         lambda t: F.struct(t.alias("term"), F.size(F.filter("terms", lambda u: u == t)).cast("long").alias("times")),
     )
-    short = cut.filter((F.size("terms") > 0) & (F.size("terms") <= FEW_TERMS))
-    short = short.select("chunk", F.explode(F.when(F.size("terms") == 1, F.array(one)).otherwise(few)).alias("t"))
-    long = cut.filter(F.size("terms") > FEW_TERMS).select("chunk", F.explode("terms").alias("term"))
-    return short.select("chunk", "t.term", "t.times").union(long.groupBy("chunk", "term").agg(F.count("*").alias("times")))
+    # The pieces of a long one are sorted: equal ones lie side by side, and their ends differ.
+    ordered = F.array_sort("terms")
+    ends = F.filter(F.sequence(F.lit(1), F.size("terms")), lambda i: (i == F.size("terms")) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+    runs = F.transform(ends, lambda i: F.struct(F.get(ordered, i - 1).alias("term"), i.alias("end")))
+    many = F.transform(
+        F.sequence(F.lit(0), F.size(runs) - 1),
+        lambda k: F.struct(
+            F.get(runs, k)["term"].alias("term"), (F.get(runs, k)["end"] - F.coalesce(F.get(runs, k - 1)["end"], F.lit(0))).cast("long").alias("times")
+        ),
+    )
+    counted = F.when(F.size("terms") == 1, one).when(F.size("terms") <= FEW_TERMS, few).otherwise(many)
+    each = cut.select("chunk", "langs", F.explode(counted).alias("t"))
+    return each.select("chunk", F.explode("langs").alias("l"), "t").select("chunk", "l.lang", "l.docs", "t.term", "t.times")
 
 
 def occurrences(docs: DataFrame, wanted: np.ndarray, doubtful: np.ndarray) -> DataFrame:
@@ -135,31 +148,33 @@ def occurrences(docs: DataFrame, wanted: np.ndarray, doubtful: np.ndarray) -> Da
                 yield batch_of([lang] * len(n), [source] * len(n), chunk, n, [None] * len(n))
 
         for batch in chunks(batches, "text"):
-            groups = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            places = {g: i for i, g in enumerate(dict.fromkeys(groups))}
-            cut = [t.split() for t in batch.column(2).to_pylist()]
-            every = pa.array(itertools.chain.from_iterable(cut), pa.binary()).dictionary_encode()
-            distinct, index = every.dictionary.to_pylist(), every.indices.to_numpy()
-            first, second = bits_of(np.fromiter((xxhash.xxh64_intdigest(c, SEED) for c in distinct), np.uint64, len(distinct)))
-            chosen, doubted = (t[first] & t[second] for t in tables)
-            row = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
-            group = np.array([places[g] for g in groups], dtype=np.int64)
-            # Of all words those of chosen chunks, then counted by group and chunk.
-            inside = chosen[index]
-            keys, n = np.unique(group[row[inside]] * len(distinct) + index[inside], return_counts=True)
-            for g in places:
-                held[g].update({})
-            names = list(places)
-            for key, count in zip(keys.tolist(), n.tolist()):
-                held[names[key // len(distinct)]][distinct[key % len(distinct)]] += count
-            inside = doubted[index]
-            keys = np.unique(row[inside] * len(distinct) + index[inside]).tolist()
-            if keys:
-                rows, found = zip(*(divmod(k, len(distinct)) for k in keys))
-                yield batch_of(
-                    [groups[r][0] for r in rows], [groups[r][1] for r in rows], [distinct[f] for f in found],
-                    [None] * len(rows), [number + r for r in rows],
-                )
+            by_lang = defaultdict(list)
+            for row, (lang, source, text) in enumerate(zip(*(batch.column(i).to_pylist() for i in range(3)))):
+                by_lang[lang].append((row, source, text))
+            for lang, rows in by_lang.items():
+                cut = [text.split() for *_, text in rows]
+                every = pa.array(itertools.chain.from_iterable(cut), pa.binary()).dictionary_encode()
+                distinct, index = every.dictionary.to_pylist(), every.indices.to_numpy()
+                hashes = (xxhash.xxh64_intdigest(c, SEED) for c in map((lang.encode() + b" ").__add__, distinct))
+                first, second = bits_of(np.fromiter(hashes, np.uint64, len(distinct)))
+                chosen, doubted = (t[first] & t[second] for t in tables)
+                places = {source: i for i, source in enumerate(dict.fromkeys(source for _, source, _ in rows))}
+                row = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
+                group = np.array([places[source] for _, source, _ in rows], dtype=np.int64)
+                # Of all words those of chosen chunks, then counted by source and chunk.
+                inside = chosen[index]
+                keys, n = np.unique(group[row[inside]] * len(distinct) + index[inside], return_counts=True)
+                names = list(places)
+                for source in names:
+                    held[lang, source].update({})
+                for key, count in zip(keys.tolist(), n.tolist()):
+                    held[lang, names[key // len(distinct)]][distinct[key % len(distinct)]] += count
+                inside = doubted[index]
+                keys = np.unique(row[inside] * len(distinct) + index[inside]).tolist()
+                if keys:
+                    of, found = zip(*(divmod(k, len(distinct)) for k in keys))
+                    doc = [number + rows[r][0] for r in of]
+                    yield batch_of([lang] * len(of), [rows[r][1] for r in of], [distinct[f] for f in found], [None] * len(of), doc)
             number += batch.num_rows
             if sum(map(len, held.values())) > HELD_CHUNKS:
                 yield from counted()
@@ -174,16 +189,16 @@ def kept_counts(docs: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame, D
     ``min_docs`` documents of the language; and ``lang``, ``source``, ``term``, ``n``, their
     occurrences.
     """
-    counts = chunk_documents(docs)
-    terms = chunk_terms(counts)
-    joined = staged(counts.join(terms, "chunk"), "chunks")
+    joined = staged(chunk_terms(chunk_documents(docs)), "chunks")
     bounds = joined.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high"))
     bounds = staged(bounds.filter(F.col("high") >= min_docs), "bounds")
     sure = F.col("low") >= min_docs
     likely = staged(joined.join(bounds.select("lang", "term", sure.alias("sure")), ["lang", "term"]).drop("docs"), "likely")
 
-    chosen = likely.select(F.xxhash64("chunk").alias("seed"))
-    doubtful = likely.filter("NOT sure").select(F.xxhash64("chunk").alias("seed"))
+    # A chunk is looked for in the languages where it matters.
+    seed = F.xxhash64(F.concat(F.col("lang").cast("binary"), F.lit(b" "), F.col("chunk")))
+    chosen = likely.select(seed.alias("seed"))
+    doubtful = likely.filter("NOT sure").select(seed.alias("seed"))
     # Written at once: the numbers of documents hold from here on.
     found = staged(occurrences(docs, bit_table(chosen), bit_table(doubtful)), "occurrences")
     of_doc = found.filter("doc IS NOT NULL").select("lang", "chunk", "doc")
