@@ -33,7 +33,7 @@ from warcloom.operators.tables import (
 from warcloom.plans.jobs import SegmentError, build_corpus, build_tables, list_segments, merge_batches
 from warcloom.profiles import PROFILES, Profile, get_profile
 from warcloom.sinks.map_files import write_map_files
-from warcloom.sinks.tables import segment_path, write_merged, write_tables
+from warcloom.sinks.tables import drop_superseded, segment_path, write_merged, write_tables
 from warcloom.sinks.warc import write_warc
 from warcloom.sources.map_files import read_map_files
 from warcloom.sources.tables import (

@@ -45,15 +45,21 @@ class Recent(dict):
     def __init__(self, entries: int) -> None:
         self.entries, self.older = entries, {}
 
-    def learn(self, keys: list[str], make: Callable[[list[str]], list[bytes]]) -> None:
-        """Have the values of all ``keys``, which are distinct, in the table."""
+    def all(self, keys: list[str], make: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """The values of ``keys``, which are distinct; ``make`` gives those that aren't known."""
         if len(self) >= self.entries // 2:
             self.older = {k: v for k, v in self.items() if len(k) <= CACHED_LENGTH}
             self.clear()
-        older, fresh = self.older, [k for k in keys if k not in self]
-        self.update((k, older[k]) for k in fresh if k in older)
-        missing = [k for k in fresh if k not in older]
-        self.update(zip(missing, make(missing)))
+        values = list(map(self.get, keys))
+        fresh = [i for i, v in enumerate(values) if v is None]
+        older = self.older
+        for i in fresh:
+            values[i] = older.get(keys[i])
+        missing = [i for i in fresh if values[i] is None]
+        for i, value in zip(missing, make([keys[i] for i in missing])):
+            values[i] = value
+        self.update((keys[i], values[i]) for i in fresh)
+        return values
 
 
 class PieceEncoder:
@@ -120,9 +126,7 @@ class PieceEncoder:
         words = pc.if_else(mark.is_valid(), pc.utf8_slice_codeunits(plain, 0, -1), plain)
         words = pc.utf8_lower(words).dictionary_encode()
         named, others = words.dictionary.to_pylist(), pieces.filter(pc.invert(simple)).to_pylist()
-        self.words.learn(named, self.word_ids)
-        self.pieces.learn(others, self.library_ids)
-        ids = [*self.marks, *map(self.words.__getitem__, named), *map(self.pieces.__getitem__, others)]
+        ids = [*self.marks, *self.words.all(named, self.word_ids), *self.pieces.all(others, self.library_ids)]
         is_simple = np.asarray(simple)
         word, behind = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
         word[is_simple] = words.indices.to_numpy() + len(self.marks)

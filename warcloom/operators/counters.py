@@ -39,7 +39,7 @@ def _record_counts() -> dict[str, Column]:
     }
 
 
-def _as_rows(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
+def as_rows(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
     """One wide row of counts to (counter, value) rows."""
     pairs = F.array(
         *(F.struct(F.lit(n).alias("counter"), F.col(n).cast("bigint").alias("value")) for n in names)
@@ -72,8 +72,8 @@ def counters(df: DataFrame) -> DataFrame:
         )
     )
     totals = df.agg(*(c.alias(n) for n, c in _record_counts().items()))
-    return _as_rows(totals, RECORD_COUNTERS[:6]).unionByName(
-        _as_rows(entries, RECORD_COUNTERS[6:])
+    return as_rows(totals, RECORD_COUNTERS[:6]).unionByName(
+        as_rows(entries, RECORD_COUNTERS[6:])
     )
 
 
@@ -115,9 +115,9 @@ def merge_counters(
     output = (rows if written is None else written).agg(
         F.count(F.lit(1)).alias("MAPFILE_ENTRIES_WRITTEN")
     )
-    return _as_rows(inputs, MERGE_COUNTERS[:4]).unionByName(_as_rows(output, MERGE_COUNTERS[4:]))
+    return as_rows(inputs, MERGE_COUNTERS[:4]).unionByName(as_rows(output, MERGE_COUNTERS[4:]))
 
 
 def split_counter(splits: DataFrame) -> DataFrame:
     """How many input splits a merge takes up, as the counter RECORDS."""
-    return _as_rows(splits.agg(F.count(F.lit(1)).alias("RECORDS")), ("RECORDS",))
+    return as_rows(splits.agg(F.count(F.lit(1)).alias("RECORDS")), ("RECORDS",))

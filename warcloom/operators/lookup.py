@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from warcloom.functions.identity import SPLIT_NAME_FORMAT, doc_uuid, partition_id
 from warcloom.operators.tables import DATA, URI
-from warcloom.scratch import checkpointed
+from warcloom.scratch import checkpointed, scratch_path
 from warcloom.sources.tables import Tables, open_tables
 
 # Up to this many keys are put into the query itself, so that only their row groups
@@ -17,6 +17,10 @@ from warcloom.sources.tables import Tables, open_tables
 LITERAL_KEYS = 256
 # Parquet gets longer lists than this as one range, from the smallest key to the largest.
 PUSHED_KEYS = 10
+# Keys go to the tasks that read the table, in slices of so many bytes (and some for each
+# row) at most; a slice is what is broadcast.
+SLICE_BYTES = 8 << 20
+ROW_BYTES = 64
 
 
 def _opened(spark: SparkSession, tables: Tables | str) -> Tables:
@@ -40,6 +44,58 @@ def _any_of(keys: list[str]) -> Column:
     return reduce(Column.__or__, [F.col("key").isin(g) for g in groups], F.lit(False))
 
 
+def _slices(sizes: list[tuple[int, int, int]]) -> list[tuple[list[int], int, int]]:
+    """Parts gathered to slices, from (part, keys, bytes): (parts, which of how many).
+
+    Neighbouring parts share a slice as long as their keys fit. Keys of one part that don't
+    are cut by a hash.
+    """
+    slices, parts, held = [], [], 0
+    for part, n, size in sorted(sizes):
+        weight = size + n * ROW_BYTES
+        if weight > SLICE_BYTES:
+            pieces = -(-weight // (SLICE_BYTES // 2))
+            slices += [([part], k, pieces) for k in range(pieces)]
+            continue
+        if parts and held + weight > SLICE_BYTES:
+            slices.append((parts, 0, 1))
+            parts, held = [], 0
+        parts, held = [*parts, part], held + weight
+    return [*slices, (parts, 0, 1)] if parts else slices
+
+
+def matches(tables: Tables, table: str, wanted: DataFrame, *columns: str) -> DataFrame:
+    """The rows of a table with any of the keys in ``wanted``: key, part and ``columns``.
+
+    ``wanted`` is a written table of distinct ``key``, ``part``. Keys are brought to the
+    rows, never rows to the keys: of the table, only rows that have a key leave the task that
+    reads them. That takes a broadcast of some MB; for more keys, one for each slice of
+    them, whose rows go to the scratch folder, so that memory doesn't grow with the keys.
+    """
+    few = wanted.limit(LITERAL_KEYS + 1).collect()
+    columns = ("key", "part", *columns)
+    if len(few) <= LITERAL_KEYS:
+        keys = [r["key"] for r in few]
+        rows = tables.part_rows(table, {r["part"] for r in few}, keys).filter(_any_of(keys))
+        return rows.join(F.broadcast(wanted), ["key", "part"]).select(*columns)
+    # As many rows as the table has parts, at most.
+    sizes = wanted.groupBy("part").agg(F.count("*").alias("n"), F.sum(F.octet_length("key")).alias("bytes")).collect()
+    slices = _slices([(r["part"], r["n"], r["bytes"]) for r in sizes])
+    hits = []
+    for parts, k, pieces in slices:
+        keys = wanted if len(slices) == 1 else wanted.filter(F.col("part").isin(parts))
+        if pieces > 1:
+            keys = keys.filter(F.pmod(F.xxhash64("key"), F.lit(pieces)) == k)
+        rows = tables.part_rows(table, parts)
+        hits.append(rows.join(F.broadcast(keys), ["key", "part"]).select(*columns))
+    if len(hits) == 1:
+        return hits[0]
+    path = scratch_path(wanted.sparkSession, "hits")
+    for rows in hits:
+        rows.write.mode("append").parquet(path)
+    return wanted.sparkSession.read.schema(hits[0].schema).parquet(path)
+
+
 def lookup(
     spark: SparkSession,
     tables: Tables | str,
@@ -53,29 +109,16 @@ def lookup(
     part is computed, not searched. Of repeated keys in a merged table the first
     counts. Missing keys stay, with ``found`` false.
 
-    The keys are computed once, to the scratch folder, so that Spark knows how many
-    there are: rows meet them in an inner join, of which the keys are the side to
-    broadcast, and only the few hits go further.
+    The keys are computed once, to the scratch folder. Their parts are read by path, as long
+    as these aren't very many, and rows meet them where they are read (:func:`matches`).
     """
     tables = _opened(spark, tables)
     table = URI if by == "uri" else DATA
     wanted = _wanted(keys, by, prefix).filter(F.col("key").isNotNull()).distinct()
     wanted = checkpointed(wanted.withColumn("part", partition_id(F.col("key"), tables.num_partitions)))
-
-    rows = tables.rows.filter(F.col("table") == table)
-    few = wanted.take(LITERAL_KEYS + 1)
-    if len(few) <= LITERAL_KEYS:
-        parts = sorted({r["part"] for r in few})
-        rows = rows.filter(_any_of([r["key"] for r in few]))
-    else:
-        # As many numbers as the table has parts, at most.
-        parts = [r["part"] for r in wanted.select("part").distinct().collect()]
-    if len(parts) < tables.num_partitions:
-        rows = rows.filter(F.col("part").isin(parts))
-    hits = rows.join(wanted, ["key", "part"])
-    if tables.order is None:
-        hits = hits.select("key", "part", "value")
-    else:
+    order = () if tables.order is None else (tables.order,)
+    hits = matches(tables, table, wanted, "value", *order)
+    if order:
         hits = hits.groupBy("key", "part").agg(F.min_by("value", tables.rank).alias("value"))
     hits = hits.withColumn("found", F.lit(True))
     return wanted.join(hits, ["key", "part"], "left").select(

@@ -4,40 +4,49 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from warcloom.functions.identity import segment_name
 from warcloom.operators import tables as T
-from warcloom.operators.counters import RECORD_COUNTERS, merge_counters
+from warcloom.operators.counters import RECORD_COUNTERS, as_rows, merge_counters
 from warcloom.operators.docs import build_docs
 from warcloom.operators.records import HTTP_TYPES, parse_records
 from warcloom.operators.segments import segment_range
 from warcloom.profiles import get_profile
 from warcloom.scratch import drop_scratch
-from warcloom.sinks.tables import put_in_place, segment_path, write_corpus_manifest, write_merged, write_rows
-from warcloom.sources.tables import check_parts, open_tables
+from warcloom.sinks.tables import check_corpus, commit_segment, segment_path, write_merged, write_rows
+from warcloom.sources.tables import Tables, check_parts, open_tables
 from warcloom.sources.warc import read_to_build
 
 Detector = Callable[[Column], Column]
 
 
-def _generator_counters(written: DataFrame) -> DataFrame:
-    """Counters from the rows written: (counter, value)."""
-    number = lambda name: F.sum(F.when(F.col("table") == T.COUNTS, F.get_json_object("value", f"$.{name}").cast("bigint")))
-    entries = lambda table: F.count_if(F.col("table") == table)
-    found = written.agg(
+def _generator_counters(tables: Tables) -> DataFrame:
+    """Counters from the rows written: (counter, value).
+
+    How many rows a table has is in the footers of its files; values are read of the small
+    table of counts alone.
+    """
+    number = lambda name: F.coalesce(F.sum(F.get_json_object("value", f"$.{name}").cast("bigint")), F.lit(0))
+    records = tables.rows.filter(F.col("table") == T.COUNTS).agg(
         number("records").alias("RECORDS"),
         (number("records") - number("documents")).alias("SKIPPED_RECORDS"),
         number("documents").alias("GENERATED_DOCS"),
+    )
+    entries = lambda table: F.count_if(F.col("table") == table)
+    written = tables.rows.select("table").agg(
         entries(T.BINARY).alias("BINARY_RECORDS"),
         entries(T.DATA).alias("MAPFILE_DATA_ENTRIES"),
         entries(T.URI).alias("MAPFILE_URI_ENTRIES"),
     )
-    value = lambda name: F.coalesce(F.col(name), F.lit(0)) if name in found.columns else F.lit(0).cast("bigint")
-    pairs = F.array(*(F.struct(F.lit(n).alias("counter"), value(n).alias("value")) for n in RECORD_COUNTERS))
-    return found.select(F.explode(pairs).alias("c")).select("c.counter", "c.value")
+    unused = [n for n in RECORD_COUNTERS if n not in (*records.columns, *written.columns)]
+    return as_rows(records.withColumns({n: F.lit(0) for n in unused}), (*records.columns, *unused)).unionByName(
+        as_rows(written, tuple(written.columns))
+    )
 
 
 def build_tables(
@@ -60,7 +69,7 @@ def build_tables(
     kept = parsed.filter(F.col("record_type").isin(*HTTP_TYPES) | F.col("counts").isNotNull())
     rows = T.map_rows(build_docs(kept, prefix, detector), binary=True)
     write_rows(rows, None, output, num_partitions)
-    return _generator_counters(open_tables(spark, output).rows)
+    return _generator_counters(open_tables(spark, output))
 
 
 def merge_batches(
@@ -117,18 +126,24 @@ def build_corpus(
     hi: str | None = None,
     files: str = "*/*",
     detector: Detector | None = None,
+    at_once: int = 4,
 ) -> DataFrame:
     """Build the tables of each segment under ``root``; returns (segment, counter, value).
 
-    Each chosen segment is a job of its own and takes ``num_partitions`` tasks. Its
-    tables go to ``segment=segment-…/table=…/part=…``, numbered over all segments,
-    chosen or not. They are written aside and put in place when they are complete, in
-    the place of those of an earlier run; segments that aren't chosen are left alone.
-    One that fails leaves what was there before and doesn't keep the others from being
-    built; :class:`SegmentError` then tells which failed. ``files`` is the glob of
-    archives inside a segment.
+    Each chosen segment is a job of its own and takes ``num_partitions`` tasks; ``at_once``
+    of them run side by side (fairly, where ``spark.scheduler.mode`` is FAIR), so that the
+    last tasks of one don't leave the cluster idle. Segments are numbered over all under
+    ``root``, chosen or not.
+
+    A segment's tables go to a new folder, ``segment=segment-…/generation=…``, which counts
+    from the moment when the next state of the corpus names it. Nothing that a reader may
+    have open, or that another run writes, is touched; :func:`drop_superseded` deletes what
+    no state needs. One segment that fails leaves what was there before and doesn't keep the
+    others from being built; :class:`SegmentError` then tells which failed. ``files`` is the
+    glob of archives inside a segment.
     """
     get_profile(profile)
+    check_corpus(spark, output, num_partitions)
     chosen = [
         (r["segment"], r["name"])
         for r in segment_range(list_segments(spark, root), lo, hi)
@@ -137,21 +152,29 @@ def build_corpus(
     ]
     if not chosen:
         raise ValueError(f"no segment of {root} lies between {lo!r} and {hi!r}")
-    counted, failed = [], {}
-    for segment, name in chosen:
-        aside = f"{output}/_building/{name}-{uuid.uuid4().hex}"
+
+    def build(segment: str, name: str) -> list[tuple[str, str, int]]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        generation = uuid.uuid4().hex
+        folder = f"{segment_path(output, name)}/generation={generation}"
         try:
             glob = f"{root.rstrip('/')}/{segment}/{files}"
-            counters = build_tables(spark, glob, profile, prefix, aside, num_partitions, detector)
+            counters = build_tables(spark, glob, profile, prefix, folder, num_partitions, detector)
             rows = [(name, r["counter"], r["value"]) for r in counters.collect()]
-            put_in_place(spark, aside, segment_path(output, name))
-            counted += rows
-        except Exception as error:
-            failed[segment] = error
-            drop_scratch(spark, aside)
-        else:
-            write_corpus_manifest(spark, output, num_partitions)
-    drop_scratch(spark, f"{output}/_building")
+            commit_segment(spark, output, name, generation, num_partitions)
+        except Exception:
+            drop_scratch(spark, folder)
+            raise
+        return rows
+
+    counted, failed = [], {}
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        running = {segment: pool.submit(inheritable_thread_target(spark)(build), segment, name) for segment, name in chosen}
+        for segment, job in running.items():
+            try:
+                counted += job.result()
+            except Exception as error:
+                failed[segment] = error
     if failed:
         raise SegmentError(failed)
     # A few counters per segment.

@@ -2,20 +2,37 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from warcloom.functions.identity import partition_id
 from warcloom.operators import tables as T
-from warcloom.sources.tables import write_manifest
+from warcloom.sources.tables import (
+    VERSIONS,
+    folder_names,
+    hadoop_path,
+    latest_version,
+    write_facts,
+    write_manifest,
+    written_parts,
+)
 
 CODEC = "zstd"
 
 
 def _save(rows: DataFrame, output: str, *folders: str) -> None:
-    rows.write.partitionBy(*folders).option("compression", CODEC).parquet(output)
+    # Bloom filters of a size that follows the keys: where parts of many segments or merged
+    # inputs are asked for a key, those without it aren't read.
+    (
+        rows.write.partitionBy(*folders)
+        .option("compression", CODEC)
+        .option("parquet.bloom.filter.enabled#key", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
+        .parquet(output)
+    )
 
 
 def arrange_rows(
@@ -46,24 +63,60 @@ def segment_path(output: str, segment: str) -> str:
     return f"{output}/segment={segment}"
 
 
-def put_in_place(spark: SparkSession, made: str, place: str) -> None:
-    """Move finished tables to their place; those that were there are replaced."""
-    new_path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = new_path(place).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(new_path(place), True)
-    fs.mkdirs(new_path(place).getParent())
-    if not fs.rename(new_path(made), new_path(place)):
-        raise OSError(f"could not move {made} to {place}")
+def check_corpus(spark: SparkSession, output: str, num_partitions: int) -> None:
+    """Raise if a corpus has segments with another partition count, in which keys lie elsewhere."""
+    _, facts = latest_version(spark, output)
+    if facts and facts["num_partitions"] != num_partitions:
+        raise ValueError(
+            f"{output} has {len(facts['segments'])} segments of {facts['num_partitions']} partitions; "
+            f"{num_partitions} would hide their keys"
+        )
 
 
-def write_corpus_manifest(spark: SparkSession, output: str, num_partitions: int) -> None:
-    """The manifest over the segments that are in place; all need one partition count."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(output)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
-    numbers = [int(n.rsplit("-", 1)[1]) for n in names if n.startswith("segment=")]
-    facts = {"num_partitions": num_partitions, "order": "segment", "inputs": max(numbers) + 1}
-    write_manifest(spark, output, **facts)
+#: Commits of one process take turns; those of others are told by the number of the state.
+_COMMIT = threading.Lock()
+
+
+def commit_segment(spark: SparkSession, output: str, segment: str, generation: str, num_partitions: int) -> None:
+    """Make written tables those of a segment: a new state of the corpus, which names them.
+
+    States are numbered files that are never changed. When another run has stored the next
+    one first, its state is taken up and the number after it is tried.
+    """
+    parts = written_parts(spark, f"{segment_path(output, segment)}/generation={generation}")
+    with _COMMIT:
+        while True:
+            check_corpus(spark, output, num_partitions)
+            number, facts = latest_version(spark, output)
+            segments = (facts or {}).get("segments", {}) | {segment: {"generation": generation, "parts": parts}}
+            state = {
+                "num_partitions": num_partitions, "order": "segment", "segments": segments,
+                "inputs": max(int(s.rsplit("-", 1)[1]) for s in segments) + 1,
+            }
+            folder, fs = hadoop_path(spark, f"{output}/{VERSIONS}")
+            fs.mkdirs(folder)
+            if write_facts(spark, f"{output}/{VERSIONS}/{number + 1:08d}.json", state, replace=False):
+                return
+
+
+def drop_superseded(spark: SparkSession, output: str, hours: float = 24.0) -> list[str]:
+    """Delete tables of segments that the corpus's last state doesn't name; gives their folders.
+
+    What is younger than ``hours`` stays: a run may be writing it, and readers that opened
+    an earlier state may be reading it.
+    """
+    _, facts = latest_version(spark, output)
+    latest = spark._jvm.System.currentTimeMillis() - int(hours * 3_600_000)
+    dropped = []
+    for name in (n for n in folder_names(spark, output) if n.startswith("segment=")):
+        for generation in (g for g in folder_names(spark, f"{output}/{name}") if g.startswith("generation=")):
+            folder = f"{output}/{name}/{generation}"
+            at, fs = hadoop_path(spark, folder)
+            live = ((facts or {}).get("segments", {}).get(name[8:]) or {}).get("generation")
+            if generation[11:] != live and fs.getFileStatus(at).getModificationTime() <= latest:
+                fs.delete(at, True)
+                dropped.append(folder)
+    return dropped
 
 
 def write_rows(

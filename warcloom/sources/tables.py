@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import json
+import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,41 @@ from warcloom.functions.identity import split_name, split_partition
 
 TABLE_SCHEMA = "key string, value string, table string, part int"
 MANIFEST = "_manifest.json"
+# A corpus has one file for each of its states in this folder; the last one counts.
+VERSIONS = "_versions"
+# Up to this many part folders are read by their paths; for more, whole tables are listed.
+DIRECT_FOLDERS = 1_000
+
+Ranges = list[list[int]]
+
+
+@dataclass(frozen=True)
+class Piece:
+    """A folder of ``table=…/part=…`` folders, below ``base``, and the parts written there.
+
+    ``parts`` has, for each table, ranges of part numbers; None if that isn't known.
+    ``cuts`` has, for parts of several files, these files with their first keys.
+    """
+
+    folder: str
+    base: str
+    parts: dict[str, Ranges] | None = None
+    cuts: dict[str, dict[str, list[list[str]]]] | None = None
+
+    def numbers(self, table: str) -> set[int]:
+        return {n for low, high in (self.parts or {}).get(table, []) for n in range(low, high + 1)}
+
+    def paths(self, table: str, part: int, keys: list[str] | None) -> list[str]:
+        """The folder of a part, or those of its files that can hold any of some keys."""
+        folder = f"{self.folder}/table={table}/part={part}"
+        files = (self.cuts or {}).get(table, {}).get(str(part))
+        if not files or keys is None:
+            return [folder]
+        # A key may begin in one file and go on in the next ones. Keys are ordered by their bytes.
+        first = [key.encode() for _, key in files] + [None]
+        wanted = sorted(key.encode() for key in keys)
+        reached = lambda low, high: any(low <= key and (high is None or key <= high) for key in wanted)
+        return [f"{folder}/{name}" for (name, _), low, high in zip(files, first, first[1:]) if reached(low, high)]
 
 
 @dataclass(frozen=True)
@@ -21,15 +59,71 @@ class Tables:
     """A written set of tables and what a reader has to know about it.
 
     ``order`` is the column that ranks repeats of a key, if there can be any, and
-    ``inputs`` how many ranks there are.
+    ``inputs`` how many ranks there are. Opening lists no files: ``rows`` does, once it
+    is asked for.
     """
 
     path: str
     num_partitions: int
     order: str | None
-    rows: DataFrame
+    given: DataFrame | None = None
     inputs: int = 1
-    types: tuple[tuple[str, str], ...] = ()
+    stated: tuple[tuple[str, str], ...] = ()
+    pieces: tuple[Piece, ...] = ()
+    spark: SparkSession | None = None
+
+    @functools.cached_property
+    def rows(self) -> DataFrame:
+        """All rows: key, value, table, part, and the column that ranks repeats."""
+        if self.given is not None:
+            return self.given
+        return self.read([(p.folder, p.base) for p in self.pieces])
+
+    @property
+    def columns(self) -> dict[str, str]:
+        extra = {"segment": {"segment": "string"}, "ordinal": {"ordinal": "int"}}.get(self.order, {})
+        return {"key": "string", "value": "string", "table": "string", "part": "int"} | extra
+
+    def read(self, places: Iterable[tuple[str, str]]) -> DataFrame:
+        """The rows in some folders or files, each with the folder that its partitions start from."""
+        schema = ", ".join(f"{name} {kind}" for name, kind in self.columns.items())
+        of_base: dict[str, list[str]] = {}
+        for path, base in places:
+            of_base.setdefault(base, []).append(path)
+        reader = lambda base: self.spark.read.schema(schema).option("basePath", base)
+        frames = [reader(base).parquet(*paths).select(*self.columns) for base, paths in of_base.items()]
+        return reduce(DataFrame.unionByName, frames) if frames else self.spark.createDataFrame([], schema)
+
+    def part_rows(self, table: str, parts: Iterable[int], keys: list[str] | None = None) -> DataFrame:
+        """The rows of some parts of a table, of ``keys`` at least if these are given.
+
+        Parts are addressed by path, so nothing else is listed, unless they are very many.
+        """
+        parts = sorted(parts)
+        if self.given is None and all(p.parts is not None for p in self.pieces):
+            places: list[tuple[str, str]] = []
+            for piece in self.pieces:
+                written = piece.numbers(table)
+                for part in (n for n in parts if n in written):
+                    places += [(path, piece.base) for path in piece.paths(table, part, keys)]
+            if len(places) <= DIRECT_FOLDERS:
+                return self.read(places)
+        rows = self.rows.filter(F.col("table") == table)
+        return rows if len(parts) >= self.num_partitions else rows.filter(F.col("part").isin(parts))
+
+    @functools.cached_property
+    def types(self) -> tuple[tuple[str, str], ...]:
+        """Types of key and value over the footers of all files, which tasks read; as stated without files."""
+        folders = [p.folder for p in self.pieces]
+        try:
+            found = self.spark.read.option("mergeSchema", True).parquet(*folders).schema
+        except PySparkException as error:
+            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+                return tuple(sorted(self.stated))
+            if "MERGE" in (error.getCondition() or ""):
+                raise ValueError(f"types differ between the files of {self.path}: {error}") from error
+            raise
+        return tuple((f.name, f.dataType.simpleString()) for f in found if f.name in dict(self.stated))
 
     @property
     def rank(self) -> Column:
@@ -39,54 +133,135 @@ class Tables:
         return F.col("ordinal") if self.order == "ordinal" else F.lit(0)
 
 
-def _manifest(spark: SparkSession, path: str):
-    """A table's manifest file and its filesystem, through Hadoop."""
-    file = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MANIFEST}")
-    return file, file.getFileSystem(spark._jsc.hadoopConfiguration())
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its filesystem, through Hadoop."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def write_manifest(spark: SparkSession, path: str, **facts) -> None:
-    """Store a table's facts beside it."""
-    facts.setdefault("types", {"key": "string", "value": "string"})
-    file, fs = _manifest(spark, path)
-    stream = fs.create(file, True)
-    stream.write(bytearray(json.dumps(facts, sort_keys=True).encode()))
-    stream.close()
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if there is no such folder."""
+    at, fs = hadoop_path(spark, path)
+    if not fs.exists(at):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory())
 
 
-def open_tables(spark: SparkSession, path: str) -> Tables:
-    """Open tables written by this package."""
-    file, fs = _manifest(spark, path)
+def read_facts(spark: SparkSession, path: str) -> dict | None:
+    """A JSON file, if there is one."""
+    file, fs = hadoop_path(spark, path)
+    if not fs.exists(file):
+        return None
     stream = fs.open(file)
     facts = json.loads(bytes(stream.readAllBytes()))
     stream.close()
-    order = facts.get("order")
-    extra = {"segment": ", segment string", "ordinal": ", ordinal int"}.get(order, "")
-    rows = spark.read.schema(TABLE_SCHEMA + extra).parquet(path)
-    types = _written_types(spark, path, facts.get("types", {"key": "string", "value": "string"}))
-    return Tables(path, facts["num_partitions"], order, rows, facts.get("inputs", 1), types)
+    return facts
 
 
-def _written_types(spark: SparkSession, path: str, stated: dict[str, str]) -> tuple[tuple[str, str], ...]:
-    """Types of key and value as the files have them; as stated, if there are no files."""
+def write_facts(spark: SparkSession, path: str, facts: dict, replace: bool = True) -> bool:
+    """Store a JSON file under its name when it is complete; tells whether it is stored.
+
+    Without ``replace``, a file that is there already stays, and this gives False.
+    """
+    folder, name = path.rsplit("/", 1)
+    made, fs = hadoop_path(spark, f"{folder}/.{name}-{uuid.uuid4().hex}")
+    stream = fs.create(made, True)
+    stream.write(bytearray(json.dumps(facts, sort_keys=True).encode()))
+    stream.close()
+    jvm = spark._jvm.org.apache.hadoop.fs
+    kinds = spark.sparkContext._gateway.new_array(jvm.Options.Rename, 1)
+    kinds[0] = jvm.Options.Rename.OVERWRITE if replace else jvm.Options.Rename.NONE
+    place = jvm.Path(path)
+    context = jvm.FileContext.getFileContext(fs.makeQualified(place).toUri(), spark._jsc.hadoopConfiguration())
     try:
-        found = spark.read.parquet(path).schema
-    except AnalysisException as error:
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+        context.rename(fs.makeQualified(made), fs.makeQualified(place), kinds)
+    except Exception:
+        fs.delete(made, False)
+        if replace or not fs.exists(place):
             raise
-        return tuple(sorted(stated.items()))
-    return tuple((f.name, f.dataType.simpleString()) for f in found if f.name in stated)
+        return False
+    return True
+
+
+def written_parts(spark: SparkSession, path: str) -> dict[str, Ranges]:
+    """Ranges of the part numbers that each table under a path has a folder for."""
+    found = {}
+    for table in (n for n in folder_names(spark, path) if n.startswith("table=")):
+        ranges: Ranges = []
+        for part in sorted(int(n[5:]) for n in folder_names(spark, f"{path}/{table}") if n.startswith("part=")):
+            if ranges and ranges[-1][1] == part - 1:
+                ranges[-1][1] = part
+            else:
+                ranges.append([part, part])
+        found[table[6:]] = ranges
+    return found
+
+
+def write_manifest(spark: SparkSession, path: str, **facts) -> None:
+    """Store a table's facts beside it, with the parts that are written."""
+    facts.setdefault("types", {"key": "string", "value": "string"})
+    if facts.get("order") != "segment":
+        facts.setdefault("parts", written_parts(spark, path))
+    write_facts(spark, f"{path}/{MANIFEST}", facts)
+
+
+def latest_version(spark: SparkSession, path: str) -> tuple[int, dict | None]:
+    """Number and facts of a corpus's last state; (0, None) if it has none."""
+    at, fs = hadoop_path(spark, f"{path}/{VERSIONS}")
+    names = [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+    number = max((int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()), default=0)
+    return number, read_facts(spark, f"{path}/{VERSIONS}/{number:08d}.json") if number else None
+
+
+def live_folder(path: str, segment: str, facts: dict) -> str:
+    """Where the tables of a segment lie that a corpus's state names."""
+    return f"{path}/segment={segment}/generation={facts['segments'][segment]['generation']}"
+
+
+def open_tables(spark: SparkSession, path: str) -> Tables:
+    """Open tables written by this package: a set of tables, a corpus, or a segment of one."""
+    path = path.rstrip("/")
+    facts = read_facts(spark, f"{path}/{MANIFEST}")
+    if facts is None:
+        _, facts = latest_version(spark, path)
+        if facts is not None:
+            pieces = [Piece(live_folder(path, s, facts), path, known["parts"]) for s, known in sorted(facts["segments"].items())]
+            return _opened(spark, path, facts, pieces)
+        corpus, _, name = path.rpartition("/")
+        _, facts = latest_version(spark, corpus) if name.startswith("segment=") else (0, None)
+        if facts is None or name[8:] not in facts["segments"]:
+            raise FileNotFoundError(f"no tables at {path}")
+        folder = live_folder(corpus, name[8:], facts)
+        return _opened(spark, folder, facts | {"order": None, "inputs": 1}, [Piece(folder, folder, facts["segments"][name[8:]]["parts"])])
+    pieces = [Piece(path, path, facts.get("parts"), facts.get("cuts"))]
+    for name in facts.get("added", {}):
+        pieces.append(Piece(f"{path}/{name}", f"{path}/{name}", facts["added"][name]))
+    return _opened(spark, path, facts, pieces)
+
+
+def _opened(spark: SparkSession, path: str, facts: dict, pieces: list[Piece]) -> Tables:
+    stated = facts.get("types", {"key": "string", "value": "string"})
+    return Tables(
+        path, facts["num_partitions"], facts.get("order"), None, facts.get("inputs", 1),
+        tuple(sorted(stated.items())), tuple(pieces), spark,
+    )
 
 
 def check_parts(*every: Tables) -> None:
-    """Raise if a part number does not fit its table's partition count; one job for all."""
-    each = [t.rows.agg(F.max("part").alias("part")).withColumn("at", F.lit(k)) for k, t in enumerate(every)]
-    for highest, at in reduce(DataFrame.union, each).collect():
-        tables = every[at]
-        if highest is not None and highest >= tables.num_partitions:
-            raise ValueError(
-                f"part {highest} does not fit {tables.num_partitions} partitions: {tables.path}"
-            )
+    """Raise if a part number does not fit its table's partition count.
+
+    Where manifests don't tell the parts, one job finds them for all.
+    """
+    highest = {}
+    for k, tables in enumerate(every):
+        if tables.given is None and all(p.parts is not None for p in tables.pieces):
+            highest[k] = max((high for p in tables.pieces for ranges in p.parts.values() for _, high in ranges), default=None)
+    unknown = [t.rows.agg(F.max("part").alias("part")).withColumn("at", F.lit(k)) for k, t in enumerate(every) if k not in highest]
+    if unknown:
+        highest |= {at: part for part, at in reduce(DataFrame.union, unknown).collect()}
+    for at, part in highest.items():
+        if part is not None and part >= every[at].num_partitions:
+            raise ValueError(f"part {part} does not fit {every[at].num_partitions} partitions: {every[at].path}")
 
 
 def keep_table_splits(splits: DataFrame) -> DataFrame:
