@@ -128,13 +128,13 @@ def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
     return tidy
 
 
-def chunks(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[pa.RecordBatch]:
+def chunks(batches: Iterator[pa.RecordBatch], *columns: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that one holds some MB in some columns, or a single longer row."""
     for batch in batches:
         places = [batch.schema.get_field_index(c) for c in columns]
         start, n = 0, batch.num_rows
         size = max(1, sum(batch.column(p).nbytes for p in places) // max(1, n))
-        step = max(1, CHUNK_BYTES // size)
+        step = max(1, limit // size)
         while start < n:
             yield batch.slice(start, min(step, n - start))
             start += step

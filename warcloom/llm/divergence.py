@@ -30,12 +30,12 @@ aren't read. Texts of any length are counted whole. Columns beyond those named a
 
 from __future__ import annotations
 
-import itertools
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,6 +47,8 @@ from warcloom.llm.decontaminate import bit_table, bits_of
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: Distinct chunks that a task holds before it passes their counts on.
 HELD_CHUNKS = 500_000
+#: Bytes of text that are cut at a time.
+BATCH_BYTES = 6 << 20
 #: Chunks with more terms than these are counted by grouping.
 FEW_TERMS = 64
 #: That of Spark's function of the same name.
@@ -61,7 +63,19 @@ STRIP = 2_048
 
 def _source(docs: DataFrame) -> DataFrame:
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    return docs.select(text("lang").alias("lang"), text("source").alias("source"), text("text").cast("binary").alias("text"))
+    return docs.select(text("lang").alias("lang"), text("source").alias("source"), text("text").alias("text"))
+
+
+def _cut(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(row, distinct chunks, place among them) of all chunks of some texts."""
+    lists = pc.ascii_split_whitespace(texts)
+    every = lists.flatten().dictionary_encode()
+    row = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy())
+    distinct, index = every.dictionary, every.indices.to_numpy().astype(np.int64)
+    # White space at the ends leaves empty strings.
+    if (empty := distinct.index("").as_py()) >= 0:
+        row, index = row[index != empty], index[index != empty]
+    return row, distinct, index
 
 
 def chunk_documents(docs: DataFrame) -> DataFrame:
@@ -69,24 +83,26 @@ def chunk_documents(docs: DataFrame) -> DataFrame:
 
     A row a chunk; it lists languages, not documents.
     """
-    schema = row_type(lang="string", chunk="binary", docs="long")
+    schema = row_type(lang="string", chunk="string", docs="long")
 
     def rows(held: dict) -> Iterator[pa.RecordBatch]:
         for lang, counts in held.items():
-            columns = [pa.array([lang] * len(counts)), pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())]
+            columns = [pa.array([lang] * len(counts)), pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        held.clear()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = defaultdict(Counter)
-        for batch in chunks(batches, "text"):
-            texts = defaultdict(list)
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
-                texts[lang].append(set(text.split()))
-            for lang, sets in texts.items():
-                held[lang].update(itertools.chain.from_iterable(sets))
+        for batch in chunks(batches, "text", limit=BATCH_BYTES):
+            for lang in pc.unique(batch.column(0)):
+                row, distinct, index = _cut(batch.column(2).filter(pc.equal(batch.column(0), lang)))
+                pairs = np.unique(row * len(distinct) + index) % max(1, len(distinct))
+                places, docs = np.unique(pairs, return_counts=True)
+                counts = held[lang.as_py()]
+                found = distinct.take(pa.array(places)).to_pylist()
+                counts.update(dict(zip(found, docs.tolist())))
             if sum(map(len, held.values())) > HELD_CHUNKS:
                 yield from rows(held)
-                held.clear()
         yield from rows(held)
 
     # By chunk alone: all that is known of a chunk is in one place from here on.
@@ -97,7 +113,7 @@ def chunk_documents(docs: DataFrame) -> DataFrame:
 
 def chunk_terms(counts: DataFrame) -> DataFrame:
     """``chunk``, ``lang``, ``docs``, ``term``, ``times``: each chunk cut once, joined with its counts."""
-    terms = F.regexp_extract_all(F.col("chunk").cast("string"), F.lit(TERM), F.lit(0))
+    terms = F.regexp_extract_all(F.col("chunk"), F.lit(TERM), F.lit(0))
     cut = counts.withColumn("terms", F.transform(terms, ascii_lower)).filter(F.size("terms") > 0)
     # Nearly all chunks have one term; some others are counted among their own few.
     one = F.array(F.struct(F.element_at("terms", 1).alias("term"), F.lit(1).cast("long").alias("times")))
@@ -127,7 +143,7 @@ def occurrences(docs: DataFrame, wanted: np.ndarray, doubtful: np.ndarray) -> Da
     occurrences; each language and source has one without ``chunk``. Rows with ``doc``, a
     number that the documents get here, are of doubtful chunks, once a document.
     """
-    schema = row_type(lang="string", source="string", chunk="binary", n="long", doc="long")
+    schema = row_type(lang="string", source="string", chunk="string", n="long", doc="long")
     shared = docs.sparkSession.sparkContext.broadcast((wanted.tobytes(), doubtful.tobytes()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,51 +151,32 @@ def occurrences(docs: DataFrame, wanted: np.ndarray, doubtful: np.ndarray) -> Da
 
         tables = [np.unpackbits(np.frombuffer(t, np.uint8)).astype(bool) for t in shared.value]
         number = TaskContext.get().partitionId() << 36
-        held: dict = defaultdict(Counter)
-
-        def batch_of(lang: list, source: list, chunk: list, n: list, doc: list) -> pa.RecordBatch:
-            kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
-            columns = [pa.array(v, t) for v, t in zip((lang, source, chunk, n, doc), kinds)]
-            return pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-        def counted() -> Iterator[pa.RecordBatch]:
-            for (lang, source), counts in held.items():
-                chunk, n = [None, *counts], [0, *counts.values()]
-                yield batch_of([lang] * len(n), [source] * len(n), chunk, n, [None] * len(n))
-
-        for batch in chunks(batches, "text"):
-            by_lang = defaultdict(list)
-            for row, (lang, source, text) in enumerate(zip(*(batch.column(i).to_pylist() for i in range(3)))):
-                by_lang[lang].append((row, source, text))
-            for lang, rows in by_lang.items():
-                cut = [text.split() for *_, text in rows]
-                every = pa.array(itertools.chain.from_iterable(cut), pa.binary()).dictionary_encode()
-                distinct, index = every.dictionary.to_pylist(), every.indices.to_numpy()
-                hashes = (xxhash.xxh64_intdigest(c, SEED) for c in map((lang.encode() + b" ").__add__, distinct))
+
+        def made(lang: pa.Scalar, source: pa.Array, chunk: pa.Array, n: np.ndarray | None, doc: np.ndarray | None) -> pa.RecordBatch:
+            whole = lambda v: pa.nulls(len(source), pa.int64()) if v is None else pa.array(v.astype(np.int64))
+            return pa.RecordBatch.from_arrays([pa.repeat(lang, len(source)), source, chunk, whole(n), whole(doc)], names=schema.names)
+
+        for batch in chunks(batches, "text", limit=BATCH_BYTES):
+            for lang in pc.unique(batch.column(0)):
+                inside = pc.equal(batch.column(0), lang)
+                doc = number + np.nonzero(np.asarray(inside))[0]
+                source = batch.column(1).filter(inside)
+                names = source.dictionary_encode()
+                row, distinct, index = _cut(batch.column(2).filter(inside))
+                before = lang.as_py().encode() + b" "
+                hashes = (xxhash.xxh64_intdigest(before + c.encode(), SEED) for c in distinct.to_pylist())
                 first, second = bits_of(np.fromiter(hashes, np.uint64, len(distinct)))
                 chosen, doubted = (t[first] & t[second] for t in tables)
-                places = {source: i for i, source in enumerate(dict.fromkeys(source for _, source, _ in rows))}
-                row = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
-                group = np.array([places[source] for _, source, _ in rows], dtype=np.int64)
-                # Of all words those of chosen chunks, then counted by source and chunk.
-                inside = chosen[index]
-                keys, n = np.unique(group[row[inside]] * len(distinct) + index[inside], return_counts=True)
-                names = list(places)
-                for source in names:
-                    held[lang, source].update({})
-                for key, count in zip(keys.tolist(), n.tolist()):
-                    held[lang, names[key // len(distinct)]][distinct[key % len(distinct)]] += count
-                inside = doubted[index]
-                keys = np.unique(row[inside] * len(distinct) + index[inside]).tolist()
-                if keys:
-                    of, found = zip(*(divmod(k, len(distinct)) for k in keys))
-                    doc = [number + rows[r][0] for r in of]
-                    yield batch_of([lang] * len(of), [rows[r][1] for r in of], [distinct[f] for f in found], [None] * len(of), doc)
+                size = max(1, len(distinct))
+                # Occurrences of chosen chunks, summed by source and chunk.
+                own = chosen[index]
+                keys, n = np.unique(names.indices.to_numpy()[row[own]] * size + index[own], return_counts=True)
+                yield made(lang, names.dictionary.take(pa.array(keys // size)), distinct.take(pa.array(keys % size)), n, None)
+                yield made(lang, names.dictionary, pa.nulls(len(names.dictionary), pa.string()), np.zeros(len(names.dictionary)), None)
+                own = doubted[index]
+                keys = np.unique(row[own] * size + index[own])
+                yield made(lang, source.take(pa.array(keys // size)), distinct.take(pa.array(keys % size)), None, doc[keys // size])
             number += batch.num_rows
-            if sum(map(len, held.values())) > HELD_CHUNKS:
-                yield from counted()
-                held.clear()
-        yield from counted()
 
     return _source(docs).mapInArrow(run, schema)
 
@@ -196,7 +193,7 @@ def kept_counts(docs: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame, D
     likely = staged(joined.join(bounds.select("lang", "term", sure.alias("sure")), ["lang", "term"]).drop("docs"), "likely")
 
     # A chunk is looked for in the languages where it matters.
-    seed = F.xxhash64(F.concat(F.col("lang").cast("binary"), F.lit(b" "), F.col("chunk")))
+    seed = F.xxhash64(F.concat("lang", F.lit(" "), "chunk"))
     chosen = likely.select(seed.alias("seed"))
     doubtful = likely.filter("NOT sure").select(seed.alias("seed"))
     # Written at once: the numbers of documents hold from here on.
@@ -206,10 +203,12 @@ def kept_counts(docs: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame, D
     exact = exact.groupBy("lang", "term").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs)
     kept = staged(bounds.filter(sure).select("lang", "term").union(exact.select("lang", "term")), "kept")
 
-    by_chunk = found.filter("doc IS NULL").groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"))
-    by_chunk = staged(by_chunk, "by-chunk")
-    groups = by_chunk.filter("chunk IS NULL").select("lang", "source")
-    used = by_chunk.join(likely, ["lang", "chunk"]).select("lang", "source", "term", (F.col("n") * F.col("times")).alias("n"))
+    counted = found.filter("doc IS NULL")
+    groups = counted.filter("chunk IS NULL").select("lang", "source").distinct()
+    # By chunk alone, so that the sums and the join share one exchange.
+    by_chunk = counted.filter("chunk IS NOT NULL").repartition("chunk").groupBy("chunk", "lang", "source").agg(F.sum("n").alias("n"))
+    both = by_chunk.join(likely.repartition("chunk"), ["chunk", "lang"])
+    used = both.select("lang", "source", "term", (F.col("n") * F.col("times")).alias("n"))
     used = used.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
     return groups, kept, staged(used.join(kept, ["lang", "term"], "left_semi"), "used")
 
