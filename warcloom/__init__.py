@@ -30,7 +30,7 @@ from warcloom.operators.tables import (
     merge_tables,
     partition_table,
 )
-from warcloom.plans.jobs import SegmentError, build_corpus, build_tables, list_segments, merge_batches
+from warcloom.plans.jobs import SegmentError, add_to_tables, build_corpus, build_tables, list_segments, merge_batches
 from warcloom.profiles import PROFILES, Profile, get_profile
 from warcloom.sinks.map_files import write_map_files
 from warcloom.sinks.tables import drop_superseded, segment_path, write_merged, write_tables

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import cache
@@ -37,24 +38,29 @@ _TEXT_SETTINGS = {
 }
 
 
+# Threads that build DataFrames in one session share its settings.
+_TURN = threading.RLock()
+
+
 @contextmanager
 def body_text_settings(spark: SparkSession) -> Iterator[None]:
     """Settings under which :func:`decode_body` and :func:`base64_text` are built.
 
     They are read when a DataFrame is built, not when it runs, so the caller's
-    values are put back right away.
+    values are put back right away. Threads take turns.
     """
-    before = {name: spark.conf.get(name, None) for name in _TEXT_SETTINGS}
-    try:
-        for name, value in _TEXT_SETTINGS.items():
-            spark.conf.set(name, value)
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
+    with _TURN:
+        before = {name: spark.conf.get(name, None) for name in _TEXT_SETTINGS}
+        try:
+            for name, value in _TEXT_SETTINGS.items():
                 spark.conf.set(name, value)
+            yield
+        finally:
+            for name, value in before.items():
+                if value is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, value)
 
 
 def declared_charset(content_type: Column) -> Column:

@@ -50,31 +50,30 @@ def as_rows(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
 def counters(df: DataFrame) -> DataFrame:
     """All generator counters of records with ``encoding``, ``uuid`` and ``target_uri``.
 
-    Records without a type count as skipped. Keys are counted once.
+    Records without a type count as skipped. Keys are counted once. Records are computed
+    once as well: each gives a row for its kind, of which there are three, beside its keys.
     """
-    known = F.col("record_type").isin(*HTTP_TYPES)
+    known = F.coalesce(F.col("record_type").isin(*HTTP_TYPES), F.lit(False))
+    row = lambda table, key: F.struct(F.lit(table).alias("table"), key.alias("key"))
+    kind = F.when(~known, "skipped").when(F.col("encoding").isNull(), "binary").otherwise("text")
     keys = F.filter(
         F.array(
-            F.when(known, F.struct(F.lit("data").alias("table"), F.col("uuid").alias("key"))),
-            F.when(
-                (F.col("record_type") == URI_TYPE) & F.col("target_uri").isNotNull(),
-                F.struct(F.lit("uri").alias("table"), F.col("target_uri").alias("key")),
-            ),
+            row("kind", kind),
+            F.when(known, row("data", F.col("uuid"))),
+            F.when((F.col("record_type") == URI_TYPE) & F.col("target_uri").isNotNull(), row("uri", F.col("target_uri"))),
         ),
         lambda k: k.isNotNull(),
     )
-    entries = (
-        df.select(F.explode(keys).alias("k"))
-        .distinct()
-        .agg(
-            F.count_if(F.col("k.table") == "data").alias("MAPFILE_DATA_ENTRIES"),
-            F.count_if(F.col("k.table") == "uri").alias("MAPFILE_URI_ENTRIES"),
-        )
-    )
-    totals = df.agg(*(c.alias(n) for n, c in _record_counts().items()))
-    return as_rows(totals, RECORD_COUNTERS[:6]).unionByName(
-        as_rows(entries, RECORD_COUNTERS[6:])
-    )
+    counted = df.select(F.explode(keys).alias("k")).groupBy("k.table", "k.key").agg(F.count(F.lit(1)).alias("n"))
+    of = lambda *kinds: F.coalesce(F.sum(F.when((F.col("table") == "kind") & F.col("key").isin(*kinds), F.col("n"))), F.lit(0))
+    totals = counted.agg(
+        of("skipped", "binary", "text").alias("RECORDS"), of("skipped").alias("SKIPPED_RECORDS"),
+        F.lit(0).alias("SKIPPED_RECORDS_TOO_LARGE"), F.lit(0).alias("SKIPPED_RECORDS_TOO_SMALL"),
+        of("binary").alias("BINARY_RECORDS"), of("binary", "text").alias("GENERATED_DOCS"),
+        F.count_if(F.col("table") == "data").alias("MAPFILE_DATA_ENTRIES"),
+        F.count_if(F.col("table") == "uri").alias("MAPFILE_URI_ENTRIES"),
+    )
+    return as_rows(totals, RECORD_COUNTERS)
 
 
 def observe_counters(df: DataFrame, name: str = "records") -> tuple[DataFrame, Observation]:

@@ -44,7 +44,7 @@ def _any_of(keys: list[str]) -> Column:
     return reduce(Column.__or__, [F.col("key").isin(g) for g in groups], F.lit(False))
 
 
-def _slices(sizes: list[tuple[int, int, int]]) -> list[tuple[list[int], int, int]]:
+def _slices(sizes: list[tuple[int, int, int]], limit: int) -> list[tuple[list[int], int, int]]:
     """Parts gathered to slices, from (part, keys, bytes): (parts, which of how many).
 
     Neighbouring parts share a slice as long as their keys fit. Keys of one part that don't
@@ -53,18 +53,20 @@ def _slices(sizes: list[tuple[int, int, int]]) -> list[tuple[list[int], int, int
     slices, parts, held = [], [], 0
     for part, n, size in sorted(sizes):
         weight = size + n * ROW_BYTES
-        if weight > SLICE_BYTES:
-            pieces = -(-weight // (SLICE_BYTES // 2))
+        if weight > limit:
+            pieces = min(n, -(-2 * weight // limit))
             slices += [([part], k, pieces) for k in range(pieces)]
             continue
-        if parts and held + weight > SLICE_BYTES:
+        if parts and held + weight > limit:
             slices.append((parts, 0, 1))
             parts, held = [], 0
         parts, held = [*parts, part], held + weight
     return [*slices, (parts, 0, 1)] if parts else slices
 
 
-def matches(tables: Tables, table: str, wanted: DataFrame, *columns: str) -> DataFrame:
+def matches(
+    tables: Tables, table: str, wanted: DataFrame, *columns: str, slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
     """The rows of a table with any of the keys in ``wanted``: key, part and ``columns``.
 
     ``wanted`` is a written table of distinct ``key``, ``part``. Keys are brought to the
@@ -80,7 +82,7 @@ def matches(tables: Tables, table: str, wanted: DataFrame, *columns: str) -> Dat
         return rows.join(F.broadcast(wanted), ["key", "part"]).select(*columns)
     # As many rows as the table has parts, at most.
     sizes = wanted.groupBy("part").agg(F.count("*").alias("n"), F.sum(F.octet_length("key")).alias("bytes")).collect()
-    slices = _slices([(r["part"], r["n"], r["bytes"]) for r in sizes])
+    slices = _slices([(r["part"], r["n"], r["bytes"]) for r in sizes], slice_bytes)
     hits = []
     for parts, k, pieces in slices:
         keys = wanted if len(slices) == 1 else wanted.filter(F.col("part").isin(parts))
@@ -102,6 +104,7 @@ def lookup(
     keys: DataFrame,
     by: str = "uuid",
     prefix: str | None = None,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """Look up each distinct key: (key, part, value, found).
 
@@ -110,14 +113,14 @@ def lookup(
     counts. Missing keys stay, with ``found`` false.
 
     The keys are computed once, to the scratch folder. Their parts are read by path, as long
-    as these aren't very many, and rows meet them where they are read (:func:`matches`).
+    as these aren't very many, and rows meet them where they are read (:func:`matches`), in slices of ``slice_bytes``.
     """
     tables = _opened(spark, tables)
     table = URI if by == "uri" else DATA
     wanted = _wanted(keys, by, prefix).filter(F.col("key").isNotNull()).distinct()
     wanted = checkpointed(wanted.withColumn("part", partition_id(F.col("key"), tables.num_partitions)))
     order = () if tables.order is None else (tables.order,)
-    hits = matches(tables, table, wanted, "value", *order)
+    hits = matches(tables, table, wanted, "value", *order, slice_bytes=slice_bytes)
     if order:
         hits = hits.groupBy("key", "part").agg(F.min_by("value", tables.rank).alias("value"))
     hits = hits.withColumn("found", F.lit(True))

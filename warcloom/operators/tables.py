@@ -28,6 +28,10 @@ ORDER = ("source_file", "record_seq")
 HOT_ROWS = 1_000
 HOT_KEYS = 50_000
 
+# Parts are cut where they have so many times the rows that a file of them is to have.
+CUT_FROM = 4
+MERGED = ("table", "part", "key", "value", "ordinal")
+
 
 def _row(table: str, key: Column, value: Column) -> Column:
     return F.struct(F.lit(table).alias("table"), key.alias("key"), value.alias("value"))
@@ -180,40 +184,47 @@ def _merge_hot_keys(rows: DataFrame, hot_rows: int) -> DataFrame:
     return checkpointed(hot)
 
 
+def large_parts(rows: DataFrame, hot_rows: int) -> list[tuple[str, int, int]]:
+    """(table, part, rows) of the parts to be cut; of written tables, footers alone are read."""
+    counts = rows.groupBy("table", "part").agg(F.count(F.lit(1)).alias("rows"))
+    return [tuple(r) for r in counts.filter(F.col("rows") > CUT_FROM * hot_rows).collect()]
+
+
 def arrange_merged(
     rows: DataFrame,
     num_partitions: int,
     mode: str = "keep_all",
     hot_rows: int = 100_000,
     inputs: int | None = None,
+    large: list[tuple[str, int, int]] | None = None,
 ) -> DataFrame:
-    """Merged rows as they are written: each part in one task, sorted by key and input.
-
-    A key has a row per original input at most, so fewer ``inputs`` than ``hot_rows``
-    rule hot keys out, and keys are not counted. Else only the rows of hot keys are
-    treated apart, before anything is moved. Where the first input wins, those of
-    later inputs are dropped at once. Where all rows are kept, a part with a hot key
-    cannot be made smaller; its hot rows are dealt out to tasks, and so files, of their
-    own, of some ``hot_rows`` rows each: every file is in key order, but the rows of a
-    hot key then lie in several files.
+    """Merged rows as they are written: sorted by key and input, usually a part to a task.
+
+    Where the first input wins, and a key may be in ``hot_rows`` inputs or more, rows of hot
+    keys that can't win are dropped before anything is moved. Where all rows are kept,
+    ``large`` parts (:func:`large_parts`) are cut by ranges of key and input into some
+    ``hot_rows`` rows each: their files, by name, are one order of keys, even where one
+    key fills several. With fewer ``inputs`` than ``hot_rows`` parts aren't counted here.
     """
     check_mode(mode)
-    hot = None if inputs is not None and inputs < hot_rows else _merge_hot_keys(rows, hot_rows)
-    task, tasks = F.col("part"), num_partitions
-    if hot is not None and not hot.isEmpty():
-        spread = max(2, -(-hot.agg(F.sum("rows")).first()[0] // hot_rows))
-        marked = hot.select("table", "digest", "first_ordinal")
-        rows = rows.withColumn("digest", F.unhex(F.md5(F.col("key")))).join(
-            F.broadcast(marked), ["table", "digest"], "left"
-        )
-        first = F.col("first_ordinal")
-        if mode == "first_wins":
-            rows = rows.filter(first.isNull() | (F.col("ordinal") == first))
-        else:
-            dealt = F.pmod(F.xxhash64("key", "ordinal", "value"), F.lit(spread)).cast("int")
-            task = F.when(first.isNull(), F.col("part")).otherwise(dealt + num_partitions)
-            tasks += spread
-    moved = rows.repartitionById(tasks, task).select("table", "part", "key", "value", "ordinal")
+    counted = inputs is None or inputs >= hot_rows
     if mode == "first_wins":
-        moved = first_per_key(moved, by=("table", "part", "key"), order=("ordinal",))
-    return key_sorted(moved, "ordinal")
+        hot = _merge_hot_keys(rows, hot_rows) if counted else None
+        if hot is not None and not hot.isEmpty():
+            marked = F.broadcast(hot.select("table", "digest", "first_ordinal"))
+            rows = rows.withColumn("digest", F.unhex(F.md5(F.col("key")))).join(marked, ["table", "digest"], "left")
+            rows = rows.filter(F.col("first_ordinal").isNull() | (F.col("ordinal") == F.col("first_ordinal")))
+        moved = rows.repartitionById(num_partitions, F.col("part")).select(*MERGED)
+        return key_sorted(first_per_key(moved, by=("table", "part", "key"), order=("ordinal",)), "ordinal")
+    if large is None:
+        large = large_parts(rows, hot_rows) if counted else []
+    if not large:
+        return key_sorted(rows.repartitionById(num_partitions, F.col("part")).select(*MERGED), "ordinal")
+    # A few bytes for each part that is cut.
+    cut = F.broadcast(rows.sparkSession.createDataFrame([p[:2] for p in large], "table string, part int"))
+    files = sum(-(-3 * n // (2 * hot_rows)) for *_, n in large)
+    tie = F.xxhash64("value")
+    ranges = rows.join(cut, ["table", "part"], "left_semi").repartitionByRange(files, *MERGED[:3], "ordinal", tie)
+    whole = rows.join(cut, ["table", "part"], "left_anti").repartitionById(num_partitions, F.col("part"))
+    together = whole.select(*MERGED).unionByName(ranges.select(*MERGED)).withColumn("tie", F.xxhash64("value"))
+    return key_sorted(together, "ordinal", "tie").drop("tie")

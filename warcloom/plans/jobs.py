@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,12 +15,21 @@ from warcloom.functions.identity import segment_name
 from warcloom.operators import tables as T
 from warcloom.operators.counters import RECORD_COUNTERS, as_rows, merge_counters
 from warcloom.operators.docs import build_docs
+from warcloom.operators.lookup import matches
 from warcloom.operators.records import HTTP_TYPES, parse_records
 from warcloom.operators.segments import segment_range
 from warcloom.profiles import get_profile
-from warcloom.scratch import drop_scratch
-from warcloom.sinks.tables import check_corpus, commit_segment, segment_path, write_merged, write_rows
-from warcloom.sources.tables import Tables, check_parts, open_tables
+from warcloom.scratch import checkpointed, drop_scratch
+from warcloom.sinks.tables import (
+    arrange_rows,
+    check_corpus,
+    commit_segment,
+    save_rows,
+    segment_path,
+    write_merged,
+    write_rows,
+)
+from warcloom.sources.tables import MANIFEST, Tables, check_parts, open_tables, read_facts, write_facts, written_parts
 from warcloom.sources.warc import read_to_build
 
 Detector = Callable[[Column], Column]
@@ -72,12 +82,56 @@ def build_tables(
     return _generator_counters(open_tables(spark, output))
 
 
+def add_to_tables(
+    spark: SparkSession,
+    input: str | list[str],
+    profile: str,
+    prefix: str,
+    output: str,
+    detector: Detector | None = None,
+) -> DataFrame:
+    """Add further archives to built tables; returns the counters of all of them.
+
+    The tables are then those of one build of everything, the new archives after the old ones: keys
+    that are there stay as they are, and archives that were built before add nothing. Work
+    grows with what is new: its keys are looked for in their parts, of which only keys are
+    read, and the rest becomes a further folder. Files that are there are not rewritten,
+    and readers see the new ones all at once. Adding takes turns: if the tables have
+    changed meanwhile, RuntimeError is raised and nothing is added.
+    """
+    get_profile(profile)
+    before = read_facts(spark, f"{output}/{MANIFEST}")
+    if before is None or before.get("order"):
+        raise ValueError(f"{output} has no tables of a build; merged tables and corpora can't be added to")
+    tables = open_tables(spark, output)
+    parsed = parse_records(read_to_build(spark, input, profile), profile)
+    kept = parsed.filter(F.col("record_type").isin(*HTTP_TYPES) | F.col("counts").isNotNull())
+    placed = T.map_rows(build_docs(kept, prefix, detector), binary=True)
+    # Of the new rows alone: the first of each key, with its part.
+    new = checkpointed(arrange_rows(placed, None, tables.num_partitions))
+    known = []
+    for table in (T.DATA, T.URI, T.BINARY, T.COUNTS):
+        keys = checkpointed(new.filter(F.col("table") == table).select("key", "part"))
+        known.append(matches(tables, table, keys).select(F.lit(table).alias("table"), "key", "part"))
+    seen = checkpointed(reduce(DataFrame.unionByName, known))
+    rows = new.join(seen, ["table", "part", "key"], "left_anti").repartitionById(tables.num_partitions, F.col("part"))
+    name = f"_added-{uuid.uuid4().hex}"
+    save_rows(T.key_sorted(rows).select("table", "part", "key", "value"), f"{output}/{name}")
+    facts = before | {"added": before.get("added", {}) | {name: written_parts(spark, f"{output}/{name}")}}
+    if read_facts(spark, f"{output}/{MANIFEST}") != before:
+        drop_scratch(spark, f"{output}/{name}")
+        raise RuntimeError(f"{output} was changed while rows were added to it")
+    write_facts(spark, f"{output}/{MANIFEST}", facts)
+    return _generator_counters(open_tables(spark, output))
+
+
 def merge_batches(
-    spark: SparkSession, inputs: Sequence[str], output: str, mode: str = "keep_all"
+    spark: SparkSession, inputs: Sequence[str], output: str, mode: str = "keep_all", hot_rows: int = 100_000
 ) -> DataFrame:
     """Merge separately built tables, part by part; returns (counter, value).
 
-    Ties keep the order of ``inputs``.
+    Ties keep the order of ``inputs``. Types are those in the footers of all files. Parts of
+    many times ``hot_rows`` rows are written as several files, in key order.
     """
     T.check_mode(mode)
     opened = [open_tables(spark, path) for path in inputs]
@@ -89,10 +143,11 @@ def merge_batches(
         ranked.append(rows.withColumn("ordinal", tables.rank + ranks))
         by_input.append(rows.withColumn("ordinal", F.lit(at)))
         ranks += tables.inputs
-    write_merged(T.merge_tables(ranked), output, opened[0].num_partitions, mode, ranks)
+    read = T.merge_tables(by_input)
+    large = T.large_parts(read, hot_rows) if mode == "keep_all" else []
+    write_merged(T.merge_tables(ranked), output, opened[0].num_partitions, mode, ranks, hot_rows, large)
 
     # In this layout a split without rows is never written.
-    read = T.merge_tables(by_input)
     splits = read.select("table", "part", "ordinal").distinct()
     return merge_counters(read, splits, open_tables(spark, output).rows)
 

@@ -23,11 +23,12 @@ from warcloom.sources.tables import (
 CODEC = "zstd"
 
 
-def _save(rows: DataFrame, output: str, *folders: str) -> None:
+def save_rows(rows: DataFrame, output: str, *folders: str) -> None:
+    """Write arranged rows below a folder for each table and part, or other columns."""
     # Bloom filters of a size that follows the keys: where parts of many segments or merged
     # inputs are asked for a key, those without it aren't read.
     (
-        rows.write.partitionBy(*folders)
+        rows.write.partitionBy(*(folders or ("table", "part")))
         .option("compression", CODEC)
         .option("parquet.bloom.filter.enabled#key", "true")
         .option("parquet.bloom.filter.adaptive.enabled", "true")
@@ -134,10 +135,10 @@ def write_rows(
     spark = rows.sparkSession
     ordered = arrange_rows(rows, profile, num_partitions, segments)
     if not segments:
-        _save(ordered, output, "table", "part")
+        save_rows(ordered, output, "table", "part")
         write_manifest(spark, output, num_partitions=num_partitions)
         return
-    _save(ordered, output, "segment", "table", "part")
+    save_rows(ordered, output, "segment", "table", "part")
     last = max(int(s.rsplit("-", 1)[1]) for s in segments)
     facts = {"num_partitions": num_partitions, "order": "segment", "inputs": last + 1}
     write_manifest(spark, output, **facts)
@@ -154,6 +155,20 @@ def write_tables(
     write_rows(rows, profile, output, num_partitions, segments)
 
 
+def _cuts(spark: SparkSession, output: str, large: Sequence[tuple[str, int, int]]) -> dict:
+    """For each part that was cut, its files in order with their first keys."""
+    if not large:
+        return {}
+    folders = [f"{output}/table={table}/part={part}" for table, part, _ in large]
+    rows = spark.read.schema("key string, table string, part int").option("basePath", output).parquet(*folders)
+    # One row a file; keys alone are read.
+    first = rows.groupBy("table", "part", "_metadata.file_name").agg(F.min("key").alias("first")).collect()
+    found: dict[str, dict[str, list[list[str]]]] = {}
+    for r in sorted(first, key=lambda r: r["file_name"]):
+        found.setdefault(r["table"], {}).setdefault(str(r["part"]), []).append([r["file_name"], r["first"]])
+    return found
+
+
 def write_merged(
     rows: DataFrame,
     output: str,
@@ -161,12 +176,18 @@ def write_merged(
     mode: str = "keep_all",
     inputs: int = 1,
     hot_rows: int = 100_000,
+    large: Sequence[tuple[str, int, int]] | None = None,
 ) -> None:
     """Write merged rows (with ``ordinal``) as new tables; inputs are left alone.
 
-    Rows keep their part, so keys are not hashed again. ``inputs`` is how many
-    ordinals there can be.
+    Rows keep their part, so keys are not hashed again. ``inputs`` is how many ordinals
+    there can be. Parts that are cut, ``large`` or found here, are named in the manifest
+    with their files, so that a look-up opens those alone that a key can be in.
     """
-    _save(T.arrange_merged(rows, num_partitions, mode, hot_rows, inputs), output, "table", "part")
+    spark = rows.sparkSession
+    if large is None and mode == "keep_all" and inputs >= hot_rows:
+        large = T.large_parts(rows, hot_rows)
+    save_rows(T.arrange_merged(rows, num_partitions, mode, hot_rows, inputs, list(large or [])), output, "table", "part")
     facts = {"num_partitions": num_partitions, "order": "ordinal", "inputs": inputs}
-    write_manifest(rows.sparkSession, output, **facts)
+    cuts = _cuts(spark, output, large or []) if mode == "keep_all" else {}
+    write_manifest(spark, output, **facts, **({"cuts": cuts} if cuts else {}))

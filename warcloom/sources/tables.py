@@ -9,6 +9,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -114,13 +115,19 @@ class Tables:
     @functools.cached_property
     def types(self) -> tuple[tuple[str, str], ...]:
         """Types of key and value over the footers of all files, which tasks read; as stated without files."""
-        folders = [p.folder for p in self.pieces]
+        found = {self._types_below(base) for base in {p.base for p in self.pieces}} - {None}
+        if len(found) > 1:
+            raise ValueError(f"types differ between the files of {self.path}: {sorted(found)}")
+        return found.pop() if found else tuple(sorted(self.stated))
+
+    def _types_below(self, base: str) -> tuple[tuple[str, str], ...] | None:
+        folders = [p.folder for p in self.pieces if p.base == base]
         try:
-            found = self.spark.read.option("mergeSchema", True).parquet(*folders).schema
-        except PySparkException as error:
-            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-                return tuple(sorted(self.stated))
-            if "MERGE" in (error.getCondition() or ""):
+            found = self.spark.read.option("mergeSchema", True).option("basePath", base).parquet(*folders).schema
+        except (PySparkException, Py4JJavaError) as error:
+            if "UNABLE_TO_INFER_SCHEMA" in str(error):
+                return None
+            if "CANNOT_MERGE_SCHEMAS" in str(error):
                 raise ValueError(f"types differ between the files of {self.path}: {error}") from error
             raise
         return tuple((f.name, f.dataType.simpleString()) for f in found if f.name in dict(self.stated))

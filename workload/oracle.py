@@ -307,4 +307,26 @@ ORACLE: dict[str, str] = {
     ),
 }
 
+# Of two versions with one id the first in an archive stays; those without an id are two documents.
+_ONE_VERSION = "(given_id IS NULL OR dup = 0)"
+_BUILT_KEY = "cap::BIGINT AS cap, CASE WHEN given_id IS NOT NULL THEN uuid END AS key"
+_EITHER_BODY = "CASE WHEN cap % 7 <> 0 THEN md5(body_text) END AS body_md5"
+
+ORACLE |= {
+    "lookup_in_slices": ORACLE["lookup_uuid"],
+    "built_rows": _docs(f"SELECT {_BUILT_KEY}, md5(body_text) AS body_md5 FROM docs WHERE {_ONE_VERSION}"),
+    "corpus_rows": _docs(f"SELECT segment, {_BUILT_KEY}, {_EITHER_BODY} FROM docs WHERE {_ONE_VERSION}"),
+    "added_rows": _docs(
+        f"""SELECT cap, key, CASE WHEN key IS NOT NULL THEN {part_sql('key')}::BIGINT END AS part, body_md5 FROM (
+              SELECT {_BUILT_KEY}, {_EITHER_BODY} FROM docs WHERE {_ONE_VERSION}
+              UNION ALL SELECT NULL, key, NULL FROM uri_rows)"""
+    ),
+    "added_counters": ORACLE["build_tables"],
+    "merge_in_order": _docs(
+        """SELECT "table", part, count(*) AS rows, 0::BIGINT AS out_of_order, count(*) > 40 AS cut
+           FROM placed GROUP BY "table", part""",
+        _SEGMENT_ROWS,
+        _PLACED,
+    ),
+}
 ORACLE["corpus_in_two_runs"] = ORACLE["build_corpus"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import warcloom as w
@@ -435,6 +435,14 @@ def lookup_render(spark, sf_dir):
     return w.render(w.lookup(spark, tables, keys, by="uri"), "verbose", URI, "out")
 
 
+def lookup_in_slices(spark, sf_dir):
+    """L1: documents of all record ids, the keys brought to the table in many slices."""
+    parsed = w.parse_headers(captures(spark, sf_dir), PROFILE)
+    keys = parsed.select(w.doc_uuid(PREFIX, F.col("record_id")).alias("key"))
+    found = w.lookup(spark, _tables(spark, sf_dir), keys, slice_bytes=16 << 10)
+    return _body(found.withColumn("part", F.col("part").cast("bigint")), "key", "part")
+
+
 # --- jobs ------------------------------------------------------------------
 
 
@@ -466,6 +474,78 @@ def build_tables(spark, sf_dir):
     return w.build_tables(spark, _archives(spark, sf_dir), PROFILE, PREFIX, out, PARTS)
 
 
+def _built(rows: DataFrame, *columns: str) -> DataFrame:
+    """Documents of built tables by the capture they are from; ids that the reader made up are left out."""
+    item = lambda path: F.get_json_object("value", path)
+    capture = F.regexp_extract(item("$.metadata.WARC-TREC-ID"), "trec-([0-9]+)-", 1).cast("bigint")
+    return rows.filter(F.col("table") == DATA).select(
+        *columns,
+        capture.alias("cap"),
+        F.when(item("$.metadata.WARC-Record-ID").isNotNull(), F.col("key")).alias("key"),
+        F.md5(item("$.payload.body").cast("binary")).alias("body_md5"),
+    )
+
+
+def _of_either_order(rows: DataFrame) -> DataFrame:
+    """Of captures with two versions, archives in folders don't say which one stands first."""
+    return rows.withColumn("body_md5", F.when(F.col("cap") % 7 != 0, F.col("body_md5")))
+
+
+def built_rows(spark, sf_dir):
+    """K7: archives to tables in one job; its documents."""
+    out = scratch_path(spark, "built")
+    w.build_tables(spark, _archives(spark, sf_dir), PROFILE, PREFIX, out, PARTS)
+    return _built(w.open_tables(spark, out).rows)
+
+
+def _added(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Tables of two segments, to which all are added, and the counters after that."""
+    root = _archives(spark, sf_dir, "segment")
+    out = scratch_path(spark, "added")
+    some = [f"{root}/segment=segment-{n:05d}/*" for n in (0, 1)]
+    w.build_tables(spark, some, PROFILE, PREFIX, out, PARTS)
+    return out, w.add_to_tables(spark, f"{root}/*/*", PROFILE, PREFIX, out)
+
+
+def added_rows(spark, sf_dir):
+    """A1, A2, K7: a build added to existing tables; documents and addresses of both."""
+    rows = w.open_tables(spark, _added(spark, sf_dir)[0]).rows
+    part = F.col("part").cast("bigint").alias("part")
+    uris = rows.filter(F.col("table") == URI).select(F.lit(None).cast("bigint").alias("cap"), "key", part)
+    docs = _of_either_order(_built(rows, part))
+    named = F.when(F.col("key").isNotNull(), F.col("part"))
+    docs = docs.withColumn("part", named).unionByName(uris, allowMissingColumns=True)
+    return docs.select("cap", "key", "part", "body_md5")
+
+
+def added_counters(spark, sf_dir):
+    """A4, K7: counters of a build added to existing tables."""
+    return _added(spark, sf_dir)[1]
+
+
+def merge_in_order(spark, sf_dir):
+    """Large parts merged into several files, which are one order of keys."""
+    out = scratch_path(spark, "merged")
+    w.merge_batches(spark, _segment_tables(spark, sf_dir), out, hot_rows=10)
+    rows = spark.read.schema("key string, ordinal int, table string, part int").parquet(out)
+    rows = rows.select("*", "_metadata.file_name", "_metadata.row_index")
+    place = Window.partitionBy("table", "part").orderBy("file_name", "row_index")
+    this, before = F.struct("key", "ordinal"), F.lag(F.struct("key", "ordinal")).over(place)
+    return rows.withColumn("wrong", before > this).groupBy("table", F.col("part").cast("bigint").alias("part")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if("wrong").alias("out_of_order"),
+        (F.count_distinct("file_name") > 1).alias("cut"),
+    )
+
+
+def corpus_rows(spark, sf_dir):
+    """K9: documents of every segment of a corpus."""
+    root = _archives(spark, sf_dir, "segment")
+    out = scratch_path(spark, "corpus")
+    w.build_corpus(spark, root, PROFILE, PREFIX, out, PARTS, files="*")
+    return _of_either_order(_built(w.open_tables(spark, out).rows, "segment"))
+
+
 def build_corpus(spark, sf_dir):
     """K9: tables of every segment; rows of each part."""
     root = _archives(spark, sf_dir, "segment")
@@ -507,6 +587,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         partition_sizes, table_rows, merge_segments, merge_first_wins, merge_counters,
         lookup_uuid, lookup_name, lookup_uri, uri_to_document, lookup_missing,
         lookup_render, archive_roundtrip, archive_file_counts, build_tables,
-        build_corpus, corpus_in_two_runs, corpus_counters,
+        build_corpus, corpus_in_two_runs, corpus_counters, lookup_in_slices, built_rows,
+        added_rows, added_counters, merge_in_order, corpus_rows,
     )
 }
