@@ -107,9 +107,10 @@ class Tables:
                 written = piece.numbers(table)
                 for part in (n for n in parts if n in written):
                     places += [(path, piece.base) for path in piece.paths(table, part, keys)]
-            if len(places) <= DIRECT_FOLDERS:
-                return self.read(places)
-        rows = self.rows.filter(F.col("table") == table)
+            rows = self.read(places) if len(places) <= DIRECT_FOLDERS else self.rows
+        else:
+            rows = self.rows
+        rows = rows.filter(F.col("table") == table)
         return rows if len(parts) >= self.num_partitions else rows.filter(F.col("part").isin(parts))
 
     @functools.cached_property
