@@ -1,18 +1,20 @@
 """License scan: ordered signature rules over the words of a text.
 
 A rule is a regular expression over the text's words, joined by single spaces, with a
-keyword that every match contains. A text is first searched for the keywords alone;
-only rules whose keyword occurs are matched. Each match is an interval of words. Where
+keyword (some words, as rare as the rule has) that every match contains. A text is first
+searched for single words of them; then only rules whose keyword occurs are matched. Each match is an interval of words. Where
 intervals overlap, one that lies within another gives way to it, unless it belongs to a
 rule of higher priority; of equal intervals the one of higher priority stays, then the
 earlier rule. All of it is DataFrame functions on a row: no shuffle, no Python.
 
 Words are runs of digits, a to z (after lowering A to Z) and characters outside ASCII.
-Null and empty texts have no words and no detections. Very long texts are matched whole.
+Null and empty texts have no words and no detections. Very long texts are matched whole;
+time grows with their length, and with their matches but for copying references to these.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,6 +39,8 @@ class Rule:
     pattern: str
     priority: int
     weight: float
+    #: A word, or a part of one, by which texts are told that no match can be in.
+    gate: str = ""
 
 
 #: Names of licences: label, the words of the name, the versions it comes in.
@@ -111,31 +115,82 @@ SINGLE = (
     ("beerware", "beer", "beer ?ware license", 50, 0.8),
     ("ntp", "ntp", "ntp license", 50, 0.8),
     ("any", "license", "licensed under", 10, 0.2),
+    # Texts of notices and licences that don't name themselves in the words above.
+    ("mit", "without restriction", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish", 80, 1.0),
+    ("mit", "above copyright", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", 80, 1.0),
+    ("mit", "as is", "the software is provided as is without warranty of any kind express or implied", 70, 0.8),
+    ("isc", "as is", "the software is provided as is and the author disclaims all warranties", 80, 1.0),
+    ("bsd", "retain the above", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", 80, 1.0),
+    ("bsd", "binary form must", "redistributions in binary form must reproduce the above copyright notice", 80, 1.0),
+    ("bsd-3", "endorse or promote", "may be used to endorse or promote products derived from this software without specific prior written permission", 85, 1.0),
+    ("bsd-4", "advertising materials", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment", 85, 1.0),
+    ("bsd", "regents", "the regents of the university of california", 40, 0.6),
+    ("gpl", "free software foundation", "under the terms of the gnu general public license as published by the free software foundation", 80, 1.0),
+    ("gpl-2.0", "version 2", "either version 2 of the license or at your option any later version", 75, 0.9),
+    ("gpl-3.0", "version 3", "either version 3 of the license or at your option any later version", 75, 0.9),
+    ("gpl", "free software you can", "this program is free software you can redistribute it and or modify it", 75, 0.9),
+    ("gpl", "fitness for", "without even the implied warranty of merchantability or fitness for a particular purpose", 60, 0.7),
+    ("gpl", "verbatim copies", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed", 60, 0.8),
+    ("lgpl", "lesser general", "gnu lesser general public license(?: as published)?", 60, 1.0),
+    ("lgpl", "library is free", "this library is free software you can redistribute it and or modify it", 80, 1.0),
+    ("agpl", "affero", "gnu affero general public license(?: as published)?", 70, 1.0),
+    ("agpl", "remotely through", "all users interacting with it remotely through a computer network", 80, 0.9),
+    ("apache-2.0", "apache org", "www apache org licenses license 2 0", 85, 1.0),
+    ("apache-2.0", "in compliance with", "you may not use this file except in compliance with the license", 75, 0.9),
+    ("apache-2.0", "on an as is", "distributed on an as is basis without warranties or conditions of any kind", 75, 0.9),
+    ("apache", "contributor license", "licensed to the apache software foundation asf under one or more contributor license agreements", 80, 1.0),
+    ("mpl-2.0", "mozilla org", "mozilla org mpl 2 0", 85, 1.0),
+    ("mpl-2.0", "source code form", "this source code form is subject to the terms of the mozilla public license v 2 0", 90, 1.0),
+    ("mpl-1.1", "mozilla public", "the contents of this file are subject to the mozilla public license version 1 1", 90, 1.0),
+    ("epl", "accompanying materials", "this program and the accompanying materials are made available under the terms of the eclipse public license", 85, 1.0),
+    ("cddl", "development and distribution", "subject to the terms of the common development and distribution license", 85, 1.0),
+    ("zlib", "misrepresented", "the origin of this software must not be misrepresented you must not claim that you wrote the original software", 85, 1.0),
+    ("zlib", "held liable", "in no event will the authors be held liable for any damages arising from the use of this software", 75, 0.9),
+    ("boost-1.0", "boost software", "distributed under the boost software license version 1 0", 85, 1.0),
+    ("wtfpl", "what the", "do what the fuck you want to public license", 85, 1.0),
+    ("beerware", "buy me a", "you can buy me a beer in return", 80, 0.9),
+    ("unlicense", "unlicense org", "(?:refer|information) to (?:http )?unlicense org", 80, 1.0),
+    ("cc0", "dedicated the work", "has dedicated the work to the public domain by waiving all of his or her rights", 85, 1.0),
+    ("cc", "creativecommons org", "creativecommons org licenses", 60, 0.9),
+    ("ofl-1.1", "scripts sil org", "scripts sil org ofl", 85, 1.0),
+    ("gfdl", "invariant sections", "with no invariant sections no front cover texts and no back cover texts", 80, 0.9),
+    ("public-domain", "public domain", "this (?:work|file|software|code) is in the public domain", 60, 0.9),
+    ("proprietary", "written consent", "without the (?:express |prior )*written (?:consent|permission) of", 40, 0.5),
+    ("proprietary", "strictly prohibited", "unauthori[sz]ed (?:copying|use|distribution)(?: of this (?:file|software))?(?: via any medium)? is strictly prohibited", 60, 0.9),
 )
 
 
+def spellings(name: str) -> list[tuple[str, str]]:
+    """(keyword, pattern) of each of the alternatives that a family's name has."""
+    parts = re.fullmatch(r"((?:\(\?:[^)|]*\)\?)?)\(\?:([^)]*)\)", name)
+    if parts:
+        return [(one, parts[1] + one) for one in parts[2].split("|")]
+    return [(re.sub(r"\(\?:[^)]*\)\?", "", name), name)]
+
+
 def rules() -> tuple[Rule, ...]:
     """All rules, in their order: single ones, then those made from names and versions."""
     made = [Rule(*r) for r in SINGLE]
-    for label, name, versions in FAMILIES:
-        keyword = "licen"
-        made.append(Rule(label, keyword, f"{name} licen[cs]e", 45, 0.9))
-        made.append(Rule(label, keyword, f"licen[cs]ed under (?:the )?(?:terms of )?(?:the )?{name}(?: licen[cs]e)?", 55, 1.0))
+    for label, names, versions in FAMILIES:
+        for keyword, name in spellings(names):
+            add = lambda named, pattern, *more: made.append(Rule(named, keyword, pattern, *more, "licen"))  # noqa: B023,E731
+            add(label, f"{name} licen[cs]e", 45, 0.9)
+            add(label, f"licen[cs]ed under (?:the )?(?:terms of )?(?:the )?{name}(?: licen[cs]e)?", 55, 1.0)
+            for version in versions:
+                named = f"{label}-{version.replace(' ', '.')}"
+                number = version if " " in version or label == "php" else f"{version}(?: 0)?"
+                add(named, f"{name} licen[cs]e(?: version| v)? (?:v)?{number}", 65, 1.0)
+                add(named, f"licen[cs]ed under (?:the )?(?:terms of )?(?:the )?{name} licen[cs]e(?: version| v)? {number}", 75, 1.0)
         for version in versions:
             named = f"{label}-{version.replace(' ', '.')}"
-            number = version if " " in version or label == "php" else f"{version}(?: 0)?"
-            made.append(Rule(named, keyword, f"{name} licen[cs]e(?: version| v)? (?:v)?{number}", 65, 1.0))
-            made.append(
-                Rule(named, keyword, f"licen[cs]ed under (?:the )?(?:terms of )?(?:the )?{name} licen[cs]e(?: version| v)? {number}", 75, 1.0)
-            )
             short = named.replace(".", " ").replace("-", " ")
-            made.append(Rule(named, "spdx", f"spdx license identifier {short}(?: only| or later)?", 90, 1.0))
+            made.append(Rule(named, f"identifier {short}", f"spdx license identifier {short}(?: only| or later)?", 90, 1.0, "spdx"))
     for letters, words in CC_CLAUSES:
         for version in CC_VERSIONS:
             named = f"cc-{letters.replace(' ', '-')}-{version.replace(' ', '.')}"
-            made.append(Rule(named, "cc", f"cc {letters} {version}", 65, 1.0))
-            made.append(Rule(named, "cc", f"licen[cs]ed under (?:a |the )?cc {letters} {version}", 75, 1.0))
-            made.append(Rule(named, "commons", f"creative commons {words}(?: {version})(?: international| unported)?(?: licen[cs]e)?", 70, 1.0))
+            made.append(Rule(named, f"cc {letters}", f"cc {letters} {version}", 65, 1.0, "cc"))
+            made.append(Rule(named, f"cc {letters}", f"licen[cs]ed under (?:a |the )?cc {letters} {version}", 75, 1.0, "cc"))
+            made.append(Rule(named, "creative commons", f"creative commons {words}(?: {version})(?: international| unported)?(?: licen[cs]e)?", 70, 1.0))
     return tuple(made)
 
 
@@ -151,21 +206,48 @@ def word_matches(joined: Column, pattern: Column) -> Column:
     Matches are leftmost and don't overlap one another.
     """
     bounded = F.concat(F.lit("(?<= )(?:"), pattern, F.lit(")(?= )"))
-    matches = F.regexp_extract_all(joined, bounded, F.lit(0))
-    between = F.split(joined, bounded, -1)
+    # Paired first: what a step looks at is computed once, not once a step.
+    both = F.zip_with(
+        F.split(joined, bounded, -1), F.regexp_extract_all(joined, bounded, F.lit(0)), lambda a, b: F.struct(a.alias("before"), b.alias("match"))
+    )
     spaces = lambda s: F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
     empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("found"))
 
-    def step(state: Column, i: Column) -> Column:
-        start = state["at"] + spaces(F.get(between, i))
-        size = spaces(F.get(matches, i))
+    def step(state: Column, e: Column) -> Column:
+        start = state["at"] + spaces(e["before"])
+        size = spaces(e["match"])
         span = F.struct((start - 1).cast("bigint").alias("start"), (start + size).cast("bigint").alias("end"))
-        return F.struct((start + size).alias("at"), F.concat(state["found"], F.array(span)).alias("found"))
+        more = F.struct((start + size).alias("at"), F.concat(state["found"], F.array(span)).alias("found"))
+        # Behind the last match there is only text.
+        return F.when(e["match"].isNull(), state).otherwise(more)
+
+    return F.aggregate(both, empty, step, lambda s: s["found"])
+
 
-    walked = F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), empty, step, lambda s: s["found"])
-    return F.when(F.size(matches) > 0, walked).otherwise(empty["found"])
+def unsuppressed(found: Column) -> Column:
+    """The detections that no other one makes give way, by rule and place.
 
+    In the order of starts, longer ones first and then by rank, whatever one gives way to
+    comes before it, and ends no sooner. Those that ended are left behind on the way, so
+    each is compared with the few around it.
+    """
+    ordered = F.array_sort(F.transform(found, lambda d: F.struct(
+        d["start"].alias("start"), (-d["end"]).alias("less"), (-d["priority"]).alias("below"), d["rule"].alias("rule"),
+        d["label"].alias("label"), d["end"].alias("end"), d["priority"].alias("priority"), d["weight"].alias("weight"),
+    )))
+    kind = "array<struct<start:bigint,less:bigint,below:int,rule:int,label:string,end:bigint,priority:int,weight:double>>"
+    none = F.array().cast(kind)
+
+    def step(state: Column, d: Column) -> Column:
+        near = F.filter(state["near"], lambda b: b["end"] > d["start"])
+        same = lambda b: (b["start"] == d["start"]) & (b["end"] == d["end"])
+        gives_way = F.exists(state["near"], lambda b: (b["end"] >= d["end"]) & (same(b) | (b["priority"] >= d["priority"])))
+        out = F.when(gives_way, state["out"]).otherwise(F.concat(state["out"], F.array(d)))
+        return F.struct(F.concat(near, F.array(d)).alias("near"), out.alias("out"))
 
+    kept = F.aggregate(ordered, F.struct(none.alias("near"), none.alias("out")), step, lambda s: s["out"])
+    by_rule = F.array_sort(F.transform(kept, lambda d: F.struct(d["rule"], d["start"], d["label"], d["end"], d["priority"], d["weight"])))
+    return F.transform(by_rule, lambda d: F.struct(*[d[c].alias(c) for c in ("label", "start", "end", "priority", "weight")]))
 
 
 def scan(docs: DataFrame, text: str = "text", table: tuple[Rule, ...] | None = None) -> DataFrame:
@@ -178,7 +260,8 @@ def scan(docs: DataFrame, text: str = "text", table: tuple[Rule, ...] | None = N
     results = ["n_words", "base", "detections"]
     source = docs.withColumn("__text", F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
     carried = [c for c in without(docs, results).columns]
-    keywords = sorted({r.keyword for r in table} | {phrase.split(" ")[-1] for phrase, _ in BASE})
+    gates = {r.gate or max(r.keyword.split(" "), key=len) for r in table} | {phrase.split(" ")[-1] for phrase, _ in BASE}
+    keywords = sorted(g for g in gates if not any(other != g and other in g for other in gates))
     gate = F.lit(False)
     for keyword in keywords:
         gate = gate | F.contains(F.col("__lower"), F.lit(keyword))
@@ -213,22 +296,15 @@ def scan(docs: DataFrame, text: str = "text", table: tuple[Rule, ...] | None = N
         def named(s: Column) -> Column:
             return F.struct(F.lit(label).alias("label"), s["start"].alias("start"), s["end"].alias("end"))
 
-        return F.transform(word_matches(joined, F.lit(phrase)), named)
+        held = F.contains(joined, F.lit(f" {phrase} "))
+        return F.when(held, F.transform(word_matches(joined, F.lit(phrase)), named)).otherwise(F.array().cast(none))
 
-    base = F.flatten(F.array(*[places(phrase, label) for phrase, label in BASE]))
     none = "array<struct<label:string,start:bigint,end:bigint>>"
+    base = F.flatten(F.array(*[places(phrase, label) for phrase, label in BASE]))
     marked = gated.withColumn("base", F.coalesce(F.when(joined.isNotNull(), base), F.array().cast(none)))
     marked = marked.withColumn("__found", F.when(joined.isNotNull(), found))
 
-    def gives_way(a: Column, b: Column) -> Column:
-        """Whether detection a is suppressed by b."""
-        within = (b["start"] <= a["start"]) & (a["end"] <= b["end"])
-        same = (b["start"] == a["start"]) & (a["end"] == b["end"])
-        first = (b["priority"] > a["priority"]) | ((b["priority"] == a["priority"]) & (b["rule"] < a["rule"]))
-        return F.when(same, first).otherwise(within & (b["priority"] >= a["priority"]))
-
-    kept = F.filter("__found", lambda a: ~F.exists("__found", lambda b: gives_way(a, b)))
-    shown = F.transform(kept, lambda d: d.dropFields("rule"))
+    shown = unsuppressed(F.col("__found"))
     kinds = "array<struct<label:string,start:bigint,end:bigint,priority:int,weight:double>>"
     done = marked.withColumn("detections", F.coalesce(shown, F.array().cast(kinds)))
     return done.select(*[F.col(f"`{c}`") for c in carried], *results)
