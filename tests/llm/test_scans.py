@@ -1,6 +1,7 @@
 """License and secret scans against brute force."""
 
 import re
+import time
 
 import pytest
 
@@ -132,3 +133,29 @@ def test_redaction(text_rows):
 def test_empty_tables(text_rows):
     assert licenses.scan(text_rows([])).count() == 0
     assert secret_scan.redacted(secret_scan.scan(text_rows([]))).count() == 0
+
+
+def test_many_matches_in_one_text(spark, text_rows):
+    """Time must not grow with the square of the matches; each took minutes at a third of these."""
+    licences = " ".join(f"see MIT License, GNU General Public License v2 no {i};" for i in range(5_000))
+    secrets = " ".join(f"token={i:08d} " for i in range(10_000))
+    began = time.time()
+    (row,) = licenses.scan(text_rows([(1, licences)])).collect()
+    assert len(row.base) == 10_000 and row.base[9_999].start > row.base[5_000].start
+    assert {d.label for d in row.detections} >= {"mit", "gpl-2"} and len(row.detections) == 10_000
+    (row,) = secret_scan.scan(text_rows([(1, secrets)])).collect()
+    spans = [(s.start, s.end) for s in row.secrets if s.kind == "assign"]
+    assert len(spans) == 10_000 and spans[-1] == (secrets.index("token=00009999"), len(secrets.rstrip()))
+    assert time.time() - began < 120
+
+
+def test_texts_of_licences_that_are_not_named(spark, text_rows):
+    texts = [
+        "You may not use this file except in compliance with the License.", "This library is free software; you can redistribute it and/or modify it",
+        "The origin of this software must not be misrepresented; you must not claim that you wrote the original software.",
+        "Redistributions in binary form must reproduce the above copyright notice", "a clean text on public matters, versions 2 and 3",
+    ]
+    found = {r.doc_id: {d.label for d in r.detections} for r in licenses.scan(text_rows(list(enumerate(texts)))).collect()}
+    assert [found[i] for i in range(5)] == [{"apache-2.0"}, {"lgpl"}, {"zlib"}, {"bsd"}, set()]
+    every = licenses.rules()
+    assert len(every) > 380 and all(r.keyword for r in every)

@@ -196,20 +196,24 @@ def candidates(postings: DataFrame, asked: dict[int, Query]) -> DataFrame:
 
 def matches(text: Column, pattern: Column, value: Column) -> Column:
     """Leftmost matches that don't overlap: array of (start, end, size of a group)."""
-    whole = F.regexp_extract_all(text, pattern, F.lit(0))
-    inner = F.regexp_extract_all(text, pattern, value)
-    between = F.split(text, pattern, -1)
+    # Paired first: what a step looks at is computed once, not once a step.
+    match = F.zip_with(
+        F.regexp_extract_all(text, pattern, F.lit(0)), F.regexp_extract_all(text, pattern, value),
+        lambda a, b: F.struct(F.length(a).alias("length"), F.length(b).alias("size")),
+    )
+    both = F.zip_with(F.split(text, pattern, -1), match, lambda a, b: F.struct(F.length(a).alias("before"), b.alias("match")))
     kinds = "array<struct<start:bigint,end:bigint,size:int>>"
     empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(kinds).alias("found"))
 
-    def step(state: Column, i: Column) -> Column:
-        start = state["at"] + F.length(F.get(between, i))
-        end = start + F.length(F.get(whole, i))
-        span = F.struct(start.alias("start"), end.alias("end"), F.length(F.get(inner, i)).alias("size"))
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(span)).alias("found"))
+    def step(state: Column, e: Column) -> Column:
+        start = state["at"] + e["before"]
+        end = start + e["match"]["length"]
+        span = F.struct(start.alias("start"), end.alias("end"), e["match"]["size"].alias("size"))
+        more = F.struct(end.alias("at"), F.concat(state["found"], F.array(span)).alias("found"))
+        # Behind the last match there is only text.
+        return F.when(e["match"].isNull(), state).otherwise(more)
 
-    walked = F.aggregate(F.sequence(F.lit(0), F.size(whole) - 1), empty, step, lambda s: s["found"])
-    return F.when(F.size(whole) > 0, walked).otherwise(empty["found"])
+    return F.aggregate(both, empty, step, lambda s: s["found"])
 
 
 def verified(text: Column, rules: tuple[Rule, ...], places: list[int], chosen: Column | None) -> Column:
@@ -243,7 +247,10 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, doc_id: str = "doc_id
     if asked:
         source = known.select(F.col(f"`{doc_id}`").alias("id"), "__text")
         postings = staged(trigram_index(source, wanted, "id", "__text"), "trigrams")
-        found = candidates(postings, asked).withColumnRenamed("id", "__id").withColumnRenamed("rules", "__rules")
+        # Written first, so that texts meet it over an exchange of their own: Spark can split an id
+        # that very many rows have.
+        found = staged(candidates(postings, asked), "candidates")
+        found = found.withColumnRenamed("id", "__id").withColumnRenamed("rules", "__rules")
         known = known.join(found, F.col(f"`{doc_id}`") == F.col("__id"), "left")
     else:
         known = known.withColumn("__rules", F.lit(None).cast("array<int>"))
