@@ -99,3 +99,34 @@ def test_nothing(spark, tmp_path):
     out = str(tmp_path / "warc")
     warc_files.write_warc(frame(spark, []), out)
     assert warc_files.read_warc(spark, out).count() == 0
+
+
+def test_shards_follow_the_data(spark, tmp_path):
+    """Dense, outlying, missing and repeated ids: no shard is twice as long as asked."""
+    dense = [(i, f"http://x/{i}", f"{i} " * 300) for i in range(200)]
+    odd = [(1 << 62, "u", "far " * 300), (-(1 << 60), "u", "low " * 300)]
+    missing = [(None, None, f"none {i} " * 120) for i in range(120)]
+    hot = [(77, "u", f"hot {i} " * 150) for i in range(120)]
+    spaced = [(300, " http://x/a  b\n", "x"), (301, "http://x/c d", "y")]
+    rows = dense + odd + missing + hot + spaced
+    out = str(tmp_path / "warc")
+    shards = warc_files.write_warc(frame(spark, rows), out, shard_bytes=20_000, roll_bytes=1 << 20).collect()
+    assert len({r.shard for r in shards}) > 15
+    read = warc_files.read_warc(spark, out).collect()
+    size = {}
+    for r in read:
+        size[r.file] = size.get(r.file, 0) + r.payload_bytes + warc_files.HEAD_BYTES
+    assert max(size.values()) <= 40_000
+    expected = sorted(((p, u, (t or "").encode()) for p, u, t in rows), key=str)
+    assert sorted(((r.page_id, r.url, bytes(r.payload)) for r in read), key=str) == expected
+
+
+def test_sampled_bounds_split_a_table(spark, monkeypatch):
+    monkeypatch.setattr(warc_files, "SAMPLED", 500)
+    rows = [(i * i * i, "u", f"{i} " * 20) for i in range(4_000)]
+    digested = warc_files.with_digests(frame(spark, rows).select("page_id", "url", "payload"))
+    bounds = warc_files.shard_bounds(digested, 200_000)
+    counts = warc_files.with_shards(digested, bounds).groupBy("shard").agg({"size": "sum", "*": "count"}).collect()
+    sizes = [r["sum(size)"] + r["count(1)"] * warc_files.HEAD_BYTES for r in counts]
+    assert len(sizes) > 8 and max(sizes) < 400_000
+    assert bounds == warc_files.shard_bounds(digested.repartition(5), 200_000)

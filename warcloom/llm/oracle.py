@@ -4,7 +4,8 @@ from __future__ import annotations
 
 OP5 = """
 WITH p AS (
-  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex,
+    row_number() OVER (PARTITION BY page_id, coalesce(html, '')) AS copy FROM pages
 ), d AS (
   SELECT *, min(page_id) OVER (PARTITION BY html) AS original,
     list_aggregate(list_transform(range(0, 8), lambda i: list_aggregate(list_transform([15, 10, 5, 0], lambda b:
@@ -14,8 +15,8 @@ WITH p AS (
   FROM p
 )
 SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, digest AS payload_digest,
-  CASE WHEN page_id > original THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN page_id > original THEN original END AS refers_to
+  CASE WHEN page_id > original OR (page_id = original AND copy > 1) THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > original OR (page_id = original AND copy > 1) THEN original END AS refers_to
 FROM d
 """
 

@@ -1,8 +1,9 @@
 """Deterministic sharded WARC files: range-sorted, rolled by compressed size, committed.
 
-``write_warc`` sorts pages by id into shards, each a range of ids that follows from the
-smallest and largest id and the bytes of the table, so the same table gives the same
-files on any cluster. A shard is written as a run of ``.warc.gz`` files, one gzip member
+``write_warc`` sorts pages by (id, digest) into shards. Their bounds come from the data: keys
+are sampled by a hash of their own, each with its bytes, and a bound is set where a shard
+is full. So dense, outlying, missing or repeated ids give shards of like size, and the
+same table gives the same files on any cluster. A shard is written as a run of ``.warc.gz`` files, one gzip member
 a record; a new file begins where the next record would pass the size limit. All headers
 and digests are made anew. Of records with equal payloads, that with the smallest id is
 a ``response``, the others are ``revisit`` records that refer to it.
@@ -14,12 +15,14 @@ of times.
 
 Null payloads count as empty. Pages without an id come first and are always responses.
 Rows equal in id and payload: the first is the response. Rows equal in id alone stand in
-the order of their digests. Memory of a task is bounded by a batch of pages.
+the order of their digests, and may be in several shards; rows equal in both are in one.
+Memory of a task is bounded by a batch of pages.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import gzip
 import hashlib
 import uuid
@@ -39,6 +42,8 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 #: Profile of revisits that are found by digest. Fixed value of the WARC format.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Keys that bounds are set by, shards at most, and bytes of a record beside its payload.
+SAMPLED, SHARDS, HEAD_BYTES = 200_000, 10_000, 700
 WRITTEN = row_type(
     shard="long", file_no="long", tmp="string", name="string", records="long", bytes="long", sha256="string"
 )
@@ -82,18 +87,54 @@ def originals(digested: DataFrame, least_bytes: int) -> DataFrame:
     return keys.join(several, "digest").distinct().select("page_id", "digest", "original")
 
 
-def shard_column(pages: DataFrame, shard_bytes: int) -> Column:
-    """The shard of each page: equal ranges of ids, sized by the mean bytes of an id."""
-    low, high, total = pages.agg(
-        F.min("page_id"), F.max("page_id"), F.sum(F.octet_length(F.coalesce("payload", F.lit(""))).cast("long"))
-    ).first()
-    if low is None:
-        return F.lit(0).cast("long")
-    span = high - low + 1
-    shards = max(1, -(-total // shard_bytes))
-    width = max(1, -(-span // shards))
-    range_no = F.expr(f"(CAST(page_id AS DECIMAL(38,0)) - {low}) DIV {width}")
-    return F.coalesce(range_no, F.lit(0)).cast("long")
+Key = tuple[bool, int, str]
+
+
+def key_of(page_id: int | None, digest: str) -> Key:
+    """The place of a page in the order of shards; those without an id come first."""
+    return (False, 0, digest) if page_id is None else (True, page_id, digest)
+
+
+def shard_bounds(digested: DataFrame, shard_bytes: int) -> list[Key]:
+    """The first keys of all shards but the first.
+
+    Keys are weighed by the bytes of their rows. The driver gets ``SAMPLED`` keys or so: all of a
+    small table, else those with a hash divisible by a number, which stand for the others.
+    A table of more than ``SHARDS`` times ``shard_bytes`` gets longer shards.
+    """
+    n, total = digested.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    total += n * HEAD_BYTES
+    each = max(shard_bytes, -(-total // SHARDS))
+    if total <= each:
+        return []
+    one_of = max(1, n // SAMPLED)
+    chosen = digested.filter(F.pmod(F.xxhash64("page_id", "digest"), F.lit(one_of)) == 0)
+    # Repeats of a row are written without its payload.
+    weight = F.max("size") + F.count("*") * HEAD_BYTES
+    keys = chosen.groupBy("page_id", "digest").agg(weight.alias("weight")).collect()
+    bounds, held = [], 0
+    for key, size in sorted((key_of(r["page_id"], r["digest"]), r["weight"] * one_of) for r in keys):
+        if held and held + size > each:
+            bounds.append(key)
+            held = 0
+        held += size
+    return bounds
+
+
+def with_shards(rows: DataFrame, bounds: list[Key]) -> DataFrame:
+    """Rows with the ``shard`` (int) that their id and digest belong to."""
+    if not bounds:
+        return rows.withColumn("shard", F.lit(0))
+    schema = T.StructType([*rows.schema.fields, T.StructField("shard", T.IntegerType())])
+    ids, digests = rows.columns.index("page_id"), rows.columns.index("digest")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = map(key_of, batch.column(ids).to_pylist(), batch.column(digests).to_pylist())
+            shard = pa.array([bisect.bisect_right(bounds, k) for k in keys], pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns, shard], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def headers(fields: list[tuple[str, str | int]]) -> bytes:
@@ -132,6 +173,9 @@ def page_record(page: dict, revisit: bool, copy: int, date: str) -> bytes:
     ]
     if page["url"] is not None:
         fields.append(("Has-URL", "1"))
+        if " ".join(url.split()) != url:
+            # White space that a header line can't hold.
+            fields.append(("URL-Base64", base64.b64encode(url.encode()).decode()))
     if page["page_id"] is not None:
         fields.append(("Page-ID", page["page_id"]))
     if revisit:
@@ -210,13 +254,14 @@ def write_warc(
     ``out`` must be new and reachable from all executors.
     """
     spark = pages.sparkSession
-    shard, digested = shard_column(pages, shard_bytes), with_digests(pages)
+    digested = with_digests(pages)
+    bounds = shard_bounds(digested, shard_bytes)
     notes = originals(digested, least_bytes)
     # A page and the note on its original meet in the shard, the note first: payloads are
     # shuffled once.
     both = digested.withColumn("note", F.lit(1)).unionByName(notes.withColumn("note", F.lit(0)), allowMissingColumns=True)
     order = ["shard", "page_id", "digest", "note"]
-    ordered = both.withColumn("shard", shard).repartition("shard").sortWithinPartitions(*order)
+    ordered = with_shards(both, bounds).repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, before, copy, noted = ShardFiles(out, roll_bytes, date, opener), None, 0, (None, None)
@@ -298,9 +343,12 @@ def page_row(fields: dict[str, str], block: bytes, file: str) -> tuple:
     if kind == "response" and (sha1(payload), len(payload)) != (fields["WARC-Payload-Digest"], size):
         raise ValueError(f"{file}: wrong payload digest of {fields['WARC-Record-ID']}")
     number = lambda name: int(fields[name]) if name in fields else None
+    url = fields["WARC-Target-URI"] if "Has-URL" in fields else None
+    if "URL-Base64" in fields:
+        url = base64.b64decode(fields["URL-Base64"]).decode()
     return (
         number("Page-ID"),
-        fields["WARC-Target-URI"] if "Has-URL" in fields else None,
+        url,
         fields["WARC-Record-ID"],
         kind,
         fields["WARC-Payload-Digest"].removeprefix("sha1:"),
