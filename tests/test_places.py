@@ -340,3 +340,13 @@ def test_keys_have_bloom_filters(spark, built):
     filtered = {columns.get(i).getPath().toDotString(): columns.get(i).getBloomFilterOffset() > 0 for i in range(columns.size())}
     reader.close()
     assert filtered == {"key": True, "value": False}
+
+
+def test_map_files_without_python_rows(spark, tmp_path):
+    rows = spark.createDataFrame([(f"k{i}\u00e9", f"v{i}\u0000\u65e5\u672c \U0001f600" * (i % 5)) for i in range(40)], "key string, value string")
+    path = str(tmp_path / "files")
+    w.write_map_files(rows, path, 3, name="data")
+    back = w.read_map_files(spark, path)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "LogicalRDD" not in plan and "SerializeFromObject" in plan

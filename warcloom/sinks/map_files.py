@@ -23,10 +23,21 @@ def write_map_files(
     """Write (key, value) rows as one sorted map file per partition.
 
     Splits are called ``<name>-r-00000`` and so on. Rows are placed and sorted by
-    Spark; only the writing goes through Hadoop's output format.
+    Spark; only the writing goes through Hadoop's output format, fed by the JVM.
     """
     placed = partition_table(df.select("key", "value"), num_partitions)
-    pairs = placed.sortWithinPartitions("key").select("key", "value").rdd.map(tuple)
-    pairs.saveAsNewAPIHadoopFile(
-        path, _FORMAT, _TEXT, _TEXT, conf=_CONF | {"mapreduce.output.basename": name}
+    ordered = placed.sortWithinPartitions("key").select(F.col("key").alias("_1"), F.col("value").alias("_2"))
+    jvm = df.sparkSession._jvm
+    string = jvm.org.apache.spark.sql.Encoders.STRING()
+    pairs = getattr(ordered._jdf, "as")(jvm.org.apache.spark.sql.Encoders.tuple(string, string)).rdd()
+    # What PySpark's own Hadoop writers make of strings.
+    to_text = jvm.org.apache.spark.api.python.JavaToWritableConverter()
+    texts = jvm.org.apache.spark.api.python.PythonHadoopUtil.convertRDD(pairs, to_text, to_text)
+    any_kind = jvm.scala.reflect.ClassTag.AnyRef()
+    class_of = jvm.java.lang.Class.forName
+    conf = jvm.org.apache.hadoop.conf.Configuration(df.sparkSession._jsc.hadoopConfiguration())
+    for setting, value in (_CONF | {"mapreduce.output.basename": name}).items():
+        conf.set(setting, value)
+    jvm.org.apache.spark.api.java.JavaPairRDD(texts, any_kind, any_kind).saveAsNewAPIHadoopFile(
+        path, class_of(_TEXT), class_of(_TEXT), class_of(_FORMAT), conf
     )
