@@ -3,6 +3,7 @@
 import re
 from string import ascii_lowercase as LETTERS
 
+import regex
 from pyspark.sql import functions as F
 
 from warcloom.llm import surrogates
@@ -159,3 +160,94 @@ def test_long_loops_end(spark, text_rows):
         assert found[i].n_entities >= 1 and found[i].text != texts[i]
     assert "Smith" not in found[1].text and "Smith" not in found[2].text and "Jones" not in found[3].text
     assert found[2].text.startswith("Mr " * turns)
+
+
+def java_like(pattern):
+    return regex.compile(pattern.replace(r"\p{IsCyrillic}", r"\p{Cyrillic}").replace(r"\p{IsGreek}", r"\p{Greek}"))
+
+
+def plain_replacer(texts, chosen):
+    """Texts with the surrogates that the operator drew put in their place, one mention after the other."""
+    titles = {t: sex for (sex, _), words in surrogates.TITLES.items() for t in words}
+    every, part = java_like(surrogates.ANY), java_like(surrogates.PART)
+    title = java_like("^" + surrogates._TITLES)
+    script = lambda w: "cyrillic" if regex.match(r"\p{Cyrillic}", w) else "greek" if regex.match(r"\p{Greek}", w) else "latin"
+
+    def kind(value):
+        if "@" in value:
+            return "email"
+        for name, pattern in (("ip", r"[0-9]+([.][0-9]+){3}"), ("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}"), ("card", surrogates.CARD)):
+            if regex.fullmatch(pattern, value):
+                return name
+        return "person" if regex.match(r"\p{L}", value) else "phone"
+
+    def sex_of(value):
+        found = [titles[w.rstrip(".")] for w in title.match(value)[0].split(" ") if w]
+        return next((s for s in found if s != "n"), "n")
+
+    def cased(word, new):
+        if len(word) == 1:
+            new = new[0]
+        return new if word.lower() == word else new.upper() if word.upper() == word and len(word) > 1 else new.capitalize()
+
+    out = []
+    for text in texts:
+        people = [m[0] for m in every.finditer(text) if kind(m[0]) == "person"]
+        first = {}
+        for neutral in (False, True):
+            for value in people:
+                sex = sex_of(value)
+                for name in part.findall(value[title.match(value).end() :]) if (sex == "n") == neutral else []:
+                    first.setdefault(name.lower(), sex)
+
+        def renamed(words, sex):
+            def one(m):
+                name = m[0].lower()
+                if name not in first or (sex is None and len(name) == 1):
+                    return m[0]
+                entity = f"{sex if sex in ('f', 'm') else first[name]}|{script(name)}|{name}"
+                new = chosen.get(("person", entity))
+                return cased(m[0], new.split("|")[2]) if new else m[0]
+
+            return part.sub(one, words)
+
+        def replaced(value):
+            what = kind(value)
+            if what == "person":
+                end = title.match(value).end()
+                return value[:end] + renamed(value[end:], sex_of(value))
+            number = regex.sub("[^0-9]", "", value)
+            entity = {"email": value.lower(), "ip": value, "phone": ("+" if value[0] == "+" else "") + number}.get(what, number)
+            new = chosen[what, entity]
+            if what in ("email", "ip"):
+                return new.upper() if what == "email" and value.upper() == value else new
+            digits, places = regex.sub("[^0-9]", "", new), [i for i, c in enumerate(value) if c in "0123456789"]
+            shown = dict(zip(places, [*digits[: len(places) - 1], digits[len(places) - 1 :]]))
+            return "".join(shown.get(i, c) for i, c in enumerate(value))
+
+        pieces, at = [], 0
+        for m in every.finditer(text):
+            pieces += [renamed(text[at : m.start()], None), replaced(m[0])]
+            at = m.end()
+        out.append("".join([*pieces, renamed(text[at:], None)]))
+    return out
+
+
+def test_a_plain_replacer_agrees(spark, text_rows, monkeypatch):
+    drawn, real = {}, surrogates.assign
+
+    def assign(entities, key):
+        done = real(entities, key)
+        drawn.update({(r.kind, r.entity): r.surrogate for r in done.collect()})
+        return done
+
+    monkeypatch.setattr(surrogates, "assign", assign)
+    docs = table(spark, SF_DIR, "documents").select("doc_id", "text").collect()
+    rows = [(r.doc_id, r.text) for r in docs] + [(9_000 + i, t) for i, (_, t) in enumerate(ROWS) if t] + [
+        (9_100, "Dr. Ann Lee and Mrs Lee; later Lee, LEE and Ann. Mr J. Lee-Smith wrote to J."), (9_101, "госпожа Анна Иванова, Иванова; X@Y.DE x@y.de"),
+    ]
+    found = {r.doc_id: r.text for r in surrogates.pseudonymized(text_rows(rows), key="k").collect()}
+    expected = plain_replacer([t for _, t in rows], drawn)
+    wrong = [(i, e[:200], found[i][:200]) for (i, _), e in zip(rows, expected) if found[i] != e]
+    assert not wrong, wrong[:2]
+    assert len(drawn) > 20 and sum(found[i] != t for i, t in rows) > 10

@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import sys
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -45,7 +46,14 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="llm-")
 
 
-_WITHIN: list[str] = []
+class _Within(threading.local):
+    """The scratch folders that a thread works in, the inner one last."""
+
+    def __init__(self) -> None:
+        self.folders: list[str] = []
+
+
+_WITHIN = _Within()
 
 
 @contextlib.contextmanager
@@ -55,16 +63,16 @@ def scratch(spark: SparkSession) -> Iterator[str]:
     What reads them must have been written elsewhere by then.
     """
     folder = stage_path(spark, "scratch")
-    _WITHIN.append(folder)
+    _WITHIN.folders.append(folder)
     try:
         yield folder
     finally:
-        _WITHIN.remove(folder)
+        _WITHIN.folders.remove(folder)
         drop_stage(spark, folder)
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
-    root = _WITHIN[-1] if _WITHIN else shared_folder(spark)
+    root = _WITHIN.folders[-1] if _WITHIN.folders else shared_folder(spark)
     return f"{root}/llm-{label}-{uuid.uuid4().hex}"
 
 
