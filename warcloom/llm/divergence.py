@@ -30,7 +30,6 @@ aren't read. Texts of any length are counted whole. Columns beyond those named a
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,13 +39,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from warcloom.llm.common import ascii_lower, chunks, row_type, staged
+from warcloom.llm.common import ascii_lower, chunks, row_type, settings, staged
 from warcloom.llm.decontaminate import bit_table, bits_of
 
 #: Fixed value: what a term is.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-#: Distinct chunks that a task holds before it passes their counts on.
-HELD_CHUNKS = 500_000
+#: Chunks that a task lists the languages of without sorting them.
+HASHED_CHUNKS = "300000"
 #: Bytes of text that are cut at a time.
 BATCH_BYTES = 6 << 20
 #: Chunks with more terms than these are counted by grouping.
@@ -85,25 +84,14 @@ def chunk_documents(docs: DataFrame) -> DataFrame:
     """
     schema = row_type(lang="string", chunk="string", docs="long")
 
-    def rows(held: dict) -> Iterator[pa.RecordBatch]:
-        for lang, counts in held.items():
-            columns = [pa.array([lang] * len(counts)), pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-        held.clear()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter] = defaultdict(Counter)
         for batch in chunks(batches, "text", limit=BATCH_BYTES):
             for lang in pc.unique(batch.column(0)):
                 row, distinct, index = _cut(batch.column(2).filter(pc.equal(batch.column(0), lang)))
                 pairs = np.unique(row * len(distinct) + index) % max(1, len(distinct))
                 places, docs = np.unique(pairs, return_counts=True)
-                counts = held[lang.as_py()]
-                found = distinct.take(pa.array(places)).to_pylist()
-                counts.update(dict(zip(found, docs.tolist())))
-            if sum(map(len, held.values())) > HELD_CHUNKS:
-                yield from rows(held)
-        yield from rows(held)
+                columns = [pa.repeat(lang, len(places)), distinct.take(pa.array(places)), pa.array(docs.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     # By chunk alone: all that is known of a chunk is in one place from here on.
     partial = _source(docs).mapInArrow(run, schema).repartition("chunk")
@@ -140,8 +128,8 @@ def occurrences(docs: DataFrame, wanted: np.ndarray, doubtful: np.ndarray) -> Da
     """``lang``, ``source``, ``chunk``, ``n``, ``doc``: what documents have of chosen chunks.
 
     Bit tables choose them, so there are some others among them. Rows without ``doc`` count
-    occurrences; each language and source has one without ``chunk``. Rows with ``doc``, a
-    number that the documents get here, are of doubtful chunks, once a document.
+    occurrences. Rows with ``doc``, a number that the documents get here, are of doubtful
+    chunks, once a document.
     """
     schema = row_type(lang="string", source="string", chunk="string", n="long", doc="long")
     shared = docs.sparkSession.sparkContext.broadcast((wanted.tobytes(), doubtful.tobytes()))
@@ -172,7 +160,6 @@ def occurrences(docs: DataFrame, wanted: np.ndarray, doubtful: np.ndarray) -> Da
                 own = chosen[index]
                 keys, n = np.unique(names.indices.to_numpy()[row[own]] * size + index[own], return_counts=True)
                 yield made(lang, names.dictionary.take(pa.array(keys // size)), distinct.take(pa.array(keys % size)), n, None)
-                yield made(lang, names.dictionary, pa.nulls(len(names.dictionary), pa.string()), np.zeros(len(names.dictionary)), None)
                 own = doubted[index]
                 keys = np.unique(row[own] * size + index[own])
                 yield made(lang, source.take(pa.array(keys // size)), distinct.take(pa.array(keys % size)), None, doc[keys // size])
@@ -186,7 +173,8 @@ def kept_counts(docs: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame, D
     ``min_docs`` documents of the language; and ``lang``, ``source``, ``term``, ``n``, their
     occurrences.
     """
-    joined = staged(chunk_terms(chunk_documents(docs)), "chunks")
+    with settings(docs.sparkSession, {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": HASHED_CHUNKS}):
+        joined = staged(chunk_terms(chunk_documents(docs)), "chunks")
     bounds = joined.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high"))
     bounds = staged(bounds.filter(F.col("high") >= min_docs), "bounds")
     sure = F.col("low") >= min_docs
@@ -203,11 +191,10 @@ def kept_counts(docs: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame, D
     exact = exact.groupBy("lang", "term").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs)
     kept = staged(bounds.filter(sure).select("lang", "term").union(exact.select("lang", "term")), "kept")
 
-    counted = found.filter("doc IS NULL")
-    groups = counted.filter("chunk IS NULL").select("lang", "source").distinct()
+    groups = _source(docs).select("lang", "source").distinct()
     # By chunk alone, so that the sums and the join share one exchange.
-    by_chunk = counted.filter("chunk IS NOT NULL").repartition("chunk").groupBy("chunk", "lang", "source").agg(F.sum("n").alias("n"))
-    both = by_chunk.join(likely.repartition("chunk"), ["chunk", "lang"])
+    by_chunk = found.filter("doc IS NULL").repartition("chunk").groupBy("chunk", "lang", "source").agg(F.sum("n").alias("n"))
+    both = by_chunk.join(likely.repartition("chunk").hint("shuffle_hash"), ["chunk", "lang"])
     used = both.select("lang", "source", "term", (F.col("n") * F.col("times")).alias("n"))
     used = used.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
     return groups, kept, staged(used.join(kept, ["lang", "term"], "left_semi"), "used")

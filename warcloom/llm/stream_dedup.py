@@ -25,7 +25,6 @@ Very long texts are hashed whole. A folder without rows gives none. The stream r
 
 from __future__ import annotations
 
-import contextlib
 import hashlib
 from collections.abc import Iterator
 
@@ -36,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from warcloom.llm.common import ascii_lower, chunks, row_type, stage_path, staged
+from warcloom.llm.common import ascii_lower, chunks, row_type, settings, stage_path, staged
 from warcloom.llm.decontaminate import bit_table, bits_of
 from warcloom.llm.shingles import LOWER
 
@@ -55,19 +54,6 @@ PLACE = ("file", "row")
 RESULT = row_type(doc_id="long", keep_id="long", group_size="long", kept="boolean", text_sha256="string")
 
 
-@contextlib.contextmanager
-def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
-    """The session with some settings, as they were afterwards."""
-    before = {k: spark.conf.get(k, None) for k in wanted}
-    for k, v in wanted.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def _source(docs: DataFrame) -> DataFrame:
     """Id, place and bytes of each row of a table or a stream of files."""
     return docs.select(
