@@ -282,3 +282,27 @@ def test_whole_documents_table(spark):
     items = [(r.item_id, r.text) for r in bench.collect()]
     held = {(d, i) for d, t in rows for i, x in items if x and x in (t or "")}
     assert held <= {(r.doc_id, r.item_id) for r in found}
+
+
+def test_columns_named_like_results(spark):
+    """What comes in under the names of results is neither read nor carried."""
+    rows = [(1, "a b c d e f", "x", "y", 9), (2, "a b c d e f", "x", "y", 9), (3, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id string, kept string, n_shingles int")
+    got = {r.doc_id: (r.component_id, r.kept, r.n_shingles) for r in near_dups.near_duplicates(docs, 2, 80).collect()}
+    assert got == {1: (1, True, 5), 2: (1, False, 5), 3: (3, True, 0)}
+    frame = spark.createDataFrame([(20, [1, 2], 7, 0.5), (1, [3, 4], 8, 0.6)], "vec_id long, ints array<long>, rank int, score double")
+    assert [tuple(r) for r in topk.top_k(frame, frame.filter("vec_id = 20"), 5).collect()] == [(20, 1, 1, 11)]
+
+
+def test_tiny_items_and_long_ones(spark):
+    """Items of few words overlap texts that consist of them; a long item doesn't widen other hits."""
+    long_item = " ".join(f"w{i}" for i in range(3_000))
+    items = spark.createDataFrame([(1, "Yes."), (2, "the quick fox"), (3, long_item), (4, "one two three four five six")], "item_id long, text string")
+    docs = [
+        (1, "yes"), (2, "Yes! He said yes."), (3, "THE QUICK, FOX"), (4, "the quick fox runs"), (5, "x " * 500 + long_item + " y" * 500),
+        (6, "x " * 500 + "one two three four five six" + " y" * 500), (7, ""), (8, None), (9, " ".join(f"w{i}" for i in range(1_000, 1_020))),
+    ]
+    got = decontaminate.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert {(r.doc_id, r.item_id): (r.first_word, r.n_words, r.n_agree) for r in got} == {
+        (1, 1): (0, 1, 1), (3, 2): (0, 3, 3), (5, 3): (500, 3_000, 3_000), (6, 4): (500, 6, 6), (9, 3): (0, 20, 20)
+    }

@@ -83,7 +83,7 @@ CC_CLAUSES = (
 )
 CC_VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
 
-#: Rules that follow no scheme: label, keyword, pattern, priority, weight.
+#: Rules that follow no scheme: label, keyword, pattern, priority, weight, gate.
 SINGLE = (
     ("mit", "mit", "mit license", 40, 0.9),
     ("mit", "mit", "(?:released|licensed|distributed|available) under (?:the )?(?:terms of )?(?:the )?mit license", 60, 1.0),
@@ -116,46 +116,46 @@ SINGLE = (
     ("ntp", "ntp", "ntp license", 50, 0.8),
     ("any", "license", "licensed under", 10, 0.2),
     # Texts of notices and licences that don't name themselves in the words above.
-    ("mit", "without restriction", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish", 80, 1.0),
-    ("mit", "above copyright", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", 80, 1.0),
-    ("mit", "as is", "the software is provided as is without warranty of any kind express or implied", 70, 0.8),
-    ("isc", "as is", "the software is provided as is and the author disclaims all warranties", 80, 1.0),
-    ("bsd", "retain the above", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", 80, 1.0),
-    ("bsd", "binary form must", "redistributions in binary form must reproduce the above copyright notice", 80, 1.0),
-    ("bsd-3", "endorse or promote", "may be used to endorse or promote products derived from this software without specific prior written permission", 85, 1.0),
+    ("mit", "without restriction", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish", 80, 1.0, "restriction"),
+    ("mit", "above copyright", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", 80, 1.0, "copyright"),
+    ("mit", "as is", "the software is provided as is without warranty of any kind express or implied", 70, 0.8, "warranty"),
+    ("isc", "as is", "the software is provided as is and the author disclaims all warranties", 80, 1.0, "disclaims"),
+    ("bsd", "retain the above", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", 80, 1.0, "redistributions"),
+    ("bsd", "binary form must", "redistributions in binary form must reproduce the above copyright notice", 80, 1.0, "redistributions"),
+    ("bsd-3", "endorse or promote", "may be used to endorse or promote products derived from this software without specific prior written permission", 85, 1.0, "endorse"),
     ("bsd-4", "advertising materials", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment", 85, 1.0),
     ("bsd", "regents", "the regents of the university of california", 40, 0.6),
-    ("gpl", "free software foundation", "under the terms of the gnu general public license as published by the free software foundation", 80, 1.0),
-    ("gpl-2.0", "version 2", "either version 2 of the license or at your option any later version", 75, 0.9),
-    ("gpl-3.0", "version 3", "either version 3 of the license or at your option any later version", 75, 0.9),
-    ("gpl", "free software you can", "this program is free software you can redistribute it and or modify it", 75, 0.9),
-    ("gpl", "fitness for", "without even the implied warranty of merchantability or fitness for a particular purpose", 60, 0.7),
+    ("gpl", "free software foundation", "under the terms of the gnu general public license as published by the free software foundation", 80, 1.0, "foundation"),
+    ("gpl-2.0", "version 2", "either version 2 of the license or at your option any later version", 75, 0.9, "licen"),
+    ("gpl-3.0", "version 3", "either version 3 of the license or at your option any later version", 75, 0.9, "licen"),
+    ("gpl", "free software you can", "this program is free software you can redistribute it and or modify it", 75, 0.9, "redistribute"),
+    ("gpl", "fitness for", "without even the implied warranty of merchantability or fitness for a particular purpose", 60, 0.7, "merchantability"),
     ("gpl", "verbatim copies", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed", 60, 0.8),
     ("lgpl", "lesser general", "gnu lesser general public license(?: as published)?", 60, 1.0),
-    ("lgpl", "library is free", "this library is free software you can redistribute it and or modify it", 80, 1.0),
+    ("lgpl", "library is free", "this library is free software you can redistribute it and or modify it", 80, 1.0, "redistribute"),
     ("agpl", "affero", "gnu affero general public license(?: as published)?", 70, 1.0),
-    ("agpl", "remotely through", "all users interacting with it remotely through a computer network", 80, 0.9),
+    ("agpl", "remotely through", "all users interacting with it remotely through a computer network", 80, 0.9, "remotely"),
     ("apache-2.0", "apache org", "www apache org licenses license 2 0", 85, 1.0),
-    ("apache-2.0", "in compliance with", "you may not use this file except in compliance with the license", 75, 0.9),
-    ("apache-2.0", "on an as is", "distributed on an as is basis without warranties or conditions of any kind", 75, 0.9),
+    ("apache-2.0", "in compliance with", "you may not use this file except in compliance with the license", 75, 0.9, "compliance"),
+    ("apache-2.0", "on an as is", "distributed on an as is basis without warranties or conditions of any kind", 75, 0.9, "warranties"),
     ("apache", "contributor license", "licensed to the apache software foundation asf under one or more contributor license agreements", 80, 1.0),
     ("mpl-2.0", "mozilla org", "mozilla org mpl 2 0", 85, 1.0),
-    ("mpl-2.0", "source code form", "this source code form is subject to the terms of the mozilla public license v 2 0", 90, 1.0),
-    ("mpl-1.1", "mozilla public", "the contents of this file are subject to the mozilla public license version 1 1", 90, 1.0),
+    ("mpl-2.0", "source code form", "this source code form is subject to the terms of the mozilla public license v 2 0", 90, 1.0, "mozilla"),
+    ("mpl-1.1", "mozilla public", "the contents of this file are subject to the mozilla public license version 1 1", 90, 1.0, "mozilla"),
     ("epl", "accompanying materials", "this program and the accompanying materials are made available under the terms of the eclipse public license", 85, 1.0),
     ("cddl", "development and distribution", "subject to the terms of the common development and distribution license", 85, 1.0),
     ("zlib", "misrepresented", "the origin of this software must not be misrepresented you must not claim that you wrote the original software", 85, 1.0),
-    ("zlib", "held liable", "in no event will the authors be held liable for any damages arising from the use of this software", 75, 0.9),
-    ("boost-1.0", "boost software", "distributed under the boost software license version 1 0", 85, 1.0),
-    ("wtfpl", "what the", "do what the fuck you want to public license", 85, 1.0),
-    ("beerware", "buy me a", "you can buy me a beer in return", 80, 0.9),
+    ("zlib", "held liable", "in no event will the authors be held liable for any damages arising from the use of this software", 75, 0.9, "damages"),
+    ("boost-1.0", "boost software", "distributed under the boost software license version 1 0", 85, 1.0, "boost"),
+    ("wtfpl", "what the", "do what the fuck you want to public license", 85, 1.0, "fuck"),
+    ("beerware", "buy me a", "you can buy me a beer in return", 80, 0.9, "beer"),
     ("unlicense", "unlicense org", "(?:refer|information) to (?:http )?unlicense org", 80, 1.0),
     ("cc0", "dedicated the work", "has dedicated the work to the public domain by waiving all of his or her rights", 85, 1.0),
     ("cc", "creativecommons org", "creativecommons org licenses", 60, 0.9),
     ("ofl-1.1", "scripts sil org", "scripts sil org ofl", 85, 1.0),
     ("gfdl", "invariant sections", "with no invariant sections no front cover texts and no back cover texts", 80, 0.9),
-    ("public-domain", "public domain", "this (?:work|file|software|code) is in the public domain", 60, 0.9),
-    ("proprietary", "written consent", "without the (?:express |prior )*written (?:consent|permission) of", 40, 0.5),
+    ("public-domain", "public domain", "this (?:work|file|software|code) is in the public domain", 60, 0.9, "domain"),
+    ("proprietary", "written", "without the (?:express |prior )*written (?:consent|permission) of", 40, 0.5),
     ("proprietary", "strictly prohibited", "unauthori[sz]ed (?:copying|use|distribution)(?: of this (?:file|software))?(?: via any medium)? is strictly prohibited", 60, 0.9),
 )
 
@@ -260,24 +260,22 @@ def scan(docs: DataFrame, text: str = "text", table: tuple[Rule, ...] | None = N
     results = ["n_words", "base", "detections"]
     source = docs.withColumn("__text", F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
     carried = [c for c in without(docs, results).columns]
-    gates = {r.gate or max(r.keyword.split(" "), key=len) for r in table} | {phrase.split(" ")[-1] for phrase, _ in BASE}
-    keywords = sorted(g for g in gates if not any(other != g and other in g for other in gates))
-    gate = F.lit(False)
-    for keyword in keywords:
-        gate = gate | F.contains(F.col("__lower"), F.lit(keyword))
+    gate_of = lambda r: r.gate or max(r.keyword.split(" "), key=len)
+    gates = sorted({gate_of(r) for r in table} | {phrase.split(" ")[-1] for phrase, _ in BASE})
+    held = F.filter(F.array(*[F.lit(g) for g in gates]), lambda g: F.contains(F.col("__lower"), g))
     rule_rows = F.array(
         *[
             F.struct(
-                F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"), F.lit(r.pattern).alias("pattern"),
+                F.lit(r.label).alias("label"), F.lit(gate_of(r)).alias("gate"), F.lit(r.keyword).alias("keyword"), F.lit(r.pattern).alias("pattern"),
                 F.lit(r.priority).alias("priority"), F.lit(float(r.weight)).alias("weight"), F.lit(k).alias("rule"),
             )
             for k, r in enumerate(table)
         ]
     )
     counted = source.withColumn("n_words", F.regexp_count("__text", F.lit(WORD_ANY_CASE)).cast("long"))
-    gated = counted.withColumn("__lower", F.lower("__text"))
-    # Null where no keyword occurs: nothing further is done with such a text.
-    gated = gated.withColumn("__words", F.when(gate, words_joined("__text")))
+    gated = counted.withColumn("__lower", F.lower("__text")).withColumn("__gates", held)
+    # Null where no gate is open: nothing further is done with such a text.
+    gated = gated.withColumn("__words", F.when(F.size("__gates") > 0, words_joined("__text")))
     joined = F.col("__words")
 
     def spans(rule: Column) -> Column:
@@ -289,7 +287,7 @@ def scan(docs: DataFrame, text: str = "text", table: tuple[Rule, ...] | None = N
             ),
         )
 
-    alive = F.filter(rule_rows, lambda r: F.contains(joined, r["keyword"]))
+    alive = F.filter(rule_rows, lambda r: F.array_contains("__gates", r["gate"]) & F.contains(joined, r["keyword"]))
     found = F.flatten(F.transform(alive, spans))
 
     def places(phrase: str, label: str) -> Column:
