@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from warcloom.llm.common import ascii_lower, chunks, row_type, settings, staged
+from warcloom.llm.common import ascii_lower, chunks, drop_stage, row_type, settings, stage_path, staged
 from warcloom.llm.decontaminate import bit_table, bits_of
 
 #: Fixed value: what a term is.
@@ -184,20 +184,26 @@ def kept_counts(docs: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame, D
     seed = F.xxhash64(F.concat("lang", F.lit(" "), "chunk"))
     chosen = likely.select(seed.alias("seed"))
     doubtful = likely.filter("NOT sure").select(seed.alias("seed"))
-    # Written at once: the numbers of documents hold from here on.
-    found = staged(occurrences(docs, bit_table(chosen), bit_table(doubtful)), "occurrences")
-    of_doc = found.filter("doc IS NOT NULL").select("lang", "chunk", "doc")
+    # Written at once: the numbers of documents hold from here on. The two kinds of rows lie apart.
+    path = stage_path(docs.sparkSession, "occurrences")
+    made = occurrences(docs, bit_table(chosen), bit_table(doubtful)).withColumn("counts", F.col("doc").isNull())
+    with settings(docs.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": "2"}):
+        made.write.option("compression", "zstd").partitionBy("counts").parquet(path)
+    found = docs.sparkSession.read.schema(made.schema).parquet(path)
+    of_doc = found.filter("NOT counts").select("lang", "chunk", "doc")
     exact = of_doc.join(likely.filter("NOT sure"), ["lang", "chunk"]).select("lang", "term", "doc").distinct()
     exact = exact.groupBy("lang", "term").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs)
     kept = staged(bounds.filter(sure).select("lang", "term").union(exact.select("lang", "term")), "kept")
 
     groups = _source(docs).select("lang", "source").distinct()
     # By chunk alone, so that the sums and the join share one exchange.
-    by_chunk = found.filter("doc IS NULL").repartition("chunk").groupBy("chunk", "lang", "source").agg(F.sum("n").alias("n"))
+    by_chunk = found.filter("counts").repartition("chunk").groupBy("chunk", "lang", "source").agg(F.sum("n").alias("n"))
     both = by_chunk.join(likely.repartition("chunk").hint("shuffle_hash"), ["chunk", "lang"])
     used = both.select("lang", "source", "term", (F.col("n") * F.col("times")).alias("n"))
     used = used.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-    return groups, kept, staged(used.join(kept, ["lang", "term"], "left_semi"), "used")
+    used = staged(used.join(kept, ["lang", "term"], "left_semi"), "used")
+    drop_stage(docs.sparkSession, path)
+    return groups, kept, used
 
 
 def share(count: Column, total: Column, terms: Column, scale: int, smooth: int) -> Column:
