@@ -20,11 +20,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from warcloom.llm.common import ascii_lower, without
+from warcloom.llm.common import ASCII_UPPER, without
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The same words before A to Z are lowered.
-WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: The ASCII characters that are in no word: all but digits and letters.
+SEPARATORS = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 
 #: Phrases and the labels that they stand for by themselves. Fixed values.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -194,10 +193,15 @@ def rules() -> tuple[Rule, ...]:
     return tuple(made)
 
 
-def words_joined(text: str) -> Column:
-    """The words of a text, with a space before and after each."""
-    found = F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
-    return F.concat(F.lit(" "), F.array_join(found, " "), F.lit(" "))
+def flattened(text: str) -> Column:
+    """A text with A to Z lowered and a space for every character that is in no word."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    return F.translate(body, ASCII_UPPER + SEPARATORS, ASCII_UPPER.lower() + " " * len(SEPARATORS))
+
+
+def words_of(flat: str) -> Column:
+    """The words of a flattened text."""
+    return F.array_remove(F.split(F.col(flat), " ", -1), "")
 
 
 def word_matches(joined: Column, pattern: Column) -> Column:
@@ -262,7 +266,7 @@ def scan(docs: DataFrame, text: str = "text", table: tuple[Rule, ...] | None = N
     carried = [c for c in without(docs, results).columns]
     gate_of = lambda r: r.gate or max(r.keyword.split(" "), key=len)
     gates = sorted({gate_of(r) for r in table} | {phrase.split(" ")[-1] for phrase, _ in BASE})
-    held = F.filter(F.array(*[F.lit(g) for g in gates]), lambda g: F.contains(F.col("__lower"), g))
+    held = F.filter(F.array(*[F.lit(g) for g in gates]), lambda g: F.contains(F.col("__flat"), g))
     rule_rows = F.array(
         *[
             F.struct(
@@ -272,10 +276,12 @@ def scan(docs: DataFrame, text: str = "text", table: tuple[Rule, ...] | None = N
             for k, r in enumerate(table)
         ]
     )
-    counted = source.withColumn("n_words", F.regexp_count("__text", F.lit(WORD_ANY_CASE)).cast("long"))
-    gated = counted.withColumn("__lower", F.lower("__text")).withColumn("__gates", held)
+    counted = source.withColumn("__flat", flattened("__text"))
+    counted = counted.withColumn("__list", words_of("__flat")).withColumn("n_words", F.size("__list").cast("long"))
+    gated = counted.withColumn("__gates", held)
+    joined_words = F.concat(F.lit(" "), F.array_join("__list", " "), F.lit(" "))
     # Null where no gate is open: nothing further is done with such a text.
-    gated = gated.withColumn("__words", F.when(F.size("__gates") > 0, words_joined("__text")))
+    gated = gated.withColumn("__words", F.when(F.size("__gates") > 0, joined_words))
     joined = F.col("__words")
 
     def spans(rule: Column) -> Column:
