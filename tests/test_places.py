@@ -304,6 +304,29 @@ def test_a_large_part_is_one_order_over_its_files(spark, tmp_path):
     assert {r.key: r.value for r in hot.collect()}["hot"] in {str(i) for i in range(8)}
 
 
+def test_small_files_are_not_very_many(spark, tmp_path, monkeypatch):
+    """However few rows a file is to have, files and tasks stay few, and are one order of keys."""
+    monkeypatch.setattr(T, "SMALL_FILES", 24, raising=False)
+    rows = spark.range(4000).select(
+        F.lit("data").alias("table"), F.col("id").cast("string").alias("key"), F.lit("v").alias("value"),
+        (F.col("id") % 2).cast("int").alias("part"), F.lit(0).alias("ordinal"),
+    )
+    out = str(tmp_path / "t")
+    w.write_merged(rows, out, 2, inputs=2, hot_rows=2)
+    for part in (0, 1):
+        folder = f"{out}/table=data/part={part}"
+        files = sorted(n for n in os.listdir(folder) if n.endswith(".parquet"))
+        keys = [k for n in files for k in pq.read_table(f"{folder}/{n}", partitioning=None)["key"].to_pylist()]
+        assert 4 <= len(files) <= 26 and keys == sorted(str(i) for i in range(part, 4000, 2))
+
+
+def test_files_follow_the_rows():
+    assert T.cut_files([("data", 0, 1200)], 50) == 36
+    assert T.cut_files([("data", 0, 10**6)], 10) == T.SMALL_FILES
+    assert T.cut_files([("data", 0, 10**9)], 10) == T.cut_files([("data", 0, 10**9)], 100_000) == 15_000
+    assert T.cut_files([("data", n, 500) for n in range(1000)], 10) == 4000
+
+
 def test_cuts_are_left_by_later_merges(spark, tmp_path):
     hot_inputs(spark, str(tmp_path / "a"))
     counts = w.merge_batches(spark, [str(tmp_path / "a"), str(tmp_path / "a")], str(tmp_path / "b"), hot_rows=100)

@@ -30,6 +30,10 @@ HOT_KEYS = 50_000
 
 # Parts are cut where they have so many times the rows that a file of them is to have.
 CUT_FROM = 4
+# Files are as small as asked for up to this many; of more, each has FILE_ROWS rows or there
+# are CUT_FROM for each part, so that tasks and the manifest don't grow with the rows asked for.
+SMALL_FILES = 512
+FILE_ROWS = 100_000
 MERGED = ("table", "part", "key", "value", "ordinal")
 
 
@@ -190,6 +194,14 @@ def large_parts(rows: DataFrame, hot_rows: int) -> list[tuple[str, int, int]]:
     return [tuple(r) for r in counts.filter(F.col("rows") > CUT_FROM * hot_rows).collect()]
 
 
+def cut_files(large: list[tuple[str, int, int]], hot_rows: int) -> int:
+    """How many ranges of some ``hot_rows`` rows the large parts are cut into, all together."""
+    ranges = lambda n, size: -(-3 * n // (2 * size))
+    asked = sum(ranges(n, hot_rows) for *_, n in large)
+    few = sum(ranges(n, FILE_ROWS) for *_, n in large)
+    return min(asked, max(SMALL_FILES, CUT_FROM * len(large), few))
+
+
 def arrange_merged(
     rows: DataFrame,
     num_partitions: int,
@@ -203,8 +215,9 @@ def arrange_merged(
     Where the first input wins, and a key may be in ``hot_rows`` inputs or more, rows of hot
     keys that can't win are dropped before anything is moved. Where all rows are kept,
     ``large`` parts (:func:`large_parts`) are cut by ranges of key and input into some
-    ``hot_rows`` rows each: their files, by name, are one order of keys, even where one
-    key fills several. With fewer ``inputs`` than ``hot_rows`` parts aren't counted here.
+    ``hot_rows`` rows each, or more where that would be very many files (:func:`cut_files`):
+    their files, by name, are one order of keys, even where one key fills several. With
+    fewer ``inputs`` than ``hot_rows`` parts aren't counted here.
     """
     check_mode(mode)
     counted = inputs is None or inputs >= hot_rows
@@ -222,7 +235,7 @@ def arrange_merged(
         return key_sorted(rows.repartitionById(num_partitions, F.col("part")).select(*MERGED), "ordinal")
     # A few bytes for each part that is cut.
     cut = F.broadcast(rows.sparkSession.createDataFrame([p[:2] for p in large], "table string, part int"))
-    files = sum(-(-3 * n // (2 * hot_rows)) for *_, n in large)
+    files = cut_files(large, hot_rows)
     tie = F.xxhash64("value")
     ranges = rows.join(cut, ["table", "part"], "left_semi").repartitionByRange(files, *MERGED[:3], "ordinal", tie)
     whole = rows.join(cut, ["table", "part"], "left_anti").repartitionById(num_partitions, F.col("part"))
