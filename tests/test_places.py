@@ -127,6 +127,22 @@ def test_a_slice_of_one_part_is_cut_by_hash(spark, built):
         L.LITERAL_KEYS = few
 
 
+def test_many_keys_read_a_part_few_times(spark, built, monkeypatch):
+    """Keys that fill very many slices meet their parts in one reading; few ones stay in slices."""
+    monkeypatch.setattr(L, "LITERAL_KEYS", 3)
+    tables, read = w.open_tables(spark, built), []
+    real = w.Tables.part_rows
+    monkeypatch.setattr(w.Tables, "part_rows", lambda self, table, parts, *a: read.extend(parts) or real(self, table, parts, *a))
+    part = lambda keys: keys.withColumn("part", w.partition_id(F.col("key"), 16))
+    keys = part(keys_of(spark, *range(200), *range(500, 540)))
+    wanted = L.checkpointed(keys.filter("part <> 3").unionByName(keys.filter("part = 3").limit(1)))
+    hits = L.matches(tables, "uri", wanted, "value", slice_bytes=200)
+    rows = tables.rows.filter("table = 'uri'").select("key", "part", "value")
+    expected = rows.join(wanted, ["key", "part"], "left_semi").collect()
+    assert sorted(map(tuple, hits.collect())) == sorted(map(tuple, expected))
+    assert max(read.count(n) for n in range(16)) <= L.MAX_PIECES
+
+
 def test_counters_leave_documents_alone(spark, built):
     found = jobs._generator_counters(w.open_tables(spark, built))
     assert sorted(columns for _, columns in scans(found)) == [[], ["value"]]

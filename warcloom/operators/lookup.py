@@ -21,6 +21,9 @@ PUSHED_KEYS = 10
 # row) at most; a slice is what is broadcast.
 SLICE_BYTES = 8 << 20
 ROW_BYTES = 64
+# A part is read once for each slice of its keys. Where these are more than so many slices,
+# most of its rows have a key, and rows and keys meet by a shuffle instead.
+MAX_PIECES = 4
 
 
 def _opened(spark: SparkSession, tables: Tables | str) -> Tables:
@@ -73,6 +76,8 @@ def matches(
     rows, never rows to the keys: of the table, only rows that have a key leave the task that
     reads them. That takes a broadcast of some MB; for more keys, one for each slice of
     them, whose rows go to the scratch folder, so that memory doesn't grow with the keys.
+    Parts whose keys alone are more than ``MAX_PIECES`` slices are read once, and meet their
+    keys in one sorted join.
     """
     few = wanted.limit(LITERAL_KEYS + 1).collect()
     columns = ("key", "part", *columns)
@@ -83,19 +88,24 @@ def matches(
     # As many rows as the table has parts, at most.
     sizes = wanted.groupBy("part").agg(F.count("*").alias("n"), F.sum(F.octet_length("key")).alias("bytes")).collect()
     slices = _slices([(r["part"], r["n"], r["bytes"]) for r in sizes], slice_bytes)
+    many = [parts[0] for parts, k, pieces in slices if pieces > MAX_PIECES and k == 0]
+    slices = [s for s in slices if s[2] <= MAX_PIECES]
     hits = []
     for parts, k, pieces in slices:
-        keys = wanted if len(slices) == 1 else wanted.filter(F.col("part").isin(parts))
+        keys = wanted if len(slices) == 1 and not many else wanted.filter(F.col("part").isin(parts))
         if pieces > 1:
             keys = keys.filter(F.pmod(F.xxhash64("key"), F.lit(pieces)) == k)
         rows = tables.part_rows(table, parts)
         hits.append(rows.join(F.broadcast(keys), ["key", "part"]).select(*columns))
-    if len(hits) == 1:
-        return hits[0]
-    path = scratch_path(wanted.sparkSession, "hits")
-    for rows in hits:
-        rows.write.mode("append").parquet(path)
-    return wanted.sparkSession.read.schema(hits[0].schema).parquet(path)
+    if len(hits) > 1:
+        path = scratch_path(wanted.sparkSession, "hits")
+        for rows in hits:
+            rows.write.mode("append").parquet(path)
+        hits = [wanted.sparkSession.read.schema(hits[0].schema).parquet(path)]
+    if many:
+        keys = wanted.filter(F.col("part").isin(many)).hint("merge")
+        hits.append(tables.part_rows(table, many).join(keys, ["key", "part"]).select(*columns))
+    return reduce(DataFrame.unionByName, hits)
 
 
 def lookup(
