@@ -252,6 +252,16 @@ def test_only_large_plain_files_are_split(spark, tmp_path):
     assert files.columns == ["path", "length"]
 
 
+def test_narrow_ranges_share_tasks(spark, tmp_path):
+    """Tasks follow the bytes and cores, not how narrow the ranges are."""
+    (tmp_path / "a.warc").write_bytes(ONE * 300)
+    pieces = split_files(spark, w.warc_files(spark, str(tmp_path)), w.get_profile("commoncrawl"), 100)
+    assert pieces.count() == 300
+    assert pieces.rdd.getNumPartitions() < 5 * spark.sparkContext.defaultParallelism
+    rows = w.read_warc(spark, str(tmp_path), split_bytes=100).select("record_seq")
+    assert sorted(r.record_seq for r in rows.collect()) == list(range(300))
+
+
 def test_unknown_profile():
     with pytest.raises(ValueError, match="clueweb09, clueweb12, commoncrawl"):
         w.get_profile("nutch")

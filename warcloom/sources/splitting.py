@@ -46,7 +46,9 @@ _PLAN_SCHEMA = (
     "path string, length bigint, begin bigint, end bigint, "
     "start bigint, first_seq bigint, certain boolean"
 )
-MAX_TASKS = 100_000
+# A task takes ranges of so many bytes, if there are enough for all cores.
+TASK_BYTES = 64 << 20
+CORE_TASKS = 4
 
 
 def _follow(reader: SeekingReader, version: bytes, size: int, width: int) -> tuple[int, bool]:
@@ -135,10 +137,10 @@ def split_files(
         F.lit(0).cast("bigint").alias("first_seq"),
     )
     large = files.filter(splittable)
-    tasks = large.agg(F.sum(F.ceil(F.col("length") / width))).first()[0]
-    if not tasks:
+    found = large.agg(F.sum(F.ceil(F.col("length") / width)), F.sum("length")).first()
+    if not found[0]:
         return whole
-    tasks = min(int(tasks), MAX_TASKS)
+    tasks = min(int(found[0]), max(CORE_TASKS * spark.sparkContext.defaultParallelism, -(-found[1] // TASK_BYTES)))
 
     begin = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(width).cast("bigint")))
     ranges = large.select("path", "length", begin.alias("begin")).select(
