@@ -3,12 +3,14 @@
 import bz2
 import gzip
 import random
+import tracemalloc
 import zlib
 
 import pytest
 from archives import GAP, read_whole, record, response
 
 import warcloom as w
+from warcloom.sources import warc as source
 from warcloom.sources.framing import ByteReader, frames
 from warcloom.sources.splitting import split_files
 
@@ -262,6 +264,17 @@ def test_narrow_ranges_share_tasks(spark, tmp_path):
     assert sorted(r.record_seq for r in rows.collect()) == list(range(300))
 
 
+def test_a_task_holds_few_records_at_a_time():
+    """Records gathered for a batch are few MB, and let go with it."""
+    records = (("a.warc", n, "WARC/1.0", b"h", bytes(1 << 20)) for n in range(40))
+    tracemalloc.start()
+    try:
+        assert sum(batch.num_rows for batch in source._batches(records)) == 40
+        assert tracemalloc.get_traced_memory()[1] < 8 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def test_unknown_profile():
     with pytest.raises(ValueError, match="clueweb09, clueweb12, commoncrawl"):
         w.get_profile("nutch")

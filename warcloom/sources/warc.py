@@ -33,12 +33,13 @@ BUILD_SCHEMA = RECORD_SCHEMA + ", id_repeat boolean, uri_repeat boolean, counts
 _BUILD_ARROW = pa.schema(
     [*_RECORD_ARROW, ("id_repeat", pa.bool_()), ("uri_repeat", pa.bool_()), ("counts", pa.string())]
 )
-# Names and URIs that a task remembers at a time.
-SEEN_KEYS = 500_000
+# Names and URIs that a task remembers at a time: some 10 MB of each.
+SEEN_KEYS = 100_000
 
 # Records leave a task in batches of about this many bytes, so that large bodies
-# do not pile up, and of at most this many records.
-BATCH_BYTES = 16 << 20
+# do not pile up, and of at most this many records. A worker holds up to four times as
+# much: the records, their batch, the one before it and what is being sent of it.
+BATCH_BYTES = 4 << 20
 BATCH_RECORDS = 4096
 
 # Plain files above this size are read by several tasks.
@@ -60,7 +61,7 @@ def _batches(records: Iterable[tuple], schema: pa.Schema = _RECORD_ARROW) -> Ite
         weight = len(row[3]) + len(row[4] or b"")
         if rows and (size + weight > BATCH_BYTES or len(rows) >= BATCH_RECORDS):
             yield _batch(rows, schema)
-            rows, size = [], 0
+            size = 0
         rows.append(row)
         size += weight
     if rows:
@@ -68,7 +69,9 @@ def _batches(records: Iterable[tuple], schema: pa.Schema = _RECORD_ARROW) -> Ite
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = [pa.array(c, t.type) for c, t in zip(zip(*rows), schema)]
+    """The batch of some rows, which are let go: a task holds them once."""
+    columns = [pa.array([row[n] for row in rows], t.type) for n, t in enumerate(schema)]
+    rows.clear()
     return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
