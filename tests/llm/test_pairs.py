@@ -219,6 +219,30 @@ def test_clean_decides_by_text(spark, text_rows):
     assert got == sorted([(None, "a clean text"), (None, None)], key=str)
 
 
+def test_a_seed_is_mixed_once(monkeypatch):
+    """However many places a mask has; the masked-out ones alone don't enter."""
+    calls, real = [], decontaminate.mixed
+    monkeypatch.setattr(decontaminate, "mixed", lambda x: calls.append(1) or real(x))
+    words = np.arange(100, 140, dtype=np.uint64) * decontaminate.ODD
+    for mask in decontaminate.MASKS + decontaminate.SHORT_MASKS:
+        calls.clear()
+        found = decontaminate.seeds(words, mask)
+        assert len(calls) == 1 and len(set(found.tolist())) == len(found) == 41 - len(mask)
+        for k, used in enumerate(mask):
+            other = words.copy()
+            other[5 + k] += np.uint64(1)
+            assert (decontaminate.seeds(other, mask)[5] == found[5]) == (used == "0")
+
+
+def test_words_of_two_documents_are_no_overlap(spark):
+    words = [f"word{i}" for i in range(26)]
+    for cut in (6, 13, 20):
+        docs = [(1, " ".join(words[:cut])), (2, ""), (3, " ".join(words[cut:])), (4, "a b " + " ".join(words[3:16]))]
+        docs = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+        items = spark.createDataFrame([(7, " ".join(words[cut - 6 : cut + 6] + ["z"]))], "item_id long, text string")
+        assert {r.doc_id for r in decontaminate.overlaps(docs, items, 100).collect()} == set()
+
+
 def test_overlaps_of_nothing(spark, text_rows):
     bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")

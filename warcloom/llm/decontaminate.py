@@ -47,8 +47,12 @@ FIRST_CLASS = 64
 MASKS = ("111111", "101100111", "11010111")
 #: And these any 5 to 12 words of which one (up to 9) or two were replaced.
 SHORT_MASKS = ("111", "1101", "1011")
+#: A factor for each place of a mask.
+FACTORS = mixed(np.arange(1, WINDOW + 1, dtype=np.uint64) * ODD) | np.uint64(1)
 BIT_TABLE = 24
 CACHED_WORDS = 100_000
+#: Masks run over so many words at a time, which stay in a core's cache.
+GATHERED = 1 << 15
 
 
 class Hashes(dict):
@@ -73,8 +77,21 @@ def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     total = np.full(n, xxhash.xxh3_64_intdigest(mask), dtype=np.uint64)
     for k, used in enumerate(mask):
         if used == "1":
-            total = mixed(total * ODD + words[k : k + n])
-    return total
+            total += words[k : k + n] * FACTORS[k]
+    return mixed(total)
+
+
+def gathered(texts: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """The texts in order, as many at a time as have some GATHERED words, or a single longer one."""
+    some, held = [], 0
+    for words in texts:
+        if some and held + len(words) > GATHERED:
+            yield some
+            some, held = [], 0
+        some.append(words)
+        held += len(words)
+    if some:
+        yield some
 
 
 def whole_seed(words: np.ndarray) -> np.ndarray:
@@ -154,11 +171,13 @@ def segments(docs: DataFrame, tables: list[tuple[int, np.ndarray]], masks: tuple
     shared = docs.sparkSession.sparkContext.broadcast([(reach, table.tobytes()) for reach, table in tables])
 
     def passing(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
-        first, second = bits_of(hashes)
-        one = (bits[first >> 3] >> (7 - (first & 7)).astype(np.uint8)) & 1
-        places = np.nonzero(one)[0]
-        second = second[places]
-        return places[((bits[second >> 3] >> (7 - (second & 7)).astype(np.uint8)) & 1).astype(bool)]
+        # Most hashes meet an empty byte; bits are looked at for the others.
+        cut = np.uint64((1 << BIT_TABLE) - 1)
+        places = np.nonzero(bits[((hashes & cut) >> np.uint64(3)).astype(np.int64)])[0]
+        for place in range(2):
+            at = bits_of(hashes[places])[place]
+            places = places[((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)]
+        return places
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -169,27 +188,49 @@ def segments(docs: DataFrame, tables: list[tuple[int, np.ndarray]], masks: tuple
         hashes = Hashes()
         number = TaskContext.get().partitionId() << 36
 
-        def hits_of(words: np.ndarray) -> list[tuple[int, int, int]]:
-            """(place, seed, reach) of the seeds that pass, by place."""
-            found = []
-            for own in [*(seeds(words, mask) for mask in masks), *([whole_seed(words)] if 0 < len(words) < SHORTEST else [])]:
+        def hits_of(texts: list[np.ndarray]) -> list[list[tuple[int, int, int]]]:
+            """(place, seed, reach) of the seeds of each text that pass, by place.
+
+            Masks run over the words of all texts in a row; what reaches into the next
+            text doesn't count.
+            """
+            found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+
+            def add(some: np.ndarray, places: np.ndarray, of_text: np.ndarray) -> None:
+                reach = np.zeros(len(some), np.int64)
+                for longest, bits in classes:
+                    reach[passing(some, bits)] = longest
+                for text, *hit in zip(of_text.tolist(), places.tolist(), some.view(np.int64).tolist(), reach.tolist()):
+                    if hit[2]:
+                        found[text].append(tuple(hit))
+
+            words = np.concatenate([np.zeros(0, np.uint64), *texts])
+            lengths = np.array([len(t) for t in texts], np.int64)
+            ends = np.cumsum(lengths)
+            for mask in masks:
+                own = seeds(words, mask)
                 places = passing(own, every)
+                of_text = np.searchsorted(ends, places, side="right")
+                within = places + len(mask) <= ends[of_text]
+                places, of_text = places[within], of_text[within]
                 if len(places):
-                    some, reach = own[places], np.zeros(len(places), np.int64)
-                    for longest, bits in classes:
-                        reach[passing(some, bits)] = longest
-                    found += zip(places.tolist(), some.view(np.int64).tolist(), reach.tolist())
-            return sorted(f for f in found if f[2])
+                    add(own[places], places - (ends - lengths)[of_text], of_text)
+            for text in np.nonzero((lengths > 0) & (lengths < SHORTEST))[0].tolist():
+                own = whole_seed(texts[text])
+                if len(passing(own, every)):
+                    add(own, np.zeros(1, np.int64), np.array([text]))
+            return [sorted(f) for f in found]
 
         with np.errstate(over="ignore"):
             for batch in chunks(batches, "text"):
                 rows = []
-                for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch, "text")):
-                    words = hashes.of(text)
+                texts = [hashes.of(t) for t in texts_of(batch, "text")]
+                hits_by_text = (found for some in gathered(texts) for found in hits_of(some))
+                for doc, words, hits_here in zip(batch.column(0).to_pylist(), texts, hits_by_text):
                     group: list[tuple[int, int, int]] = []
                     low = high = 0
                     # The last one closes the last group.
-                    for place, seed, reach in [*hits_of(words), (len(words), 0, -1)]:
+                    for place, seed, reach in [*hits_here, (len(words), 0, -1)]:
                         if group and (reach < 0 or place - reach > high):
                             hits = [{"seed": s, "at": p - low} for p, s, _ in group]
                             rows.append((number, doc, low, words[low:high].tobytes(), hits))
