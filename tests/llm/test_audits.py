@@ -6,9 +6,11 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from warcloom.llm import divergence, filter_audit, stream_dedup
 
@@ -92,6 +94,35 @@ def test_chunks_are_cut_once_and_whole(spark):
     assert [terms[long, "en", t] for t in ("q", "rq", "r")] == [(1, 1), (1, 99), (1, 1)]
 
 
+def test_chunks_move_in_buckets(spark):
+    # Thousands of chunks leave a batch of text in a row for each bucket and language.
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{rng.randrange(3000):x}.{rng.choice('abc')}" for _ in range(200)), "en" if i % 3 else None, rng.choice(["s 1", "s 2", None])) for i in range(120)]
+    docs = frame(spark, rows).coalesce(1)
+    every, none = np.full(1 << 21, 255, np.uint8), np.zeros(1 << 21, np.uint8)
+    found = divergence.occurrences(docs, every, none, 4)
+    assert found.count() <= 4 * 2
+    counts = divergence.chunk_documents(docs)
+    assert counts.count() > 3000
+    used = divergence.term_counts(found, divergence.chunk_terms(counts), 4)
+    plain = Counter()
+    for _, text, lang, source in rows:
+        plain.update((lang or "", t, source or "") for t in re.findall(divergence.TERM, text))
+    assert {tuple(r)[:3]: r.n for r in used.collect()} == plain
+
+
+def test_long_chunks_of_many_terms_leave_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(divergence, "BATCH_BYTES", 2_000)
+    words = ["".join(p) for p in itertools.product("abcdefgh", repeat=3)]
+    long = ",".join(words + words[:7])
+    counts = divergence.chunk_documents(frame(spark, [(i, f"{long} x{i} É,é;É", lang, "s") for i in range(5) for lang in ("en", "de")]))
+    assert [sorted(r.langs) for r in counts.filter(F.col("chunk") == long).collect()] == [[("de", 5), ("en", 5)]]
+    terms = divergence.chunk_terms(counts)
+    got = sorted(tuple(r)[2:] for r in terms.filter(F.col("chunk") == long).collect())
+    assert got == sorted((lang, 5, w, 1 + (w in words[:7])) for w in words for lang in ("de", "en"))
+    assert {(r.term, r.times) for r in terms.filter("chunk like 'É%'").collect()} == {("É", 2), ("é", 1)}
+
+
 def test_divergence_of_little(spark):
     assert divergence.divergence(frame(spark, [])).collect() == []
     found = divergence.divergence(frame(spark, [(1, None, None, None), (2, "word", "", "b")]))

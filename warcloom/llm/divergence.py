@@ -4,7 +4,8 @@ Terms are runs of ASCII letters and of characters beyond ASCII, A to Z lowered.
 crosses ASCII white space, so texts are factored into *chunks* between white space:
 
 1. The distinct chunks of each document are counted: in how many documents of a language a
-   chunk is. Sums are formed before anything moves.
+   chunk is. Sums are formed before anything moves. Chunks move packed, a row for those of a
+   language and bucket in some MB of text; their number of buckets follows the input.
 2. Each distinct chunk is cut into terms once, however often and wherever it occurs, and
    its terms are joined back to the counts.
 3. A language keeps the terms that stand in ``min_docs`` of its documents. A term's
@@ -12,7 +13,7 @@ crosses ASCII white space, so texts are factored into *chunks* between white spa
    chunks: most terms are decided by that. Chunks of terms below it are of no more use.
    Documents are read again for the other chunks, told by a bit table of fixed size.
    Occurrences are counted by language, source and chunk, and joined with the chunk's
-   terms. Where the bound lies in between (chunks such as ``word`` and ``word,`` may share
+   terms bucket by bucket. Where the bound lies in between (chunks such as ``word`` and ``word,`` may share
    documents), the distinct documents of a term are counted as well.
 4. A source's share of a term is p = 1 + floor(scale * (count + smooth) / (N + smooth * V)),
    in whole numbers throughout, N being the sum of counts over the V kept terms.
@@ -30,6 +31,7 @@ aren't read. Texts of any length are counted whole. Columns beyond those named a
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,18 +40,21 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from warcloom.llm.common import ascii_lower, chunks, drop_stage, row_type, settings, stage_path, staged
+from warcloom.llm.common import chunks, drop_stage, row_type, settings, stage_path, staged, tidied
 from warcloom.llm.decontaminate import bit_table, bits_of
 
 #: Fixed value: what a term is.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-#: Chunks that a task lists the languages of without sorting them.
-HASHED_CHUNKS = "300000"
+#: ASCII characters that are in no term, and UTF-8 bytes with a space for each of these, letters lowered.
+AROUND = "".join(chr(c) for c in range(1, 128) if not re.match(TERM, chr(c)))
+LETTERS = bytes(ord(chr(c).lower()) if re.match(TERM, chr(c)) else 32 for c in range(128)) + bytes(range(128, 256))
 #: Bytes of text that are cut at a time.
-BATCH_BYTES = 6 << 20
-#: Chunks with more terms than these are counted by grouping.
-FEW_TERMS = 64
+BATCH_BYTES = 12 << 20
+#: Buckets of chunks, and the least number of them.
+BUCKETS_PER_TASK = 4
+LEAST_BUCKETS = 64
 #: That of Spark's function of the same name.
 SEED = 42
 #: Sources and shares that meet in one task.
@@ -77,95 +82,263 @@ def _cut(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return row, distinct, index
 
 
+def _keys(distinct: pa.Array) -> np.ndarray:
+    """A hash of each chunk. Chunks that differ by case and by what stands around letters share it."""
+    from pandas.util import hash_array
+
+    bare = pc.ascii_lower(pc.ascii_trim(distinct, characters=AROUND)).to_numpy(zero_copy_only=False)
+    return hash_array(bare, categorize=False).view(np.int64)
+
+
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where values begin in a sorted array."""
+    return np.flatnonzero(np.concatenate([[len(ordered) > 0], ordered[1:] != ordered[:-1]])[: len(ordered)])
+
+
+def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of their values."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = _starts(keys)
+    return keys[starts], np.add.reduceat(values[order], starts) if len(starts) else values[:0]
+
+
+def _lists(starts: np.ndarray, size: int) -> pa.Array:
+    return pa.array(np.append(starts, size).astype(np.int32))
+
+
+def _joined(starts: np.ndarray, strings: pa.Array) -> pa.Array:
+    """Chunks between starts as one string; chunks have no white space."""
+    return pc.binary_join(pa.ListArray.from_arrays(_lists(starts, len(strings)), strings), " ")
+
+
+def _bytes(starts: np.ndarray, values: np.ndarray) -> pa.Array:
+    """Whole numbers between starts as the bytes of 32-bit ones: those of a batch fit."""
+    ends = np.append(starts, len(values)).astype(np.int32) * 4
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(values.astype("<i4").tobytes())])
+
+
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<i4").astype(np.int64)
+
+
+def _flat(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
+    """(all values, how many each list has)"""
+    return lists.flatten(), lists.value_lengths().to_numpy()
+
+
+def _split(column: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    return _flat(pc.split_pattern(pa.concat_arrays(column.chunks), " "))
+
+
+def _bucket_number(docs: DataFrame) -> int:
+    """Buckets follow the tasks that read the documents, so that one is always small."""
+    return max(LEAST_BUCKETS, BUCKETS_PER_TASK * docs.select("lang").rdd.getNumPartitions())
+
+
 def chunk_documents(docs: DataFrame) -> DataFrame:
-    """``chunk``, ``langs`` (``lang``, ``docs``): in how many documents of each language a chunk is.
+    """``chunk``, ``key``, ``langs`` (``lang``, ``docs``): in how many documents of each language a chunk is.
 
-    A row a chunk; it lists languages, not documents.
+    A row a chunk; it lists languages, not documents. Chunks move in buckets of their hashes
+    ``key``, a row for all those of a language in some MB of text.
     """
-    schema = row_type(lang="string", chunk="string", docs="long")
+    buckets = _bucket_number(docs)
+    packed = row_type(bucket="integer", lang="string", chunks="string", docs="binary")
+    of_lang = row_type(lang="string", docs="long")
+    schema = row_type(chunk="string", key="long", langs=T.ArrayType(of_lang))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text", limit=BATCH_BYTES):
-            for lang in pc.unique(batch.column(0)):
-                row, distinct, index = _cut(batch.column(2).filter(pc.equal(batch.column(0), lang)))
-                pairs = np.unique(row * len(distinct) + index) % max(1, len(distinct))
-                places, docs = np.unique(pairs, return_counts=True)
-                columns = [pa.repeat(lang, len(places)), distinct.take(pa.array(places)), pa.array(docs.astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    # By chunk alone: all that is known of a chunk is in one place from here on.
-    partial = _source(docs).mapInArrow(run, schema).repartition("chunk")
-    by_lang = partial.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"))
-    return by_lang.groupBy("chunk").agg(F.collect_list(F.struct("lang", "docs")).alias("langs"))
+            row, distinct, index = _cut(batch.column(2))
+            size = max(1, len(distinct))
+            langs = batch.column(0).dictionary_encode()
+            # Sorted, each chunk of a document once.
+            pairs = np.sort(row * size + index)
+            pairs = pairs[_starts(pairs)]
+            held, docs = np.unique(langs.indices.to_numpy()[pairs // size] * size + pairs % size, return_counts=True)
+            places = held // size * buckets + (np.mod(_keys(distinct), buckets))[held % size]
+            order = np.argsort(places, kind="stable")
+            places, held, docs = places[order], held[order], docs[order]
+            starts = _starts(places)
+            columns = [
+                pa.array((places[starts] % buckets).astype(np.int32)),
+                langs.dictionary.take(pa.array(places[starts] // buckets)),
+                _joined(starts, distinct.take(pa.array(held % size))),
+                _bytes(starts, docs),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=packed.names)
+
+    def merge(table: pa.Table) -> pa.Table:
+        every, sizes = _split(table["chunks"])
+        every, langs = every.dictionary_encode(), pa.concat_arrays(table["lang"].chunks).dictionary_encode()
+        lang = np.repeat(langs.indices.to_numpy(), sizes)
+        n = len(langs.dictionary)
+        held, docs = _summed(every.indices.to_numpy().astype(np.int64) * n + lang, _numbers(table["docs"]))
+        entries = pa.StructArray.from_arrays([langs.dictionary.take(pa.array(held % n)), pa.array(docs)], names=of_lang.names)
+        lists = pa.ListArray.from_arrays(_lists(_starts(held // n), len(held)), entries)
+        return pa.Table.from_arrays([every.dictionary, pa.array(_keys(every.dictionary)), lists], names=schema.names)
+
+    return _source(docs).mapInArrow(tidied(run), packed).groupBy("bucket").applyInArrow(merge, schema)
+
+
+def _terms(some: pa.Array) -> pa.ListArray:
+    """The terms of chunks, with empty strings between them."""
+    offsets = np.frombuffer(some.buffers()[1], np.int32)[some.offset : some.offset + len(some) + 1]
+    data = some.buffers()[2].slice(offsets[0], offsets[-1] - offsets[0]).to_pybytes() if len(some) and offsets[-1] > offsets[0] else b""
+    spaced = pa.StringArray.from_buffers(len(some), pa.py_buffer((offsets - offsets[0]).tobytes()), pa.py_buffer(data.translate(LETTERS)))
+    return pc.ascii_split_whitespace(spaced)
 
 
 def chunk_terms(counts: DataFrame) -> DataFrame:
-    """``chunk``, ``lang``, ``docs``, ``term``, ``times``: each chunk cut once, joined with its counts."""
-    terms = F.regexp_extract_all(F.col("chunk"), F.lit(TERM), F.lit(0))
-    cut = counts.withColumn("terms", F.transform(terms, ascii_lower)).filter(F.size("terms") > 0)
-    # Nearly all chunks have one term; some others are counted among their own few.
-    one = F.array(F.struct(F.element_at("terms", 1).alias("term"), F.lit(1).cast("long").alias("times")))
-    few = F.transform(
-        F.array_distinct("terms"),
-        lambda t: F.struct(t.alias("term"), F.size(F.filter("terms", lambda u: u == t)).cast("long").alias("times")),
-    )
-    # The pieces of a long one are sorted: equal ones lie side by side, and their ends differ.
-    ordered = F.array_sort("terms")
-    ends = F.filter(F.sequence(F.lit(1), F.size("terms")), lambda i: (i == F.size("terms")) | (F.get(ordered, i) != F.get(ordered, i - 1)))
-    runs = F.transform(ends, lambda i: F.struct(F.get(ordered, i - 1).alias("term"), i.alias("end")))
-    many = F.transform(
-        F.sequence(F.lit(0), F.size(runs) - 1),
-        lambda k: F.struct(
-            F.get(runs, k)["term"].alias("term"), (F.get(runs, k)["end"] - F.coalesce(F.get(runs, k - 1)["end"], F.lit(0))).cast("long").alias("times")
-        ),
-    )
-    counted = F.when(F.size("terms") == 1, one).when(F.size("terms") <= FEW_TERMS, few).otherwise(many)
-    each = cut.select("chunk", "langs", F.explode(counted).alias("t"))
-    return each.select("chunk", F.explode("langs").alias("l"), "t").select("chunk", "l.lang", "l.docs", "t.term", "t.times")
+    """``chunk``, ``key``, ``lang``, ``docs``, ``term``, ``times``: each chunk cut once, joined with its counts."""
+    schema = row_type(chunk="string", key="long", lang="string", docs="long", term="string", times="long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "chunk", limit=BATCH_BYTES):
+            terms, sizes = _flat(_terms(batch.column(0)))
+            terms = terms.dictionary_encode()
+            size = max(1, len(terms.dictionary))
+            pairs, times = np.unique(np.repeat(np.arange(batch.num_rows), sizes) * size + terms.indices.to_numpy(), return_counts=True)
+            if (empty := terms.dictionary.index("").as_py()) >= 0:
+                pairs, times = pairs[pairs % size != empty], times[pairs % size != empty]
+            langs, n_langs = _flat(batch.column(2))
+            row = pairs // size
+            many = n_langs[row]
+            ends, first = np.cumsum(many), (np.cumsum(n_langs) - n_langs)[row]
+            # Some rows at a time: each repeats its chunk, which may be long and of many terms.
+            weight = np.cumsum(many * (pc.binary_length(batch.column(0)).to_numpy()[row] + 64))
+            low = 0
+            while low < len(pairs):
+                high = max(low + 1, int(np.searchsorted(weight, (weight[low - 1] if low else 0) + BATCH_BYTES, side="right")))
+                pair = np.repeat(np.arange(low, high), many[low:high])
+                entry = langs.take(pa.array(first[pair] + np.arange(len(pair)) + (ends[low] - many[low]) - (ends - many)[pair]))
+                columns = [*(batch.column(i).take(pa.array(row[pair])) for i in (0, 1)), entry.field("lang"), entry.field("docs")]
+                columns += [terms.dictionary.take(pa.array(pairs[pair] % size)), pa.array(times[pair])]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+                low = high
+
+    return counts.select("chunk", "key", "langs").mapInArrow(run, schema)
 
 
-def occurrences(docs: DataFrame, wanted: np.ndarray, doubtful: np.ndarray) -> DataFrame:
-    """``lang``, ``source``, ``chunk``, ``n``, ``doc``: what documents have of chosen chunks.
+def occurrences(docs: DataFrame, wanted: np.ndarray, doubtful: np.ndarray, buckets: int) -> DataFrame:
+    """What documents have of chosen chunks.
 
     Bit tables choose them, so there are some others among them. Rows without ``doc`` count
-    occurrences. Rows with ``doc``, a number that the documents get here, are of doubtful
-    chunks, once a document.
+    occurrences, those of a ``bucket`` and ``lang`` in some MB of text at a time: ``chunks``,
+    in how many ``sources`` each is (``sizes``), and for each of these its place in
+    ``sources`` and the count (``places``, ``counts``). Rows with ``doc``, a number that the
+    documents get here, are of doubtful chunks, once a document.
     """
-    schema = row_type(lang="string", source="string", chunk="string", n="long", doc="long")
+    schema = row_type(lang="string", bucket="integer", chunks="string", sizes="binary", sources=T.ArrayType(T.StringType()), places="binary", counts="binary", doc="long")
     shared = docs.sparkSession.sparkContext.broadcast((wanted.tobytes(), doubtful.tobytes()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
+        from pyspark.sql.pandas.types import to_arrow_schema
 
+        arrow = to_arrow_schema(schema)
         tables = [np.unpackbits(np.frombuffer(t, np.uint8)).astype(bool) for t in shared.value]
         number = TaskContext.get().partitionId() << 36
 
-        def made(lang: pa.Scalar, source: pa.Array, chunk: pa.Array, n: np.ndarray | None, doc: np.ndarray | None) -> pa.RecordBatch:
-            whole = lambda v: pa.nulls(len(source), pa.int64()) if v is None else pa.array(v.astype(np.int64))
-            return pa.RecordBatch.from_arrays([pa.repeat(lang, len(source)), source, chunk, whole(n), whole(doc)], names=schema.names)
+        def made(size: int, **columns: pa.Array) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(size, f.type)) for f in arrow], schema=arrow)
 
         for batch in chunks(batches, "text", limit=BATCH_BYTES):
-            for lang in pc.unique(batch.column(0)):
-                inside = pc.equal(batch.column(0), lang)
-                doc = number + np.nonzero(np.asarray(inside))[0]
-                source = batch.column(1).filter(inside)
-                names = source.dictionary_encode()
-                row, distinct, index = _cut(batch.column(2).filter(inside))
-                before = lang.as_py().encode() + b" "
-                hashes = (xxhash.xxh64_intdigest(before + c.encode(), SEED) for c in distinct.to_pylist())
-                first, second = bits_of(np.fromiter(hashes, np.uint64, len(distinct)))
-                chosen, doubted = (t[first] & t[second] for t in tables)
-                size = max(1, len(distinct))
-                # Occurrences of chosen chunks, summed by source and chunk.
-                own = chosen[index]
-                keys, n = np.unique(names.indices.to_numpy()[row[own]] * size + index[own], return_counts=True)
-                yield made(lang, names.dictionary.take(pa.array(keys // size)), distinct.take(pa.array(keys % size)), n, None)
-                own = doubted[index]
-                keys = np.unique(row[own] * size + index[own])
-                yield made(lang, source.take(pa.array(keys // size)), distinct.take(pa.array(keys % size)), None, doc[keys // size])
+            row, distinct, index = _cut(batch.column(2))
+            size = max(1, len(distinct))
+            langs, names = batch.column(0).dictionary_encode(), batch.column(1).dictionary_encode()
+            n_sources = max(1, len(names.dictionary))
+            group = langs.indices.to_numpy().astype(np.int64) * n_sources + names.indices.to_numpy()
+            keys = _keys(distinct)
+            of_lang = np.array([xxhash.xxh64_intdigest(v.encode(), SEED) for v in langs.dictionary.to_pylist()], np.uint64).view(np.int64)
+
+            def inside(table: np.ndarray, chunk: np.ndarray, lang: np.ndarray) -> np.ndarray:
+                first, second = bits_of((keys[chunk] ^ of_lang[lang]).view(np.uint64))
+                return table[first] & table[second]
+
+            # Occurrences of chosen chunks, summed by language, source and chunk.
+            held, n = np.unique(group[row] * size + index, return_counts=True)
+            chunk, lang = held % size, held // size // n_sources
+            own = inside(tables[0], chunk, lang)
+            doubted = np.zeros(size, dtype=bool)
+            doubted[chunk[own][inside(tables[1], chunk[own], lang[own])]] = True
+            held, n, chunk, lang = held[own], n[own], chunk[own], lang[own]
+            bucket = np.mod(keys, buckets)[chunk]
+            order = np.lexsort((chunk, lang * buckets + bucket))
+            held, n, chunk, lang, bucket = held[order], n[order], chunk[order], lang[order], bucket[order]
+            rows = lang * buckets + bucket
+            starts = _starts(rows)
+            # The chunks of a row, and where each one's sources begin.
+            heads = _starts(rows * size + chunk)
+            sizes = np.diff(np.append(heads, len(chunk)))
+            of_row = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(rows))))
+            used, place = np.unique(of_row * n_sources + held // size % n_sources, return_inverse=True)
+            first = _starts(used // n_sources)
+            yield made(
+                len(starts),
+                lang=langs.dictionary.take(pa.array(lang[starts])),
+                bucket=pa.array(bucket[starts].astype(np.int32)),
+                chunks=_joined(np.searchsorted(heads, starts), distinct.take(pa.array(chunk[heads]))),
+                sizes=_bytes(np.searchsorted(heads, starts), sizes),
+                sources=pa.ListArray.from_arrays(_lists(first, len(used)), names.dictionary.take(pa.array(used % n_sources))),
+                places=_bytes(starts, place - first[of_row]),
+                counts=_bytes(starts, n),
+            )
+            own = doubted[index]
+            row, index = row[own], index[own]
+            own = inside(tables[1], index, langs.indices.to_numpy()[row])
+            pairs = np.sort(row[own] * size + index[own])
+            pairs = pairs[_starts(pairs)]
+            doc = pairs // size
+            yield made(len(pairs), lang=langs.dictionary.take(langs.indices.take(pa.array(doc))), chunks=distinct.take(pa.array(pairs % size)), doc=pa.array(number + doc))
             number += batch.num_rows
 
-    return _source(docs).mapInArrow(run, schema)
+    return _source(docs).mapInArrow(tidied(run), schema)
+
+
+def term_counts(found: DataFrame, likely: DataFrame, buckets: int) -> DataFrame:
+    """``lang``, ``term``, ``source``, ``n``: the counts that ``occurrences`` gives, joined with the chunks' terms.
+
+    A task joins a bucket, and most of a term's chunks share one.
+    """
+    schema = row_type(lang="string", source="string", term="string", n="long")
+
+    def run(counts: pa.Table, terms: pa.Table) -> pa.Table:
+        if counts.num_rows == 0 or terms.num_rows == 0:
+            return pa.Table.from_arrays([pa.array([], pa.string())] * 3 + [pa.array([], pa.int64())], names=schema.names)
+        whole = lambda table, name: pa.concat_arrays(table[name].chunks)
+        chunk, sizes = _split(counts["chunks"])
+        all_chunks = pa.concat_arrays([whole(terms, "chunk"), chunk]).dictionary_encode()
+        all_langs = pa.concat_arrays([whole(terms, "lang"), whole(counts, "lang")]).dictionary_encode()
+        cut, n_langs = terms.num_rows, len(all_langs.dictionary)
+        of_lang, of_chunk = all_langs.indices.to_numpy().astype(np.int64), all_chunks.indices.to_numpy().astype(np.int64)
+        # The terms of each chunk lie side by side.
+        keys = of_chunk[:cut] * n_langs + of_lang[:cut]
+        order = np.argsort(keys, kind="stable")
+        keys, term, times = keys[order], whole(terms, "term").dictionary_encode(), whole(terms, "times").to_numpy()[order]
+        term_of = term.indices.to_numpy().astype(np.int64)[order]
+        row = np.repeat(np.arange(counts.num_rows), sizes)
+        lang = of_lang[cut:][row]
+        own = of_chunk[cut:] * n_langs + lang
+        low, high = np.searchsorted(keys, own), np.searchsorted(keys, own, side="right")
+        # Each count, once for each term of its chunk.
+        sources, n_sources = _flat(whole(counts, "sources"))
+        sources = sources.dictionary_encode()
+        at = np.repeat(np.arange(len(own)), _numbers(counts["sizes"]))
+        place = (np.cumsum(n_sources) - n_sources)[row[at]] + _numbers(counts["places"])
+        source, n = sources.indices.to_numpy().astype(np.int64)[place], _numbers(counts["counts"])
+        many = (high - low)[at]
+        entry = np.repeat(np.arange(len(at)), many)
+        which = low[at][entry] + np.arange(len(entry)) - (np.cumsum(many) - many)[entry]
+        size, among = max(1, len(sources.dictionary)), max(1, len(term.dictionary))
+        keys, n = _summed((lang[at][entry] * among + term_of[which]) * size + source[entry], n[entry] * times[which])
+        columns = [all_langs.dictionary.take(pa.array(keys // size // among)), sources.dictionary.take(pa.array(keys % size)), term.dictionary.take(pa.array(keys // size % among)), pa.array(n)]
+        return pa.Table.from_arrays(columns, names=schema.names)
+
+    terms = likely.select(F.pmod("key", F.lit(buckets)).cast("int").alias("bucket"), "chunk", "lang", "term", "times")
+    rows = found.select("bucket", "lang", "chunks", "sizes", "sources", "places", "counts")
+    joined = rows.groupBy("bucket").cogroup(terms.groupBy("bucket")).applyInArrow(run, schema)
+    return joined.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
 
 
 def kept_counts(docs: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -173,35 +346,31 @@ def kept_counts(docs: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame, D
     ``min_docs`` documents of the language; and ``lang``, ``source``, ``term``, ``n``, their
     occurrences.
     """
-    with settings(docs.sparkSession, {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": HASHED_CHUNKS}):
-        joined = staged(chunk_terms(chunk_documents(docs)), "chunks")
+    joined = staged(chunk_terms(chunk_documents(docs)), "chunks")
     bounds = joined.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high"))
     bounds = staged(bounds.filter(F.col("high") >= min_docs), "bounds")
     sure = F.col("low") >= min_docs
     likely = staged(joined.join(bounds.select("lang", "term", sure.alias("sure")), ["lang", "term"]).drop("docs"), "likely")
 
     # A chunk is looked for in the languages where it matters.
-    seed = F.xxhash64(F.concat("lang", F.lit(" "), "chunk"))
+    seed = F.col("key").bitwiseXOR(F.xxhash64("lang"))
     chosen = likely.select(seed.alias("seed"))
     doubtful = likely.filter("NOT sure").select(seed.alias("seed"))
     # Written at once: the numbers of documents hold from here on. The two kinds of rows lie apart.
     path = stage_path(docs.sparkSession, "occurrences")
-    made = occurrences(docs, bit_table(chosen), bit_table(doubtful)).withColumn("counts", F.col("doc").isNull())
+    buckets = _bucket_number(docs)
+    made = occurrences(docs, bit_table(chosen), bit_table(doubtful), buckets).withColumn("counted", F.col("doc").isNull())
     with settings(docs.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": "2"}):
-        made.write.option("compression", "zstd").partitionBy("counts").parquet(path)
+        made.write.option("compression", "zstd").partitionBy("counted").parquet(path)
     found = docs.sparkSession.read.schema(made.schema).parquet(path)
-    of_doc = found.filter("NOT counts").select("lang", "chunk", "doc")
+    of_doc = found.filter("NOT counted").select("lang", F.col("chunks").alias("chunk"), "doc")
     exact = of_doc.join(likely.filter("NOT sure"), ["lang", "chunk"]).select("lang", "term", "doc").distinct()
     exact = exact.groupBy("lang", "term").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs)
     kept = staged(bounds.filter(sure).select("lang", "term").union(exact.select("lang", "term")), "kept")
 
     groups = _source(docs).select("lang", "source").distinct()
-    # By chunk alone, so that the sums and the join share one exchange.
-    by_chunk = found.filter("counts").repartition("chunk").groupBy("chunk", "lang", "source").agg(F.sum("n").alias("n"))
-    both = by_chunk.join(likely.repartition("chunk").hint("shuffle_hash"), ["chunk", "lang"])
-    used = both.select("lang", "source", "term", (F.col("n") * F.col("times")).alias("n"))
-    used = used.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-    used = staged(used.join(kept, ["lang", "term"], "left_semi"), "used")
+    terms = likely.join(kept, ["lang", "term"], "left_semi")
+    used = staged(term_counts(found.filter("counted"), terms, buckets), "used")
     drop_stage(docs.sparkSession, path)
     return groups, kept, used
 
