@@ -13,8 +13,8 @@ crosses ASCII white space, so texts are factored into *chunks* between white spa
    chunks: most terms are decided by that. Chunks of terms below it are of no more use.
    Documents are read again for the other chunks, told by a bit table of fixed size.
    Occurrences are counted by language, source and chunk, and joined with the chunk's
-   terms bucket by bucket. Where the bound lies in between (chunks such as ``word`` and ``word,`` may share
-   documents), the distinct documents of a term are counted as well.
+   terms bucket by bucket. Where the bound lies in between (chunks such as ``word`` and
+   ``word,`` may share documents), the distinct documents of a term are counted as well.
 4. A source's share of a term is p = 1 + floor(scale * (count + smooth) / (N + smooth * V)),
    in whole numbers throughout, N being the sum of counts over the V kept terms.
 5. ``pair`` rows sum abs(p - q) over the kept terms for two sources. Shares are laid out by
@@ -53,7 +53,7 @@ LETTERS = bytes(ord(chr(c).lower()) if re.match(TERM, chr(c)) else 32 for c in r
 #: Bytes of text that are cut at a time.
 BATCH_BYTES = 12 << 20
 #: Buckets of chunks, and the least number of them.
-BUCKETS_PER_TASK = 4
+BUCKETS_PER_TASK = 16
 LEAST_BUCKETS = 64
 #: That of Spark's function of the same name.
 SEED = 42
