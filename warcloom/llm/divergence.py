@@ -51,9 +51,9 @@ TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 AROUND = "".join(chr(c) for c in range(1, 128) if not re.match(TERM, chr(c)))
 LETTERS = bytes(ord(chr(c).lower()) if re.match(TERM, chr(c)) else 32 for c in range(128)) + bytes(range(128, 256))
 #: Bytes of text that are cut at a time.
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 8 << 20
 #: Buckets of chunks, and the least number of them.
-BUCKETS_PER_TASK = 16
+BUCKETS_PER_TASK = 8
 LEAST_BUCKETS = 64
 #: That of Spark's function of the same name.
 SEED = 42
